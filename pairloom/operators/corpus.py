@@ -14,7 +14,7 @@ from pyspark.sql import functions as F
 
 from ..config import DEFAULT, PrepConfig
 from ..functions.text import is_boundary, strip_text
-from ..session import join_small
+from ..session import join_small, materialize
 from .scan import choose_width, exclusive_prefix
 
 SENTENCE_COLUMNS = ["doc_key", "sent_idx", "n_sents", "row_id", "text"]
@@ -63,15 +63,19 @@ def segment_documents(
     x = rows.select(*cols)
     b = is_boundary("text") if boundary_col is None else (F.col(boundary_col) | (F.col("text") == F.lit("")))
     x = x.select("row_id", "text", b.cast("bigint").alias("_b"))
+    # The scans over the order only need (row_id, boundary flag): materialise
+    # that narrow table once instead of re-reading and re-stripping the text.
+    flags = materialize(x.select("row_id", "_b"), "boundary_flags")
     if shift is None:
-        shift, n_buckets = choose_width(x, "row_id", cfg)
+        shift, n_buckets = choose_width(flags, "row_id", cfg)
     bound = n_buckets
     x = x.withColumn("bucket", F.shiftright("row_id", shift))
+    flags = flags.withColumn("bucket", F.shiftright("row_id", shift))
 
     is_b = F.col("_b") == 1
     nb = F.lit(1) - F.col("_b")
     # Pass A: per bucket counts and the first/last boundary position.
-    a = x.groupBy("bucket").agg(
+    a = flags.groupBy("bucket").agg(
         F.sum("_b").alias("n_b"),
         F.sum(nb).alias("n_n"),
         F.max(F.when(is_b, F.col("row_id"))).alias("lb"),
@@ -79,7 +83,7 @@ def segment_documents(
     )
     # Pass B: non-boundary rows before the last / first boundary of the bucket.
     pb = (
-        join_small(x.select("bucket", "row_id", "_b"), a.select("bucket", "lb", "fb"), "bucket",
+        join_small(flags, a.select("bucket", "lb", "fb"), "bucket",
                    row_bound=bound, max_rows=cfg.broadcast_max_rows)
         .groupBy("bucket")
         .agg(

@@ -49,7 +49,7 @@ class Preparation:
         if self._vocab is not None:
             return self._vocab
         src = self._vocab_lines if self._vocab_lines is not None else self.lines
-        return materialize(build_vocab(token_counts(src), self.cfg))
+        return materialize(build_vocab(token_counts(src), self.cfg), "vocab")
 
     @cached_property
     def vocab_size(self) -> int:
@@ -73,12 +73,12 @@ class Preparation:
             max_tokens=self.cfg.pair_budget,
             cfg=self.cfg,
         )
-        return materialize(st)
+        return materialize(st, "sentence_tokens")
 
     @cached_property
     def _docs(self):
         docs, n = document_index(self.sentence_tokens, self.cfg)
-        return materialize(docs), n
+        return materialize(docs, "documents"), n
 
     @property
     def documents(self) -> DataFrame:
@@ -100,7 +100,7 @@ class Preparation:
         """Unmasked examples (checkpointed: every epoch reads them)."""
         p = nsp_pairs(self.sentence_tokens, self.documents, self.n_documents, self.cfg, carry_cols=["ids"])
         p = resolve_partner(p, self.sentence_tokens, carry_cols=["ids"])
-        return materialize(assemble_examples(p, self.cfg))
+        return materialize(assemble_examples(p, self.cfg), "examples")
 
     @cached_property
     def n_examples(self) -> int:

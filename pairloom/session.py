@@ -5,6 +5,7 @@ from __future__ import annotations
 import logging
 import os
 import tempfile
+import uuid
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -69,15 +70,21 @@ def ensure_checkpoint_dir(spark: SparkSession) -> str:
     return sc.getCheckpointDir()
 
 
-def materialize(df: DataFrame) -> DataFrame:
-    """Cut lineage with a reliable checkpoint in the shared checkpoint folder.
+def materialize(df: DataFrame, name: str = "stage") -> DataFrame:
+    """Cut lineage by writing ``df`` as a Parquet table under the session's
+    checkpoint folder and reading it back.
 
-    ``Dataset.checkpoint`` keeps the physical partitioning and ordering of the
-    plan, so later operators that group or join on the same keys do not
-    shuffle again.  Lost executors re-read the files instead of recomputing.
+    Unlike ``Dataset.checkpoint`` on an unpersisted plan, the data is
+    computed once (an RDD checkpoint runs the plan again to write it).  The
+    files are columnar and compressed, later readers prune columns and push
+    filters into them, and a lost executor re-reads them instead of
+    recomputing the lineage.  The folder must be shared on a cluster.
     """
-    ensure_checkpoint_dir(df.sparkSession)
-    return df.checkpoint(eager=True)
+    spark = df.sparkSession
+    base = ensure_checkpoint_dir(spark)
+    path = f"{base.rstrip('/')}/tables/{name}-{uuid.uuid4().hex}"
+    df.write.mode("errorifexists").parquet(path)
+    return spark.read.parquet(path)
 
 
 def join_small(

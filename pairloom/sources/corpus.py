@@ -17,6 +17,24 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir.rstrip('/')}/{name}.parquet")
 
 
+def spread(df: DataFrame, *cols: str, min_partitions: int | None = None) -> DataFrame:
+    """Hash-spread an input whose scan gives fewer partitions than the
+    session's parallelism (a small file, or one unsplittable row group).
+
+    Large inputs already have many more splits than cores and are returned
+    unchanged, so this never adds a shuffle at scale.
+    """
+    sc = df.sparkSession.sparkContext
+    want = min_partitions or 2 * sc.defaultParallelism
+    try:
+        have = df.rdd.getNumPartitions()
+    except Exception:  # pragma: no cover - no RDD view (e.g. Connect)
+        return df
+    if have >= want:
+        return df
+    return df.repartition(want, *cols)
+
+
 def read_corpus(
     spark: SparkSession,
     path: str,
@@ -62,7 +80,7 @@ def documents_corpus(documents: DataFrame) -> DataFrame:
         )
     )
     arr = F.concat(F.array(F.concat(F.lit(" = "), F.col("source"), F.lit(" = ")), F.lit("")), body)
-    x = documents.select("doc_id", F.posexplode(arr).alias("pos", "text"))
+    x = spread(documents.select("doc_id", "source", "text"), "doc_id").select("doc_id", F.posexplode(arr).alias("pos", "text"))
     return x.select(
         (F.col("doc_id") * F.lit(ROW_ID_STRIDE) + F.col("pos")).cast("bigint").alias("row_id"), "text"
     )
@@ -75,6 +93,7 @@ def conversations_corpus(conversations: DataFrame) -> DataFrame:
     its turns at ``conv_id * 2^20 + turn + 1``; column ``is_start`` marks the
     boundary rows so turn text is never taken for a heading.
     """
+    conversations = spread(conversations.select("conv_id", "turn", "text"), "conv_id")
     starts = conversations.select("conv_id").distinct().select(
         (F.col("conv_id") * F.lit(ROW_ID_STRIDE)).cast("bigint").alias("row_id"),
         F.lit("").alias("text"),
