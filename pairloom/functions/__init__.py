@@ -1,8 +1,8 @@
 """Column expressions (JVM-side, codegen friendly)."""
 
-from .hashing import digest, hex_fraction, uniform, uniform_index
+from .hashing import digest, hex_fraction, key32, mix32, uniform, uniform_index
 from .losses import cross_entropy_term
-from .masking import masked_ids, mlm_labels, position_digests
+from .masking import mask_key, masked_and_labels, position_draw, with_position_draws
 from .schedule import checkpoint_tag, lr_multiplier, milestone_label
 from .sequences import assemble, truncated_lengths
 from .text import is_boundary, split_words, strip_text
@@ -13,12 +13,15 @@ __all__ = [
     "cross_entropy_term",
     "digest",
     "hex_fraction",
+    "key32",
+    "mix32",
     "is_boundary",
     "lr_multiplier",
-    "masked_ids",
+    "mask_key",
+    "masked_and_labels",
     "milestone_label",
-    "mlm_labels",
-    "position_digests",
+    "position_draw",
+    "with_position_draws",
     "split_words",
     "strip_text",
     "truncated_lengths",

@@ -42,3 +42,53 @@ def uniform(seed: int, tag: str, *keys) -> Column:
 def uniform_index(u, n) -> Column:
     """``floor(u * n)`` as bigint: uniform integer in ``0..n-1``."""
     return F.floor(_c(u) * _c(n)).cast("bigint")
+
+
+# --- fixed values of the 32-bit counter mixer ----------------------------------
+MASK32 = 0xFFFFFFFF
+MIX_MULTIPLIER = 0x45D9F3B  # odd, below 2^27: products stay inside bigint
+WEYL_STEP = 0x9E3779B9
+TWO_POW_32 = 4294967296.0
+# --- end of fixed values -------------------------------------------------------
+
+
+def key32(seed: int, tag: str, *keys) -> Column:
+    """32-bit key (as bigint) from the first 8 hex digits of the digest."""
+    return F.conv(F.substring(digest(seed, tag, *keys), 1, 8), 16, 10).cast("bigint")
+
+
+def counter32(key, counter) -> Column:
+    """``(key + counter * WEYL_STEP) mod 2^32``: distinct inputs per counter."""
+    return (_c(key) + _c(counter).cast("bigint") * F.lit(WEYL_STEP)).bitwiseAND(F.lit(MASK32))
+
+
+def mix_round(x) -> Column:
+    x = _c(x)
+    return (F.shiftright(x, 16).bitwiseXOR(x) * F.lit(MIX_MULTIPLIER)).bitwiseAND(F.lit(MASK32))
+
+
+def mix_final(x) -> Column:
+    x = _c(x)
+    return F.shiftright(x, 16).bitwiseXOR(x)
+
+
+def mix32(x) -> Column:
+    """Integer mixer: two multiply-xorshift rounds and a final xorshift.
+
+    All steps are plain bigint column arithmetic (code-generated; common
+    subexpressions are evaluated once).  Inside lambdas use ``mix32_array``.
+    """
+    return mix_final(mix_round(mix_round(x)))
+
+
+def mix32_array(arr) -> Column:
+    """``mix32`` element-wise as three array passes (no duplicated subtrees
+    in interpreted lambdas); NULL elements stay NULL."""
+    a = F.transform(_c(arr), mix_round)
+    a = F.transform(a, mix_round)
+    return F.transform(a, mix_final)
+
+
+def unit32(h) -> Column:
+    """32-bit value as a fraction in [0, 1)."""
+    return _c(h).cast("double") / F.lit(TWO_POW_32)

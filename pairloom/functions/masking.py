@@ -1,53 +1,73 @@
 """Masked-language-model corruption as array expressions (no shuffle).
 
-Each maskable position draws one digest keyed by seed, epoch, example and
-position.  Hex digits 1-10 decide selection, 11-20 the branch
-([MASK] / random id / unchanged) and 21-32 the random id.
+Each (epoch, example) gets a 32-bit key from one digest of seed, epoch and
+example id.  Position ``i`` then uses three counter draws through an integer
+mixer: counter ``3i`` decides selection, ``3i+1`` the branch ([MASK] / random
+id / unchanged) and ``3i+2`` the random id.  Masks are redrawn every epoch;
+the same seed always gives the same masks, whatever the partitioning.
 """
 
 from __future__ import annotations
 
-from pyspark.sql import Column
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ..config import CLS_ID, IGNORE_INDEX, MASK_ID, PAD_ID, SEP_ID
-from .hashing import digest, hex_fraction
+from .hashing import MASK32, WEYL_STEP, counter32, key32, mix32, mix32_array, unit32
 
 NEVER_MASKED = (CLS_ID, SEP_ID, PAD_ID)
 MLM_TAG = "mlm"
+DRAWS_PER_POSITION = 3
 
 
-def position_digests(ids, seed: int, epoch, example_id) -> Column:
-    """``array<string>``: a digest per maskable position, NULL elsewhere."""
-    return F.transform(
-        ids,
-        lambda t, i: F.when(
-            ~t.isin(*NEVER_MASKED), digest(seed, MLM_TAG, epoch, example_id, i)
-        ),
+def mask_key(seed: int, epoch, example_id) -> Column:
+    return key32(seed, MLM_TAG, epoch, example_id)
+
+
+def position_draw(key, pos, j: int) -> Column:
+    """Draw ``j`` (0 selection, 1 branch, 2 random id) of one position as a
+    fraction in [0, 1); scalar form for long tables."""
+    p = F.col(pos) if isinstance(pos, str) else pos
+    return unit32(mix32(counter32(key, p * DRAWS_PER_POSITION + j)))
+
+
+def with_position_draws(df: DataFrame, ids: str, key: Column) -> DataFrame:
+    """Adds ``_sel``, ``_br``, ``_rid``: per-position 32-bit draws (NULL on
+    positions that are never masked)."""
+    # The key reaches the lambda as an array argument (evaluated once per
+    # row); referenced inside a lambda it would be re-evaluated per element.
+    idx = F.transform(F.col(ids), lambda t, i: F.when(~t.isin(*NEVER_MASKED), i))
+    keys = F.array_repeat(key, F.size(F.col(ids)))
+    base = F.zip_with(idx, keys, lambda i, k: counter32(k, i * DRAWS_PER_POSITION))
+    step = lambda j: (lambda x: (x + F.lit(j * WEYL_STEP)).bitwiseAND(F.lit(MASK32)))
+    x = df.withColumn("_c0", base)
+    return (
+        x.withColumn("_sel", mix32_array(F.col("_c0")))
+        .withColumn("_br", mix32_array(F.transform("_c0", step(1))))
+        .withColumn("_rid", mix32_array(F.transform("_c0", step(2))))
+        .drop("_c0")
     )
 
 
-def _selected(h: Column, p: float) -> Column:
-    return h.isNotNull() & (hex_fraction(h, 1, 10) < F.lit(p))
+def masked_and_labels(df: DataFrame, ids: str, vocab_size, p: float, mask_share: float,
+                      random_share: float) -> tuple[Column, Column]:
+    """Masked ids and labels from ``ids`` and the draw columns."""
+    z = F.arrays_zip(F.col(ids).alias("t"), F.col("_sel").alias("s"), F.col("_br").alias("b"), F.col("_rid").alias("r"))
+    rand_t = round(mask_share + random_share, 12)
 
+    def sel(e):
+        return e["s"].isNotNull() & (unit32(e["s"]) < F.lit(p))
 
-def masked_ids(ids, digests, vocab_size, p: float, mask_share: float, random_share: float) -> Column:
-    def pick(t, h):
-        branch = hex_fraction(h, 11, 10)
-        rand_id = F.floor(hex_fraction(h, 21, 12) * vocab_size).cast("bigint")
+    def pick(e):
+        br = unit32(e["b"])
+        rid = F.floor(unit32(e["r"]) * F.lit(vocab_size)).cast("bigint")
         return (
-            F.when(~_selected(h, p), t)
-            .when(branch < F.lit(mask_share), F.lit(MASK_ID).cast("bigint"))
-            .when(branch < F.lit(round(mask_share + random_share, 12)), rand_id)
-            .otherwise(t)
+            F.when(~sel(e), e["t"])
+            .when(br < F.lit(mask_share), F.lit(MASK_ID).cast("bigint"))
+            .when(br < F.lit(rand_t), rid)
+            .otherwise(e["t"])
         )
 
-    return F.zip_with(ids, digests, pick)
-
-
-def mlm_labels(ids, digests, p: float) -> Column:
-    return F.zip_with(
-        ids,
-        digests,
-        lambda t, h: F.when(_selected(h, p), t).otherwise(F.lit(IGNORE_INDEX).cast("bigint")),
-    )
+    masked = F.transform(z, pick)
+    labels = F.transform(z, lambda e: F.when(sel(e), e["t"]).otherwise(F.lit(IGNORE_INDEX).cast("bigint")))
+    return masked, labels

@@ -7,10 +7,10 @@ import math
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from ..config import DEFAULT, IGNORE_INDEX, PrepConfig
+from ..config import DEFAULT, PrepConfig
 from ..functions.hashing import digest
+from ..functions.masking import NEVER_MASKED, mask_key, position_draw
 from ..functions.schedule import checkpoint_tag, lr_multiplier, milestone_label
-from .examples import apply_mlm
 from .scan import hash_rank
 
 
@@ -113,19 +113,20 @@ def batch_manifest(
     spe = steps_per_epoch(n_train, cfg)
     total = spe * cfg.num_epochs
     tr = batches.filter(F.col("split") == "train").select("epoch", "batch_id", "example_id")
-    ex = examples.select("example_id", "input_ids", "n_a", "n_b")
-    x = tr.join(ex, "example_id")
-    m = apply_mlm(x, vocab_size, F.col("epoch"), cfg)
-    per = m.select(
-        "epoch",
-        "batch_id",
-        (F.col("n_a") + F.col("n_b") + 3).alias("real"),
-        F.size(F.filter("labels", lambda v: v != F.lit(IGNORE_INDEX))).alias("scored"),
+    ex = examples.select("example_id", "input_ids", (F.col("n_a") + F.col("n_b") + 3).alias("real"))
+    # Positions are exploded (code-generated) and only counted: the masked
+    # arrays themselves are not needed for the counters.
+    # One key per (epoch, example), projected below the explode.
+    j = tr.join(ex, "example_id").select(
+        "epoch", "batch_id", mask_key(cfg.seed, F.col("epoch"), F.col("example_id")).alias("key"), "real", "input_ids"
     )
-    g = per.groupBy("epoch", "batch_id").agg(
-        F.count(F.lit(1)).alias("rows"),
-        F.sum("real").cast("bigint").alias("real_tokens"),
-        F.sum("scored").cast("bigint").alias("scored_tokens"),
+    z = j.select("epoch", "batch_id", "key", "real", F.posexplode("input_ids").alias("pos", "id"))
+    selected = ~F.col("id").isin(*NEVER_MASKED) & (position_draw(F.col("key"), F.col("pos"), 0) < F.lit(cfg.mlm_probability))
+    first = F.col("pos") == 0
+    g = z.groupBy("epoch", "batch_id").agg(
+        F.count_if(first).cast("bigint").alias("rows"),
+        F.sum(F.when(first, F.col("real"))).cast("bigint").alias("real_tokens"),
+        F.count_if(selected).cast("bigint").alias("scored_tokens"),
     )
     gs = F.col("epoch") * F.lit(spe) + F.col("batch_id")
     label = milestone_label(F.col("batch_id") + 1, F.lit(spe))

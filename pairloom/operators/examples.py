@@ -6,7 +6,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ..config import DEFAULT, PrepConfig
-from ..functions.masking import masked_ids, mlm_labels, position_digests
+from ..functions.masking import mask_key, masked_and_labels, with_position_draws
 from ..functions.sequences import assemble, truncated_lengths
 
 EXAMPLE_COLUMNS = ["example_id", "is_next", "input_ids", "token_type_ids", "attention_mask", "n_a", "n_b"]
@@ -34,12 +34,13 @@ def apply_mlm(examples: DataFrame, vocab_size: int, epoch: Column | int, cfg: Pr
     Masks depend on ``epoch`` (redrawn every epoch); pairs do not.
     """
     ep = epoch if isinstance(epoch, Column) else F.lit(int(epoch))
-    x = examples.withColumn("_h", position_digests(F.col("input_ids"), cfg.seed, ep, F.col("example_id")))
+    x = with_position_draws(examples, "input_ids", mask_key(cfg.seed, ep, F.col("example_id")))
+    masked, labels = masked_and_labels(x, "input_ids", int(vocab_size), cfg.mlm_probability,
+                                       cfg.mask_share, cfg.random_share)
     return x.select(
         *[c for c in examples.columns if c != "input_ids"],
-        masked_ids(F.col("input_ids"), F.col("_h"), F.lit(int(vocab_size)), cfg.mlm_probability,
-                   cfg.mask_share, cfg.random_share).alias("input_ids"),
-        mlm_labels(F.col("input_ids"), F.col("_h"), cfg.mlm_probability).alias("labels"),
+        masked.alias("input_ids"),
+        labels.alias("labels"),
     )
 
 

@@ -13,6 +13,7 @@ from ..functions.text import split_words
 from ..session import join_small
 
 SplitFn = Callable[[Column], Column]
+ID_MASK = 0xFFFFFFFF
 
 
 def tokens(lines: DataFrame, split_fn: SplitFn = split_words) -> DataFrame:
@@ -77,9 +78,14 @@ def lookup_ids(
     ex = rows.select(*key_cols, *carry_cols, F.posexplode_outer(toks).alias("pos", "token"))
     j = join_small(ex, vocab.select("token", "id"), "token", "left", row_bound=cfg.vocab_size,
                    max_rows=max(cfg.broadcast_max_rows, cfg.vocab_size))
-    item = F.when(F.col("pos").isNotNull(), F.struct("pos", F.coalesce("id", F.lit(UNK_ID).cast("bigint")).alias("id")))
+    # (pos << 32) + id: one primitive per token, so sorting the collected
+    # list restores token order without building a struct per token.
+    code = F.when(
+        F.col("pos").isNotNull(),
+        F.shiftleft(F.col("pos").cast("bigint"), 32) + F.coalesce("id", F.lit(UNK_ID).cast("bigint")),
+    )
     g = j.groupBy(*key_cols).agg(
         *[F.first(c).alias(c) for c in carry_cols],
-        F.sort_array(F.collect_list(item)).alias("_items"),
+        F.sort_array(F.collect_list(code)).alias("_codes"),
     )
-    return g.select(*key_cols, *carry_cols, F.transform("_items", lambda s: s["id"]).alias("ids"))
+    return g.select(*key_cols, *carry_cols, F.transform("_codes", lambda x: x.bitwiseAND(F.lit(ID_MASK))).alias("ids"))

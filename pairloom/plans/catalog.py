@@ -12,8 +12,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..config import DEFAULT, IGNORE_INDEX, PrepConfig
-from ..functions.hashing import digest, hex_fraction
-from ..functions.masking import MLM_TAG, NEVER_MASKED
+from ..functions.masking import NEVER_MASKED, mask_key, position_draw
 from ..operators.batches import batch_manifest, resume_filter
 from ..operators.corpus import clean_lines, document_lengths
 from ..operators.metrics import (
@@ -159,10 +158,11 @@ def q_mlm_rates(spark, sf_dir):
     """Counts of the masking branches at epoch 0 over all maskable positions."""
     p = _docs_prep(spark, sf_dir)
     cfg = p.cfg
-    x = p.examples.select("example_id", F.posexplode("input_ids").alias("pos", "id"))
+    x = p.examples.select(mask_key(cfg.seed, F.lit(0), F.col("example_id")).alias("key"), "input_ids")
+    x = x.select("key", F.posexplode("input_ids").alias("pos", "id"))
     x = x.filter(~F.col("id").isin(*NEVER_MASKED))
-    h = digest(cfg.seed, MLM_TAG, F.lit(0), F.col("example_id"), F.col("pos"))
-    x = x.select(hex_fraction(h, 1, 10).alias("sel"), hex_fraction(h, 11, 10).alias("br"))
+    x = x.select(position_draw(F.col("key"), F.col("pos"), 0).alias("sel"),
+                 position_draw(F.col("key"), F.col("pos"), 1).alias("br"))
     sel = F.col("sel") < F.lit(cfg.mlm_probability)
     mask_t = cfg.mask_share
     rand_t = round(cfg.mask_share + cfg.random_share, 12)

@@ -48,6 +48,28 @@ def _u(tag: str, key: str) -> str:
     return _frac(_md5(tag, key), 1, 13)
 
 
+M32, MIXC, WEYL = 0xFFFFFFFF, 0x45D9F3B, 0x9E3779B9
+
+
+def _key32(tag: str, *keys: str) -> str:
+    return f"CAST('0x' || substr({_md5(tag, *keys)}, 1, 8) AS BIGINT)"
+
+
+def _rnd(x: str) -> str:
+    return f"((xor(({x}) >> 16, ({x})) * {MIXC}) & {M32})"
+
+
+def _mix(x: str) -> str:
+    r = _rnd(_rnd(x))
+    return f"xor(({r}) >> 16, ({r}))"
+
+
+def _draw(key: str, pos: str, j: int) -> str:
+    """Draw j of a position: counter 3*pos+j of the 32-bit key, mixed."""
+    c = f"((({key}) + (({pos}) * 3 + {j}) * {WEYL}) & {M32})"
+    return f"(CAST({_mix(c)} AS DOUBLE) / 4294967296.0::DOUBLE)"
+
+
 # -- corpus rows -------------------------------------------------------------
 
 DOCS_RAW = """
@@ -159,10 +181,11 @@ def _masked(epoch: int = 0) -> list[str]:
     mask_t = _C.mask_share
     rand_t = round(_C.mask_share + _C.random_share, 12)
     return [
-        f"""mh AS (SELECT l.*, CASE WHEN id NOT IN (1, 2, 3) THEN {_md5('mlm', str(epoch), 'example_id', 'pos')} END AS h
-  FROM long l)""",
-        f"""mm AS (SELECT *, (h IS NOT NULL AND {_frac('h', 1, 10)} < {P_MLM}) AS sel, {_frac('h', 11, 10)} AS br,
-  CAST(floor({_frac('h', 21, 12)} * (SELECT v FROM vsize)) AS BIGINT) AS rid FROM mh)""",
+        f"""mkey AS (SELECT example_id, {_key32('mlm', str(epoch), 'example_id')} AS k FROM ex2)""",
+        """mh AS (SELECT l.*, CASE WHEN l.id NOT IN (1, 2, 3) THEN m.k END AS k
+  FROM long l JOIN mkey m ON m.example_id = l.example_id)""",
+        f"""mm AS (SELECT *, (k IS NOT NULL AND {_draw('k', 'pos', 0)} < {P_MLM}) AS sel, {_draw('k', 'pos', 1)} AS br,
+  CAST(floor({_draw('k', 'pos', 2)} * (SELECT v FROM vsize)) AS BIGINT) AS rid FROM mh)""",
         f"""masked AS (SELECT example_id, is_next, n_a, n_b, pos, seg, attn, id, sel, br,
   (CASE WHEN NOT sel THEN id WHEN br < {mask_t} THEN 4 WHEN br < {rand_t} THEN rid ELSE id END)::BIGINT AS input_id,
   (CASE WHEN sel THEN id ELSE -100 END)::BIGINT AS label FROM mm)""",
@@ -340,11 +363,12 @@ WHERE b.split = 'train' AND (CASE WHEN floor(spe.spe * 0.5) > 0
             """bm_rows AS (SELECT b.epoch, b.batch_id, count(*)::BIGINT AS rows,
   sum(e.n_a + e.n_b + 3)::BIGINT AS real_tokens
   FROM batches b JOIN ex2 e ON e.example_id = b.example_id WHERE b.split = 'train' GROUP BY b.epoch, b.batch_id)""",
-            f"""bm_sc AS (SELECT b.epoch, b.batch_id, count(*)::BIGINT AS scored
-  FROM batches b JOIN long l ON l.example_id = b.example_id
-  WHERE b.split = 'train' AND l.id NOT IN (1, 2, 3)
-    AND {_frac(_md5('mlm', 'b.epoch', 'l.example_id', 'l.pos'), 1, 10)} < {P_MLM}
-  GROUP BY b.epoch, b.batch_id)""",
+            f"""bm_e AS (SELECT b.epoch, b.batch_id, b.example_id, {_key32('mlm', 'b.epoch', 'b.example_id')} AS k
+  FROM batches b WHERE b.split = 'train')""",
+            """bm_k AS (SELECT e.epoch, e.batch_id, e.k, l.pos FROM bm_e e JOIN long l ON l.example_id = e.example_id
+  WHERE l.id NOT IN (1, 2, 3))""",
+            f"""bm_sc AS (SELECT epoch, batch_id, count(*) FILTER (WHERE {_draw('k', 'pos', 0)} < {P_MLM})::BIGINT AS scored
+  FROM bm_k GROUP BY epoch, batch_id)""",
             f"""bm AS (SELECT r.epoch, r.batch_id, r.rows, r.real_tokens, coalesce(s.scored, 0)::BIGINT AS scored_tokens,
   (r.epoch * spe.spe + r.batch_id)::BIGINT AS global_step, (r.batch_id + 1)::BIGINT AS step_in_epoch,
   spe.spe AS spe

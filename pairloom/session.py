@@ -30,6 +30,9 @@ def build_session(
         "spark.sql.adaptive.skewJoin.enabled": "true",
         "spark.sql.session.timeZone": "UTC",
         "spark.sql.execution.arrow.pyspark.enabled": "true",
+        # keep the per-sentence regroup of token ids hash-based; the default
+        # (128 keys per task) falls back to sorting every partition
+        "spark.sql.objectHashAggregate.sortBased.fallbackThreshold": "65536",
     }
     if shuffle_partitions:
         conf["spark.sql.shuffle.partitions"] = str(shuffle_partitions)
