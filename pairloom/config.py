@@ -40,7 +40,7 @@ ROW_ID_STRIDE = 1 << 20
 SCAN_BUCKET_ROWS = 1 << 20
 # Largest small table (bucket offsets, document index, file offsets) that is
 # broadcast; larger ones fall back to a shuffle join.
-BROADCAST_MAX_ROWS = 2_000_000
+BROADCAST_MAX_ROWS = 1_000_000
 
 
 @dataclass(frozen=True)
@@ -64,6 +64,10 @@ class PrepConfig:
     vocab_size: int = VOCAB_SIZE
     special_tokens: tuple = field(default=SPECIAL_TOKENS)
     validation_fraction: float = VALIDATION_FRACTION
+    # "example": exact size, one document may feed both sides (the reference's
+    # behaviour); "document": whole documents go to validation until it holds
+    # at least the target number of examples, so no document is on both sides.
+    split_by: str = "example"
     nsp_positive_probability: float = NSP_POSITIVE_PROBABILITY
     min_sentences: int = 2
     model_folder: str = MODEL_FOLDER
@@ -76,6 +80,8 @@ class PrepConfig:
             raise ValueError("seq_len must be at least 3 ([CLS] a [SEP] b [SEP])")
         if self.batch_size < 1:
             raise ValueError("batch_size must be positive")
+        if self.split_by not in ("example", "document"):
+            raise ValueError("split_by must be 'example' or 'document'")
         if self.vocab_size <= len(self.special_tokens):
             raise ValueError("vocab_size must exceed the number of special tokens")
 

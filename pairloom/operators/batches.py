@@ -11,7 +11,8 @@ from ..config import DEFAULT, PrepConfig
 from ..functions.hashing import digest
 from ..functions.masking import NEVER_MASKED, mask_key, position_draw
 from ..functions.schedule import checkpoint_tag, lr_multiplier, milestone_label
-from .scan import hash_rank
+from ..session import join_small
+from .scan import hash_rank, hash_running_sum
 
 
 def split_sizes(n_examples: int, cfg: PrepConfig = DEFAULT) -> tuple[int, int]:
@@ -26,22 +27,34 @@ def steps_per_epoch(n_train: int, cfg: PrepConfig = DEFAULT) -> int:
 
 
 def split_examples(examples: DataFrame, n_examples: int, cfg: PrepConfig = DEFAULT) -> DataFrame:
-    """``(example_id, split, split_rank)``: exact sizes, uniform without
-    replacement, per example.  Validation keeps ``split_rank`` order."""
+    """``(example_id, split, split_rank)``.
+
+    ``split_by="example"``: exact sizes, uniform without replacement, per
+    example (a document can feed both sides).  ``split_by="document"``:
+    documents in digest order go to validation while the examples already
+    taken are fewer than the target, so validation holds whole documents and
+    at least the target count.  ``split_rank`` orders examples inside their
+    split (validation batches keep that order).
+    """
     _, n_val = split_sizes(n_examples, cfg)
-    r = hash_rank(
-        examples.select("example_id"),
-        digest(cfg.seed, "split", F.col("example_id")),
-        ["example_id"],
-        "split_rank",
-        n_rows=n_examples,
-        cfg=cfg,
-    )
-    return r.select(
-        "example_id",
-        F.when(F.col("split_rank") < n_val, F.lit("val")).otherwise(F.lit("train")).alias("split"),
-        "split_rank",
-    )
+    order = digest(cfg.seed, "split", F.col("example_id"))
+    if cfg.split_by == "example":
+        r = hash_rank(examples.select("example_id"), order, ["example_id"], "split_rank", n_rows=n_examples, cfg=cfg)
+        return r.select(
+            "example_id",
+            F.when(F.col("split_rank") < n_val, F.lit("val")).otherwise(F.lit("train")).alias("split"),
+            "split_rank",
+        )
+    per_doc = examples.groupBy("doc_key").agg(F.count(F.lit(1)).alias("n"))
+    n_docs_bound = n_examples  # a document has at least one example
+    docs = hash_running_sum(
+        per_doc, digest(cfg.seed, "split", F.col("doc_key")), ["doc_key"], "n", "_before", n_rows=n_docs_bound, cfg=cfg
+    ).select("doc_key", F.when(F.col("_before") < n_val, F.lit("val")).otherwise(F.lit("train")).alias("split"))
+    x = join_small(examples.select("example_id", "doc_key"), docs, "doc_key",
+                   row_bound=None, max_rows=cfg.broadcast_max_rows)
+    r = hash_rank(x, order, ["example_id"], "split_rank", n_rows=n_examples,
+                  partition_cols=("split",), n_partition_values=2, cfg=cfg)
+    return r.select("example_id", "split", "split_rank")
 
 
 def epoch_batches(
@@ -50,6 +63,7 @@ def epoch_batches(
     cfg: PrepConfig = DEFAULT,
     first_epoch: int = 0,
     last_epoch: int | None = None,
+    n_train: int | None = None,
 ) -> DataFrame:
     """``(split, epoch, batch_id, slot, example_id)`` for epochs
     ``first_epoch..last_epoch`` (inclusive; default all ``num_epochs``).
@@ -61,7 +75,7 @@ def epoch_batches(
     """
     last_epoch = cfg.num_epochs - 1 if last_epoch is None else last_epoch
     n_ep = last_epoch - first_epoch + 1
-    n_train, n_val = split_sizes(n_examples, cfg)
+    n_train = split_sizes(n_examples, cfg)[0] if n_train is None else n_train
     epochs = F.explode(F.sequence(F.lit(first_epoch), F.lit(last_epoch))).alias("epoch")
     tr = split.filter(F.col("split") == "train").select("example_id", epochs)
     tr = hash_rank(
@@ -99,7 +113,7 @@ def batch_manifest(
     batches: DataFrame,
     examples: DataFrame,
     vocab_size: int,
-    n_examples: int,
+    n_train: int,
     cfg: PrepConfig = DEFAULT,
 ) -> DataFrame:
     """One row per train ``(epoch, batch_id)`` with the loop's counters.
@@ -109,7 +123,6 @@ def batch_manifest(
     learning rate used by the update (``lr``) and the one logged after the
     scheduler step (``lr_logged``), the checkpoint milestone and its tag.
     """
-    n_train, _ = split_sizes(n_examples, cfg)
     spe = steps_per_epoch(n_train, cfg)
     total = spe * cfg.num_epochs
     tr = batches.filter(F.col("split") == "train").select("epoch", "batch_id", "example_id")

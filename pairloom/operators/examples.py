@@ -9,16 +9,17 @@ from ..config import DEFAULT, PrepConfig
 from ..functions.masking import mask_key, masked_and_labels, with_position_draws
 from ..functions.sequences import assemble, truncated_lengths
 
-EXAMPLE_COLUMNS = ["example_id", "is_next", "input_ids", "token_type_ids", "attention_mask", "n_a", "n_b"]
+EXAMPLE_COLUMNS = ["example_id", "doc_key", "is_next", "input_ids", "token_type_ids", "attention_mask", "n_a", "n_b"]
 
 
 def assemble_examples(pairs: DataFrame, cfg: PrepConfig = DEFAULT, ids_a: str = "ids", ids_b: str = "ids_b") -> DataFrame:
     """Truncate the pair to ``seq_len - 3`` tokens and lay it out unmasked."""
     na, nb = truncated_lengths(F.size(ids_a), F.size(ids_b), cfg.pair_budget)
-    x = pairs.select("example_id", "is_next", ids_a, ids_b, na.alias("n_a"), nb.alias("n_b"))
+    x = pairs.select("example_id", "doc_key", "is_next", ids_a, ids_b, na.alias("n_a"), nb.alias("n_b"))
     parts = assemble(F.col(ids_a), F.col(ids_b), F.col("n_a"), F.col("n_b"), cfg.seq_len)
     return x.select(
         "example_id",
+        "doc_key",
         "is_next",
         parts["input_ids"].alias("input_ids"),
         parts["token_type_ids"].alias("token_type_ids"),

@@ -98,3 +98,25 @@ def hash_rank(
     return joined.withColumn(out, (F.col("_off") + F.row_number().over(w) - 1).cast("bigint")).drop(
         "_h", "_hb", "_off"
     )
+
+
+def hash_running_sum(
+    df: DataFrame,
+    order_hash: Column,
+    tie_cols: list[str],
+    weight_col: str,
+    out: str,
+    n_rows: int,
+    cfg: PrepConfig = DEFAULT,
+) -> DataFrame:
+    """Exclusive running sum of ``weight_col`` in ``(order_hash, *tie_cols)``
+    order: ``sum(w) over (order by h, ties rows unbounded preceding) - w``,
+    computed with the same two-level scheme as ``hash_rank``."""
+    digits = hex_digits_for(max(1, n_rows), df, cfg)
+    x = df.withColumn("_h", order_hash).withColumn("_hb", F.substring("_h", 1, digits))
+    sums = x.groupBy("_hb").agg(F.sum(weight_col).alias("_s"))
+    offs = exclusive_prefix(sums, ["_hb"], ["_s"]).select("_hb", F.col("off__s").alias("_off"))
+    joined = join_small(x, offs, ["_hb"], "inner", row_bound=16**digits, max_rows=cfg.broadcast_max_rows)
+    w = Window.partitionBy("_hb").orderBy("_h", *tie_cols).rowsBetween(Window.unboundedPreceding, Window.currentRow)
+    run = F.col("_off") + F.sum(weight_col).over(w) - F.col(weight_col)
+    return joined.withColumn(out, run.cast("bigint")).drop("_h", "_hb", "_off")

@@ -211,6 +211,10 @@ def q_split_exact(spark, sf_dir):
     return _docs_prep(spark, sf_dir).split
 
 
+def q_split_by_document(spark, sf_dir):
+    return _docs_prep(spark, sf_dir, DEFAULT.with_(split_by="document")).split
+
+
 def q_epoch_batches(spark, sf_dir):
     return _docs_prep(spark, sf_dir).batches()
 
@@ -223,7 +227,7 @@ def q_resume_tail(spark, sf_dir):
 
 def q_batch_manifest(spark, sf_dir):
     p = _docs_prep(spark, sf_dir)
-    return batch_manifest(p.batches(), p.examples, p.vocab_size, p.n_examples, p.cfg)
+    return batch_manifest(p.batches(), p.examples, p.vocab_size, p.sizes[0], p.cfg)
 
 
 # -- step 8: losses and logs ----------------------------------------------
@@ -290,6 +294,7 @@ QUERIES: dict[str, Query] = {
     "training_examples": q_training_examples,
     "example_summary": q_example_summary,
     "split_exact": q_split_exact,
+    "split_by_document": q_split_by_document,
     "epoch_batches": q_epoch_batches,
     "resume_tail": q_resume_tail,
     "batch_manifest": q_batch_manifest,

@@ -349,6 +349,19 @@ FROM masked""",
 FROM masked GROUP BY is_next""",
     )
     q["split_exact"] = _with(_docs_stack("split"), "SELECT example_id, split, split_rank FROM split")
+    q["split_by_document"] = _with(
+        _docs_stack("split")
+        + [
+            "pdoc AS (SELECT doc_key, count(*)::BIGINT AS n FROM pairs GROUP BY doc_key)",
+            f"""pdr AS (SELECT doc_key, coalesce(sum(n) OVER (ORDER BY {_md5('split', 'doc_key')}, doc_key
+  ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0) AS before FROM pdoc)""",
+            """dsplit AS (SELECT p.example_id, CASE WHEN d.before < nval.n_val THEN 'val' ELSE 'train' END AS split
+  FROM pairs p JOIN pdr d ON d.doc_key = p.doc_key CROSS JOIN nval)""",
+        ],
+        f"""SELECT example_id, split,
+  (row_number() OVER (PARTITION BY split ORDER BY {_md5('split', 'example_id')}, example_id) - 1)::BIGINT AS split_rank
+FROM dsplit""",
+    )
     q["epoch_batches"] = _with(_docs_stack("split"), "SELECT split, epoch, batch_id, slot, example_id FROM batches")
     q["resume_tail"] = _with(
         _docs_stack("split"),

@@ -118,11 +118,15 @@ class Preparation:
         return split_examples(self.examples, self.n_examples, self.cfg)
 
     def batches(self, first_epoch: int = 0, last_epoch: int | None = None) -> DataFrame:
-        return epoch_batches(self.split, self.n_examples, self.cfg, first_epoch, last_epoch)
+        return epoch_batches(self.split, self.n_examples, self.cfg, first_epoch, last_epoch, n_train=self.sizes[0])
 
-    @property
+    @cached_property
     def sizes(self) -> tuple[int, int]:
-        return split_sizes(self.n_examples, self.cfg)
+        """``(n_train, n_val)``; counted for the document split."""
+        if self.cfg.split_by == "example":
+            return split_sizes(self.n_examples, self.cfg)
+        n_val = self.split.filter(F.col("split") == "val").count()
+        return self.n_examples - n_val, n_val
 
     @property
     def steps_per_epoch(self) -> int:

@@ -48,3 +48,19 @@ def test_batches_and_resume(prep_small):
     assert whole.exceptAll(head.unionByName(tail)).count() == 0
     # a stored step of 0 means the epoch was finished
     assert resume_filter(b, 1, 0).filter("epoch = 1").count() == 0
+
+
+def test_split_by_document_keeps_documents_whole(spark):
+    from conftest import SF_SMALL
+    from pairloom import DEFAULT, Preparation
+    from pairloom.sources.corpus import documents_corpus, table
+
+    p = Preparation(documents_corpus(table(spark, SF_SMALL, "documents")), DEFAULT.with_(split_by="document"))
+    s = p.split.join(p.examples.select("example_id", "doc_key"), "example_id")
+    both = s.groupBy("doc_key").agg(F.countDistinct("split").alias("k")).filter("k > 1").count()
+    assert both == 0
+    n_train, n_val = p.sizes
+    target = max(1, int(0.1 * p.n_examples))
+    assert n_val >= target and n_train + n_val == p.n_examples
+    biggest = s.groupBy("doc_key").count().agg(F.max("count")).first()[0]
+    assert n_val - target < biggest
