@@ -67,3 +67,21 @@ def scalar_rows(losses: DataFrame, split: str = "train", step_col: str = "batch_
         *[F.struct(F.lit(f"{split}/{tag}").alias("tag"), F.col(c).cast("double").alias("value")) for c, tag in LOSS_TAGS]
     )
     return losses.select(F.col(step_col).cast("bigint").alias("step"), F.inline(arr)).select("tag", "step", "value")
+
+
+def lr_rows(manifest: DataFrame) -> DataFrame:
+    """``train/lr`` rows of the scalar log: the rate logged after each step."""
+    return manifest.select(
+        F.lit("train/lr").alias("tag"), F.col("global_step").cast("bigint").alias("step"),
+        F.col("lr_logged").cast("double").alias("value"),
+    )
+
+
+def epoch_rows(averages: DataFrame, name_col: str = "tag") -> DataFrame:
+    """Per-epoch rows ``epoch/{split}_{name}`` with ``step = epoch``, from
+    ``epoch_averages`` over per-batch loss scalars."""
+    return averages.select(
+        F.concat(F.lit("epoch/"), F.col("split"), F.lit("_"), F.col(name_col)).alias("tag"),
+        F.col("epoch").cast("bigint").alias("step"),
+        F.col("mean_value").cast("double").alias("value"),
+    )

@@ -18,13 +18,18 @@ from ..operators.batches import epoch_batches, split_examples, split_sizes, step
 from ..operators.corpus import clean_lines, segment_documents
 from ..operators.examples import apply_mlm, assemble_examples, to_training_rows
 from ..operators.pairs import document_index, nsp_pairs, resolve_partner
-from ..operators.vocab import build_vocab, lookup_ids, token_counts
+from ..functions.text import split_words
+from ..operators.vocab import SplitFn, build_vocab, lookup_ids, token_counts
 from ..session import materialize
 
 
 class Preparation:
     """Stages of pre-training data preparation over one corpus.
 
+    ``split_fn`` maps a text column to ``array<string>`` words (the
+    pluggable tokenizer; built-in regex split by default, any column
+    function or ``pandas_udf`` works).
+
     ``rows``: ``(row_id, text)`` raw corpus rows (plus ``boundary_col`` if
     documents are delimited by explicit marker rows).  ``vocab``: optional
     prebuilt ``(token, id, n)``; by default it is built from the cleaned lines
@@ -32,9 +37,11 @@ class Preparation:
     """
 
     def __init__(self, rows: DataFrame, cfg: PrepConfig = DEFAULT, vocab: DataFrame | None = None,
-                 boundary_col: str | None = None, vocab_lines: DataFrame | None = None):
+                 boundary_col: str | None = None, vocab_lines: DataFrame | None = None,
+                 split_fn: SplitFn = split_words):
         self.rows = rows
         self.cfg = cfg
+        self.split_fn = split_fn
         self._vocab = vocab
         self.boundary_col = boundary_col
         self._vocab_lines = vocab_lines
@@ -49,7 +56,7 @@ class Preparation:
         if self._vocab is not None:
             return self._vocab
         src = self._vocab_lines if self._vocab_lines is not None else self.lines
-        return materialize(build_vocab(token_counts(src), self.cfg), "vocab")
+        return materialize(build_vocab(token_counts(src, self.split_fn), self.cfg), "vocab")
 
     @cached_property
     def vocab_size(self) -> int:
@@ -71,6 +78,7 @@ class Preparation:
             key_cols=["bucket", "row_id"],
             carry_cols=["doc_key", "sent_idx", "n_sents"],
             max_tokens=self.cfg.pair_budget,
+            split_fn=self.split_fn,
             cfg=self.cfg,
         )
         return materialize(st, "sentence_tokens")
