@@ -101,8 +101,11 @@ def segment_documents(
         F.when(F.col("n_b") > 0, F.col("off_n_n") + F.col("n_before_fb")).alias("first_c"),
         F.sum("n_n").over(Window.partitionBy()).alias("total_n"),
     )
+    # Running frames only (unbounded preceding): a frame that ends at
+    # "unbounded following" is re-aggregated for every row by Spark, which is
+    # quadratic; the reverse scan is a running frame in descending order.
     before = Window.orderBy("bucket").rowsBetween(Window.unboundedPreceding, -1)
-    after = Window.orderBy("bucket").rowsBetween(1, Window.unboundedFollowing)
+    after = Window.orderBy(F.col("bucket").desc()).rowsBetween(Window.unboundedPreceding, -1)
     t = t.select(
         "bucket",
         "off_n_b",
@@ -114,7 +117,11 @@ def segment_documents(
     y = join_small(x, t, "bucket", row_bound=bound, max_rows=cfg.broadcast_max_rows)
     w = Window.partitionBy("bucket").orderBy("row_id")
     upto = w.rowsBetween(Window.unboundedPreceding, Window.currentRow)
-    rest = w.rowsBetween(Window.currentRow, Window.unboundedFollowing)
+    rest = (
+        Window.partitionBy("bucket")
+        .orderBy(F.col("row_id").desc())
+        .rowsBetween(Window.unboundedPreceding, Window.currentRow)
+    )
     y = y.select("*", F.sum("_b").over(upto).alias("_cb"), F.sum(nb).over(upto).alias("_cn"))
     y = y.select(
         "*",
