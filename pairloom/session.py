@@ -51,26 +51,36 @@ def ensure_checkpoint_dir(spark: SparkSession) -> str:
     On a cluster ``spark.checkpoint.dir`` must name a shared folder; the
     session's value is always used when present.  Only a local-mode session
     without one (tests, benchmarks) gets a fresh folder under the system
-    temporary directory.
+    temporary directory.  Materialised stages are Parquet tables under this
+    folder, so only the path is needed (also without a SparkContext handle).
     """
-    sc = spark.sparkContext
-    current = sc.getCheckpointDir()
-    if current:
-        return current
-    configured = spark.conf.get("spark.checkpoint.dir", None) or sc.getConf().get(
-        "spark.checkpoint.dir", None
-    )
-    if configured:
-        sc.setCheckpointDir(configured)
+    try:
+        sc = spark.sparkContext
+    except Exception:  # pragma: no cover - e.g. Spark Connect
+        sc = None
+    if sc is not None and sc.getCheckpointDir():
         return sc.getCheckpointDir()
-    if not sc.master.startswith("local"):
+    configured = spark.conf.get("spark.checkpoint.dir", None)
+    if not configured and sc is not None:
+        configured = sc.getConf().get("spark.checkpoint.dir", None)
+    if configured:
+        if sc is not None:
+            sc.setCheckpointDir(configured)
+            return sc.getCheckpointDir()
+        return configured
+    master = sc.master if sc is not None else spark.conf.get("spark.master", "")
+    if not master.startswith("local"):
         raise RuntimeError(
             "spark.checkpoint.dir is not set; on a cluster it must name a shared folder"
         )
     path = tempfile.mkdtemp(prefix="pairloom-ckpt-")
-    sc.setCheckpointDir(path)
+    if sc is not None:
+        sc.setCheckpointDir(path)
+        path = sc.getCheckpointDir()
+    else:
+        spark.conf.set("spark.checkpoint.dir", path)
     log.warning("spark.checkpoint.dir unset; using local folder %s (local mode only)", path)
-    return sc.getCheckpointDir()
+    return path
 
 
 def materialize(df: DataFrame, name: str = "stage") -> DataFrame:
