@@ -32,35 +32,35 @@ def position_draw(key, pos, j: int) -> Column:
 
 
 def with_position_draws(df: DataFrame, ids: str, key: Column) -> DataFrame:
-    """Adds ``_sel``, ``_br``, ``_rid``: per-position 32-bit draws (NULL on
-    positions that are never masked)."""
+    """Adds ``_c0`` (the position's first counter, NULL where never masked)
+    and ``_sel`` (its mixed selection draw)."""
     # The key reaches the lambda as an array argument (evaluated once per
     # row); referenced inside a lambda it would be re-evaluated per element.
     idx = F.transform(F.col(ids), lambda t, i: F.when(~t.isin(*NEVER_MASKED), i))
     keys = F.array_repeat(key, F.size(F.col(ids)))
     base = F.zip_with(idx, keys, lambda i, k: counter32(k, i * DRAWS_PER_POSITION))
-    step = lambda j: (lambda x: (x + F.lit(j * WEYL_STEP)).bitwiseAND(F.lit(MASK32)))
-    x = df.withColumn("_c0", base)
-    return (
-        x.withColumn("_sel", mix32_array(F.col("_c0")))
-        .withColumn("_br", mix32_array(F.transform("_c0", step(1))))
-        .withColumn("_rid", mix32_array(F.transform("_c0", step(2))))
-        .drop("_c0")
-    )
+    return df.withColumn("_c0", base).withColumn("_sel", mix32_array(F.col("_c0")))
 
 
 def masked_and_labels(df: DataFrame, ids: str, vocab_size, p: float, mask_share: float,
                       random_share: float) -> tuple[Column, Column]:
-    """Masked ids and labels from ``ids`` and the draw columns."""
-    z = F.arrays_zip(F.col(ids).alias("t"), F.col("_sel").alias("s"), F.col("_br").alias("b"), F.col("_rid").alias("r"))
+    """Masked ids and labels from ``ids`` and the draw columns.
+
+    The branch and random-id draws (counters ``3i+1``, ``3i+2``) are mixed
+    inline and only evaluated for selected positions.
+    """
+    z = F.arrays_zip(F.col(ids).alias("t"), F.col("_c0").alias("c"), F.col("_sel").alias("s"))
     rand_t = round(mask_share + random_share, 12)
 
     def sel(e):
         return e["s"].isNotNull() & (unit32(e["s"]) < F.lit(p))
 
+    def draw(e, j):
+        return unit32(mix32((e["c"] + F.lit(j * WEYL_STEP)).bitwiseAND(F.lit(MASK32))))
+
     def pick(e):
-        br = unit32(e["b"])
-        rid = F.floor(unit32(e["r"]) * F.lit(vocab_size)).cast("bigint")
+        br = draw(e, 1)
+        rid = F.floor(draw(e, 2) * F.lit(vocab_size)).cast("bigint")
         return (
             F.when(~sel(e), e["t"])
             .when(br < F.lit(mask_share), F.lit(MASK_ID).cast("bigint"))
