@@ -25,23 +25,37 @@ def token_counts(lines: DataFrame, split_fn: SplitFn = split_words) -> DataFrame
     return tokens(lines, split_fn).groupBy("token").agg(F.count(F.lit(1)).alias("n"))
 
 
+def count_threshold(candidates: DataFrame, k: int) -> int | None:
+    """Largest count ``c`` such that at least ``k`` candidates have ``n >= c``
+    (None when there are fewer than ``k``): the k-th largest count.
+
+    Computed on the histogram of count values (one row per distinct count,
+    far smaller than the token table) with a running sum from the top.
+    """
+    hist = candidates.groupBy("n").agg(F.count(F.lit(1)).alias("m"))
+    w = Window.orderBy(F.col("n").desc()).rowsBetween(Window.unboundedPreceding, Window.currentRow)
+    row = hist.select("n", F.sum("m").over(w).alias("cum")).filter(F.col("cum") >= k).agg(F.max("n")).first()
+    return None if row is None or row[0] is None else int(row[0])
+
+
 def build_vocab(counts: DataFrame, cfg: PrepConfig = DEFAULT) -> DataFrame:
     """``(token, id, n)``: specials at ids 0.. in list order, then tokens with
     ``n >= min_frequency`` by count descending, token ascending, up to
     ``vocab_size`` entries in total.
 
-    The selection is a top-k with ``k < vocab_size``: each partition keeps its
-    own top k and one task merges them, so what moves is bounded by k per
-    partition, not by the number of distinct tokens.
+    Exact top-k in two steps: the k-th largest count bounds the candidates
+    (``n >= threshold``: k tokens plus ties), then a top-k over those keeps
+    per partition only its own best k, so the final merge is small whatever
+    the number of distinct tokens.
     """
     specials = list(cfg.special_tokens)
     k = cfg.vocab_size - len(specials)
     order = [F.col("n").desc(), F.col("token").asc()]
-    top = (
-        counts.filter((F.col("n") >= cfg.min_frequency) & ~F.col("token").isin(*specials))
-        .orderBy(*order)
-        .limit(k)
-    )
+    cand = counts.filter((F.col("n") >= cfg.min_frequency) & ~F.col("token").isin(*specials))
+    thr = count_threshold(cand, k)
+    if thr is not None:
+        cand = cand.filter(F.col("n") >= thr)
+    top = cand.orderBy(*order).limit(k)
     words = top.select(
         "token",
         (F.row_number().over(Window.orderBy(*order)) + len(specials) - 1).cast("bigint").alias("id"),

@@ -56,7 +56,8 @@ class Preparation:
         if self._vocab is not None:
             return self._vocab
         src = self._vocab_lines if self._vocab_lines is not None else self.lines
-        return materialize(build_vocab(token_counts(src, self.split_fn), self.cfg), "vocab")
+        counts = materialize(token_counts(src, self.split_fn), "token_counts")
+        return materialize(build_vocab(counts, self.cfg), "vocab")
 
     @cached_property
     def vocab_size(self) -> int:

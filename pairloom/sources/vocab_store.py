@@ -64,7 +64,9 @@ def get_or_build_vocab(lines: DataFrame, path: str, cfg: PrepConfig = DEFAULT) -
         if meta is None or meta["rows"] != n or meta["fingerprint"] != str(h) or meta["params"] != params:
             raise StaleVocabularyError(f"vocabulary at {path} does not match this corpus or these settings")
         return spark.read.parquet(vpath)
-    vocab = build_vocab(token_counts(lines), cfg)
+    cpath = f"{path.rstrip('/')}/counts"
+    token_counts(lines).write.mode("errorifexists").parquet(cpath)  # read twice by the selection
+    vocab = build_vocab(spark.read.parquet(cpath), cfg)
     vocab.write.mode("errorifexists").parquet(vpath)
     spark.createDataFrame([(n, str(h), params)], "rows bigint, fingerprint string, params string").write.mode(
         "errorifexists"
