@@ -20,6 +20,8 @@ from ..operators.metrics import (
     epoch_averages,
     masked_cross_entropy,
     pair_loss,
+    epoch_rows,
+    lr_rows,
     scalar_rows,
 )
 from ..operators.vocab import lookup_ids, token_counts, tokens
@@ -261,6 +263,17 @@ def q_scalar_log(spark, sf_dir):
     return scalar_rows(losses).select("tag", "step", _r6("value"))
 
 
+def q_lr_log(spark, sf_dir):
+    """``train/lr`` rows a run logs after each step, from the batch manifest."""
+    return lr_rows(q_batch_manifest(spark, sf_dir))
+
+
+def q_epoch_log(spark, sf_dir):
+    """``epoch/{split}_{name}`` rows, one per epoch, from the logged scalars."""
+    g = epoch_averages(scalar_fixture(table(spark, sf_dir, "events")))
+    return epoch_rows(g).select("tag", "step", _r6("value"))
+
+
 # -- conversations as documents -------------------------------------------
 
 def q_conv_sentence_index(spark, sf_dir):
@@ -303,6 +316,8 @@ QUERIES: dict[str, Query] = {
     "total_loss": q_total_loss,
     "epoch_metrics": q_epoch_metrics,
     "scalar_log": q_scalar_log,
+    "lr_log": q_lr_log,
+    "epoch_log": q_epoch_log,
     "conv_sentence_index": q_conv_sentence_index,
     "conv_nsp_pairs": q_conv_nsp_pairs,
     "conv_training_examples": q_conv_training_examples,

@@ -428,6 +428,12 @@ FROM sc GROUP BY split, epoch, tag""",
 UNION ALL SELECT 'train/mlm_loss', batch_id, round(mlm_loss, 6) FROM bl
 UNION ALL SELECT 'train/nsp_loss', batch_id, round(nsp_loss, 6) FROM bl""",
     )
+    q["lr_log"] = f"SELECT 'train/lr' AS tag, global_step AS step, lr_logged AS value FROM ({q['batch_manifest']}) m"
+    q["epoch_log"] = (
+        "SELECT 'epoch/' || split || '_' || tag AS tag, epoch AS step, round(sum_v / n_v, 6) AS value FROM ("
+        "SELECT CASE WHEN user_id % 10 = 0 THEN 'val' ELSE 'train' END AS split, (event_id // 100)::BIGINT AS epoch,"
+        " event_type AS tag, sum(CAST(value AS DOUBLE)) AS sum_v, count(value) AS n_v FROM events GROUP BY ALL) g"
+    )
     q["conv_sentence_index"] = _with(
         _stack("conv", "sentences"), "SELECT row_id, doc_key, sent_idx, n_sents FROM sents"
     )
