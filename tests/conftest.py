@@ -1,6 +1,5 @@
 import os
 import sys
-import tempfile
 
 import pytest
 
@@ -18,7 +17,6 @@ def spark():
         "local[4]",
         app_name="pairloom-tests",
         shuffle_partitions=8,
-        extra_conf={"spark.checkpoint.dir": tempfile.mkdtemp(prefix="pairloom-test-ckpt-")},
     )
     yield s
     s.stop()
