@@ -71,6 +71,18 @@ def exclusive_prefix(table: DataFrame, order_cols, sum_cols, partition_cols=())
     )
 
 
+def _with_hash_keys(df: DataFrame, order_hash: Column, digits: int) -> DataFrame:
+    """``_hb``: bucket = the leading hex digits as an int; ``_h``: the digest
+    as 16 bytes.  Binary order is unsigned byte order, i.e. the order of the
+    lowercase hex string, at half the width in shuffles and sorts."""
+    x = df.withColumn("_hx", order_hash)
+    return x.select(
+        *df.columns,
+        F.conv(F.substring("_hx", 1, digits), 16, 10).cast("bigint").alias("_hb"),
+        F.unhex("_hx").alias("_h"),
+    )
+
+
 def hash_rank(
     df: DataFrame,
     order_hash: Column,
@@ -88,7 +100,7 @@ def hash_rank(
     ``row_number() over (partition by p order by h, ties) - 1``.
     """
     digits = hex_digits_for(max(1, n_rows // max(1, n_partition_values)), df, cfg)
-    x = df.withColumn("_h", order_hash).withColumn("_hb", F.substring("_h", 1, digits))
+    x = _with_hash_keys(df, order_hash, digits)
     keys = [*partition_cols, "_hb"]
     counts = x.groupBy(*keys).agg(F.count(F.lit(1)).alias("_c"))
     offs = exclusive_prefix(counts, ["_hb"], ["_c"], partition_cols).select(*keys, F.col("off__c").alias("_off"))
@@ -113,7 +125,7 @@ def hash_running_sum(
     order: ``sum(w) over (order by h, ties rows unbounded preceding) - w``,
     computed with the same two-level scheme as ``hash_rank``."""
     digits = hex_digits_for(max(1, n_rows), df, cfg)
-    x = df.withColumn("_h", order_hash).withColumn("_hb", F.substring("_h", 1, digits))
+    x = _with_hash_keys(df, order_hash, digits)
     sums = x.groupBy("_hb").agg(F.sum(weight_col).alias("_s"))
     offs = exclusive_prefix(sums, ["_hb"], ["_s"]).select("_hb", F.col("off__s").alias("_off"))
     joined = join_small(x, offs, ["_hb"], "inner", row_bound=16**digits, max_rows=cfg.broadcast_max_rows)
