@@ -75,3 +75,23 @@ def test_scalar_log_append_and_stream(spark):
     append_scalars(sc.select("tag", "step", "value"), sdir)
     append_scalars(sc.select("tag", "step", "value"), sdir)
     assert read_scalars(spark, sdir).count() == 2 * sc.count()
+
+
+def test_multi_file_corpus_segments_like_the_adapter(spark):
+    from pairloom.operators.corpus import segment_documents
+
+    rows = documents_corpus(table(spark, SF_SMALL, "documents"))
+    out = os.path.join(tempfile.mkdtemp(prefix="corpus-"), "c")
+    # several files whose names follow the line order
+    rows.repartitionByRange(5, "row_id").sortWithinPartitions("row_id").select("text", "row_id").write.parquet(out)
+    scanned = read_corpus(spark, out)
+    assert scanned.agg(F.min("row_id"), F.max("row_id"), F.count("*")).first() == (0, rows.count() - 1, rows.count())
+
+    def docs(df):
+        s = segment_documents(df).select("doc_key", "sent_idx", "text").collect()
+        by = {}
+        for r in s:
+            by.setdefault(r.doc_key, {})[r.sent_idx] = r.text
+        return sorted(tuple(d[i] for i in range(len(d))) for d in by.values())
+
+    assert docs(scanned) == docs(rows)
