@@ -123,8 +123,6 @@ def batch_manifest(
     learning rate used by the update (``lr``) and the one logged after the
     scheduler step (``lr_logged``), the checkpoint milestone and its tag.
     """
-    spe = steps_per_epoch(n_train, cfg)
-    total = spe * cfg.num_epochs
     tr = batches.filter(F.col("split") == "train").select("epoch", "batch_id", "example_id")
     ex = examples.select("example_id", "input_ids", (F.col("n_a") + F.col("n_b") + 3).alias("real"))
     # Positions are exploded (code-generated) and only counted: the masked
@@ -141,14 +139,20 @@ def batch_manifest(
         F.sum(F.when(first, F.col("real"))).cast("bigint").alias("real_tokens"),
         F.count_if(selected).cast("bigint").alias("scored_tokens"),
     )
+    return with_schedule(g, n_train, cfg)
+
+
+def with_schedule(steps: DataFrame, n_train: int, cfg: PrepConfig = DEFAULT) -> DataFrame:
+    """Adds the loop's counters to rows keyed by train ``(epoch, batch_id)``:
+    0-based ``global_step``, 1-based ``step_in_epoch``, the learning rate used
+    by the update (``lr``) and the one logged after the scheduler step
+    (``lr_logged``), the checkpoint milestone, its tag and stored step."""
+    spe = steps_per_epoch(n_train, cfg)
+    total = spe * cfg.num_epochs
     gs = F.col("epoch") * F.lit(spe) + F.col("batch_id")
     label = milestone_label(F.col("batch_id") + 1, F.lit(spe))
-    return g.select(
-        "epoch",
-        "batch_id",
-        "rows",
-        "real_tokens",
-        "scored_tokens",
+    return steps.select(
+        *steps.columns,
         gs.cast("bigint").alias("global_step"),
         (F.col("batch_id") + 1).cast("bigint").alias("step_in_epoch"),
         (F.lit(cfg.learning_rate) * lr_multiplier(gs, cfg.warmup_steps, total)).alias("lr"),

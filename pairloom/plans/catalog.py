@@ -13,7 +13,7 @@ from pyspark.sql import functions as F
 
 from ..config import DEFAULT, IGNORE_INDEX, PrepConfig
 from ..functions.masking import NEVER_MASKED, mask_key, position_draw
-from ..operators.batches import batch_manifest, resume_filter
+from ..operators.batches import batch_manifest, resume_filter, with_schedule
 from ..operators.corpus import clean_lines, document_lengths
 from ..operators.metrics import (
     batch_losses,
@@ -264,8 +264,10 @@ def q_scalar_log(spark, sf_dir):
 
 
 def q_lr_log(spark, sf_dir):
-    """``train/lr`` rows a run logs after each step, from the batch manifest."""
-    return lr_rows(q_batch_manifest(spark, sf_dir))
+    """``train/lr`` rows a run logs after each step (one per train batch)."""
+    p = _docs_prep(spark, sf_dir)
+    steps = p.batches().filter(F.col("split") == "train").select("epoch", "batch_id").distinct()
+    return lr_rows(with_schedule(steps, p.sizes[0], p.cfg))
 
 
 def q_epoch_log(spark, sf_dir):
