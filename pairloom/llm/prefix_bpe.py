@@ -23,7 +23,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 from tokenizers import Tokenizer
 
-from .common import small_batches
+from .common import prepare
 
 #: Distinct words whose ids a worker remembers; beyond it starts afresh.
 CACHE_WORDS = 400_000
@@ -207,7 +207,7 @@ def encode(docs: DataFrame, path: str, id_col: str = "doc_id", text_col: str = "
     the tokenizer file on every machine.
     """
     spark = docs.sparkSession
-    small_batches(spark)
+    prepare(spark)
     kept = docs.select(F.col(id_col), F.col(text_col).alias("_text"))
     fields = [kept.schema.fields[0], T.StructField("ids", T.BinaryType())]
     fields += [T.StructField("decoded", T.StringType())] if decoded else []

@@ -2,13 +2,15 @@
 
 from __future__ import annotations
 
+import uuid
 from collections.abc import Callable
 
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import prefix_bpe
+from ..session import ensure_checkpoint_dir
+from . import mixing, prefix_bpe, warc
 from .common import table
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -30,3 +32,54 @@ def op9_prefix_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.sha2("ids", 256).alias("ids_sha256"),
         F.sha2(F.col("decoded").cast("binary"), 256).alias("decoded_sha256"),
     )
+
+
+@query
+def op5_mix_sources(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Words that the mix takes of each document."""
+    docs = table(spark, sf_dir, "documents")
+    out = mixing.mix(docs, mixing.word_count(F.col("text")), ["doc_id"])
+    return out.select("row.doc_id", "size", "source_size", "target", "taken")
+
+
+ORACLES["op5_mix_sources"] = r"""
+WITH RECURSIVE d AS (
+  SELECT doc_id, source, substr(md5('mix-1:' || coalesce(CAST(doc_id AS VARCHAR), '')), 1, 16) AS k,
+         CAST(coalesce(len(regexp_extract_all(text, '[^\x20\x09-\x0D]+')), 0) AS BIGINT) AS size
+  FROM documents),
+s AS (
+  SELECT source, CAST(sum(size) AS BIGINT) AS source_size,
+         CASE (row_number() OVER (ORDER BY source NULLS LAST) - 1) % 3 WHEN 0 THEN 5 WHEN 1 THEN 2 ELSE 1 END AS w
+  FROM d GROUP BY source),
+t AS (SELECT 1.5::DOUBLE * sum(source_size)::DOUBLE AS total, sum(w)::DOUBLE AS ws FROM s),
+lv AS (
+  SELECT 0 AS n, total / ws AS lev FROM t
+  UNION ALL
+  SELECT n + 1, (SELECT ((SELECT total FROM t) - sum(CASE WHEN w * lev > 2 * source_size THEN 2 * source_size ELSE 0 END)::DOUBLE)
+                 / nullif(sum(CASE WHEN w * lev > 2 * source_size THEN 0 ELSE w END), 0)::DOUBLE FROM s)
+  FROM lv WHERE n < (SELECT count(*) FROM s) AND lev IS NOT NULL),
+top AS (SELECT max(lev) AS lev FROM lv),
+g AS (SELECT source, source_size, CASE WHEN w * lev > 2 * source_size THEN (2 * source_size)::DOUBLE ELSE w * lev END AS target FROM s, top),
+p AS (SELECT doc_id, source, size,
+        CAST(sum(size) OVER (PARTITION BY source ORDER BY k, doc_id, size ROWS UNBOUNDED PRECEDING) AS BIGINT) - size AS before FROM d)
+SELECT p.doc_id, p.size, g.source_size, g.target,
+  CAST(CASE WHEN g.source_size = 0 THEN 0 ELSE
+    floor(g.target / g.source_size) * p.size
+    + least(greatest(floor(g.target) - floor(g.target / g.source_size) * g.source_size - p.before, 0), p.size) END AS BIGINT) AS taken
+FROM p JOIN g ON p.source IS NOT DISTINCT FROM g.source
+"""
+
+
+@query
+def op6_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every page written to WARC archives and read back from them."""
+    path = f"{ensure_checkpoint_dir(spark).rstrip('/')}/warc-{uuid.uuid4().hex}"
+    warc.write_archive(warc.page_records(table(spark, sf_dir, "pages")), path)
+    back = warc.read_archive(spark, path).where(F.col("record_type").isin("response", "revisit"))
+    return back.select(
+        warc.page_id("record_id").alias("page_id"),
+        F.col("payload_length").alias("payload_bytes"),
+        "payload_digest",
+        "record_type",
+        warc.page_id("refers_to").alias("refers_to"),
+    )
