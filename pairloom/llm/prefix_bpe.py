@@ -35,7 +35,8 @@ PLAIN = "\t\n\x20-\x7e\xa1-įı-ɏ"
 
 
 def _classes() -> tuple[str, str]:
-    points = {c for x in (*range(0x20, 0x7F), *range(0xA1, 0x130), *range(0x131, 0x250)) for c in chr(x).lower()}
+    plain = [chr(x) for x in (*range(0x20, 0x7F), *range(0xA1, 0x130), *range(0x131, 0x250))]
+    points = {*plain, *(c for x in plain for c in x.lower())}
     kind = lambda k: "".join(re.escape(c) for c in sorted(points) if unicodedata.category(c)[0] == k)
     return kind("L"), kind("N")
 

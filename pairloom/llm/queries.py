@@ -10,7 +10,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..session import ensure_checkpoint_dir
-from . import mixing, prefix_bpe, warc
+from . import mixing, prefix_bpe, token_files, warc
 from .common import table
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -83,3 +83,11 @@ def op6_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
         "record_type",
         warc.page_id("refers_to").alias("refers_to"),
     )
+
+
+@query
+def op3_token_files(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every document's ids as the token files give them back."""
+    folder = f"{ensure_checkpoint_dir(spark).rstrip('/')}/tokens-{uuid.uuid4().hex}"
+    files = token_files.write_tokens(table(spark, sf_dir, "documents"), public_tokenizers.path("byte_bpe_50k.json"), folder)
+    return token_files.read_tokens(files, folder).select("doc_id", "start", "n_tokens", F.crc32("ids").alias("ids_crc32"))
