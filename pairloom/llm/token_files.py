@@ -34,7 +34,8 @@ from .prefix_bpe import PLAIN, _classes
 from .warc import file_system
 
 MAGIC = b"PLTOK1\0\0"
-BLOCK = 4096  # ids in a block
+BLOCK = 4096  # most ids in a block
+LEAST_BLOCK = 256  # a short run of ids is cut into more and smaller blocks, coded in step
 LANES = 2048  # blocks coded in step; bounds memory
 MAX_ID = 1 << 16  # ids are coded as four digits of four bits
 CACHE_PIECES = 600_000
@@ -256,14 +257,15 @@ def encode_blocks(ids: np.ndarray) -> list[bytes]:
 
 
 def _encode_group(ids: np.ndarray) -> list[bytes]:
-    lanes = -(-len(ids) // BLOCK)
-    length = np.full(lanes, BLOCK)
-    length[-1] = len(ids) - (lanes - 1) * BLOCK
-    grid = np.zeros(lanes * BLOCK, np.int64)
+    block = min(BLOCK, max(LEAST_BLOCK, -(-len(ids) // LANES)))
+    lanes = -(-len(ids) // block)
+    length = np.full(lanes, block)
+    length[-1] = len(ids) - (lanes - 1) * block
+    grid = np.zeros(lanes * block, np.int64)
     grid[: len(ids)] = ids
-    columns = np.ascontiguousarray(grid.reshape(lanes, BLOCK).T)
-    hits, ctx, coder = Hits(lanes), Contexts(lanes), Encoder(lanes, BLOCK + 4)
-    escaped = np.zeros((BLOCK, lanes), bool)
+    columns = np.ascontiguousarray(grid.reshape(lanes, block).T)
+    hits, ctx, coder = Hits(lanes), Contexts(lanes), Encoder(lanes, 2 * block + 4)
+    escaped = np.zeros((block, lanes), bool)
     for t in range(int(length[0])):
         n = lanes if t < length[-1] else lanes - 1
         escaped[t, :n] = ctx.run(hits, coder, n, columns[t, :n])
@@ -284,7 +286,7 @@ def _encode_group(ids: np.ndarray) -> list[bytes]:
     place[order] = np.arange(lanes)
     out = []
     for i in range(lanes):
-        raw = ids[i * BLOCK : (i + 1) * BLOCK].astype("<u4").tobytes()
+        raw = ids[i * block : (i + 1) * block].astype("<u4").tobytes()
         a = coder.out[i, : coder.n[i]].astype("<u4").tobytes()
         j = place[i]
         b = rest.out[j, : rest.n[j]].astype("<u4").tobytes()
