@@ -34,12 +34,12 @@ from .prefix_bpe import PLAIN, _classes
 from .warc import file_system
 
 MAGIC = b"PLTOK1\0\0"
-BLOCK = 4096  # most ids in a block
+BLOCK = 2048  # most ids in a block
 LEAST_BLOCK = 256  # a short run of ids is cut into more and smaller blocks, coded in step
 LANES = 2048  # blocks coded in step; bounds memory
 MAX_ID = 1 << 16  # ids are coded as four digits of four bits
 CACHE_PIECES = 600_000
-SLOTS = 2048  # of a block's tables of followers
+SLOTS = 1024  # of a block's tables of followers
 U32, U64 = np.uint32, np.uint64
 LOW32 = U64(0xFFFFFFFF)
 
