@@ -10,7 +10,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..session import ensure_checkpoint_dir
-from . import mixing, prefix_bpe, token_files, warc
+from . import mixing, near_dups, prefix_bpe, token_files, warc
 from .common import table
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -91,3 +91,9 @@ def op3_token_files(spark: SparkSession, sf_dir: str) -> DataFrame:
     folder = f"{ensure_checkpoint_dir(spark).rstrip('/')}/tokens-{uuid.uuid4().hex}"
     files = token_files.write_tokens(table(spark, sf_dir, "documents"), public_tokenizers.path("byte_bpe_50k.json"), folder)
     return token_files.read_tokens(files, folder).select("doc_id", "start", "n_tokens", F.crc32("ids").alias("ids_crc32"))
+
+
+@query
+def op7_near_dups(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Near-duplicate groups on three-word shingles at 85 per cent."""
+    return near_dups.near_duplicates(table(spark, sf_dir, "documents"), percent=85, k=3)
