@@ -10,7 +10,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..session import ensure_checkpoint_dir
-from . import mixing, near_dups, prefix_bpe, token_files, warc
+from . import mixing, near_dups, prefix_bpe, suffix_dups, token_files, warc
 from .common import table
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -97,3 +97,13 @@ def op3_token_files(spark: SparkSession, sf_dir: str) -> DataFrame:
 def op7_near_dups(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Near-duplicate groups on three-word shingles at 85 per cent."""
     return near_dups.near_duplicates(table(spark, sf_dir, "documents"), percent=85, k=3)
+
+
+@query
+def op8_suffix_dups(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """What remains of each text without the 200-byte strings that occur again."""
+    out = suffix_dups.remove_repeats(table(spark, sf_dir, "documents"))
+    removed = F.aggregate("spans", F.lit(0).cast("long"), lambda a, s: a + s["size"])
+    return out.select(
+        "row.doc_id", "n_bytes", removed.alias("n_removed"), F.size("spans").cast("long").alias("n_spans"), F.sha2("kept", 256).alias("kept_sha256")
+    )
