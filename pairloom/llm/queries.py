@@ -10,7 +10,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..session import ensure_checkpoint_dir
-from . import mixing, near_dups, prefix_bpe, suffix_dups, token_files, warc
+from . import embedding_dups, mixing, near_dups, prefix_bpe, suffix_dups, token_files, warc
 from .common import table
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -107,3 +107,28 @@ def op8_suffix_dups(spark: SparkSession, sf_dir: str) -> DataFrame:
     return out.select(
         "row.doc_id", "n_bytes", removed.alias("n_removed"), F.size("spans").cast("long").alias("n_spans"), F.sha2("kept", 256).alias("kept_sha256")
     )
+
+
+@query
+def op4_embedding_dups(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Groups of vectors of one label with a cosine of 0.98 or more."""
+    return embedding_dups.near_duplicate_vectors(table(spark, sf_dir, "embeddings"))
+
+
+ORACLES["op4_embedding_dups"] = """
+WITH RECURSIVE v AS (
+  SELECT vec_id, label, CAST(embedding AS DOUBLE[]) AS e FROM embeddings
+  WHERE vec_id IS NOT NULL AND label IS NOT NULL AND len(embedding) > 0
+    AND len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(x))) = 0
+    AND len(list_filter(embedding, lambda x: x <> 0)) > 0),
+l AS (
+  SELECT a.vec_id AS a, b.vec_id AS b FROM v a JOIN v b
+  ON a.label = b.label AND a.vec_id <> b.vec_id AND len(a.e) = len(b.e)
+  AND list_dot_product(a.e, b.e) / (sqrt(list_dot_product(a.e, a.e)) * sqrt(list_dot_product(b.e, b.e))) >= 0.98),
+r AS (SELECT a, b FROM l UNION SELECT r.a, l.b FROM r JOIN l ON r.b = l.a),
+c AS (SELECT a, min(b) AS low FROM r GROUP BY a),
+n AS (SELECT a, count(*) AS n FROM l GROUP BY a)
+SELECT e.vec_id, CAST(coalesce(n.n, 0) AS BIGINT) AS n_links, least(e.vec_id, coalesce(c.low, e.vec_id)) AS component_id,
+  e.vec_id = least(e.vec_id, coalesce(c.low, e.vec_id)) AS kept
+FROM embeddings e LEFT JOIN n ON e.vec_id = n.a LEFT JOIN c ON e.vec_id = c.a
+"""
