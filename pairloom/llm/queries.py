@@ -10,7 +10,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..session import ensure_checkpoint_dir
-from . import embedding_dups, mixing, near_dups, prefix_bpe, suffix_dups, token_files, warc
+from . import embedding_dups, hash_search, mixing, near_dups, prefix_bpe, suffix_dups, token_files, warc
 from .common import table
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -132,3 +132,9 @@ SELECT e.vec_id, CAST(coalesce(n.n, 0) AS BIGINT) AS n_links, least(e.vec_id, co
   e.vec_id = least(e.vec_id, coalesce(c.low, e.vec_id)) AS kept
 FROM embeddings e LEFT JOIN n ON e.vec_id = n.a LEFT JOIN c ON e.vec_id = c.a
 """
+
+
+@query
+def op10_hash_search(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The 20 nearest found for every twentieth vector."""
+    return hash_search.nearest(table(spark, sf_dir, "embeddings"), F.col("vec_id") % 20 == 0, k=20)
