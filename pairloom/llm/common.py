@@ -105,6 +105,22 @@ def prefix_hash(values: np.ndarray, base: int) -> tuple[np.ndarray, np.ndarray]:
     return p, down
 
 
+def smallest_reachable(links: np.ndarray, ids: np.ndarray) -> np.ndarray:
+    """For each row of a symmetric matrix of links, the smallest id that it reaches."""
+    out, todo = ids.copy(), links.any(1)
+    while todo.any():
+        start = int(np.flatnonzero(todo)[0])
+        group = np.zeros(len(ids), bool)
+        edge = group.copy()
+        edge[start] = True
+        while edge.any():
+            group |= edge
+            edge = links[edge].any(0) & ~group
+        out[group] = ids[group].min()
+        todo &= ~group
+    return out
+
+
 def components(edges: DataFrame, name: str = "components") -> DataFrame:
     """Connected components of the undirected links (a, b).
 

@@ -18,7 +18,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from ..session import join_small, materialize
-from .common import components, prepare
+from .common import components, prepare, smallest_reachable
 from .vectors import bounded_sample, matrix, unit, usable
 
 SAMPLE = 16_384  # vectors that centres are fitted on
@@ -74,19 +74,6 @@ def _linked(a: np.ndarray, b: np.ndarray, cosine: float) -> np.ndarray:
     return out
 
 
-def _forest(links: np.ndarray, ids: np.ndarray) -> np.ndarray:
-    """Smallest id reachable in a symmetric matrix of links, for each row."""
-    label = ids.copy()
-    rows = np.flatnonzero(links.any(1))
-    while True:
-        low = label.copy()
-        for i in rows:
-            low[i] = min(label[i], label[links[i]].min())
-        if (low == label).all():
-            return label
-        label = low
-
-
 PAIR_SCHEMA = "k1 long, k2 long, size int, label long, n long, a long, b long"
 
 
@@ -107,7 +94,7 @@ def _block_pair(table: pa.Table, width: int, cosine: float) -> pa.Table:
         links[np.ix_(left, right)] = _linked(x[left], x[right], cosine)
     links |= links.T
     count = links @ copies
-    low = _forest(links, ids)
+    low = smallest_reachable(links, ids)
     some = np.flatnonzero(count)
     pick = pa.array(some)
     return pa.table({

@@ -15,12 +15,12 @@ from dataclasses import dataclass
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from ..session import materialize
-from .common import components, mix64, prefix_hash, prepare, slices, utf8
+from .common import components, mix64, prefix_hash, prepare, slices, smallest_reachable, utf8
 
 U64 = np.uint64
 _rng = np.random.default_rng(20240607)
@@ -189,17 +189,143 @@ def set_table(docs: DataFrame, id_col: str, text_col: str, k: int) -> DataFrame:
     return rows.mapInArrow(run, schema)
 
 
-def _similar(both: Column, na: Column, nb: Column, percent: int) -> Column:
-    return 100 * both >= percent * (na + nb - both)
+# --- confirmation on full sets -------------------------------------------------------
+BLOCK = 1024  # documents of one group of candidates that are compared at once
+RARE = 8  # shingles in at most so many documents are counted pair by pair
 
 
-def _confirm(pairs: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
-    """Links (a, b) among pairs whose full sets are similar."""
-    pairs = pairs.where(_similar(F.least("na", "nb"), F.col("na"), F.col("nb"), percent)).distinct()
-    side = lambda s: sets.select(F.col("id").alias(s), F.col("f1").alias(f"f{s}"), F.col("shingles").alias(f"s{s}"))
-    both = pairs.join(side("b"), ["b", "fb"]).join(side("a"), ["a", "fa"])
-    common = F.size(F.array_intersect("sa", "sb"))
-    return both.where(_similar(common, F.col("na"), F.col("nb"), percent)).select("a", "b")
+def common_counts(values: np.ndarray, offsets: np.ndarray, left: np.ndarray, right: np.ndarray) -> np.ndarray:
+    """Sizes of the intersections of the sets ``left`` with the sets ``right``.
+
+    Rare shingles add to the counts pair by pair; the others are columns of 0/1 matrices,
+    multiplied a bounded number of columns at a time.
+    """
+    owner = np.repeat(np.arange(len(offsets) - 1), np.diff(offsets))
+    order = np.argsort(values, kind="stable")
+    v, o = values[order], owner[order]
+    start = np.flatnonzero(np.r_[True, v[1:] != v[:-1]])
+    df = np.diff(np.r_[start, len(v)])
+    out = np.zeros((len(offsets) - 1, len(offsets) - 1), np.int32)
+    for d in range(2, RARE + 1):
+        rows = o[start[df == d][:, None] + np.arange(d)]
+        for i in range(d):
+            for j in range(d):
+                if i != j:
+                    np.add.at(out, (rows[:, i], rows[:, j]), 1)
+    out = out[np.ix_(left, right)]
+    many = np.flatnonzero(df > RARE)
+    for lo in range(0, len(many), 2048):
+        part = many[lo : lo + 2048]
+        grid = np.zeros((len(offsets) - 1, len(part)), np.float32)
+        grid[o[np.repeat(start[part], df[part]) + _counting(df[part])], np.repeat(np.arange(len(part)), df[part])] = 1
+        out += (grid[left] @ grid[right].T).astype(np.int32)
+    return out
+
+
+def _similar_pairs(values, offsets, left, right, percent) -> np.ndarray:
+    size = np.diff(offsets)
+    both = common_counts(values, offsets, left, right).astype(np.int64)
+    return 100 * both >= percent * (size[left][:, None] + size[right][None, :] - both)
+
+
+TASK_COLUMNS = ["group", "i", "j", "side", "id", "shingles"]
+LINK_SCHEMA = "a long, b long"
+
+
+def _compare_groups(batches: Iterable[pa.RecordBatch], percent: int) -> Iterator[pa.RecordBatch]:
+    """Links that join what is similar, group by group; rows come sorted by group and task."""
+    held: list[pa.RecordBatch] = []
+
+    def run(table: pa.Table) -> pa.RecordBatch:
+        key = [table.column(c).to_numpy() for c in ("group", "i", "j")]
+        side, ids = table.column("side").to_numpy(), table.column("id").to_numpy()
+        lists = table.column("shingles").combine_chunks()
+        lists = lists if isinstance(lists, pa.Array) else lists.chunk(0)
+        values = lists.flatten().to_numpy(zero_copy_only=False)
+        offsets = np.r_[0, np.cumsum(lists.value_lengths().to_numpy(zero_copy_only=False).astype(np.int64))]
+        cuts = np.flatnonzero(np.any([k[1:] != k[:-1] for k in key], axis=0)) + 1
+        a, b = [], []
+        for lo, hi in zip([0, *cuts.tolist()], [*cuts.tolist(), len(ids)], strict=True):
+            if hi - lo < 2:
+                continue
+            own = offsets[lo : hi + 1]
+            v, o, who = values[own[0] : own[-1]], own - own[0], ids[lo:hi]
+            if hi - lo == 2 and key[1][lo] == key[2][lo]:
+                both = len(np.intersect1d(v[: o[1]], v[o[1] :], assume_unique=True))
+                if 100 * both >= percent * (len(v) - both):
+                    a.append(who.max(keepdims=True))
+                    b.append(who.min(keepdims=True))
+                continue
+            links = np.zeros((hi - lo, hi - lo), bool)
+            if key[1][lo] == key[2][lo]:
+                every = np.arange(hi - lo)
+                links = _similar_pairs(v, o, every, every, percent)
+                np.fill_diagonal(links, False)
+            else:
+                left, right = np.flatnonzero(side[lo:hi] == 0), np.flatnonzero(side[lo:hi] == 1)
+                links[np.ix_(left, right)] = _similar_pairs(v, o, left, right, percent)
+                links |= links.T
+            low = smallest_reachable(links, who)
+            a.append(who[low != who])
+            b.append(low[low != who])
+        none = np.zeros(0, np.int64)
+        return pa.RecordBatch.from_arrays([pa.array(np.concatenate([none, *a])), pa.array(np.concatenate([none, *b]))], names=["a", "b"])
+
+    for batch in batches:
+        held.append(batch)
+        table = pa.Table.from_batches(held)
+        key = [table.column(c).to_numpy() for c in ("group", "i", "j")]
+        change = np.flatnonzero(np.any([k[1:] != k[:-1] for k in key], axis=0))
+        if len(change):
+            at = int(change[-1]) + 1
+            yield run(table.slice(0, at))
+            held = table.slice(at).to_batches()
+    if held:
+        yield run(pa.Table.from_batches(held))
+
+
+def _confirmed(members: DataFrame, sets: DataFrame, percent: int, block: int = BLOCK) -> DataFrame:
+    """Links (a, b) enough to join the similar ones of each group of candidates.
+
+    ``members`` has (id, f1, group, bands): documents of one group may be similar, those of
+    two are not.  A group of at most ``block`` documents is compared as a whole.  In a larger
+    one all are first compared with the one that shares most buckets; those
+    similar to it are joined already, and only blocks of the others meet each other and
+    the blocks of the joined.
+    """
+    n = int(members.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    rows = members.join(sets, ["id", "f1"])
+    sizes = members.groupBy("group").agg(F.count("*").alias("size"), F.max(F.struct("bands", "id", "f1")).alias("centre"))
+    large = materialize(sizes.where(F.col("size") > block), "near-large")
+    dealt = lambda tasks: tasks.select(TASK_COLUMNS).repartition(n, "group", "i", "j").sortWithinPartitions("group", "i", "j").mapInArrow(
+        lambda b: _compare_groups(b, percent), LINK_SCHEMA)
+    small = rows.join(large.select("group"), "group", "left_anti")
+    zero = F.lit(0)
+    found = dealt(small.select("group", zero.alias("i"), zero.alias("j"), zero.alias("side"), "id", "shingles"))
+    if large.isEmpty():
+        return found
+    centres = large.select("group", F.col("centre.id").alias("id"), F.col("centre.f1").alias("f1"), F.col("centre.id").alias("c"))
+    centres = centres.join(sets, ["id", "f1"]).select("group", "c", F.col("shingles").alias("cs"))
+    wide = rows.join(centres, "group")
+    both = F.size(F.array_intersect("shingles", "cs"))
+    joined = 100 * both >= percent * (F.size("shingles") + F.size("cs") - both)
+    wide = materialize(wide.select("group", "id", "f1", "shingles", "c", joined.alias("joined")), "near-large-rows")
+    star = wide.where("joined and id != c").select(F.greatest("c", "id").alias("a"), F.least("c", "id").alias("b"))
+    counts = wide.groupBy("group").agg(F.count_if("joined").alias("s"), F.count_if(~F.col("joined")).alias("o"))
+    parts = lambda c: F.greatest(F.ceil(F.col(c) / block), F.lit(1)).cast("int")
+    counts = counts.select("group", parts("s").alias("sb"), parts("o").alias("ob"))
+    wide = wide.join(counts, "group")
+    mine = F.pmod(F.xxhash64("id", "f1"), F.when(F.col("joined"), F.col("sb")).otherwise(F.col("ob"))).cast("int")
+    wide = wide.withColumn("mine", mine)
+    others = F.sequence(F.lit(0), F.col("ob") - 1)
+    tasks = F.when(
+        F.col("joined"), F.transform(others, lambda o: F.struct((-1 - F.col("mine")).alias("i"), o.alias("j"), F.lit(0).alias("side")))
+    ).otherwise(F.concat(
+        F.transform(others, lambda o: F.struct(F.least(o, F.col("mine")).alias("i"), F.greatest(o, F.col("mine")).alias("j"), (o < F.col("mine")).cast("int").alias("side"))),
+        F.transform(F.sequence(F.lit(0), F.col("sb") - 1), lambda o: F.struct((-1 - o).alias("i"), F.col("mine").alias("j"), F.lit(1).alias("side"))),
+    ))
+    wide = wide.select("group", "id", "shingles", F.explode(tasks).alias("t")).select("group", "t.i", "t.j", "t.side", "id", "shingles")
+    return found.union(star).union(dealt(wide))
 
 
 def near_duplicates(docs: DataFrame, percent: int = 80, k: int = 5, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
@@ -214,50 +340,29 @@ def near_duplicates(docs: DataFrame, percent: int = 80, k: int = 5, id_col: str
     null component.  Rows that share an id are one node with the links of each of them.  An
     empty table gives an empty result.  Other columns are not read.
 
-    Documents with equal sets are one group from the start, found by a 128-bit digest.
-    Of the others, all members of a band's bucket are compared with one centre, then
-    components are built; while a bucket holds documents of more than one component that
-    have not been compared, the members of its smallest component are the next centres.
-    So no link is lost, no bucket is cut, and no bucket emits its pairs.
+    Documents with equal sets are one from the start, found by a 128-bit digest.  Of the
+    others, those that share a bucket of a band, directly or through others, are a group of
+    candidates.  Inside a group full sets are compared by blocked products, and only links
+    that join what is similar leave a block.  No bucket or group is cut.
     """
     bands = bands_for(percent / 100)
     sketches = materialize(sketch_table(docs, id_col, text_col, k, bands), "near-sketches")
     some = sketches.where("n_shingles > 0 and id is not null")
     first = some.groupBy("f1", "f2", "n_shingles").agg(F.min("id").alias("first"))
-    rows = materialize(some.join(first, ["f1", "f2", "n_shingles"]).select("id", "n_shingles", "f1", "first",
+    rows = materialize(some.join(first, ["f1", "f2", "n_shingles"]).select("id", "f1", "first",
         F.when(F.col("id") == F.col("first"), F.col("bands")).alias("bands")), "near-rows")
-    keys = rows.where("bands is not null").select("id", "f1", F.col("n_shingles").alias("n"), F.explode("bands").alias("key"))
-    buckets = keys.groupBy("key").agg(F.count("*").alias("m")).where("m > 1")
-    members = materialize(keys.join(buckets.select("key"), "key").select("key", "id", "f1", "n"), "near-members")
-    wanted = members.select("id").distinct()
-    candidates = docs.join(wanted.withColumnRenamed("id", "_wanted"), F.col(id_col) == F.col("_wanted"), "left_semi")
-    sets = materialize(set_table(candidates, id_col, text_col, k), "near-sets")
-    # rows that share an id and rows with equal sets are linked without a comparison
-    links = rows.where("id != first").select(F.col("first").alias("a"), F.col("id").alias("b"))
-    star = members.groupBy("key").agg(F.min(F.struct("id", "f1", "n")).alias("c"))
-    pairs = members.join(star, "key").where("id != c.id").select(
-        F.col("c.id").alias("a"), F.col("c.f1").alias("fa"), F.col("c.n").alias("na"),
-        F.col("id").alias("b"), F.col("f1").alias("fb"), F.col("n").alias("nb"))
-    found = materialize(_confirm(pairs, sets, percent), "near-links")
-    left = members.join(star, "key").where("id != c.id").select("key", "id", "f1", "n")
-    while True:
-        groups = materialize(components(found, "near"), "near-components")
-        left = left.join(groups, left["id"] == groups["node"], "left")
-        left = left.select("key", "id", "f1", "n", F.coalesce("component", "id").alias("component"))
-        open_keys = left.groupBy("key").agg(F.min("component").alias("lo"), F.max("component").alias("hi")).where("lo != hi")
-        left = materialize(left.join(open_keys.select("key"), "key"), "near-left")
-        sizes = left.groupBy("key", "component").agg(F.count("*").alias("m"), F.min("id").alias("least"))
-        chosen = sizes.groupBy("key").agg(F.min(F.struct("m", "component", "least")).alias("s"))
-        centre = (F.col("component") == F.col("s.component")) & ((F.col("s.m") <= 16) | (F.col("id") == F.col("s.least")))
-        marked = materialize(left.join(chosen, "key").select("key", "id", "f1", "n", "component", centre.alias("centre")), "near-marked")
-        if marked.isEmpty():
-            break
-        centres = marked.where("centre").select("key", F.col("id").alias("a"), F.col("f1").alias("fa"), F.col("n").alias("na"), F.col("component").alias("ca"))
-        pairs = marked.join(centres, "key").where("component != ca")
-        pairs = pairs.select("a", "fa", "na", F.col("id").alias("b"), F.col("f1").alias("fb"), F.col("n").alias("nb"))
-        more = materialize(_confirm(pairs, sets, percent), "near-links")
-        left = marked.where("not centre").select("key", "id", "f1", "n")
-        found = found.union(more)
+    keys = rows.where("bands is not null").select("id", "f1", F.explode("bands").alias("key"))
+    buckets = keys.groupBy("key").agg(F.min(F.struct("id", "f1")).alias("c"), F.count("*").alias("m")).where("m > 1")
+    members = materialize(keys.join(buckets, "key").select("id", "f1", F.col("c.id").alias("centre")), "near-members")
+    groups = components(members.where("id != centre").select(F.col("id").alias("a"), F.col("centre").alias("b")).distinct(), "near-candidates")
+    nodes = members.groupBy("id", "f1").agg(F.count("*").alias("bands"))
+    nodes = materialize(nodes.join(groups, nodes["id"] == groups["node"]).select("id", "f1", "bands", F.col("component").alias("group")), "near-nodes")
+    wanted = nodes.select(F.col("id").alias("_wanted")).distinct()
+    candidates = docs.join(wanted, F.col(id_col) == F.col("_wanted"), "left_semi")
+    sets = materialize(set_table(candidates, id_col, text_col, k).dropDuplicates(["id", "f1"]), "near-sets")
+    found = materialize(_confirmed(nodes, sets, percent), "near-links")
+    # rows with equal sets are linked without a comparison
+    links = rows.where("id != first").select(F.col("id").alias("a"), F.col("first").alias("b"))
     groups = materialize(components(found.union(links), "near-all"), "near-groups")
     out = sketches.select("id", "n_shingles").join(groups, F.col("id") == F.col("node"), "left")
     component = F.coalesce("component", "id")
