@@ -10,7 +10,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..session import ensure_checkpoint_dir
-from . import embedding_dups, hash_search, mixing, near_dups, prefix_bpe, suffix_dups, token_files, warc
+from . import embedding_dups, hash_search, line_quality, mixing, near_dups, prefix_bpe, suffix_dups, token_files, warc
 from .common import table
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -138,3 +138,12 @@ FROM embeddings e LEFT JOIN n ON e.vec_id = n.a LEFT JOIN c ON e.vec_id = c.a
 def op10_hash_search(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The 20 nearest found for every twentieth vector."""
     return hash_search.nearest(table(spark, sf_dir, "embeddings"), F.col("vec_id") % 20 == 0, k=20)
+
+
+@query
+def op2_line_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Quality of every document from its lines; labels of the held-out fold are not used."""
+    docs = table(spark, sf_dir, "documents")
+    model = line_quality.train(docs, table(spark, sf_dir, "labels"))
+    out = line_quality.score(docs, model)
+    return out.select("doc_id", line_quality.held_out(F.col("doc_id")).alias("held_out"), "score", (F.col("score") >= 0.5).cast("int").alias("predicted"))
