@@ -11,11 +11,6 @@ from dataclasses import dataclass, field, replace
 
 # --- fixed values (must match the reproduced training setup) -------------
 SPECIAL_TOKENS = ("[UNK]", "[PAD]", "[CLS]", "[SEP]", "[MASK]")
-UNK_ID = 0
-PAD_ID = 1
-CLS_ID = 2
-SEP_ID = 3
-MASK_ID = 4
 IGNORE_INDEX = -100
 BATCH_SIZE = 8
 NUM_EPOCHS = 20
@@ -33,7 +28,8 @@ MODEL_FOLDER = "weights"
 MODEL_PREFIX = "bmodel_"
 # --- end of fixed values ---------------------------------------------------
 
-# Row ids of the documents adapter: doc_id * 2^20 + line position.
+# Smallest stride of the conversations adapter: conv_id * stride + turn + 1.
+# A longer conversation widens it.
 ROW_ID_STRIDE = 1 << 20
 
 # Target number of rows per bucket of the two-level scans and ranks.
@@ -41,6 +37,23 @@ SCAN_BUCKET_ROWS = 1 << 20
 # Largest small table (bucket offsets, document index, file offsets) that is
 # broadcast; larger ones fall back to a shuffle join.
 BROADCAST_MAX_ROWS = 1_000_000
+# ... and largest size, from its counted rows and bytes.
+BROADCAST_MAX_BYTES = 64 << 20
+
+
+@dataclass(frozen=True)
+class SpecialIds:
+    """Ids of the special tokens in the vocabulary in use."""
+
+    unk: int = 0
+    pad: int = 1
+    cls: int = 2
+    sep: int = 3
+    mask: int = 4
+
+    @property
+    def never_masked(self) -> tuple[int, int, int]:
+        return self.cls, self.sep, self.pad
 
 
 @dataclass(frozen=True)
@@ -53,6 +66,8 @@ class PrepConfig:
 
     seed: int = 42
     seq_len: int = SEQ_LEN
+    # positions the model to be trained can embed; None: not checked
+    max_position_embeddings: int | None = None
     batch_size: int = BATCH_SIZE
     num_epochs: int = NUM_EPOCHS
     learning_rate: float = LEARNING_RATE
@@ -78,6 +93,8 @@ class PrepConfig:
     def __post_init__(self):
         if self.seq_len < 3:
             raise ValueError("seq_len must be at least 3 ([CLS] a [SEP] b [SEP])")
+        if self.max_position_embeddings is not None and self.seq_len > self.max_position_embeddings:
+            raise ValueError("seq_len must not exceed max_position_embeddings")
         if self.batch_size < 1:
             raise ValueError("batch_size must be positive")
         if self.split_by not in ("example", "document"):

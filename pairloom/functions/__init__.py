@@ -1,6 +1,6 @@
 """Column expressions (JVM-side, codegen friendly)."""
 
-from .hashing import digest, hex_fraction, key32, mix32, uniform, uniform_index
+from .hashing import digest, hex_fraction, key64, mix32, uniform, uniform_index
 from .losses import cross_entropy_term
 from .masking import mask_key, masked_and_labels, position_draw, with_position_draws
 from .schedule import checkpoint_tag, lr_multiplier, milestone_label
@@ -13,7 +13,7 @@ __all__ = [
     "cross_entropy_term",
     "digest",
     "hex_fraction",
-    "key32",
+    "key64",
     "mix32",
     "is_boundary",
     "lr_multiplier",

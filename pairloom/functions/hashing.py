@@ -44,22 +44,24 @@ def uniform_index(u, n) -> Column:
     return F.floor(_c(u) * _c(n)).cast("bigint")
 
 
-# --- fixed values of the 32-bit counter mixer ----------------------------------
+# The counter mixer below works on 32-bit halves held in bigints, so that no product
+# overflows and other SQL engines can follow it.
 MASK32 = 0xFFFFFFFF
 MIX_MULTIPLIER = 0x45D9F3B  # odd, below 2^27: products stay inside bigint
 WEYL_STEP = 0x9E3779B9
 TWO_POW_32 = 4294967296.0
-# --- end of fixed values -------------------------------------------------------
 
 
-def key32(seed: int, tag: str, *keys) -> Column:
-    """32-bit key (as bigint) from the first 8 hex digits of the digest."""
-    return F.conv(F.substring(digest(seed, tag, *keys), 1, 8), 16, 10).cast("bigint")
+def key64(seed: int, tag: str, *keys) -> Column:
+    """Two independent 32-bit halves (bigints ``a`` and ``b``) of one digest."""
+    d = digest(seed, tag, *keys)
+    half = lambda start: F.conv(F.substring(d, start, 8), 16, 10).cast("bigint")
+    return F.struct(half(1).alias("a"), half(9).alias("b"))
 
 
-def counter32(key, counter) -> Column:
-    """``(key + counter * WEYL_STEP) mod 2^32``: distinct inputs per counter."""
-    return (_c(key) + _c(counter).cast("bigint") * F.lit(WEYL_STEP)).bitwiseAND(F.lit(MASK32))
+def counter32(start, counter) -> Column:
+    """``(start + counter * WEYL_STEP) mod 2^32``: distinct inputs per counter."""
+    return (_c(start) + _c(counter).cast("bigint") * F.lit(WEYL_STEP)).bitwiseAND(F.lit(MASK32))
 
 
 def mix_round(x) -> Column:
@@ -72,19 +74,22 @@ def mix_final(x) -> Column:
     return F.shiftright(x, 16).bitwiseXOR(x)
 
 
-def mix32(x) -> Column:
-    """Integer mixer: two multiply-xorshift rounds and a final xorshift.
+def mix32(counter, half) -> Column:
+    """Integer mixer: two multiply-xorshift rounds with the key's second half xor-ed in
+    between, and a final xorshift.  Two streams of draws coincide only if their
+    counters meet and their second halves are equal.
 
     All steps are plain bigint column arithmetic (code-generated; common
     subexpressions are evaluated once).  Inside lambdas use ``mix32_array``.
     """
-    return mix_final(mix_round(mix_round(x)))
+    return mix_final(mix_round(mix_round(counter).bitwiseXOR(_c(half))))
 
 
-def mix32_array(arr) -> Column:
-    """``mix32`` element-wise as three array passes (no duplicated subtrees
-    in interpreted lambdas); NULL elements stay NULL."""
-    a = F.transform(_c(arr), mix_round)
+def mix32_array(counters, half) -> Column:
+    """``mix32`` element-wise as array passes (no duplicated subtrees in interpreted
+    lambdas); NULL elements stay NULL."""
+    a = F.transform(_c(counters), mix_round)
+    a = F.zip_with(a, F.array_repeat(_c(half), F.size(_c(counters))), lambda x, b: x.bitwiseXOR(b))
     a = F.transform(a, mix_round)
     return F.transform(a, mix_final)
 

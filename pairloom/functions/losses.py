@@ -13,12 +13,13 @@ def _c(x) -> Column:
 def cross_entropy_term(logits, label) -> Column:
     """``logsumexp(logits) - logits[label]`` with the max subtracted first.
 
-    ``label`` is 0-based.  Rows whose label is outside the array (for example
-    the ignore index) give NULL, so ``avg`` skips them.
+    ``label`` is 0-based.  A label outside the array, or NULL, ends the job with an
+    error; callers leave out what is to be ignored.
     """
     lg, lb = _c(logits), _c(label)
     m = F.array_max(lg).cast("double")
     lse = F.log(F.aggregate(lg, F.lit(0.0).cast("double"), lambda acc, x: acc + F.exp(x.cast("double") - m))) + m
     picked = F.try_element_at(lg, (lb + 1).cast("int")).cast("double")
     valid = (lb >= 0) & (lb < F.size(lg))
-    return F.when(valid, lse - picked)
+    bad = F.raise_error(F.concat(F.lit("label out of range: "), F.coalesce(lb.cast("string"), F.lit("NULL")))).cast("double")
+    return F.when(F.coalesce(valid, F.lit(False)), lse - picked).otherwise(bad)

@@ -1,6 +1,6 @@
 """Masked-language-model corruption as array expressions (no shuffle).
 
-Each (epoch, example) gets a 32-bit key from one digest of seed, epoch and
+Each (epoch, example) gets a 64-bit key from one digest of seed, epoch and
 example id.  Position ``i`` then uses three counter draws through an integer
 mixer: counter ``3i`` decides selection, ``3i+1`` the branch ([MASK] / random
 id / unchanged) and ``3i+2`` the random id.  Masks are redrawn every epoch;
@@ -12,58 +12,61 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from ..config import CLS_ID, IGNORE_INDEX, MASK_ID, PAD_ID, SEP_ID
-from .hashing import MASK32, WEYL_STEP, counter32, key32, mix32, mix32_array, unit32
+from ..config import IGNORE_INDEX, SpecialIds
+from .hashing import MASK32, WEYL_STEP, counter32, key64, mix32, mix32_array, unit32
 
-NEVER_MASKED = (CLS_ID, SEP_ID, PAD_ID)
 MLM_TAG = "mlm"
 DRAWS_PER_POSITION = 3
 
 
 def mask_key(seed: int, epoch, example_id) -> Column:
-    return key32(seed, MLM_TAG, epoch, example_id)
+    """Struct of the two halves of the key."""
+    return key64(seed, MLM_TAG, epoch, example_id)
 
 
 def position_draw(key, pos, j: int) -> Column:
     """Draw ``j`` (0 selection, 1 branch, 2 random id) of one position as a
-    fraction in [0, 1); scalar form for long tables."""
+    fraction in [0, 1); scalar form for long tables.  ``key`` is a struct column."""
     p = F.col(pos) if isinstance(pos, str) else pos
-    return unit32(mix32(counter32(key, p * DRAWS_PER_POSITION + j)))
+    return unit32(mix32(counter32(key["a"], p * DRAWS_PER_POSITION + j), key["b"]))
 
 
-def with_position_draws(df: DataFrame, ids: str, key: Column) -> DataFrame:
-    """Adds ``_c0`` (the position's first counter, NULL where never masked)
+def with_position_draws(df: DataFrame, ids: str, key: Column, special: SpecialIds = SpecialIds()) -> DataFrame:
+    """Adds ``_key``, ``_c0`` (the position's first counter, NULL where never masked)
     and ``_sel`` (its mixed selection draw)."""
-    # The key reaches the lambda as an array argument (evaluated once per
+    # The key reaches the lambdas as an array argument (evaluated once per
     # row); referenced inside a lambda it would be re-evaluated per element.
-    idx = F.transform(F.col(ids), lambda t, i: F.when(~t.isin(*NEVER_MASKED), i))
-    keys = F.array_repeat(key, F.size(F.col(ids)))
+    df = df.withColumn("_key", key)
+    idx = F.transform(F.col(ids), lambda t, i: F.when(~t.isin(*special.never_masked), i))
+    keys = F.array_repeat(F.col("_key.a"), F.size(F.col(ids)))
     base = F.zip_with(idx, keys, lambda i, k: counter32(k, i * DRAWS_PER_POSITION))
-    return df.withColumn("_c0", base).withColumn("_sel", mix32_array(F.col("_c0")))
+    df = df.withColumn("_c0", base)
+    return df.withColumn("_sel", mix32_array(F.col("_c0"), F.col("_key.b")))
 
 
 def masked_and_labels(df: DataFrame, ids: str, vocab_size, p: float, mask_share: float,
-                      random_share: float) -> tuple[Column, Column]:
+                      random_share: float, special: SpecialIds = SpecialIds()) -> tuple[Column, Column]:
     """Masked ids and labels from ``ids`` and the draw columns.
 
     The branch and random-id draws (counters ``3i+1``, ``3i+2``) are mixed
     inline and only evaluated for selected positions.
     """
-    z = F.arrays_zip(F.col(ids).alias("t"), F.col("_c0").alias("c"), F.col("_sel").alias("s"))
+    half = F.array_repeat(F.col("_key.b"), F.size(F.col(ids)))
+    z = F.arrays_zip(F.col(ids).alias("t"), F.col("_c0").alias("c"), F.col("_sel").alias("s"), half.alias("k"))
     rand_t = round(mask_share + random_share, 12)
 
     def sel(e):
         return e["s"].isNotNull() & (unit32(e["s"]) < F.lit(p))
 
     def draw(e, j):
-        return unit32(mix32((e["c"] + F.lit(j * WEYL_STEP)).bitwiseAND(F.lit(MASK32))))
+        return unit32(mix32((e["c"] + F.lit(j * WEYL_STEP)).bitwiseAND(F.lit(MASK32)), e["k"]))
 
     def pick(e):
         br = draw(e, 1)
         rid = F.floor(draw(e, 2) * F.lit(vocab_size)).cast("bigint")
         return (
             F.when(~sel(e), e["t"])
-            .when(br < F.lit(mask_share), F.lit(MASK_ID).cast("bigint"))
+            .when(br < F.lit(mask_share), F.lit(special.mask).cast("bigint"))
             .when(br < F.lit(rand_t), rid)
             .otherwise(e["t"])
         )

@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import re
+
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
@@ -45,3 +47,22 @@ def milestone_label(step_in_epoch, steps_per_epoch) -> Column:
 def checkpoint_tag(folder: str, prefix: str, epoch, label) -> Column:
     """``{folder}/{prefix}{epoch}_{label}.pt``; NULL when no checkpoint."""
     return F.concat(F.lit(f"{folder}/{prefix}"), _c(epoch).cast("string"), F.lit("_"), _c(label), F.lit(".pt"))
+
+
+def tag_position(tag: str, steps_per_epoch: int) -> tuple[int, int]:
+    """``(epoch, stored step)`` of a checkpoint named ``"3_50q"`` or by its file.
+
+    The step is the batch after which the quarter's checkpoint is written, and 0 for the
+    end of the epoch.  A tag of another form, or of a quarter that an epoch of so few
+    steps never reaches, raises.
+    """
+    m = re.search(r"(\d+)_(25|50|75|100)q(?:\.pt)?$", tag)
+    if not m:
+        raise ValueError(f"not a checkpoint tag: {tag!r}")
+    epoch, quarter = int(m[1]), int(m[2])
+    if quarter == 100:
+        return epoch, 0
+    step = steps_per_epoch * quarter // 100
+    if step == 0:
+        raise ValueError(f"an epoch of {steps_per_epoch} steps has no checkpoint {tag!r}")
+    return epoch, step

@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
-from ..config import CLS_ID, PAD_ID, SEP_ID
+from ..config import SpecialIds
 
 
 def _c(x) -> Column:
@@ -35,18 +35,18 @@ def truncated_lengths(len_a, len_b, budget: int) -> tuple[Column, Column]:
     return na.cast("int"), nb.cast("int")
 
 
-def assemble(ids_a, ids_b, na, nb, seq_len: int) -> dict[str, Column]:
+def assemble(ids_a, ids_b, na, nb, seq_len: int, special: SpecialIds = SpecialIds()) -> dict[str, Column]:
     """``[CLS] a [SEP] b [SEP]`` plus padding, segment ids and attention mask."""
     na, nb = _c(na), _c(nb)
     real = na + nb + 3
     pad = (F.lit(seq_len) - real).cast("int")
     input_ids = F.concat(
-        F.array(_long(CLS_ID)),
+        F.array(_long(special.cls)),
         F.slice(_c(ids_a), 1, na),
-        F.array(_long(SEP_ID)),
+        F.array(_long(special.sep)),
         F.slice(_c(ids_b), 1, nb),
-        F.array(_long(SEP_ID)),
-        F.array_repeat(_long(PAD_ID), pad),
+        F.array(_long(special.sep)),
+        F.array_repeat(_long(special.pad), pad),
     )
     token_type_ids = F.concat(
         F.array_repeat(_long(0), (na + 2).cast("int")),

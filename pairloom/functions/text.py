@@ -6,9 +6,11 @@ from pyspark.sql import Column
 from pyspark.sql import functions as F
 
 # --- fixed values -----------------------------------------------------------
-# Python's str.strip removes Unicode whitespace plus U+001C..U+001F; Java's
-# Unicode \s lacks the latter four, so they are listed explicitly.
-STRIP_PATTERN = r"(?U)^[\s\x1c-\x1f]+|[\s\x1c-\x1f]+$"
+# The code points that Python's str.strip removes.
+STRIP_CHARS = (
+    "\t\n\x0b\x0c\r\x1c\x1d\x1e\x1f \x85\xa0\u1680\u2000\u2001\u2002\u2003\u2004\u2005"
+    "\u2006\u2007\u2008\u2009\u200a\u2028\u2029\u202f\u205f\u3000"
+)
 # Whitespace pre-tokenizer: runs of word characters, or runs of characters
 # that are neither word characters nor whitespace.
 WORD_PATTERN = r"(?U)\w+|[^\w\s]+"
@@ -22,8 +24,13 @@ def _col(c) -> Column:
 
 
 def strip_text(c) -> Column:
-    """``str.strip()`` semantics on a string column."""
-    return F.regexp_replace(_col(c), STRIP_PATTERN, "")
+    """``str.strip()`` semantics on a string column, in linear time."""
+    return F.btrim(_col(c), F.lit(STRIP_CHARS))
+
+
+def required(c, what: str) -> Column:
+    """The column; a NULL in it ends the job with an error."""
+    return F.coalesce(_col(c), F.raise_error(F.lit(f"{what} must not be NULL")))
 
 
 def is_boundary(stripped) -> Column:

@@ -4,13 +4,13 @@ from __future__ import annotations
 
 import math
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from ..config import DEFAULT, PrepConfig
+from ..config import DEFAULT, PrepConfig, SpecialIds
 from ..functions.hashing import digest
-from ..functions.masking import NEVER_MASKED, mask_key, position_draw
-from ..functions.schedule import checkpoint_tag, lr_multiplier, milestone_label
+from ..functions.masking import mask_key, position_draw
+from ..functions.schedule import checkpoint_tag, lr_multiplier, milestone_label, tag_position
 from ..session import join_small
 from .scan import hash_rank, hash_running_sum
 
@@ -26,14 +26,16 @@ def steps_per_epoch(n_train: int, cfg: PrepConfig = DEFAULT) -> int:
     return math.ceil(n_train / cfg.batch_size)
 
 
-def split_examples(examples: DataFrame, n_examples: int, cfg: PrepConfig = DEFAULT) -> DataFrame:
+def split_examples(examples: DataFrame, n_examples: int, cfg: PrepConfig = DEFAULT, docs: DataFrame | None = None,
+                   n_docs: int = 0) -> DataFrame:
     """``(example_id, split, split_rank)``.
 
     ``split_by="example"``: exact sizes, uniform without replacement, per
     example (a document can feed both sides).  ``split_by="document"``:
     documents in digest order go to validation while the examples already
     taken are fewer than the target, so validation holds whole documents and
-    at least the target count.  ``split_rank`` orders examples inside their
+    at least the target count; ``docs`` then has ``(doc_idx, doc_key, n)``, a document's number
+    of examples, and ``examples`` a ``doc_idx``.  ``split_rank`` orders examples inside their
     split (validation batches keep that order).
     """
     _, n_val = split_sizes(n_examples, cfg)
@@ -45,13 +47,11 @@ def split_examples(examples: DataFrame, n_examples: int, cfg: PrepConfig = DEFAU
             F.when(F.col("split_rank") < n_val, F.lit("val")).otherwise(F.lit("train")).alias("split"),
             "split_rank",
         )
-    per_doc = examples.groupBy("doc_key").agg(F.count(F.lit(1)).alias("n"))
-    n_docs_bound = n_examples  # a document has at least one example
     docs = hash_running_sum(
-        per_doc, digest(cfg.seed, "split", F.col("doc_key")), ["doc_key"], "n", "_before", n_rows=n_docs_bound, cfg=cfg
-    ).select("doc_key", F.when(F.col("_before") < n_val, F.lit("val")).otherwise(F.lit("train")).alias("split"))
-    x = join_small(examples.select("example_id", "doc_key"), docs, "doc_key",
-                   row_bound=None, max_rows=cfg.broadcast_max_rows)
+        docs, digest(cfg.seed, "split", F.col("doc_key")), ["doc_key"], "n", "_before", n_rows=n_docs, cfg=cfg
+    ).select("doc_idx", F.when(F.col("_before") < n_val, F.lit("val")).otherwise(F.lit("train")).alias("split"))
+    x = join_small(examples.select("example_id", "doc_idx"), docs, "doc_idx",
+                   row_bound=n_docs, max_rows=cfg.broadcast_max_rows)
     r = hash_rank(x, order, ["example_id"], "split_rank", n_rows=n_examples,
                   partition_cols=("split",), n_partition_values=2, cfg=cfg)
     return r.select("example_id", "split", "split_rank")
@@ -97,16 +97,27 @@ def epoch_batches(
     )
 
 
-def resume_filter(batches: DataFrame, epoch: int, step_in_epoch: int) -> DataFrame:
+def resume_filter(batches: DataFrame, epoch: int, step_in_epoch: int, validation: bool = False) -> DataFrame:
     """Train batches still to run after a checkpoint at (epoch, step).
 
     A stored step of 0 marks a finished epoch: start at the next one.
-    Otherwise re-enter the same epoch and skip its first ``step`` batches.
+    Otherwise re-enter the same epoch and skip its first ``step`` batches.  With
+    ``validation`` the validation batches of every epoch still to end come along, whole.
     """
-    tr = batches.filter(F.col("split") == "train")
-    if step_in_epoch > 0:
-        return tr.filter((F.col("epoch") > epoch) | ((F.col("epoch") == epoch) & (F.col("batch_id") >= step_in_epoch)))
-    return tr.filter(F.col("epoch") > epoch)
+    first = epoch if step_in_epoch > 0 else epoch + 1
+    tr = F.col("split") == "train"
+    left = (F.col("epoch") > epoch) | ((F.col("epoch") == epoch) & (F.col("batch_id") >= step_in_epoch)) if step_in_epoch > 0 else F.col("epoch") > epoch
+    keep = tr & left
+    if validation:
+        keep = keep | (~tr & (F.col("epoch") >= first))
+    return batches.filter(keep)
+
+
+def resume_from_tag(batches: DataFrame, tag: str, n_train: int, cfg: PrepConfig = DEFAULT) -> DataFrame:
+    """What a run preloaded from a checkpoint such as ``"3_50q"`` still does: the
+    train batches left, and the validation of every epoch still to end."""
+    epoch, step = tag_position(tag, steps_per_epoch(n_train, cfg))
+    return resume_filter(batches, epoch, step, validation=True)
 
 
 def batch_manifest(
@@ -115,6 +126,7 @@ def batch_manifest(
     vocab_size: int,
     n_train: int,
     cfg: PrepConfig = DEFAULT,
+    special: SpecialIds = SpecialIds(),
 ) -> DataFrame:
     """One row per train ``(epoch, batch_id)`` with the loop's counters.
 
@@ -124,24 +136,33 @@ def batch_manifest(
     scheduler step (``lr_logged``), the checkpoint milestone and its tag.
     """
     tr = batches.filter(F.col("split") == "train").select("epoch", "batch_id", "example_id")
-    ex = examples.select("example_id", "input_ids", (F.col("n_a") + F.col("n_b") + 3).alias("real"))
-    # Positions are exploded (code-generated) and only counted: the masked
-    # arrays themselves are not needed for the counters.
-    # One key per (epoch, example), projected below the explode.
+    real = F.col("n_a") + F.col("n_b") + 3
+    ex = examples.select("example_id", real.alias("real"), F.slice("input_ids", F.lit(1), real).alias("ids"))
+    # Real positions are exploded (code-generated) and counted to one row for each epoch
+    # and example where they are; the masked arrays themselves are not needed.
     j = tr.join(ex, "example_id").select(
-        "epoch", "batch_id", mask_key(cfg.seed, F.col("epoch"), F.col("example_id")).alias("key"), "real", "input_ids"
+        "epoch", "batch_id", "example_id", mask_key(cfg.seed, F.col("epoch"), F.col("example_id")).alias("key"), "real", "ids"
+    )
+    z = j.select("epoch", "batch_id", "example_id", "key", "real", F.posexplode("ids").alias("pos", "id"))
+    selected = ~F.col("id").isin(*special.never_masked) & (position_draw(F.col("key"), F.col("pos"), 0) < F.lit(cfg.mlm_probability))
+    each = z.groupBy("epoch", "batch_id", "example_id").agg(
+        F.max("real").alias("real"), F.count_if(selected).alias("scored")
     )
-    z = j.select("epoch", "batch_id", "key", "real", F.posexplode("input_ids").alias("pos", "id"))
-    selected = ~F.col("id").isin(*NEVER_MASKED) & (position_draw(F.col("key"), F.col("pos"), 0) < F.lit(cfg.mlm_probability))
-    first = F.col("pos") == 0
-    g = z.groupBy("epoch", "batch_id").agg(
-        F.count_if(first).cast("bigint").alias("rows"),
-        F.sum(F.when(first, F.col("real"))).cast("bigint").alias("real_tokens"),
-        F.count_if(selected).cast("bigint").alias("scored_tokens"),
+    g = each.groupBy("epoch", "batch_id").agg(
+        F.count(F.lit(1)).cast("bigint").alias("rows"),
+        F.sum("real").cast("bigint").alias("real_tokens"),
+        F.sum("scored").cast("bigint").alias("scored_tokens"),
     )
     return with_schedule(g, n_train, cfg)
 
 
+def schedule_steps(spark: SparkSession, n_train: int, cfg: PrepConfig = DEFAULT) -> DataFrame:
+    """Train ``(epoch, batch_id)`` of the whole run, from the number of examples alone."""
+    spe = steps_per_epoch(n_train, cfg)
+    steps = spark.range(spe * cfg.num_epochs)
+    return steps.select(F.expr(f"id div {max(1, spe)}").alias("epoch"), (F.col("id") % max(1, spe)).alias("batch_id"))
+
+
 def with_schedule(steps: DataFrame, n_train: int, cfg: PrepConfig = DEFAULT) -> DataFrame:
     """Adds the loop's counters to rows keyed by train ``(epoch, batch_id)``:
     0-based ``global_step``, 1-based ``step_in_epoch``, the learning rate used

@@ -1,54 +1,78 @@
 """Corpus operators: clean lines and document segmentation.
 
 Input rows are ``(row_id: bigint, text: string)`` where ``row_id`` carries the
-corpus order.  Segmentation is a gaps-and-islands problem over that order:
-each boundary row (empty after strip, or a heading) closes the current
-document.  It is computed with two-level scans (see ``scan``), so neither the
-corpus order nor a single huge document ever lands in one task.
+corpus order: unique, not NULL, and with text in every row (an error otherwise).
+Segmentation is a gaps-and-islands problem over that order: each boundary row
+(empty after strip, or a heading) closes the current document.  It is computed with
+two-level scans (see ``scan``), so neither the corpus order nor a single huge
+document ever lands in one task.
 """
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, Window
+from collections.abc import Callable
+
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from ..config import DEFAULT, PrepConfig
-from ..functions.text import is_boundary, strip_text
+from ..functions.text import is_boundary, required, strip_text
 from ..session import join_small, materialize
-from .scan import choose_width, exclusive_prefix
+from .scan import Buckets, choose_buckets, exclusive_prefix
 
 SENTENCE_COLUMNS = ["doc_key", "sent_idx", "n_sents", "row_id", "text"]
+Write = Callable[[DataFrame, str], DataFrame]
 
 
 def strip_rows(rows: DataFrame) -> DataFrame:
-    return rows.select("row_id", strip_text("text").alias("text"))
+    return rows.select("row_id", strip_text(required("text", "text")).alias("text"))
 
 
 def clean_lines(rows: DataFrame) -> DataFrame:
-    """Stripped, non-empty rows (headings kept): what the vocabulary sees."""
+    """Stripped, non-empty rows (headings kept): what the vocabulary sees.  A NULL
+    text raises."""
     s = strip_rows(rows)
     return s.filter(F.col("text") != F.lit(""))
 
 
+def _flag(boundary_col: str | None) -> Column:
+    b = is_boundary("text") if boundary_col is None else (F.col(boundary_col) | (F.col("text") == F.lit("")))
+    return b.cast("bigint").alias("_b")
+
+
+def _flagged(rows: DataFrame, boundary_col: str | None) -> DataFrame:
+    cols = ["row_id", strip_text(required("text", "text")).alias("text")]
+    return rows.select(*cols, *([boundary_col] if boundary_col else [])).select("row_id", "text", _flag(boundary_col))
+
+
+def boundary_flags(rows: DataFrame, boundary_col: str | None = None, write: Write = materialize) -> DataFrame:
+    """``(row_id, _b)``, written: what the scans over the order need of the corpus,
+    once, instead of reading and stripping the text for each."""
+    return write(_flagged(rows, boundary_col).select("row_id", "_b"), "boundary_flags")
+
+
 def segment_documents(
     rows: DataFrame,
     cfg: PrepConfig = DEFAULT,
     boundary_col: str | None = None,
-    shift: int | None = None,
-    n_buckets: int | None = None,
+    flags: DataFrame | None = None,
+    buckets: Buckets | None = None,
     min_sentences: int | None = None,
+    text: bool = True,
+    write: Write = materialize,
 ) -> DataFrame:
     """Sentences of kept documents, flat.
 
     Output columns: ``doc_key`` (number of boundary rows up to the document,
     unique and increasing in corpus order), ``sent_idx`` (0-based position),
-    ``n_sents``, ``row_id``, ``text`` (stripped) and ``bucket`` (the scan
-    bucket; the result is hash-partitioned by it).
+    ``n_sents``, ``row_id``, ``text`` (stripped; without ``text`` the narrow index of the
+    sentences) and ``bucket`` (the scan bucket; the result is hash-partitioned by it).
 
     ``boundary_col`` names a boolean column that marks boundary rows
     explicitly (e.g. conversation starts); empty rows are boundaries either
     way.  Without it the heading rule applies.  Documents with fewer than
-    ``min_sentences`` sentences are dropped.
+    ``min_sentences`` sentences are dropped.  A row_id that is NULL or occurs twice, and a
+    NULL text, end the job with an error.
 
     Per row, with ``c`` the running count of non-boundary rows, ``L`` its value
     at the last boundary before the row and ``R`` at the next boundary after
@@ -57,20 +81,12 @@ def segment_documents(
     bucket table, so no window is partitioned by document.
     """
     min_sentences = cfg.min_sentences if min_sentences is None else min_sentences
-    cols = ["row_id", strip_text("text").alias("text")]
-    if boundary_col:
-        cols.append(boundary_col)
-    x = rows.select(*cols)
-    b = is_boundary("text") if boundary_col is None else (F.col(boundary_col) | (F.col("text") == F.lit("")))
-    x = x.select("row_id", "text", b.cast("bigint").alias("_b"))
-    # The scans over the order only need (row_id, boundary flag): materialise
-    # that narrow table once instead of re-reading and re-stripping the text.
-    flags = materialize(x.select("row_id", "_b"), "boundary_flags")
-    if shift is None:
-        shift, n_buckets = choose_width(flags, "row_id", cfg)
-    bound = n_buckets
-    x = x.withColumn("bucket", F.shiftright("row_id", shift))
-    flags = flags.withColumn("bucket", F.shiftright("row_id", shift))
+    flags = boundary_flags(rows, boundary_col, write) if flags is None else flags
+    buckets = choose_buckets(flags, "row_id", cfg) if buckets is None else buckets
+    bound = buckets.bound
+    bucket = buckets.column("row_id")
+    x = (_flagged(rows, boundary_col) if text else flags).withColumn("bucket", bucket)
+    flags = flags.withColumn("bucket", bucket)
 
     is_b = F.col("_b") == 1
     nb = F.lit(1) - F.col("_b")
@@ -122,7 +138,10 @@ def segment_documents(
         .orderBy(F.col("row_id").desc())
         .rowsBetween(Window.unboundedPreceding, Window.currentRow)
     )
-    y = y.select("*", F.sum("_b").over(upto).alias("_cb"), F.sum(nb).over(upto).alias("_cn"))
+    # the window sees equal ids side by side: a second one ends the job here
+    twice = F.lag("row_id").over(w) == F.col("row_id")
+    unique = F.when(twice, F.raise_error(F.lit("row_id must be unique")).cast("bigint")).otherwise(F.col("row_id"))
+    y = y.select("*", F.sum("_b").over(upto).alias("_cb"), F.sum(nb).over(upto).alias("_cn"), unique.alias("_id"))
     y = y.select(
         "*",
         F.max(F.when(is_b, F.col("_cn"))).over(upto).alias("_ll"),
@@ -131,11 +150,11 @@ def segment_documents(
     left = F.coalesce(F.col("off_n_n") + F.col("_ll"), F.col("carry_in"))
     right = F.coalesce(F.col("off_n_n") + F.col("_ln"), F.col("carry_out"))
     out = y.filter(F.col("_b") == 0).select(
-        (F.col("off_n_b") + F.col("_cb")).cast("bigint").alias("doc_key"),
+        (F.col("off_n_b") + F.col("_cb") + F.col("_id") - F.col("row_id")).cast("bigint").alias("doc_key"),
         (F.col("off_n_n") + F.col("_cn") - left - 1).cast("bigint").alias("sent_idx"),
         (right - left).cast("bigint").alias("n_sents"),
-        "row_id",
-        "text",
+        F.col("_id").alias("row_id"),
+        *(["text"] if text else []),
         "bucket",
     )
     if min_sentences > 1:
@@ -143,6 +162,20 @@ def segment_documents(
     return out
 
 
+def number_documents(index: DataFrame, bound: int, cfg: PrepConfig = DEFAULT) -> DataFrame:
+    """Adds ``doc_idx``: 0-based number of the kept document in corpus order.
+
+    The count of first sentences up to the row, as a two-level scan over the written
+    index; no window or join is keyed by document.
+    """
+    first = (F.col("sent_idx") == 0).cast("bigint")
+    counts = index.groupBy("bucket").agg(F.sum(first).alias("_f"))
+    offs = exclusive_prefix(counts, ["bucket"], ["_f"]).select("bucket", "off__f")
+    j = join_small(index, offs, "bucket", row_bound=bound, max_rows=cfg.broadcast_max_rows)
+    w = Window.partitionBy("bucket").orderBy("row_id").rowsBetween(Window.unboundedPreceding, Window.currentRow)
+    return j.select(*index.columns, (F.col("off__f") + F.sum(first).over(w) - 1).cast("bigint").alias("doc_idx"))
+
+
 def document_lengths(sentences: DataFrame) -> DataFrame:
     """One row per kept document: key, sentence count and first row id.
 

@@ -5,21 +5,22 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from ..config import DEFAULT, PrepConfig
+from ..config import DEFAULT, PrepConfig, SpecialIds
 from ..functions.masking import mask_key, masked_and_labels, with_position_draws
 from ..functions.sequences import assemble, truncated_lengths
 
-EXAMPLE_COLUMNS = ["example_id", "doc_key", "is_next", "input_ids", "token_type_ids", "attention_mask", "n_a", "n_b"]
+EXAMPLE_COLUMNS = ["example_id", "doc_idx", "is_next", "input_ids", "token_type_ids", "attention_mask", "n_a", "n_b"]
 
 
-def assemble_examples(pairs: DataFrame, cfg: PrepConfig = DEFAULT, ids_a: str = "ids", ids_b: str = "ids_b") -> DataFrame:
+def assemble_examples(pairs: DataFrame, cfg: PrepConfig = DEFAULT, ids_a: str = "ids", ids_b: str = "ids_b",
+                      special: SpecialIds = SpecialIds()) -> DataFrame:
     """Truncate the pair to ``seq_len - 3`` tokens and lay it out unmasked."""
     na, nb = truncated_lengths(F.size(ids_a), F.size(ids_b), cfg.pair_budget)
-    x = pairs.select("example_id", "doc_key", "is_next", ids_a, ids_b, na.alias("n_a"), nb.alias("n_b"))
-    parts = assemble(F.col(ids_a), F.col(ids_b), F.col("n_a"), F.col("n_b"), cfg.seq_len)
+    x = pairs.select("example_id", "doc_idx", "is_next", ids_a, ids_b, na.alias("n_a"), nb.alias("n_b"))
+    parts = assemble(F.col(ids_a), F.col(ids_b), F.col("n_a"), F.col("n_b"), cfg.seq_len, special)
     return x.select(
         "example_id",
-        "doc_key",
+        "doc_idx",
         "is_next",
         parts["input_ids"].alias("input_ids"),
         parts["token_type_ids"].alias("token_type_ids"),
@@ -29,15 +30,16 @@ def assemble_examples(pairs: DataFrame, cfg: PrepConfig = DEFAULT, ids_a: str =
     )
 
 
-def apply_mlm(examples: DataFrame, vocab_size: int, epoch: Column | int, cfg: PrepConfig = DEFAULT) -> DataFrame:
+def apply_mlm(examples: DataFrame, vocab_size: int, epoch: Column | int, cfg: PrepConfig = DEFAULT,
+              special: SpecialIds = SpecialIds()) -> DataFrame:
     """Replace ``input_ids`` by the masked ids and add ``labels``.
 
     Masks depend on ``epoch`` (redrawn every epoch); pairs do not.
     """
     ep = epoch if isinstance(epoch, Column) else F.lit(int(epoch))
-    x = with_position_draws(examples, "input_ids", mask_key(cfg.seed, ep, F.col("example_id")))
+    x = with_position_draws(examples, "input_ids", mask_key(cfg.seed, ep, F.col("example_id")), special)
     masked, labels = masked_and_labels(x, "input_ids", int(vocab_size), cfg.mlm_probability,
-                                       cfg.mask_share, cfg.random_share)
+                                       cfg.mask_share, cfg.random_share, special)
     return x.select(
         *[c for c in examples.columns if c != "input_ids"],
         masked.alias("input_ids"),

@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ..config import IGNORE_INDEX
@@ -10,7 +10,8 @@ from ..functions.losses import cross_entropy_term
 
 
 def masked_cross_entropy(df: DataFrame, logits: str = "logits", label: str = "mlm_label", by: str = "batch_id") -> DataFrame:
-    """Mean cross-entropy over scored rows per batch; NULL when none scored."""
+    """Mean cross-entropy over scored rows per batch; NULL when none scored.  Only the
+    ignore index is left out; any other label outside the logits raises."""
     scored = F.col(label) != F.lit(IGNORE_INDEX)
     term = F.when(scored, cross_entropy_term(F.col(logits), F.col(label)))
     return df.groupBy(by).agg(
@@ -69,6 +70,12 @@ def scalar_rows(losses: DataFrame, split: str = "train", step_col: str = "batch_
     return losses.select(F.col(step_col).cast("bigint").alias("step"), F.inline(arr)).select("tag", "step", "value")
 
 
+def log_rows(scalars: DataFrame, split: str, epoch) -> DataFrame:
+    """Scalar rows with the ``split`` and ``epoch`` that the log keeps of each."""
+    ep = epoch if isinstance(epoch, Column) else F.lit(epoch)
+    return scalars.select(F.lit(split).alias("split"), ep.cast("bigint").alias("epoch"), "tag", "step", "value")
+
+
 def lr_rows(manifest: DataFrame) -> DataFrame:
     """``train/lr`` rows of the scalar log: the rate logged after each step."""
     return manifest.select(

@@ -4,6 +4,9 @@ One example per non-final sentence ``a`` of a kept document; its id is the
 ``row_id`` of ``a``.  With probability ``p`` the partner is the next sentence
 (``is_next = 1``); otherwise a document is drawn uniformly among the *other*
 kept documents and a sentence uniformly within it (``is_next = 0``).
+
+Pairs are made on the narrow sentence index, in which every sentence carries its
+document's number; token arrays are attached to the finished pairs.
 """
 
 from __future__ import annotations
@@ -12,28 +15,17 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from ..config import DEFAULT, PrepConfig
-from ..functions.hashing import digest, uniform, uniform_index
+from ..functions.hashing import uniform, uniform_index
 from ..session import join_small
-from .scan import hash_rank
-
 
-def document_index(sentences: DataFrame, cfg: PrepConfig = DEFAULT) -> tuple[DataFrame, int]:
-    """Dense 0-based ``doc_idx`` over kept documents, in digest order.
 
-    Returns ``(docs, D)`` with docs ``(doc_key, n_sents, doc_idx)``.  ``D`` is
-    one scalar count; the rank itself is the two-level hash rank.
-    """
-    docs = sentences.filter(F.col("sent_idx") == 0).select("doc_key", "n_sents")
-    n_docs = docs.count()
-    ranked = hash_rank(
-        docs, digest(cfg.seed, "docidx", F.col("doc_key")), ["doc_key"], "doc_idx", n_rows=n_docs, cfg=cfg
-    )
-    return ranked, n_docs
+def document_table(index: DataFrame) -> DataFrame:
+    """``(doc_idx, doc_key, n_sents)``, read from first sentences."""
+    return index.filter(F.col("sent_idx") == 0).select("doc_idx", "doc_key", "n_sents")
 
 
-def nsp_pairs(sentences: DataFrame, docs: DataFrame, n_docs: int, cfg: PrepConfig = DEFAULT,
-              carry_cols: list[str] = ()) -> DataFrame:
-    """``(example_id, doc_key, sent_idx, is_next, b_doc_key, b_sent_idx, *carry)``.
+def nsp_pairs(index: DataFrame, docs: DataFrame, n_docs: int, cfg: PrepConfig = DEFAULT) -> DataFrame:
+    """``(example_id, doc_idx, sent_idx, is_next, b_doc_idx, b_sent_idx)``.
 
     The random document is ``j + (j >= own)`` with ``j`` uniform in
     ``0..D-2``: the law of "redraw until different" without a loop.  Every
@@ -43,44 +35,44 @@ def nsp_pairs(sentences: DataFrame, docs: DataFrame, n_docs: int, cfg: PrepConfi
     if n_docs < 2:
         raise ValueError("random pairs need at least two kept documents")
     s = cfg.seed
-    a = sentences.filter(F.col("sent_idx") < F.col("n_sents") - 1)
-    own = join_small(a, docs.select("doc_key", F.col("doc_idx").alias("own_idx")), "doc_key",
-                     row_bound=n_docs, max_rows=cfg.broadcast_max_rows)
+    a = index.filter(F.col("sent_idx") < F.col("n_sents") - 1)
     eid = F.col("row_id")
     j = uniform_index(uniform(s, "doc", eid), F.lit(n_docs - 1))
-    own = own.select(
-        "*",
+    own = a.select(
         eid.alias("example_id"),
+        "doc_idx",
+        "sent_idx",
         (uniform(s, "nsp", eid) < F.lit(cfg.nsp_positive_probability)).cast("bigint").alias("is_next"),
-        (j + F.when(j >= F.col("own_idx"), 1).otherwise(0)).cast("bigint").alias("t_idx"),
+        (j + F.when(j >= F.col("doc_idx"), 1).otherwise(0)).cast("bigint").alias("t_idx"),
     )
-    t = docs.select(F.col("doc_idx").alias("t_idx"), F.col("doc_key").alias("t_doc_key"), F.col("n_sents").alias("t_n"))
-    pj = join_small(own, t, "t_idx", row_bound=n_docs, max_rows=cfg.broadcast_max_rows)
+    t = docs.select(F.col("doc_idx").alias("t_idx"), F.col("n_sents").alias("t_n"))
+    pj = join_small(own, t, "t_idx", row_bound=n_docs, max_rows=cfg.broadcast_max_rows, row_bytes=32)
     pos = F.col("is_next") == 1
     return pj.select(
         "example_id",
-        "doc_key",
+        "doc_idx",
         "sent_idx",
         "is_next",
-        F.when(pos, F.col("doc_key")).otherwise(F.col("t_doc_key")).alias("b_doc_key"),
+        F.when(pos, F.col("doc_idx")).otherwise(F.col("t_idx")).alias("b_doc_idx"),
         F.when(pos, F.col("sent_idx") + 1)
         .otherwise(uniform_index(uniform(s, "sent", F.col("example_id")), F.col("t_n")))
         .alias("b_sent_idx"),
-        *carry_cols,
     )
 
 
-def resolve_partner(pairs: DataFrame, sentences: DataFrame, carry_cols: list[str] = ()) -> DataFrame:
-    """Adds ``b_id`` (and ``carry_cols`` of the partner, suffixed ``_b``).
+def resolve_partner(pairs: DataFrame, index: DataFrame) -> DataFrame:
+    """Adds ``b_id``, the partner's row.
 
-    Equi-join on ``(doc_key, sent_idx)``.  Partner keys are unique for
+    Equi-join of narrow rows on ``(doc_idx, sent_idx)``.  Partner keys are unique for
     positive pairs and uniform within the target document for negative ones;
     AQE splits a partition if one short document is drawn very often.
     """
-    b = sentences.select(
-        F.col("doc_key").alias("b_doc_key"),
-        F.col("sent_idx").alias("b_sent_idx"),
-        F.col("row_id").alias("b_id"),
-        *[F.col(c).alias(f"{c}_b") for c in carry_cols],
-    )
-    return pairs.join(b, ["b_doc_key", "b_sent_idx"])
+    b = index.select(F.col("doc_idx").alias("b_doc_idx"), F.col("sent_idx").alias("b_sent_idx"), F.col("row_id").alias("b_id"))
+    return pairs.join(b, ["b_doc_idx", "b_sent_idx"])
+
+
+def attach_tokens(pairs: DataFrame, tokens: DataFrame) -> DataFrame:
+    """Adds ``ids`` and ``ids_b``: the token arrays of both sentences, by row."""
+    a = tokens.select(F.col("row_id").alias("example_id"), "ids")
+    b = tokens.select(F.col("row_id").alias("b_id"), F.col("ids").alias("ids_b"))
+    return pairs.join(a, "example_id").join(b, "b_id")

@@ -3,8 +3,8 @@
 ``row_number() over (order by k)`` without a partition runs in one task.  The
 helpers here give the same numbers with all data-sized work partitioned:
 
-1. every row gets a bucket that agrees with the order (high bits of a bigint
-   key, or leading hex digits of a digest);
+1. every row gets a bucket that agrees with the order (a range of a bigint key,
+   chosen by how many rows lie in it, or leading hex digits of a digest);
 2. a per-bucket aggregate gives a small table (one row per bucket);
 3. an exclusive prefix over that table gives each bucket's offset;
 4. the offsets are joined back (broadcast when the bucket count is bounded)
@@ -17,6 +17,7 @@ and re-partitioning give the same result.
 from __future__ import annotations
 
 import math
+from dataclasses import dataclass
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
@@ -32,24 +33,77 @@ def _target_rows(df: DataFrame, n_rows: int, cfg: PrepConfig) -> int:
     return max(1, min(cfg.scan_bucket_rows, n_rows // (4 * par) or 1))
 
 
-def choose_width(df: DataFrame, order_col: str, cfg: PrepConfig = DEFAULT) -> tuple[int, int]:
-    """Power-of-two bucket width for a non-negative bigint order key.
+@dataclass(frozen=True)
+class Buckets:
+    """Ranges of a bigint order key, each named by its lower end.
 
-    One scalar aggregate (min, max, count).  Returns ``(shift, n_buckets)``:
-    bucket = ``order_col >> shift``, and ``n_buckets`` bounds the bucket table.
+    Ranges are powers of two wide.  ``levels`` refines the heavy ones: ranges, by the
+    narrower width that replaces theirs.  ``bound`` bounds the number of buckets.
+    """
+
+    shift: int
+    levels: tuple[tuple[tuple[int, tuple[int, ...]], ...], ...]
+    bound: int
+
+    def column(self, order_col: str) -> Column:
+        x = F.col(order_col)
+        out = _lower_end(x, self.shift)
+        for level in self.levels:
+            refined = out
+            for shift, cells in level:
+                refined = F.when(out.isin(*cells), _lower_end(x, shift)).otherwise(refined)
+            out = refined
+        return out
+
+
+def _lower_end(x: Column, shift: int) -> Column:
+    return F.shiftleft(F.shiftright(x, shift), shift)
+
+
+def choose_buckets(df: DataFrame, order_col: str, cfg: PrepConfig = DEFAULT) -> Buckets:
+    """Buckets of at most about twice the target number of rows, however the ids lie.
+
+    One scalar aggregate gives the first width; a count by bucket finds the heavy ones,
+    whose own range and count give them a narrower width, until none is left.  Only heavy
+    buckets come to the driver, at most half as many as there are targets in the table.
+    Boundaries steer the plan; no result depends on them.  A NULL id raises.
     """
     row = df.agg(
-        F.min(order_col).alias("lo"), F.max(order_col).alias("hi"), F.count(F.lit(1)).alias("n")
+        F.min(order_col).alias("lo"), F.max(order_col).alias("hi"), F.count(F.lit(1)).alias("n"), F.count(order_col).alias("k")
     ).first()
-    if row is None or not row["n"]:
-        return 0, 1
+    if row["n"] != row["k"]:
+        raise ValueError(f"{order_col} must not be NULL")
+    if not row["n"]:
+        return Buckets(0, (), 1)
     lo, hi, n = int(row["lo"]), int(row["hi"]), int(row["n"])
-    span = hi - lo + 1
     target = _target_rows(df, n, cfg)
-    width = max(1, math.ceil(span * target / n))
-    shift = max(0, (width - 1).bit_length())
-    n_buckets = (hi >> shift) - (lo >> shift) + 1
-    return shift, n_buckets
+    shift = _shift(hi - lo + 1, target, n)
+    found = Buckets(shift, (), ((hi - lo) >> shift) + 2)
+    ids, cells = df.select(order_col), None
+    while True:
+        x = ids.select(order_col, found.column(order_col).alias("bucket"))
+        if cells is not None:
+            coarse = Buckets(found.shift, found.levels[:-1], 0).column(order_col)
+            x = x.where(coarse.isin(*cells))
+        heavy = (
+            x.groupBy("bucket").agg(F.count(F.lit(1)).alias("n"), F.min(order_col).alias("lo"), F.max(order_col).alias("hi"))
+            .where((F.col("n") > 2 * target) & (F.col("lo") < F.col("hi"))).collect()
+        )
+        if not heavy:
+            return found
+        level: dict[int, list[int]] = {}
+        more = 0
+        for h in heavy:
+            s = _shift(h["hi"] - h["lo"] + 1, target, h["n"])
+            level.setdefault(s, []).append(h["bucket"])
+            more += ((h["hi"] - h["lo"]) >> s) + 2
+        cells = [h["bucket"] for h in heavy]
+        found = Buckets(found.shift, (*found.levels, tuple((s, tuple(c)) for s, c in sorted(level.items()))), found.bound + more)
+
+
+def _shift(span: int, target: int, n: int) -> int:
+    """Largest width, as a power of two, that holds ``target`` of evenly spread ids."""
+    return max(0, max(1, span * target // n).bit_length() - 1)
 
 
 def hex_digits_for(n_rows: int, df: DataFrame, cfg: PrepConfig = DEFAULT) -> int:

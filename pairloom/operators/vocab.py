@@ -8,10 +8,12 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from ..config import DEFAULT, UNK_ID, PrepConfig
+from ..config import DEFAULT, PrepConfig, SpecialIds
 from ..functions.text import split_words
 from ..session import join_small
 
+ROLES = {"unk": "[UNK]", "pad": "[PAD]", "cls": "[CLS]", "sep": "[SEP]", "mask": "[MASK]"}
+
 SplitFn = Callable[[Column], Column]
 ID_MASK = 0xFFFFFFFF
 
@@ -69,6 +71,24 @@ def build_vocab(counts: DataFrame, cfg: PrepConfig = DEFAULT) -> DataFrame:
     return sp.unionByName(words)
 
 
+def special_ids(vocab: DataFrame) -> SpecialIds:
+    """Ids that the vocabulary gives the special tokens (one five-row read); a
+    token that is absent or there twice raises."""
+    rows = vocab.where(F.col("token").isin(*ROLES.values())).select("token", "id").limit(2 * len(ROLES)).collect()
+    found = {r["token"]: int(r["id"]) for r in rows}
+    if len(rows) != len(ROLES) or len(found) != len(ROLES):
+        raise ValueError(f"the vocabulary must hold each of {sorted(ROLES.values())} once")
+    return SpecialIds(**{role: found[token] for role, token in ROLES.items()})
+
+
+def lookup_join(token_rows: DataFrame, vocab: DataFrame, cfg: PrepConfig = DEFAULT) -> DataFrame:
+    """Left join of ``token`` with the vocabulary's ``id``; broadcast only if the
+    table's counted rows and bytes allow it."""
+    size = vocab.agg(F.count(F.lit(1)).alias("n"), F.max(F.octet_length("token")).alias("b")).first()
+    return join_small(token_rows, vocab.select("token", "id"), "token", "left", row_bound=size["n"],
+                      max_rows=cfg.broadcast_max_rows, row_bytes=32 + (size["b"] or 0))
+
+
 def lookup_ids(
     rows: DataFrame,
     vocab: DataFrame,
@@ -77,11 +97,12 @@ def lookup_ids(
     max_tokens: int | None = None,
     split_fn: SplitFn = split_words,
     cfg: PrepConfig = DEFAULT,
+    special: SpecialIds | None = None,
 ) -> DataFrame:
     """Adds ``ids: array<bigint>`` (unknown tokens map to ``[UNK]``).
 
-    Tokens are exploded, looked up with a broadcast join against the
-    vocabulary (at most ``vocab_size`` rows) and regrouped by ``key_cols``.
+    Tokens are exploded, looked up with a join against the vocabulary (broadcast if
+    its counted size allows it) and regrouped by ``key_cols``.
     When ``rows`` is already hash-partitioned by a prefix of ``key_cols`` (the
     segmentation bucket), the regroup needs no shuffle.  ``max_tokens`` keeps
     only the first tokens of each row before the explode.
@@ -90,13 +111,13 @@ def lookup_ids(
     if max_tokens is not None:
         toks = F.slice(toks, 1, int(max_tokens))
     ex = rows.select(*key_cols, *carry_cols, F.posexplode_outer(toks).alias("pos", "token"))
-    j = join_small(ex, vocab.select("token", "id"), "token", "left", row_bound=cfg.vocab_size,
-                   max_rows=max(cfg.broadcast_max_rows, cfg.vocab_size))
+    unk = (special_ids(vocab) if special is None else special).unk
+    j = lookup_join(ex, vocab, cfg)
     # (pos << 32) + id: one primitive per token, so sorting the collected
     # list restores token order without building a struct per token.
     code = F.when(
         F.col("pos").isNotNull(),
-        F.shiftleft(F.col("pos").cast("bigint"), 32) + F.coalesce("id", F.lit(UNK_ID).cast("bigint")),
+        F.shiftleft(F.col("pos").cast("bigint"), 32) + F.coalesce("id", F.lit(unk).cast("bigint")),
     )
     g = j.groupBy(*key_cols).agg(
         *[F.first(c).alias(c) for c in carry_cols],

@@ -6,14 +6,15 @@ names match the SQL twins in ``oracle``.
 
 from __future__ import annotations
 
+import uuid
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..config import DEFAULT, IGNORE_INDEX, PrepConfig
-from ..functions.masking import NEVER_MASKED, mask_key, position_draw
-from ..operators.batches import batch_manifest, resume_filter, with_schedule
+from ..functions.masking import mask_key, position_draw
+from ..operators.batches import resume_filter, schedule_steps, with_schedule
 from ..operators.corpus import clean_lines, document_lengths
 from ..operators.metrics import (
     batch_losses,
@@ -21,18 +22,22 @@ from ..operators.metrics import (
     masked_cross_entropy,
     pair_loss,
     epoch_rows,
+    log_rows,
     lr_rows,
     scalar_rows,
 )
-from ..operators.vocab import lookup_ids, token_counts, tokens
-from ..session import ensure_checkpoint_dir, join_small
+from ..operators.vocab import lookup_ids, lookup_join, token_counts, tokens
+from ..session import ensure_checkpoint_dir
 from ..sources.corpus import (
     conversations_corpus,
     documents_corpus,
     logits_fixture,
+    read_corpus,
     scalar_fixture,
     table,
 )
+from ..sources.sinks import append_scalars, epoch_examples, read_epoch, read_scalars, write_examples
+from ..sources.vocab_store import get_or_build_vocab
 from .pretraining import Preparation
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -41,6 +46,9 @@ Query = Callable[[SparkSession, str], DataFrame]
 # step int(0.5 * steps_per_epoch).
 RESUME_EPOCH = 3
 RESUME_FRACTION = 0.5
+RESUME_TAG = "3_50q"
+LATER_EPOCH = 3
+WRITTEN_EPOCH = 1
 
 
 def _docs_prep(spark: SparkSession, sf_dir: str, cfg: PrepConfig = DEFAULT) -> Preparation:
@@ -53,12 +61,22 @@ def _conv_prep(spark: SparkSession, sf_dir: str, cfg: PrepConfig = DEFAULT) -> P
     return Preparation(conversations_corpus(table(spark, sf_dir, "conversations")), cfg, boundary_col="is_start")
 
 
+def _fresh(spark: SparkSession, name: str) -> str:
+    """A new folder under the session's checkpoint folder."""
+    return f"{ensure_checkpoint_dir(spark).rstrip('/')}/{name}-{uuid.uuid4().hex}"
+
+
 def _joined(col: str) -> F.Column:
     return F.array_join(F.col(col).cast("array<string>"), " ")
 
 
 # -- step 1: lines and vocabulary ------------------------------------------
 
+def q_corpus_scan(spark, sf_dir):
+    """Rows of the files of ``documents``, numbered in file order."""
+    return read_corpus(spark, f"{sf_dir.rstrip('/')}/documents.parquet")
+
+
 def q_clean_lines(spark, sf_dir):
     return clean_lines(documents_corpus(table(spark, sf_dir, "documents")))
 
@@ -71,18 +89,37 @@ def q_vocab_build(spark, sf_dir):
     return _docs_prep(spark, sf_dir).vocab
 
 
+def q_vocab_cached(spark, sf_dir):
+    """The vocabulary as the cache gives it back to a second call."""
+    lines = clean_lines(documents_corpus(table(spark, sf_dir, "documents")))
+    path = _fresh(spark, "vocab-cache")
+    get_or_build_vocab(lines, path)
+    return get_or_build_vocab(lines, path)
+
+
+def space_split(c):
+    """A custom word split: runs of characters between spaces."""
+    return F.filter(F.split(c, " "), lambda w: w != "")
+
+
+def q_custom_split_ids(spark, sf_dir):
+    p = Preparation(documents_corpus(table(spark, sf_dir, "documents")), split_fn=space_split)
+    ids = lookup_ids(p.sentences, p.vocab, key_cols=["bucket", "row_id"], split_fn=space_split, cfg=p.cfg)
+    return ids.select("row_id", F.size("ids").cast("bigint").alias("n_tokens"), _joined("ids").alias("ids"))
+
+
 # -- step 2: documents ----------------------------------------------------
 
 def q_documents_segmented(spark, sf_dir):
-    return document_lengths(_docs_prep(spark, sf_dir).sentences)
+    return document_lengths(_docs_prep(spark, sf_dir).index)
 
 
 def q_sentence_index(spark, sf_dir):
-    return _docs_prep(spark, sf_dir).sentences.select("row_id", "doc_key", "sent_idx", "n_sents")
+    return _docs_prep(spark, sf_dir).index.select("row_id", "doc_key", "sent_idx", "n_sents")
 
 
 def q_doc_lengths(spark, sf_dir):
-    d = document_lengths(_docs_prep(spark, sf_dir).sentences)
+    d = document_lengths(_docs_prep(spark, sf_dir).index)
     return d.groupBy("n_sents").agg(F.count(F.lit(1)).cast("bigint").alias("n_documents"))
 
 
@@ -100,8 +137,7 @@ def q_token_ids(spark, sf_dir):
 
 def q_unk_rate(spark, sf_dir):
     p = _docs_prep(spark, sf_dir)
-    t = join_small(tokens(p.lines), p.vocab.select("token", "id"), "token", "left",
-                   row_bound=p.cfg.vocab_size, max_rows=max(p.cfg.vocab_size, p.cfg.broadcast_max_rows))
+    t = lookup_join(tokens(p.lines), p.vocab, p.cfg)
     return t.agg(
         F.count(F.lit(1)).cast("bigint").alias("n_tokens"),
         F.count_if(F.col("id").isNull()).cast("bigint").alias("n_unk"),
@@ -146,7 +182,16 @@ def q_assembled_long(spark, sf_dir):
 # -- step 6: masking and examples -----------------------------------------
 
 def q_mlm_long(spark, sf_dir):
-    m = _docs_prep(spark, sf_dir).masked(0)
+    return _mlm_long(spark, sf_dir, 0)
+
+
+def q_mlm_long_later(spark, sf_dir):
+    """Masked positions of a later epoch: the masks are drawn anew."""
+    return _mlm_long(spark, sf_dir, LATER_EPOCH)
+
+
+def _mlm_long(spark, sf_dir, epoch):
+    m = _docs_prep(spark, sf_dir).masked(epoch)
     x = m.select("example_id", F.posexplode(F.arrays_zip("input_ids", "labels")).alias("pos", "v"))
     return x.select(
         "example_id",
@@ -162,7 +207,7 @@ def q_mlm_rates(spark, sf_dir):
     cfg = p.cfg
     x = p.examples.select(mask_key(cfg.seed, F.lit(0), F.col("example_id")).alias("key"), "input_ids")
     x = x.select("key", F.posexplode("input_ids").alias("pos", "id"))
-    x = x.filter(~F.col("id").isin(*NEVER_MASKED))
+    x = x.filter(~F.col("id").isin(*p.special.never_masked))
     x = x.select(position_draw(F.col("key"), F.col("pos"), 0).alias("sel"),
                  position_draw(F.col("key"), F.col("pos"), 1).alias("br"))
     sel = F.col("sel") < F.lit(cfg.mlm_probability)
@@ -224,12 +269,27 @@ def q_epoch_batches(spark, sf_dir):
 def q_resume_tail(spark, sf_dir):
     p = _docs_prep(spark, sf_dir)
     step = int(p.steps_per_epoch * RESUME_FRACTION)
-    return resume_filter(p.batches(), RESUME_EPOCH, step).select("epoch", "batch_id", "slot", "example_id")
+    left = resume_filter(p.batches(first_epoch=RESUME_EPOCH), RESUME_EPOCH, step)
+    return left.select("epoch", "batch_id", "slot", "example_id")
+
+
+def q_resume_from_tag(spark, sf_dir):
+    """Train and validation batches left after the checkpoint ``3_50q``."""
+    return _docs_prep(spark, sf_dir).resumed(RESUME_TAG)
 
 
 def q_batch_manifest(spark, sf_dir):
+    return _docs_prep(spark, sf_dir).manifest()
+
+
+def q_examples_written(spark, sf_dir):
+    """Validation examples of one epoch, read back from the example files."""
     p = _docs_prep(spark, sf_dir)
-    return batch_manifest(p.batches(), p.examples, p.vocab_size, p.sizes[0], p.cfg)
+    path = _fresh(spark, "examples")
+    rows = epoch_examples(p.batches(WRITTEN_EPOCH, WRITTEN_EPOCH), p.examples, p.vocab_size, p.cfg, p.special)
+    write_examples(rows, path)
+    t = read_epoch(spark, path, "val", WRITTEN_EPOCH)
+    return t.select("batch_id", "slot", "example_id", *[_joined(c).alias(c) for c in ("input_ids", "attention_mask", "token_type_ids", "labels")], "next_sentence_label")
 
 
 # -- step 8: losses and logs ----------------------------------------------
@@ -263,11 +323,26 @@ def q_scalar_log(spark, sf_dir):
     return scalar_rows(losses).select("tag", "step", _r6("value"))
 
 
+def q_scalar_log_written(spark, sf_dir):
+    """The scalar log of the losses, appended in two parts and read back."""
+    losses = batch_losses(logits_fixture(table(spark, sf_dir, "embeddings")))
+    rows = log_rows(scalar_rows(losses), "train", 0)
+    path = _fresh(spark, "scalars")
+    for part in (0, 1):
+        append_scalars(rows.where(F.col("step") % 2 == part), path)
+    return read_scalars(spark, path).select("split", "epoch", "tag", "step", _r6("value"))
+
+
 def q_lr_log(spark, sf_dir):
     """``train/lr`` rows a run logs after each step (one per train batch)."""
     p = _docs_prep(spark, sf_dir)
-    steps = p.batches().filter(F.col("split") == "train").select("epoch", "batch_id").distinct()
-    return lr_rows(with_schedule(steps, p.sizes[0], p.cfg))
+    return lr_rows(with_schedule(schedule_steps(spark, p.sizes[0], p.cfg), p.sizes[0], p.cfg))
+
+
+def q_epoch_metrics_full_denominator(spark, sf_dir):
+    """Epoch sums divided by all batches of the epoch, logged or not."""
+    g = epoch_averages(scalar_fixture(table(spark, sf_dir, "events")), denominator=100)
+    return g.select("split", "epoch", "tag", _r6("mean_value"), "n_batches", "n_missing")
 
 
 def q_epoch_log(spark, sf_dir):
@@ -279,7 +354,7 @@ def q_epoch_log(spark, sf_dir):
 # -- conversations as documents -------------------------------------------
 
 def q_conv_sentence_index(spark, sf_dir):
-    return _conv_prep(spark, sf_dir).sentences.select("row_id", "doc_key", "sent_idx", "n_sents")
+    return _conv_prep(spark, sf_dir).index.select("row_id", "doc_key", "sent_idx", "n_sents")
 
 
 def q_conv_nsp_pairs(spark, sf_dir):
@@ -291,9 +366,12 @@ def q_conv_training_examples(spark, sf_dir):
 
 
 QUERIES: dict[str, Query] = {
+    "corpus_scan": q_corpus_scan,
     "clean_lines": q_clean_lines,
     "token_counts": q_token_counts,
     "vocab_build": q_vocab_build,
+    "vocab_cached": q_vocab_cached,
+    "custom_split_ids": q_custom_split_ids,
     "documents_segmented": q_documents_segmented,
     "sentence_index": q_sentence_index,
     "doc_lengths": q_doc_lengths,
@@ -305,6 +383,7 @@ QUERIES: dict[str, Query] = {
     "pair_truncation": q_pair_truncation,
     "assembled_long": q_assembled_long,
     "mlm_long": q_mlm_long,
+    "mlm_long_later": q_mlm_long_later,
     "mlm_rates": q_mlm_rates,
     "training_examples": q_training_examples,
     "example_summary": q_example_summary,
@@ -312,12 +391,16 @@ QUERIES: dict[str, Query] = {
     "split_by_document": q_split_by_document,
     "epoch_batches": q_epoch_batches,
     "resume_tail": q_resume_tail,
+    "resume_from_tag": q_resume_from_tag,
     "batch_manifest": q_batch_manifest,
+    "examples_written": q_examples_written,
     "masked_cross_entropy": q_masked_cross_entropy,
     "pair_loss": q_pair_loss,
     "total_loss": q_total_loss,
     "epoch_metrics": q_epoch_metrics,
+    "epoch_metrics_full_denominator": q_epoch_metrics_full_denominator,
     "scalar_log": q_scalar_log,
+    "scalar_log_written": q_scalar_log_written,
     "lr_log": q_lr_log,
     "epoch_log": q_epoch_log,
     "conv_sentence_index": q_conv_sentence_index,

@@ -51,30 +51,24 @@ def _u(tag: str, key: str) -> str:
 M32, MIXC, WEYL = 0xFFFFFFFF, 0x45D9F3B, 0x9E3779B9
 
 
-def _key32(tag: str, *keys: str) -> str:
-    return f"CAST('0x' || substr({_md5(tag, *keys)}, 1, 8) AS BIGINT)"
+def _half(start: int, tag: str, *keys: str) -> str:
+    return f"CAST('0x' || substr({_md5(tag, *keys)}, {start}, 8) AS BIGINT)"
 
 
 def _rnd(x: str) -> str:
     return f"((xor(({x}) >> 16, ({x})) * {MIXC}) & {M32})"
 
 
-def _mix(x: str) -> str:
-    r = _rnd(_rnd(x))
-    return f"xor(({r}) >> 16, ({r}))"
+def _draw(pos: str, j: int) -> str:
+    """Draw j of a position: counter 3*pos+j of the first half ``k``, mixed with the second, ``k2``."""
+    c = f"(((k) + (({pos}) * 3 + {j}) * {WEYL}) & {M32})"
+    r = _rnd(f"xor({_rnd(c)}, k2)")
+    return f"(CAST(xor(({r}) >> 16, ({r})) AS DOUBLE) / 4294967296.0::DOUBLE)"
 
 
-def _draw(key: str, pos: str, j: int) -> str:
-    """Draw j of a position: counter 3*pos+j of the 32-bit key, mixed."""
-    c = f"((({key}) + (({pos}) * 3 + {j}) * {WEYL}) & {M32})"
-    return f"(CAST({_mix(c)} AS DOUBLE) / 4294967296.0::DOUBLE)"
-
-
-# -- corpus rows -------------------------------------------------------------
-
 DOCS_RAW = """
 raw AS (
-  SELECT doc_id * 1048576 + p AS row_id, raw AS text, FALSE AS is_start FROM (
+  SELECT (row_number() OVER (ORDER BY doc_id, p) - 1)::BIGINT AS row_id, raw AS text, FALSE AS is_start FROM (
     SELECT doc_id, generate_subscripts(a, 1) - 1 AS p, unnest(a) AS raw FROM (
       SELECT doc_id, list_concat([' = ' || source || ' = ', ''],
         flatten(list_transform(string_split(text, chr(10)),
@@ -143,7 +137,7 @@ def _sentence_tokens() -> list[str]:
 def _pairs() -> list[str]:
     return [
         f"""docs AS (SELECT doc_key, n_sents,
-  (row_number() OVER (ORDER BY {_md5('docidx', 'doc_key')}, doc_key) - 1)::BIGINT AS doc_idx
+  (row_number() OVER (ORDER BY doc_key) - 1)::BIGINT AS doc_idx
   FROM sent_tok WHERE sent_idx = 0)""",
         "nd AS (SELECT count(*)::BIGINT AS d FROM docs)",
         f"""p0 AS (SELECT a.row_id AS example_id, a.doc_key, a.sent_idx, a.ids,
@@ -181,11 +175,12 @@ def _masked(epoch: int = 0) -> list[str]:
     mask_t = _C.mask_share
     rand_t = round(_C.mask_share + _C.random_share, 12)
     return [
-        f"""mkey AS (SELECT example_id, {_key32('mlm', str(epoch), 'example_id')} AS k FROM ex2)""",
-        """mh AS (SELECT l.*, CASE WHEN l.id NOT IN (1, 2, 3) THEN m.k END AS k
+        f"""mkey AS (SELECT example_id, {_half(1, 'mlm', str(epoch), 'example_id')} AS k,
+  {_half(9, 'mlm', str(epoch), 'example_id')} AS k2 FROM ex2)""",
+        """mh AS (SELECT l.*, CASE WHEN l.id NOT IN (1, 2, 3) THEN m.k END AS k, m.k2
   FROM long l JOIN mkey m ON m.example_id = l.example_id)""",
-        f"""mm AS (SELECT *, (k IS NOT NULL AND {_draw('k', 'pos', 0)} < {P_MLM}) AS sel, {_draw('k', 'pos', 1)} AS br,
-  CAST(floor({_draw('k', 'pos', 2)} * (SELECT v FROM vsize)) AS BIGINT) AS rid FROM mh)""",
+        f"""mm AS (SELECT *, (k IS NOT NULL AND {_draw('pos', 0)} < {P_MLM}) AS sel, {_draw('pos', 1)} AS br,
+  CAST(floor({_draw('pos', 2)} * (SELECT v FROM vsize)) AS BIGINT) AS rid FROM mh)""",
         f"""masked AS (SELECT example_id, is_next, n_a, n_b, pos, seg, attn, id, sel, br,
   (CASE WHEN NOT sel THEN id WHEN br < {mask_t} THEN 4 WHEN br < {rand_t} THEN rid ELSE id END)::BIGINT AS input_id,
   (CASE WHEN sel THEN id ELSE -100 END)::BIGINT AS label FROM mm)""",
@@ -219,25 +214,25 @@ def _docs_stack(top: str) -> list[str]:
     return _stack("docs", top)
 
 
+_BUILDERS = {
+    "vocab": _vocab,
+    "sentences": _sentences,
+    "tokens": _sentence_tokens,
+    "pairs": _pairs,
+    "examples": _examples,
+    "masked": _masked,
+    "split": _split,
+}
 _LEVELS = ["vocab", "sentences", "tokens", "pairs", "examples", "masked", "split"]
 
 
 def _stack(kind: str, top: str) -> list[str]:
     """Corpus CTEs plus every level up to ``top`` (masking only when asked)."""
-    builders = {
-        "vocab": _vocab,
-        "sentences": _sentences,
-        "tokens": _sentence_tokens,
-        "pairs": _pairs,
-        "examples": _examples,
-        "masked": _masked,
-        "split": _split,
-    }
     parts = _corpus(kind)
     for name in _LEVELS[: _LEVELS.index(top) + 1]:
         if name == "masked" and top != "masked":
             continue
-        parts += builders[name]()
+        parts += _BUILDERS[name]()
     return parts
 
 
@@ -270,7 +265,7 @@ def _ce(logits: str, label: str) -> str:
 
 LOGITS = f"""lg AS (SELECT vec_id, (vec_id // {BS})::BIGINT AS batch_id, embedding AS logits,
   (CASE WHEN vec_id % 13 = 0 THEN label ELSE -100 END)::BIGINT AS mlm_label,
-  embedding[1:2] AS nsp_logits, (label % 2)::BIGINT AS nsp_label FROM embeddings)"""
+  [list_sum(embedding[1:len(embedding) // 2]::DOUBLE[]), list_sum(embedding[len(embedding) // 2 + 1:]::DOUBLE[])] AS nsp_logits, (label % 2)::BIGINT AS nsp_label FROM embeddings)"""
 
 BATCH_LOSSES = f"""bl AS (SELECT batch_id,
   avg(CASE WHEN mlm_label <> -100 THEN {_ce('logits', 'mlm_label')} END) AS mlm_loss,
@@ -281,6 +276,7 @@ BATCH_LOSSES = f"""bl AS (SELECT batch_id,
 
 def oracle_queries() -> dict[str, str]:
     q: dict[str, str] = {}
+    q["corpus_scan"] = "SELECT (row_number() OVER (ORDER BY doc_id) - 1)::BIGINT AS row_id, text FROM documents"
     q["clean_lines"] = _with(_corpus("docs"), "SELECT row_id, text FROM lines")
     q["token_counts"] = _with(_corpus("docs") + _vocab()[:1], "SELECT token, n FROM counts")
     q["vocab_build"] = _with(_docs_stack("vocab"), "SELECT token, id, n FROM vocab")
@@ -316,6 +312,9 @@ FROM sents""",
         """SELECT s.row_id, coalesce(ti.n_tokens, 0)::BIGINT AS n_tokens, coalesce(ti.ids, '') AS ids
 FROM sents s LEFT JOIN ti ON ti.row_id = s.row_id""",
     )
+    q["vocab_cached"] = q["vocab_build"]
+    spaced = "list_filter(string_split(text, ' '), lambda w: w <> '')"
+    q["custom_split_ids"] = q["token_ids"].replace(_words("text"), spaced)
     q["unk_rate"] = _with(
         _docs_stack("vocab"),
         f"""SELECT count(*)::BIGINT AS n_tokens, count(*) FILTER (WHERE v.id IS NULL)::BIGINT AS n_unk,
@@ -331,6 +330,21 @@ FROM (SELECT unnest({_words('text')}) AS token FROM lines) t LEFT JOIN vocab v O
     q["mlm_long"] = _with(
         _docs_stack("masked"), "SELECT example_id, pos, input_id, label FROM masked"
     )
+    later = [part for level in _LEVELS[:5] for part in _BUILDERS[level]()]
+    q["mlm_long_later"] = _with(
+        _corpus("docs") + later + _masked(3), "SELECT example_id, pos, input_id, label FROM masked"
+    )
+    q["examples_written"] = _with(
+        _corpus("docs") + later + _masked(1) + _split(),
+        """SELECT b.batch_id, b.slot, m.example_id,
+  string_agg(CAST(input_id AS VARCHAR), ' ' ORDER BY pos) AS input_ids,
+  string_agg(CAST(attn AS VARCHAR), ' ' ORDER BY pos) AS attention_mask,
+  string_agg(CAST(seg AS VARCHAR), ' ' ORDER BY pos) AS token_type_ids,
+  string_agg(CAST(label AS VARCHAR), ' ' ORDER BY pos) AS labels,
+  is_next AS next_sentence_label
+FROM masked m JOIN batches b ON b.example_id = m.example_id
+WHERE b.split = 'val' AND b.epoch = 1 GROUP BY b.batch_id, b.slot, m.example_id, is_next""",
+    )
     q["mlm_rates"] = _with(
         _docs_stack("masked"),
         f"""SELECT count(*) FILTER (WHERE id NOT IN (1, 2, 3))::BIGINT AS n_maskable,
@@ -369,6 +383,11 @@ FROM dsplit""",
 WHERE b.split = 'train' AND (CASE WHEN floor(spe.spe * 0.5) > 0
   THEN b.epoch > 3 OR (b.epoch = 3 AND b.batch_id >= floor(spe.spe * 0.5))
   ELSE b.epoch > 3 END)""",
+    )
+    q["resume_from_tag"] = _with(
+        _docs_stack("split"),
+        """SELECT b.split, b.epoch, b.batch_id, b.slot, b.example_id FROM batches b CROSS JOIN spe
+WHERE b.epoch > 3 OR (b.epoch = 3 AND (b.split = 'val' OR b.batch_id >= floor(spe.spe * 0.5)))""",
     )
     q["batch_manifest"] = _with(
         _docs_stack("split")
@@ -376,11 +395,12 @@ WHERE b.split = 'train' AND (CASE WHEN floor(spe.spe * 0.5) > 0
             """bm_rows AS (SELECT b.epoch, b.batch_id, count(*)::BIGINT AS rows,
   sum(e.n_a + e.n_b + 3)::BIGINT AS real_tokens
   FROM batches b JOIN ex2 e ON e.example_id = b.example_id WHERE b.split = 'train' GROUP BY b.epoch, b.batch_id)""",
-            f"""bm_e AS (SELECT b.epoch, b.batch_id, b.example_id, {_key32('mlm', 'b.epoch', 'b.example_id')} AS k
+            f"""bm_e AS (SELECT b.epoch, b.batch_id, b.example_id, {_half(1, 'mlm', 'b.epoch', 'b.example_id')} AS k,
+  {_half(9, 'mlm', 'b.epoch', 'b.example_id')} AS k2
   FROM batches b WHERE b.split = 'train')""",
-            """bm_k AS (SELECT e.epoch, e.batch_id, e.k, l.pos FROM bm_e e JOIN long l ON l.example_id = e.example_id
+            """bm_k AS (SELECT e.epoch, e.batch_id, e.k, e.k2, l.pos FROM bm_e e JOIN long l ON l.example_id = e.example_id
   WHERE l.id NOT IN (1, 2, 3))""",
-            f"""bm_sc AS (SELECT epoch, batch_id, count(*) FILTER (WHERE {_draw('k', 'pos', 0)} < {P_MLM})::BIGINT AS scored
+            f"""bm_sc AS (SELECT epoch, batch_id, count(*) FILTER (WHERE {_draw('pos', 0)} < {P_MLM})::BIGINT AS scored
   FROM bm_k GROUP BY epoch, batch_id)""",
             f"""bm AS (SELECT r.epoch, r.batch_id, r.rows, r.real_tokens, coalesce(s.scored, 0)::BIGINT AS scored_tokens,
   (r.epoch * spe.spe + r.batch_id)::BIGINT AS global_step, (r.batch_id + 1)::BIGINT AS step_in_epoch,
@@ -422,12 +442,14 @@ FROM lg GROUP BY batch_id""",
   count(value)::BIGINT AS n_batches, count(*) FILTER (WHERE value IS NULL)::BIGINT AS n_missing
 FROM sc GROUP BY split, epoch, tag""",
     )
+    q["epoch_metrics_full_denominator"] = q["epoch_metrics"].replace("sum(value) / count(value)", "sum(value) / 100.0::DOUBLE")
     q["scalar_log"] = _with(
         [LOGITS, BATCH_LOSSES],
         """SELECT 'train/loss' AS tag, batch_id AS step, round(mlm_loss + nsp_loss, 6) AS value FROM bl
 UNION ALL SELECT 'train/mlm_loss', batch_id, round(mlm_loss, 6) FROM bl
 UNION ALL SELECT 'train/nsp_loss', batch_id, round(nsp_loss, 6) FROM bl""",
     )
+    q["scalar_log_written"] = f"SELECT 'train' AS split, 0::BIGINT AS epoch, tag, step, value FROM ({q['scalar_log']}) l"
     q["lr_log"] = f"SELECT 'train/lr' AS tag, global_step AS step, lr_logged AS value FROM ({q['batch_manifest']}) m"
     q["epoch_log"] = (
         "SELECT 'epoch/' || split || '_' || tag AS tag, epoch AS step, round(sum_v / n_v, 6) AS value FROM ("

@@ -1,8 +1,9 @@
 """The composite job: corpus rows to masked, batched training examples.
 
-``Preparation`` holds the stages lazily; each property builds (and, where a
-stage is read more than once, checkpoints) only what is asked for.  Scalars
-(vocabulary size, document and example counts) are the only values brought
+``Preparation`` holds the stages lazily; each property builds only what is asked for,
+and writes what is read more than once.  Pairs, split, batches and totals come from the
+narrow sentence index; no vocabulary, token array or example is made for them.
+Scalars (vocabulary size, document and example counts) are the only values brought
 to the driver.
 """
 
@@ -13,14 +14,16 @@ from functools import cached_property
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from ..config import DEFAULT, PrepConfig
-from ..operators.batches import epoch_batches, split_examples, split_sizes, steps_per_epoch
-from ..operators.corpus import clean_lines, segment_documents
-from ..operators.examples import apply_mlm, assemble_examples, to_training_rows
-from ..operators.pairs import document_index, nsp_pairs, resolve_partner
+from ..config import DEFAULT, PrepConfig, SpecialIds
+from ..functions.schedule import tag_position
 from ..functions.text import split_words
-from ..operators.vocab import SplitFn, build_vocab, lookup_ids, token_counts
-from ..session import materialize
+from ..operators.batches import batch_manifest, epoch_batches, resume_from_tag, split_examples, split_sizes, steps_per_epoch
+from ..operators.corpus import boundary_flags, clean_lines, number_documents, segment_documents
+from ..operators.examples import apply_mlm, assemble_examples, to_training_rows
+from ..operators.pairs import attach_tokens, document_table, nsp_pairs, resolve_partner
+from ..operators.scan import Buckets, choose_buckets
+from ..operators.vocab import SplitFn, build_vocab, lookup_ids, special_ids, token_counts
+from ..session import Stages
 
 
 class Preparation:
@@ -32,8 +35,11 @@ class Preparation:
 
     ``rows``: ``(row_id, text)`` raw corpus rows (plus ``boundary_col`` if
     documents are delimited by explicit marker rows).  ``vocab``: optional
-    prebuilt ``(token, id, n)``; by default it is built from the cleaned lines
-    of this corpus (headings and short documents included).
+    prebuilt ``(token, id, n)`` with the five special tokens at any ids; by default it is
+    built from the cleaned lines of this corpus (headings and short documents included).
+
+    ``close()``, or the end of a ``with`` block, deletes the written stages of this
+    run and nothing else.
     """
 
     def __init__(self, rows: DataFrame, cfg: PrepConfig = DEFAULT, vocab: DataFrame | None = None,
@@ -45,6 +51,16 @@ class Preparation:
         self._vocab = vocab
         self.boundary_col = boundary_col
         self._vocab_lines = vocab_lines
+        self.stages = Stages(rows.sparkSession)
+
+    def close(self) -> None:
+        self.stages.close()
+
+    def __enter__(self) -> "Preparation":
+        return self
+
+    def __exit__(self, *exc) -> None:
+        self.close()
 
     # -- vocabulary ---------------------------------------------------------
     @cached_property
@@ -56,67 +72,87 @@ class Preparation:
         if self._vocab is not None:
             return self._vocab
         src = self._vocab_lines if self._vocab_lines is not None else self.lines
-        counts = materialize(token_counts(src, self.split_fn), "token_counts")
-        return materialize(build_vocab(counts, self.cfg), "vocab")
+        counts = self.stages.write(token_counts(src, self.split_fn), "token_counts")
+        return self.stages.write(build_vocab(counts, self.cfg), "vocab")
 
     @cached_property
     def vocab_size(self) -> int:
         return self.vocab.count()
 
+    @cached_property
+    def special(self) -> SpecialIds:
+        return special_ids(self.vocab)
+
     # -- documents ----------------------------------------------------------
+    @cached_property
+    def flags(self) -> DataFrame:
+        return boundary_flags(self.rows, self.boundary_col, self.stages.write)
+
+    @cached_property
+    def buckets(self) -> Buckets:
+        return choose_buckets(self.flags, "row_id", self.cfg)
+
     @cached_property
     def sentences(self) -> DataFrame:
-        """Kept sentences (flat) with ``bucket`` partitioning."""
-        return segment_documents(self.rows, self.cfg, boundary_col=self.boundary_col)
+        """Kept sentences (flat) with text and ``bucket`` partitioning."""
+        return segment_documents(self.rows, self.cfg, boundary_col=self.boundary_col, flags=self.flags, buckets=self.buckets)
+
+    @cached_property
+    def index(self) -> DataFrame:
+        """Kept sentences without text: ``row_id, doc_key, sent_idx, n_sents, bucket, doc_idx``."""
+        narrow = segment_documents(self.rows, self.cfg, boundary_col=self.boundary_col, flags=self.flags, buckets=self.buckets, text=False)
+        narrow = self.stages.write(narrow, "sentence_index")
+        return self.stages.write(number_documents(narrow, self.buckets.bound, self.cfg), "numbered_index")
+
+    @cached_property
+    def documents(self) -> DataFrame:
+        """``(doc_idx, doc_key, n_sents)`` of kept documents."""
+        return document_table(self.index)
+
+    @cached_property
+    def n_documents(self) -> int:
+        return self.documents.count()
 
     @cached_property
     def sentence_tokens(self) -> DataFrame:
-        """Sentences with token ids, cut to the pair budget before lookup
+        """Token ids of kept sentences, cut to the pair budget before lookup
         (a side never keeps more than ``seq_len - 3`` tokens)."""
         st = lookup_ids(
             self.sentences,
             self.vocab,
             key_cols=["bucket", "row_id"],
-            carry_cols=["doc_key", "sent_idx", "n_sents"],
             max_tokens=self.cfg.pair_budget,
             split_fn=self.split_fn,
             cfg=self.cfg,
+            special=self.special,
         )
-        return materialize(st, "sentence_tokens")
-
-    @cached_property
-    def _docs(self):
-        docs, n = document_index(self.sentence_tokens, self.cfg)
-        return materialize(docs, "documents"), n
-
-    @property
-    def documents(self) -> DataFrame:
-        return self._docs[0]
-
-    @property
-    def n_documents(self) -> int:
-        return self._docs[1]
+        return self.stages.write(st.select("row_id", "ids"), "sentence_tokens")
 
     # -- pairs and examples -------------------------------------------------
     @cached_property
     def pairs(self) -> DataFrame:
-        """``(example_id, doc_key, sent_idx, is_next, b_doc_key, b_sent_idx, b_id)``."""
-        p = nsp_pairs(self.sentence_tokens, self.documents, self.n_documents, self.cfg)
-        return resolve_partner(p, self.sentence_tokens)
+        """``(example_id, doc_idx, sent_idx, is_next, b_doc_idx, b_sent_idx, b_id)``."""
+        return resolve_partner(nsp_pairs(self.index, self.documents, self.n_documents, self.cfg), self.index)
+
+    @cached_property
+    def example_ids(self) -> DataFrame:
+        """``(example_id, doc_idx)``: every sentence but the last of its document."""
+        a = self.index.filter(F.col("sent_idx") < F.col("n_sents") - 1)
+        return a.select(F.col("row_id").alias("example_id"), "doc_idx")
 
     @cached_property
     def examples(self) -> DataFrame:
-        """Unmasked examples (checkpointed: every epoch reads them)."""
-        p = nsp_pairs(self.sentence_tokens, self.documents, self.n_documents, self.cfg, carry_cols=["ids"])
-        p = resolve_partner(p, self.sentence_tokens, carry_cols=["ids"])
-        return materialize(assemble_examples(p, self.cfg), "examples")
+        """Unmasked examples (written: every epoch reads them)."""
+        pairs = self.pairs.select("example_id", "doc_idx", "is_next", "b_id")
+        x = attach_tokens(pairs, self.sentence_tokens)
+        return self.stages.write(assemble_examples(x, self.cfg, special=self.special), "examples")
 
     @cached_property
     def n_examples(self) -> int:
-        return self.examples.count()
+        return self.example_ids.count()
 
     def masked(self, epoch: int = 0) -> DataFrame:
-        return apply_mlm(self.examples, self.vocab_size, epoch, self.cfg)
+        return apply_mlm(self.examples, self.vocab_size, epoch, self.cfg, self.special)
 
     def training_rows(self, epoch: int = 0) -> DataFrame:
         return to_training_rows(self.masked(epoch))
@@ -124,11 +160,24 @@ class Preparation:
     # -- split and batches ----------------------------------------------------
     @cached_property
     def split(self) -> DataFrame:
-        return split_examples(self.examples, self.n_examples, self.cfg)
+        docs, n_docs = None, 0
+        if self.cfg.split_by == "document":
+            docs = self.documents.select("doc_idx", "doc_key", (F.col("n_sents") - 1).alias("n")).where("n > 0")
+            n_docs = self.n_documents
+        s = split_examples(self.example_ids, self.n_examples, self.cfg, docs=docs, n_docs=n_docs)
+        return self.stages.write(s, "split")
 
     def batches(self, first_epoch: int = 0, last_epoch: int | None = None) -> DataFrame:
         return epoch_batches(self.split, self.n_examples, self.cfg, first_epoch, last_epoch, n_train=self.sizes[0])
 
+    def resumed(self, tag: str) -> DataFrame:
+        """What a run preloaded from the checkpoint ``tag`` still does."""
+        epoch, _ = tag_position(tag, self.steps_per_epoch)
+        return resume_from_tag(self.batches(first_epoch=epoch), tag, self.sizes[0], self.cfg)
+
+    def manifest(self) -> DataFrame:
+        return batch_manifest(self.batches(), self.examples, self.vocab_size, self.sizes[0], self.cfg, self.special)
+
     @cached_property
     def sizes(self) -> tuple[int, int]:
         """``(n_train, n_val)``; counted for the document split."""
@@ -145,7 +194,7 @@ class Preparation:
         """One row: vocabulary size, documents, examples, split sizes, steps."""
         n_train, n_val = self.sizes
         bs = self.cfg.batch_size
-        return self.sentence_tokens.agg(
+        return self.index.agg(
             F.lit(self.vocab_size).cast("bigint").alias("vocab_size"),
             F.count_if(F.col("sent_idx") == 0).cast("bigint").alias("n_documents"),
             F.count(F.lit(1)).cast("bigint").alias("n_sentences"),

@@ -30,9 +30,6 @@ def build_session(
         "spark.sql.adaptive.skewJoin.enabled": "true",
         "spark.sql.session.timeZone": "UTC",
         "spark.sql.execution.arrow.pyspark.enabled": "true",
-        # keep the per-sentence regroup of token ids hash-based; the default
-        # (128 keys per task) falls back to sorting every partition
-        "spark.sql.objectHashAggregate.sortBased.fallbackThreshold": "65536",
     }
     if shuffle_partitions:
         conf["spark.sql.shuffle.partitions"] = str(shuffle_partitions)
@@ -100,6 +97,43 @@ def materialize(df: DataFrame, name: str = "stage") -> DataFrame:
     return spark.read.parquet(path)
 
 
+class Stages:
+    """Written stages of one run, in a folder of their own under the checkpoint folder.
+
+    ``close()`` (or leaving the ``with`` block) deletes that folder and nothing else;
+    results that still read it must have been written by then.
+    """
+
+    def __init__(self, spark: SparkSession):
+        self.spark = spark
+        self._path: str | None = None
+
+    @property
+    def path(self) -> str:
+        if self._path is None:
+            self._path = f"{ensure_checkpoint_dir(self.spark).rstrip('/')}/tables/run-{uuid.uuid4().hex}"
+        return self._path
+
+    def write(self, df: DataFrame, name: str) -> DataFrame:
+        path = f"{self.path}/{name}-{uuid.uuid4().hex}"
+        df.write.mode("errorifexists").parquet(path)
+        return self.spark.read.parquet(path)
+
+    def close(self) -> None:
+        if self._path is None:
+            return
+        sc = self.spark.sparkContext
+        p = sc._jvm.org.apache.hadoop.fs.Path(self._path)
+        p.getFileSystem(sc._jsc.hadoopConfiguration()).delete(p, True)
+        self._path = None
+
+    def __enter__(self) -> "Stages":
+        return self
+
+    def __exit__(self, *exc) -> None:
+        self.close()
+
+
 def join_small(
     big: DataFrame,
     small: DataFrame,
@@ -107,18 +141,19 @@ def join_small(
     how: str = "inner",
     row_bound: int | None = None,
     max_rows: int | None = None,
+    row_bytes: int = 64,
 ) -> DataFrame:
-    """Join with ``small`` broadcast only when its row count is proven bounded.
+    """Join with ``small`` broadcast only when its size is proven bounded.
 
-    ``row_bound`` is an upper bound on the rows of ``small`` known from the
-    plan (bucket count, vocabulary cap, file count, counted documents).  Above
-    ``max_rows`` the join stays a shuffle join, which AQE may still turn into a
-    broadcast at run time when the materialised side is small.
+    ``row_bound`` is an upper bound on the rows of ``small`` (counted, or known from
+    the plan: bucket count, documents) and ``row_bytes`` on the bytes of one.  Above
+    ``max_rows`` or the byte limit the join stays a shuffle join, which AQE may still
+    turn into a broadcast at run time when the materialised side is small.
     """
-    from .config import BROADCAST_MAX_ROWS
+    from .config import BROADCAST_MAX_BYTES, BROADCAST_MAX_ROWS
 
     limit = BROADCAST_MAX_ROWS if max_rows is None else max_rows
-    if row_bound is not None and row_bound <= limit:
+    if row_bound is not None and row_bound <= limit and row_bound * row_bytes <= BROADCAST_MAX_BYTES:
         return big.join(F.broadcast(small), on, how)
     return big.join(small, on, how)
 

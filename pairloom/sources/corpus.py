@@ -1,7 +1,8 @@
 """Corpus scans and the table adapters.
 
 A corpus is a DataFrame ``(row_id: bigint, text: string)``; ``row_id`` is the
-line order, which Spark does not keep by itself.
+line order, which Spark does not keep by itself.  Row ids are unique and not NULL, and
+every row has a text; a row that breaks this ends the job with an error.
 """
 
 from __future__ import annotations
@@ -10,31 +11,15 @@ from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from ..config import DEFAULT, ROW_ID_STRIDE, PrepConfig
-from ..session import join_small
+from ..functions.text import required
+from ..operators.scan import choose_buckets, exclusive_prefix
+from ..session import join_small, materialize
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir.rstrip('/')}/{name}.parquet")
 
 
-def spread(df: DataFrame, *cols: str, min_partitions: int | None = None) -> DataFrame:
-    """Hash-spread an input whose scan gives fewer partitions than the
-    session's parallelism (a small file, or one unsplittable row group).
-
-    Large inputs already have many more splits than cores and are returned
-    unchanged, so this never adds a shuffle at scale.
-    """
-    sc = df.sparkSession.sparkContext
-    want = min_partitions or 2 * sc.defaultParallelism
-    try:
-        have = df.rdd.getNumPartitions()
-    except Exception:  # pragma: no cover - no RDD view (e.g. Connect)
-        return df
-    if have >= want:
-        return df
-    return df.repartition(want, *cols)
-
-
 def read_corpus(
     spark: SparkSession,
     path: str,
@@ -44,11 +29,12 @@ def read_corpus(
 ) -> DataFrame:
     """Ordered text rows from Parquet.
 
-    With ``order_col`` that column is the order.  Otherwise the order is
+    With ``order_col`` that column is the order; segmentation raises if it is not
+    unique or has a NULL.  Otherwise the order is
     (file path, row index in file): each file gets the exclusive prefix of
     the row counts of the files before it, so row ids are dense ``0..N-1``.
-    The file table has one row per input file and is broadcast when the file
-    count (known from the listing) is below the limit.
+    The file table has one row per input file and is broadcast when its counted rows
+    are below the limits.
     """
     df = spark.read.parquet(path)
     if order_col:
@@ -58,49 +44,73 @@ def read_corpus(
         F.col("_metadata.row_index").alias("_r"),
         F.col(text_col).alias("text"),
     )
-    n_files = len(df.inputFiles())
-    files = meta.groupBy("_f").agg(F.count(F.lit(1)).alias("_n"))
+    files = materialize(meta.groupBy("_f").agg(F.count(F.lit(1)).alias("_n")), "corpus_files")
     w = Window.orderBy("_f").rowsBetween(Window.unboundedPreceding, -1)
     offs = files.select("_f", F.coalesce(F.sum("_n").over(w), F.lit(0)).alias("_off"))
-    j = join_small(meta, offs, "_f", row_bound=n_files, max_rows=cfg.broadcast_max_rows)
+    j = join_small(meta, offs, "_f", row_bound=files.count(), max_rows=cfg.broadcast_max_rows, row_bytes=512)
     return j.select((F.col("_off") + F.col("_r")).cast("bigint").alias("row_id"), "text")
 
 
-def documents_corpus(documents: DataFrame) -> DataFrame:
+def documents_corpus(documents: DataFrame, cfg: PrepConfig = DEFAULT) -> DataFrame:
     """Corpus rows from the ``documents`` table (raw, not stripped).
 
-    Per document: a heading `` = <source> = ``, an empty row, then its lines
-    with an empty row after every fifth.  ``row_id = doc_id * 2^20 + pos``.
+    Per document, in the order of ``doc_id``: a heading `` = <source> = ``, an empty row,
+    then its lines with an empty row after every fifth.  Row ids are dense: a document
+    starts at the number of rows of all documents before it, a two-level running
+    sum, so a document may have any number of lines.  A NULL or repeated ``doc_id``, and a
+    NULL ``source`` or ``text``, end the job with an error.
     """
-    lines = F.split(F.col("text"), "\n", -1)
+    lines = F.split(required("text", "text"), "\n", -1)
     body = F.flatten(
         F.transform(
             lines,
             lambda x, i: F.when(((i + 1) % 5) == 0, F.array(x, F.lit(""))).otherwise(F.array(x)),
         )
     )
-    arr = F.concat(F.array(F.concat(F.lit(" = "), F.col("source"), F.lit(" = ")), F.lit("")), body)
-    x = spread(documents.select("doc_id", "source", "text"), "doc_id").select("doc_id", F.posexplode(arr).alias("pos", "text"))
-    return x.select(
-        (F.col("doc_id") * F.lit(ROW_ID_STRIDE) + F.col("pos")).cast("bigint").alias("row_id"), "text"
-    )
+    arr = F.concat(F.array(F.concat(F.lit(" = "), required("source", "source"), F.lit(" = ")), F.lit("")), body)
+    buckets = choose_buckets(documents, "doc_id", cfg)
+    bucket = buckets.column("doc_id").alias("bucket")
+    # an n-line text has n + n div 5 rows of its own, and two before
+    n_lines = F.size(F.split(required("text", "text"), "\n", -1)).cast("bigint")
+    n_rows = n_lines + F.floor(n_lines / 5) + 2
+    sums = documents.select(bucket, n_rows.alias("_n")).groupBy("bucket").agg(F.sum("_n").alias("_n"))
+    offs = exclusive_prefix(sums, ["bucket"], ["_n"]).select("bucket", "off__n")
+    x = join_small(documents.select("doc_id", arr.alias("_rows"), bucket), offs, "bucket",
+                   row_bound=buckets.bound, max_rows=cfg.broadcast_max_rows)
+    w = Window.partitionBy("bucket").orderBy("doc_id")
+    upto = w.rowsBetween(Window.unboundedPreceding, Window.currentRow)
+    n = F.size("_rows").cast("bigint")
+    twice = F.when(F.lag("doc_id").over(w) == F.col("doc_id"), F.raise_error(F.lit("doc_id must be unique")).cast("bigint")).otherwise(0)
+    start = F.col("off__n") + F.sum(n).over(upto) - n + twice
+    x = x.select(start.alias("_start"), "_rows").select("_start", F.posexplode("_rows").alias("pos", "text"))
+    return x.select((F.col("_start") + F.col("pos")).cast("bigint").alias("row_id"), "text")
 
 
 def conversations_corpus(conversations: DataFrame) -> DataFrame:
     """Corpus rows from ``conversations``: a document per conversation.
 
-    Each conversation gets one boundary row at ``conv_id * 2^20`` followed by
-    its turns at ``conv_id * 2^20 + turn + 1``; column ``is_start`` marks the
-    boundary rows so turn text is never taken for a heading.
+    Each conversation gets one boundary row at ``conv_id * stride`` followed by
+    its turns at ``conv_id * stride + turn + 1``; column ``is_start`` marks the
+    boundary rows so turn text is never taken for a heading.  The stride is the smallest
+    power of two above the largest turn, 2^20 at least; ids that do not fit 63 bits,
+    NULL ids and negative turns raise.
     """
-    conversations = spread(conversations.select("conv_id", "turn", "text"), "conv_id")
+    r = conversations.agg(
+        F.max("turn").alias("turn"), F.min("turn").alias("least"), F.max(F.abs("conv_id")).alias("conv"),
+        F.count_if(F.col("conv_id").isNull() | F.col("turn").isNull()).alias("null"),
+    ).first()
+    if r["null"] or (r["least"] or 0) < 0:
+        raise ValueError("conv_id and turn must not be NULL, nor turn negative")
+    stride = max(ROW_ID_STRIDE, 1 << ((r["turn"] or 0) + 1).bit_length())
+    if ((r["conv"] or 0) + 1) * stride >= 1 << 63:
+        raise ValueError("conversation ids and turns do not fit one row id")
     starts = conversations.select("conv_id").distinct().select(
-        (F.col("conv_id") * F.lit(ROW_ID_STRIDE)).cast("bigint").alias("row_id"),
+        (F.col("conv_id") * F.lit(stride)).cast("bigint").alias("row_id"),
         F.lit("").alias("text"),
         F.lit(True).alias("is_start"),
     )
     turns = conversations.select(
-        (F.col("conv_id") * F.lit(ROW_ID_STRIDE) + F.col("turn") + 1).cast("bigint").alias("row_id"),
+        (F.col("conv_id") * F.lit(stride) + F.col("turn") + 1).cast("bigint").alias("row_id"),
         F.col("text"),
         F.lit(False).alias("is_start"),
     )
@@ -112,16 +122,18 @@ def logits_fixture(embeddings: DataFrame, batch_size: int = 8) -> DataFrame:
 
     ``logits`` = the embedding, ``label`` = its class, ``batch_id`` =
     ``vec_id div batch_size``; ``mlm_label`` keeps the class only on every
-    13th vector and is the ignore index elsewhere; the pair head uses the
-    first two logits and ``label % 2``.
+    13th vector and is the ignore index elsewhere; the pair head's two logits are the
+    sums of the vector's halves, its label ``label % 2``.
     """
+    half = F.floor(F.size("embedding") / 2).cast("int")
+    total = lambda part: F.aggregate(part, F.lit(0.0), lambda a, x: a + x.cast("double"))
     return embeddings.select(
         "vec_id",
         F.expr(f"vec_id div {int(batch_size)}").alias("batch_id"),
         F.col("embedding").alias("logits"),
         F.col("label").cast("bigint").alias("label"),
         F.when(F.col("vec_id") % 13 == 0, F.col("label").cast("bigint")).otherwise(F.lit(-100).cast("bigint")).alias("mlm_label"),
-        F.slice("embedding", 1, 2).alias("nsp_logits"),
+        F.array(total(F.slice("embedding", F.lit(1), half)), total(F.slice("embedding", half + 1, F.size("embedding")))).alias("nsp_logits"),
         (F.col("label") % 2).cast("bigint").alias("nsp_label"),
     )
 

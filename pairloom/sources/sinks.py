@@ -5,13 +5,14 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from ..config import DEFAULT, PrepConfig
+from ..config import DEFAULT, PrepConfig, SpecialIds
 from ..operators.examples import apply_mlm
 
-SCALAR_SCHEMA = "tag string, step bigint, value double"
+LOG_SCHEMA = "split string, epoch bigint, tag string, step bigint, value double"
 
 
-def epoch_examples(batches: DataFrame, examples: DataFrame, vocab_size: int, cfg: PrepConfig = DEFAULT) -> DataFrame:
+def epoch_examples(batches: DataFrame, examples: DataFrame, vocab_size: int, cfg: PrepConfig = DEFAULT,
+                   special: SpecialIds = SpecialIds()) -> DataFrame:
     """Masked training rows with their place in the run:
     ``split, epoch, batch_id, slot`` plus the five example tensors.
 
@@ -19,7 +20,7 @@ def epoch_examples(batches: DataFrame, examples: DataFrame, vocab_size: int, cfg
     examples on ``example_id``; masks are drawn with each row's epoch.
     """
     x = batches.join(examples, "example_id")
-    m = apply_mlm(x, vocab_size, F.col("epoch"), cfg)
+    m = apply_mlm(x, vocab_size, F.col("epoch"), cfg, special)
     return m.select(
         "split", "epoch", "batch_id", "slot", "example_id", "input_ids", "attention_mask", "token_type_ids",
         "labels", F.col("is_next").alias("next_sentence_label"),
@@ -27,11 +28,16 @@ def epoch_examples(batches: DataFrame, examples: DataFrame, vocab_size: int, cfg
 
 
 def write_examples(rows: DataFrame, path: str, mode: str = "errorifexists") -> None:
-    """Parquet partitioned by ``split`` and ``epoch``; files sorted by
-    ``batch_id`` and slot so a reader streams batches in order.  No
-    repartition by the partition columns: one epoch never lands in one task."""
+    """Parquet partitioned by ``split`` and ``epoch``, with whole batches in files.
+
+    Rows are dealt out in ranges of (split, epoch, batch_id, slot) and sorted, so a batch
+    lies in one file, or in two next to each other where a range ends; an epoch is
+    spread over as many tasks as its size asks for, and the files' statistics of
+    ``batch_id`` let a reader skip what it does not want."""
+    order = ["split", "epoch", "batch_id", "slot"]
+    n = int(rows.sparkSession.conf.get("spark.sql.shuffle.partitions"))
     (
-        rows.sortWithinPartitions("split", "epoch", "batch_id", "slot")
+        rows.repartitionByRange(n, *order).sortWithinPartitions(*order)
         .write.mode(mode)
         .partitionBy("split", "epoch")
         .parquet(path)
@@ -44,11 +50,12 @@ def read_epoch(spark: SparkSession, path: str, split: str, epoch: int) -> DataFr
 
 
 def append_scalars(scalars: DataFrame, path: str) -> None:
-    """Append ``(tag, step, value)`` rows to the scalar log, partitioned by tag."""
-    scalars.select("tag", F.col("step").cast("bigint"), F.col("value").cast("double")).write.mode(
-        "append"
-    ).partitionBy("tag").parquet(path)
+    """Append ``(split, epoch, tag, step, value)`` rows to the scalar log.  An append
+    becomes visible as a whole when its files are committed."""
+    scalars.select(
+        "split", F.col("epoch").cast("bigint"), "tag", F.col("step").cast("bigint"), F.col("value").cast("double")
+    ).write.mode("append").parquet(path)
 
 
 def read_scalars(spark: SparkSession, path: str) -> DataFrame:
-    return spark.read.schema(SCALAR_SCHEMA).parquet(path)
+    return spark.read.schema(LOG_SCHEMA).parquet(path)

@@ -4,9 +4,10 @@ A training run appends ``(split, epoch, tag, step, value)`` rows as batches
 finish.  ``epoch_average_stream`` keeps the per-epoch means of the logged
 values up to date with Structured Streaming: the file source picks up new
 files, the aggregation state holds one sum and count per
-``(split, epoch, tag)``, and every trigger rewrites the current means through
-``foreachBatch`` (idempotent per batch id, so a restarted query from its
-checkpoint gives the same table).
+``(split, epoch, tag)``, and every trigger writes the current means to a folder of its
+own through ``foreachBatch``, then publishes the folder's number.  A reader always
+sees a whole table, and a batch that is written again after a restart replaces
+itself.
 """
 
 from __future__ import annotations
@@ -15,7 +16,8 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
-LOG_SCHEMA = "split string, epoch bigint, tag string, step bigint, value double"
+from ..sources.sinks import LOG_SCHEMA
+
 
 
 def read_log_stream(spark: SparkSession, log_dir: str, max_files_per_trigger: int | None = None) -> DataFrame:
@@ -38,11 +40,12 @@ def running_epoch_averages(log: DataFrame) -> DataFrame:
 def epoch_average_stream(
     spark: SparkSession, log_dir: str, out_dir: str, checkpoint_dir: str, trigger_once: bool = False
 ) -> StreamingQuery:
-    """Start the query; each micro-batch overwrites ``out_dir`` with the full
-    current averages (complete output mode)."""
+    """Start the query; ``read_epoch_averages`` gives the current averages."""
 
     def write(batch: DataFrame, batch_id: int) -> None:
-        batch.write.mode("overwrite").parquet(out_dir)
+        batch.write.mode("overwrite").parquet(f"{out_dir}/means/batch={batch_id}")
+        done = batch.sparkSession.range(1).select(F.lit(batch_id).cast("bigint").alias("batch"))
+        done.write.mode("append").parquet(f"{out_dir}/published")
 
     w = (
         running_epoch_averages(read_log_stream(spark, log_dir))
@@ -53,3 +56,9 @@ def epoch_average_stream(
     if trigger_once:
         w = w.trigger(availableNow=True)
     return w.start()
+
+
+def read_epoch_averages(spark: SparkSession, out_dir: str) -> DataFrame:
+    """The averages published last."""
+    last = spark.read.parquet(f"{out_dir}/published").agg(F.max("batch")).first()[0]
+    return spark.read.parquet(f"{out_dir}/means/batch={last}")
