@@ -56,11 +56,42 @@ def test_split_by_document_keeps_documents_whole(spark):
     from pairloom.sources.corpus import documents_corpus, table
 
     p = Preparation(documents_corpus(table(spark, SF_SMALL, "documents")), DEFAULT.with_(split_by="document"))
-    s = p.split.join(p.examples.select("example_id", "doc_key"), "example_id")
-    both = s.groupBy("doc_key").agg(F.countDistinct("split").alias("k")).filter("k > 1").count()
+    s = p.split.join(p.example_ids.select("example_id", "doc_idx"), "example_id")
+    both = s.groupBy("doc_idx").agg(F.countDistinct("split").alias("k")).filter("k > 1").count()
     assert both == 0
     n_train, n_val = p.sizes
     target = max(1, int(0.1 * p.n_examples))
     assert n_val >= target and n_train + n_val == p.n_examples
-    biggest = s.groupBy("doc_key").count().agg(F.max("count")).first()[0]
+    biggest = s.groupBy("doc_idx").count().agg(F.max("count")).first()[0]
     assert n_val - target < biggest
+
+
+def test_resuming_from_a_tag_keeps_validation(prep_small):
+    p = prep_small
+    b = p.resumed("18_50q").collect()
+    n_train, n_val = p.sizes
+    spe = p.steps_per_epoch
+    val = [r for r in b if r.split == "val"]
+    train = [r for r in b if r.split == "train"]
+    assert {r.epoch for r in val} == {18, 19} and len(val) == 2 * n_val
+    assert min(r.batch_id for r in train if r.epoch == 18) == spe // 2
+    assert sum(r.epoch == 19 for r in train) == n_train
+    done = p.resumed("18_100q").collect()
+    assert {r.epoch for r in done} == {19}
+
+
+def test_manifest_counts_masked_positions(prep_small):
+    p = prep_small
+    row = p.manifest().where("epoch = 2 and batch_id = 3").first()
+    ids = p.batches(2, 2).where("split = 'train' and batch_id = 3").select("example_id")
+    labels = p.masked(2).join(ids, "example_id").select(F.explode("labels").alias("l")).where("l != -100").count()
+    assert row.scored_tokens == labels and row.rows == p.cfg.batch_size
+
+
+def test_schedule_steps_cover_the_run(spark, prep_small):
+    from pairloom.operators.batches import schedule_steps
+
+    p = prep_small
+    steps = schedule_steps(spark, p.sizes[0], p.cfg)
+    want = p.batches().where("split = 'train'").select("epoch", "batch_id").distinct()
+    assert steps.exceptAll(want).count() == 0 and steps.count() == want.count()

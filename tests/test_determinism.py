@@ -6,6 +6,7 @@ from pyspark.sql import functions as F
 from conftest import SF_SMALL
 from pairloom import Preparation
 from pairloom.operators.corpus import segment_documents
+from pairloom.operators.scan import Buckets
 from pairloom.sources.corpus import documents_corpus, table
 
 
@@ -33,7 +34,7 @@ def test_examples_independent_of_shuffle_partitions(spark):
 def test_one_huge_document_across_buckets(spark):
     lines = ["= T ="] + [f"line {i}" for i in range(600)] + ["", "a", "b", "", "c"]
     df = spark.createDataFrame(list(enumerate(lines)), "row_id bigint, text string")
-    out = segment_documents(df, shift=3, n_buckets=(len(lines) >> 3) + 1)
+    out = segment_documents(df, buckets=Buckets(3, (), (len(lines) >> 3) + 1))
     rows = out.orderBy("row_id").collect()
     big = [r for r in rows if r.n_sents == 600]
     assert [r.sent_idx for r in big] == list(range(600))

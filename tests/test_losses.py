@@ -1,10 +1,12 @@
 """Cross-entropy per batch against a numpy computation on the fixture."""
 
 import numpy as np
+import pytest
+from pyspark.errors import PySparkException
 from pyspark.sql import functions as F
 
 from conftest import SF_SMALL
-from pairloom.operators.metrics import batch_losses, epoch_averages
+from pairloom.operators.metrics import batch_losses, epoch_averages, masked_cross_entropy, pair_loss
 from pairloom.sources.corpus import logits_fixture, scalar_fixture, table
 
 
@@ -47,3 +49,26 @@ def test_epoch_average_is_mean_of_batch_values(spark):
     full = {(r.split, r.epoch, r.tag): r for r in epoch_averages(sc, denominator=1000).collect()}
     for k, vs in acc.items():
         assert abs(full[k].mean_value - sum(vs) / 1000) < 1e-12
+
+
+@pytest.mark.parametrize("label", [7, -1, None])
+def test_labels_out_of_range_raise(spark, label):
+    df = spark.createDataFrame([(0, [0.1, 0.9], 1), (0, [0.3, 0.7], label)], "batch_id int, logits array<float>, mlm_label long")
+    with pytest.raises(PySparkException):
+        pair_loss(df, "logits", "mlm_label").collect()
+    if label is not None:
+        with pytest.raises(PySparkException):
+            masked_cross_entropy(df).collect()
+
+
+def test_the_ignore_index_is_left_out(spark):
+    df = spark.createDataFrame([(0, [0.0, 0.0], 1), (0, [0.3, 0.7], -100)], "batch_id int, logits array<float>, mlm_label long")
+    r = masked_cross_entropy(df).first()
+    assert abs(r.mlm_loss - np.log(2)) < 1e-12 and r.n_scored == 1
+
+
+def test_the_pair_head_reads_whole_vectors(spark):
+    lg = logits_fixture(table(spark, SF_SMALL, "embeddings")).limit(20).collect()
+    for r in lg:
+        x = np.asarray(r.logits, np.float64)
+        assert np.allclose(r.nsp_logits, [x[: len(x) // 2].sum(), x[len(x) // 2 :].sum()])

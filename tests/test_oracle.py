@@ -25,11 +25,17 @@ def duck():
     return con
 
 
+#: Queries of subpackage llm that SQL cannot express have tests of their own.
+NAMES = sorted(E.oracle_sql())
+
+
 def test_every_query_has_an_oracle():
-    assert set(E.oracle_sql()) == set(E.queries())
+    from pairloom.plans.catalog import QUERIES
+
+    assert set(QUERIES) <= set(NAMES) <= set(E.queries())
 
 
-@pytest.mark.parametrize("name", sorted(E.queries()))
+@pytest.mark.parametrize("name", NAMES)
 def test_query_matches_oracle(spark, duck, name):
     df = E.queries()[name](spark, SF_SMALL)
     srows = [tuple(r) for r in df.collect()]

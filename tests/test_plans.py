@@ -1,8 +1,7 @@
 """Physical plan checks: no single-partition exchange over data-sized input,
 broadcast vocabulary lookup, and a regroup that reuses the scan partitioning."""
 
-import io
-import contextlib
+import re
 
 from pyspark.sql import functions as F
 
@@ -15,8 +14,9 @@ def plan_text(df):
 
 def test_segmentation_plan(prep_small):
     txt = plan_text(prep_small.sentences)
-    # the only single-partition exchange feeds the bucket table windows
-    assert txt.count("SinglePartition") == 1
+    # single-partition exchanges feed the windows over the bucket tables of the
+    # documents and of the lines only
+    assert txt.count("SinglePartition") == 2
     assert "hashpartitioning(bucket" in txt
     assert "BroadcastHashJoin" in txt
 
@@ -44,3 +44,48 @@ def test_vocab_scan_prunes_columns(spark):
     assert "ReadSchema: struct<doc_id:bigint,text:string,source:string>" in txt
     assert "n_chars" not in txt and "lang" not in txt
     assert "partial_count" in txt  # map-side combine before the shuffle
+
+
+def stage_names(p):
+    import os
+
+    path = p.stages.path.removeprefix("file:")
+    return sorted({d.rsplit("-", 1)[0] for d in os.listdir(path)}) if os.path.isdir(path) else []
+
+
+def small_prep(spark, **cfg):
+    from conftest import SF_SMALL
+    from pairloom import DEFAULT, Preparation
+    from pairloom.sources.corpus import documents_corpus, table
+
+    return Preparation(documents_corpus(table(spark, SF_SMALL, "documents")), DEFAULT.with_(**cfg))
+
+
+def test_pairs_split_and_batches_need_the_narrow_index_only(spark):
+    with small_prep(spark) as p:
+        assert p.pairs.count() == p.n_examples and p.batches(0, 1).count() > 0
+        assert stage_names(p) == ["boundary_flags", "numbered_index", "sentence_index", "split"]
+        p.totals().collect()
+        assert stage_names(p) == ["boundary_flags", "numbered_index", "sentence_index", "split", "token_counts", "vocab"]
+
+
+def test_pairs_carry_no_arrays_and_no_document_exchange(spark):
+    old = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        with small_prep(spark, broadcast_max_rows=1) as p:
+            txt = plan_text(p.pairs)
+    finally:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", old)
+    assert "BroadcastHashJoin" not in txt and "ids#" not in txt
+    keys = re.findall(r"hashpartitioning\(([^()]*), \d+\)", txt)
+    assert keys and not any(re.fullmatch(r"doc_(key|idx)#\d+L?", k) for k in keys)
+
+
+def test_a_large_vocabulary_is_not_broadcast(spark):
+    from pairloom.operators.vocab import lookup_join
+
+    rows = spark.createDataFrame([("a",)], "token string")
+    big = spark.range(3_000_000).select(F.concat(F.lit("w"), F.col("id")).alias("token"), "id")
+    assert "BroadcastHashJoin" not in plan_text(lookup_join(rows, big))
+    assert lookup_join(rows, big).collect()[0].id is None

@@ -17,6 +17,16 @@ def test_strip_matches_python_on_whitespace_code_points(spark):
         assert got[i] == s.strip(), (hex(ord(s[0])) if s else "empty")
 
 
+def test_strip_is_linear_in_inner_spaces(spark):
+    import time
+
+    df = spark.range(1).select(F.concat(F.lit("a"), F.repeat(F.lit(" "), 1_000_000), F.lit("b  ")).alias("s"))
+    df.select(F.length(strip_text("s"))).collect()
+    began = time.time()
+    assert df.select(F.length(strip_text("s")).alias("n")).first().n == 1_000_002
+    assert time.time() - began < 5
+
+
 def test_word_split_matches_python_regex(spark):
     samples = [
         "Hello, world!! It's 3.5 o'clock...",
