@@ -59,7 +59,7 @@ def learn(x: np.ndarray, longest: float, seed: int = 10, rounds: int = 20) -> Co
     codes = Codes(np.zeros((0, 0)), longest)
     y = codes.lengthen(x)
     width = y.shape[1]
-    _, _, axes = np.linalg.svd(y, full_matrices=True)
+    axes = np.linalg.eigh(y.T @ y)[1].T[::-1]
     parts, have = [], 0
     while have < BITS:
         r = np.linalg.qr(rng.normal(size=(width, width)))[0]
