@@ -27,6 +27,7 @@ PROBES = 64  # queries whose true neighbours set the radius
 RECALL = 0.98  # share of their true neighbours that the radius holds
 BITS, SUBSTRING = 64, 8
 BLOCK = 65_536  # most vectors in an index block, about
+SMALL_BLOCK, FEW_BLOCKS = 4_096, 64  # a table of fewer blocks than that has smaller ones
 CHUNK = 256  # queries answered at once
 POPCOUNT = np.bitwise_count(np.arange(256, dtype=np.uint8)).astype(np.int64)
 
@@ -236,7 +237,7 @@ def nearest(vectors: DataFrame, is_query, k: int = 20, id_col: str = "vec_id", v
     sample = bounded_sample(rows, "id", ["vec"], SAMPLE)
     codes = learn(matrix(pa.array([r["vec"] for r in sample], pa.list_(pa.float64())), width), common["longest"])
     radius = _radius(rows, queries, codes, width, k)
-    n = max(int(spark.conf.get("spark.sql.shuffle.partitions")), -(-count // BLOCK))
+    n = max(-(-count // BLOCK), min(FEW_BLOCKS, -(-count // SMALL_BLOCK)))
     ask = lambda q, r: materialize(_best(_blocks(rows, q, n).mapInArrow(lambda b: _answer(b, codes, width, r, k), FOUND), k), "search-found")
     found = ask(queries, radius)
     if radius < BITS:
