@@ -121,32 +121,36 @@ def smallest_reachable(links: np.ndarray, ids: np.ndarray) -> np.ndarray:
     return out
 
 
+def _are_stars(links: DataFrame) -> bool:
+    """Whether every node has one link at most to a smaller node, and none of these has one."""
+    one = F.lit(1)
+    ends = links.select(F.col("a").alias("n"), one.alias("down"), F.lit(0).alias("up")).union(links.select("b", F.lit(0), one))
+    nodes = ends.groupBy("n").agg(F.sum("down").alias("down"), F.max("up").alias("up"))
+    r = nodes.agg(F.max("down"), F.max(F.when(F.col("down") > 0, F.col("up")))).first()
+    return (r[0] or 0) <= 1 and not r[1]
+
+
 def components(edges: DataFrame, name: str = "components") -> DataFrame:
     """Connected components of the undirected links (a, b).
 
     Returns (node, component): the smallest node reachable, for every node with a
-    link to another.  Alternating large-star and small-star rounds on written tables;
-    the driver sees two numbers a round.  A node with very many links is a skewed join
-    key, which adaptive execution splits; minima are combined before the shuffle.
-    Null ends and self-links are ignored.
+    link to another.  Alternating large-star and small-star rounds on written tables, until
+    all links form stars about smallest nodes; the driver sees two numbers a round.
+    A node with very many links is a skewed join key: minima are combined before the
+    shuffle and written, so that both sides of the join are plain shuffles, which
+    adaptive execution can split.  Null ends and self-links are ignored.
     """
-    links = edges.select(
-        F.greatest("a", "b").alias("a"), F.least("a", "b").alias("b"), F.isnull("a").alias("na"), F.isnull("b").alias("nb")
-    ).where("not na and not nb and a > b").select("a", "b")
-    links = materialize(links.distinct(), f"{name}-links")
-    before = None
-    while True:
+    links = edges.select(F.greatest("a", "b").alias("a"), F.least("a", "b").alias("b"), (F.isnull("a") | F.isnull("b")).alias("none"))
+    links = materialize(links.where("not none and a > b").select("a", "b").distinct(), f"{name}-links")
+    while not _are_stars(links):
         both = links.union(links.select(F.col("b").alias("a"), F.col("a").alias("b")))
-        least = both.groupBy("a").agg(F.least("a", F.min("b")).alias("m"))
+        least = materialize(both.groupBy("a").agg(F.least("a", F.min("b")).alias("m")), f"{name}-least")
         # large star: larger neighbours move to the smallest of the neighbourhood
         large = both.join(least, "a").where("b > a").select(F.col("b").alias("a"), F.col("m").alias("b"))
-        large = materialize(large.where("a > b").distinct(), f"{name}-large")
+        large = materialize(large.where("a > b"), f"{name}-large")
         # small star: the rest of a neighbourhood moves to its smallest member
-        least = large.groupBy("a").agg(F.min("b").alias("m"))
+        least = materialize(large.groupBy("a").agg(F.min("b").alias("m")), f"{name}-least")
         small = large.join(least, "a").select(F.col("b").alias("a"), F.col("m").alias("b")).union(least)
         links = materialize(small.where("a > b").distinct(), f"{name}-small")
-        after = links.agg(F.count("*"), F.sum(F.xxhash64("a", "b").cast("decimal(20,0)"))).first()
-        if after == before:
-            return links.select(F.col("a").alias("node"), F.col("b").alias("component"))\
-                .union(links.select(F.col("b").alias("node"), F.col("b").alias("component")).distinct())
-        before = after
+    roots = links.select(F.col("b").alias("node"), F.col("b").alias("component")).distinct()
+    return links.select(F.col("a").alias("node"), F.col("b").alias("component")).union(roots)

@@ -137,7 +137,8 @@ def near_duplicate_vectors(vectors: DataFrame, cosine: float = 0.98, id_col: str
         joined = components(found.where("a != b").select("a", "b"), "vectors")
         counts = groups.join(linked, same, "left").join(joined, F.col("rep") == F.col("node"), "left")
         counts = counts.select(*same, "rep", (F.coalesce("n", F.lit(0)) + F.col("copies") - 1).alias("n"), F.coalesce("component", "rep").alias("component"))
-    out = rows.drop("vec").join(counts, same, "left")
+    # written, so that the join with a vector that very many rows share can be split
+    out = rows.drop("vec").join(materialize(counts, "vector-counts"), same, "left")
     component = F.coalesce("component", "id")
     return out.select(F.col("id").alias(id_col), F.coalesce("n", F.lit(0)).cast("long").alias("n_links"), component.alias("component_id"),
         F.coalesce(F.col("id") == component, F.lit(True)).alias("kept"))

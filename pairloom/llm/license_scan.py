@@ -129,7 +129,8 @@ def license_scan(
     up = F.transform(F.sequence(F.lit(0), depth), lambda d: F.struct(d.alias("depth"), F.array_join(F.slice(names, F.lit(1), d), "/").alias("above")))
     dirs = rows.select("dir").distinct().select("dir", F.explode(up).alias("u")).select("dir", "u.*")
     nearest = dirs.join(held, "above").groupBy("dir").agg(F.max_by(F.struct("license", "above"), "depth").alias("n"))
-    out = rows.join(nearest, "dir", "left")
+    # written, so that the join with a directory of very many files can be split
+    out = rows.join(materialize(nearest, "license-nearest"), "dir", "left")
     license_ = F.coalesce("own", "n.license")
     origin = F.when(F.col("own").isNotNull(), "own").otherwise(F.col("n.above"))
     return out.select("id", "dir", "own", "score", "is_file", license_.alias("license"), origin.alias("origin"))

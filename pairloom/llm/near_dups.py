@@ -313,7 +313,7 @@ def _confirmed(members: DataFrame, sets: DataFrame, percent: int, block: int = B
     star = wide.where("joined and id != c").select(F.greatest("c", "id").alias("a"), F.least("c", "id").alias("b"))
     counts = wide.groupBy("group").agg(F.count_if("joined").alias("s"), F.count_if(~F.col("joined")).alias("o"))
     parts = lambda c: F.greatest(F.ceil(F.col(c) / block), F.lit(1)).cast("int")
-    counts = counts.select("group", parts("s").alias("sb"), parts("o").alias("ob"))
+    counts = materialize(counts.select("group", parts("s").alias("sb"), parts("o").alias("ob")), "near-parts")
     wide = wide.join(counts, "group")
     mine = F.pmod(F.xxhash64("id", "f1"), F.when(F.col("joined"), F.col("sb")).otherwise(F.col("ob"))).cast("int")
     wide = wide.withColumn("mine", mine)
@@ -348,11 +348,14 @@ def near_duplicates(docs: DataFrame, percent: int = 80, k: int = 5, id_col: str
     bands = bands_for(percent / 100)
     sketches = materialize(sketch_table(docs, id_col, text_col, k, bands), "near-sketches")
     some = sketches.where("n_shingles > 0 and id is not null")
-    first = some.groupBy("f1", "f2", "n_shingles").agg(F.min("id").alias("first"))
+    # aggregates are written before a join on a key that may be hot: adaptive execution
+    # splits a join of plain shuffles only
+    first = materialize(some.groupBy("f1", "f2", "n_shingles").agg(F.min("id").alias("first")), "near-first")
     rows = materialize(some.join(first, ["f1", "f2", "n_shingles"]).select("id", "f1", "first",
         F.when(F.col("id") == F.col("first"), F.col("bands")).alias("bands")), "near-rows")
     keys = rows.where("bands is not null").select("id", "f1", F.explode("bands").alias("key"))
     buckets = keys.groupBy("key").agg(F.min(F.struct("id", "f1")).alias("c"), F.count("*").alias("m")).where("m > 1")
+    buckets = materialize(buckets, "near-buckets")
     members = materialize(keys.join(buckets, "key").select("id", "f1", F.col("c.id").alias("centre")), "near-members")
     groups = components(members.where("id != centre").select(F.col("id").alias("a"), F.col("centre").alias("b")).distinct(), "near-candidates")
     nodes = members.groupBy("id", "f1").agg(F.count("*").alias("bands"))

@@ -274,7 +274,8 @@ def _repeated_spans(wide: DataFrame, length: int) -> DataFrame:
     prepare(wide.sparkSession)
     rows = wide.select("id", "text_no", "text")
     anchors = materialize(rows.mapInArrow(lambda b: _anchor_rows(b, length), ANCHORS), "suffix-anchors")
-    again = anchors.groupBy("hash").agg(F.count("*").alias("n")).where("n > 1").select("hash")
+    # written, so that the join with a hot anchor is one that adaptive execution splits
+    again = materialize(anchors.groupBy("hash").agg(F.count("*").alias("n")).where("n > 1").select("hash"), "suffix-again")
     kept = materialize(anchors.join(again, "hash"), "suffix-kept")
     one = F.min(F.struct("id", "text_no", "first", "windows", "anchor")).alias("one")
     counted = materialize(kept.groupBy("hash", "bytes").agg(F.count("*").alias("copies"), one), "suffix-counted")

@@ -33,6 +33,7 @@ from pyspark.sql.datasource import (
     WriterCommitMessage,
 )
 
+from ..session import materialize
 from .common import prepare
 
 # --- fixed values (the WARC 1.1 and gzip formats) ------------------------------
@@ -378,7 +379,7 @@ def page_records(pages: DataFrame, min_bytes: int = 0) -> DataFrame:
     payload = F.coalesce(F.encode("html", "UTF-8"), F.lit(b""))
     rows = pages.select("page_id", "url", payload.alias("payload")).withColumn("_sha1", F.sha1("payload"))
     firsts = rows.where(F.octet_length("payload") >= min_bytes).groupBy("_sha1").agg(F.min("page_id").alias("_first"), F.count("*").alias("_n"))
-    rows = rows.join(firsts.where("_n > 1").drop("_n"), "_sha1", "left")
+    rows = rows.join(materialize(firsts.where("_n > 1").drop("_n"), "warc-firsts"), "_sha1", "left")
     again = (F.col("page_id") != F.col("_first")) & (F.octet_length("payload") >= min_bytes)
     named = lambda c: F.concat(F.lit(RECORD[:-3]), c.cast("string"), F.lit(">"))
     return rows.select(
