@@ -24,8 +24,10 @@ HEADLINE = [
     "nsp_pairs",
     "training_examples",
     "split_exact",
+    "split_by_document",
     "epoch_batches",
     "batch_manifest",
+    "examples_written",
     "total_loss",
     "epoch_metrics",
     "conv_training_examples",

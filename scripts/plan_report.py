@@ -13,7 +13,7 @@ import sys
 
 sys.path.insert(0, os.path.dirname(os.path.dirname(os.path.abspath(__file__))))
 
-import __spark_entry__ as E  # noqa: E402
+from pairloom.plans.catalog import QUERIES  # noqa: E402
 from pairloom.session import build_session  # noqa: E402
 
 
@@ -46,7 +46,7 @@ def main():
         "|---|---|---|---|---|---|---|---|",
     ]
     scans = []
-    for name, fn in E.queries().items():
+    for name, fn in QUERIES.items():
         df = fn(spark, sf)
         plan = df._jdf.queryExecution().executedPlan().toString()
         s = summarize(plan)
