@@ -18,7 +18,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from ..session import join_small, materialize
-from .common import components, prepare, smallest_reachable
+from .common import components, map_arrow, prepare, smallest_reachable
 from .vectors import bounded_sample, matrix, unit, usable
 
 SAMPLE = 16_384  # vectors that centres are fitted on
@@ -150,7 +150,7 @@ def _links(reps: DataFrame, largest: int, width: int, cosine: float) -> DataFram
     x = matrix(pa.array([r["vec"] for r in sample], pa.list_(pa.float64())), width)
     centres = spherical_kmeans(unit(x), k)
     schema = T.StructType([*reps.schema.fields, T.StructField("cell", T.IntegerType()), T.StructField("home", T.BooleanType())])
-    placed = materialize(reps.mapInArrow(lambda b: _assign(b, centres, cosine), schema), "vector-cells")
+    placed = materialize(map_arrow(reps, lambda b: _assign(b, centres, cosine), schema), "vector-cells")
     cells = placed.groupBy("label", "size", "cell").agg(F.count_if("home").alias("h"), F.count_if(~F.col("home")).alias("v"))
     parts = lambda c: F.greatest(F.ceil(F.col(c) / BLOCK), F.lit(1)).cast("int")
     cells = cells.select("label", "size", "cell", "v", parts("h").alias("hb"), parts("v").alias("vb"))

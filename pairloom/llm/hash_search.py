@@ -19,7 +19,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from ..session import materialize
-from .common import prepare
+from .common import map_arrow, prepare
 from .vectors import bounded_sample, matrix, usable
 
 SAMPLE = 16_384  # vectors that the rotation is learned on
@@ -200,7 +200,7 @@ def _radius(rows: DataFrame, queries: DataFrame, codes: Codes, width: int, k: in
         if rows:
             yield pa.RecordBatch.from_arrays([pa.array(c) for c in zip(*rows, strict=True)], names=["probe", "score", "distance"])
 
-    found = rows.select("id", "vec").mapInArrow(run, "probe long, score double, distance long")
+    found = map_arrow(rows.select("id", "vec"), run, "probe long, score double, distance long")
     rank = F.row_number().over(Window.partitionBy("probe").orderBy(F.col("score").desc(), "distance"))
     far = [r[0] for r in found.withColumn("rank", rank).where(F.col("rank") <= k).select("distance").collect()]
     return int(np.quantile(far, RECALL, method="higher")) if far else BITS
@@ -238,7 +238,7 @@ def nearest(vectors: DataFrame, is_query, k: int = 20, id_col: str = "vec_id", v
     codes = learn(matrix(pa.array([r["vec"] for r in sample], pa.list_(pa.float64())), width), common["longest"])
     radius = _radius(rows, queries, codes, width, k)
     n = max(-(-count // BLOCK), min(FEW_BLOCKS, -(-count // SMALL_BLOCK)))
-    ask = lambda q, r: materialize(_best(_blocks(rows, q, n).mapInArrow(lambda b: _answer(b, codes, width, r, k), FOUND), k), "search-found")
+    ask = lambda q, r: materialize(_best(map_arrow(_blocks(rows, q, n), lambda b: _answer(b, codes, width, r, k), FOUND), k), "search-found")
     found = ask(queries, radius)
     if radius < BITS:
         enough = found.groupBy("query_id").agg(F.count("*").alias("n")).where(F.col("n") >= k)

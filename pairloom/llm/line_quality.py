@@ -19,7 +19,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from ..session import materialize
-from .common import mix64, prefix_hash, prepare, slices, utf8
+from .common import map_arrow, mix64, prefix_hash, prepare, slices, utf8
 
 #: Labelled documents that the model is fitted on, at most, and lines of one of them; a
 #: document of more lines is left out of the sample.  Both bound the driver's memory.
@@ -261,7 +261,7 @@ def train(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col:
     # the sample has a fixed bound, so it may be sent to all
     rows = docs.join(F.broadcast(chosen), F.col(id_col) == F.col("_id")).select("label", F.col(text_col).alias("text"), F.xxhash64("_id").alias("_order"))
     # rows that repeat an id count once; the sample stays bounded
-    got = rows.select("label", "text").mapInArrow(_sample_lines, LINES).limit(2 * sample).collect()
+    got = map_arrow(rows.select("label", "text"), _sample_lines, LINES).limit(2 * sample).collect()
     got.sort(key=lambda r: (bytes(r["features"]), r["label"]))
     label = np.array([r["label"] for r in got], np.int64)
     lines = np.array([r["lines"] for r in got], np.int64)
@@ -290,7 +290,7 @@ def score(docs: DataFrame, model: LineModel, id_col: str = "doc_id", text_col: s
                 scores[lo:hi] = model.score(x, row, size, hi - lo)
             yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(scores)], names=[id_col, "score"])
 
-    return rows.mapInArrow(run, T.StructType([rows.schema.fields[0], T.StructField("score", T.DoubleType())]))
+    return map_arrow(rows, run, T.StructType([rows.schema.fields[0], T.StructField("score", T.DoubleType())]))
 
 
 def accepted(docs: DataFrame, model: LineModel, text_col: str = "text", least: float = 0.5) -> DataFrame:
@@ -308,4 +308,4 @@ def accepted(docs: DataFrame, model: LineModel, text_col: str = "text", least: f
                 keep[lo:hi] = model.score(x, row, size, hi - lo) >= least
             yield pa.RecordBatch.from_arrays(batch.columns, names=names).filter(pa.array(keep))
 
-    return docs.mapInArrow(run, docs.schema)
+    return map_arrow(docs, run, docs.schema)

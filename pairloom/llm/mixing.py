@@ -19,7 +19,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from ..session import join_small, materialize
-from .common import prepare
+from .common import map_arrow, prepare
 
 WORD = r"[^\x20\x09-\x0D]+"
 SPACED_WORD = r"([\x20\x09-\x0D]*[^\x20\x09-\x0D]+)"
@@ -132,7 +132,7 @@ def mix(
     ranged = ranged.select("row", "source", "size", F.spark_partition_id().cast("long").alias("_part"))
     names = [*ranged.columns, "_inside"]
     schema = T.StructType([*ranged.schema.fields, T.StructField("_inside", T.LongType())])
-    ranged = materialize(ranged.mapInArrow(lambda b: _running(b, 2, 1, names), schema), "mix-ranged")
+    ranged = materialize(map_arrow(ranged, lambda b: _running(b, 2, 1, names), schema), "mix-ranged")
     return _cut(ranged, weights, share, passes)
 
 

@@ -20,7 +20,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from ..session import materialize
-from .common import components, mix64, prefix_hash, prepare, slices, smallest_reachable, utf8
+from .common import components, map_arrow, mix64, prefix_hash, prepare, slices, smallest_reachable, utf8
 
 U64 = np.uint64
 _rng = np.random.default_rng(20240607)
@@ -166,7 +166,7 @@ def _sketches(batches: Iterable[pa.RecordBatch], k: int, bands: Bands) -> Iterat
 def sketch_table(docs: DataFrame, id_col: str, text_col: str, k: int, bands: Bands) -> DataFrame:
     prepare(docs.sparkSession)
     rows = docs.select(F.col(id_col).alias("id"), F.col(text_col).alias("text"))
-    return rows.mapInArrow(lambda b: _sketches(b, k, bands), T.StructType([rows.schema["id"], *SKETCH_SCHEMA]))
+    return map_arrow(rows, lambda b: _sketches(b, k, bands), T.StructType([rows.schema["id"], *SKETCH_SCHEMA]))
 
 
 def set_table(docs: DataFrame, id_col: str, text_col: str, k: int) -> DataFrame:
@@ -186,7 +186,7 @@ def set_table(docs: DataFrame, id_col: str, text_col: str, k: int) -> DataFrame:
                 f1 = (sums[offs[1:]] - sums[offs[:-1]]).view(np.int64)
                 yield pa.RecordBatch.from_arrays([batch.column(0).slice(lo, hi - lo), pa.array(f1), lists], names=["id", "f1", "shingles"])
 
-    return rows.mapInArrow(run, schema)
+    return map_arrow(rows, run, schema)
 
 
 # --- confirmation on full sets -------------------------------------------------------
@@ -297,8 +297,11 @@ def _confirmed(members: DataFrame, sets: DataFrame, percent: int, block: int = B
     rows = members.join(sets, ["id", "f1"])
     sizes = members.groupBy("group").agg(F.count("*").alias("size"), F.max(F.struct("bands", "id", "f1")).alias("centre"))
     large = materialize(sizes.where(F.col("size") > block), "near-large")
-    dealt = lambda tasks: tasks.select(TASK_COLUMNS).repartition(n, "group", "i", "j").sortWithinPartitions("group", "i", "j").mapInArrow(
-        lambda b: _compare_groups(b, percent), LINK_SCHEMA)
+
+    def dealt(tasks: DataFrame) -> DataFrame:
+        ordered = tasks.select(TASK_COLUMNS).repartition(n, "group", "i", "j").sortWithinPartitions("group", "i", "j")
+        return map_arrow(ordered, lambda b: _compare_groups(b, percent), LINK_SCHEMA)
+
     small = rows.join(large.select("group"), "group", "left_anti")
     zero = F.lit(0)
     found = dealt(small.select("group", zero.alias("i"), zero.alias("j"), zero.alias("side"), "id", "shingles"))

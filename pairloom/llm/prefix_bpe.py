@@ -23,10 +23,12 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 from tokenizers import Tokenizer
 
-from .common import prepare
+from .common import map_arrow, prepare
 
 #: Distinct words whose ids a worker remembers; beyond it starts afresh.
-CACHE_WORDS = 400_000
+CACHE_WORDS = 150_000
+#: Pairs of tokens whose compatibility it remembers.
+CACHE_PAIRS = 200_000
 
 #: Code points on which every Unicode version agrees and that normalisation leaves
 #: alone, but for lower-casing; texts with others take the tokenizer's own
@@ -124,7 +126,7 @@ class PrefixBpe:
                 limit, a = a, self.split[a][1]
             else:
                 break
-        if len(self.fits) > 4_000_000:
+        if len(self.fits) > CACHE_PAIRS:
             self.fits.clear()
         self.fits[key] = answer
         return answer
@@ -222,4 +224,4 @@ def encode(docs: DataFrame, path: str, id_col: str = "doc_id", text_col: str = "
                 cols.append(pa.array([bpe.decode(x) for x in ids], pa.string()))
             yield pa.RecordBatch.from_arrays(cols, names=[f.name for f in fields])
 
-    return kept.mapInArrow(run, T.StructType(fields))
+    return map_arrow(kept, run, T.StructType(fields))

@@ -21,7 +21,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from ..session import materialize
-from .common import SLICE_BYTES, mix64, prefix_hash, prepare, slices, utf8
+from .common import SLICE_BYTES, map_arrow, mix64, prefix_hash, prepare, slices, utf8
 
 U64 = np.uint64
 _rng = np.random.default_rng(20240608)
@@ -260,8 +260,8 @@ def _sort_block(table: pa.Table, length: int) -> pa.Table:
 
 
 def _repeated_spans(wide: DataFrame, length: int) -> DataFrame:
-    """(id, text_no, first, size): runs of bytes that are covered by strings of ``length``
-    bytes that also start elsewhere, one row for each segment, not merged.
+    """(id, text_no, spans): runs of bytes that are covered by strings of ``length`` bytes
+    that also start elsewhere, as (first, size) for each segment, not merged.
 
     ``text_no`` tells apart rows that share an id.  Every anchor is counted; equal
     segments of an anchor are combined, and of each only one goes to the sort.  An
@@ -273,15 +273,14 @@ def _repeated_spans(wide: DataFrame, length: int) -> DataFrame:
         raise ValueError(f"strings must be of {GRAM + 8} bytes at least")
     prepare(wide.sparkSession)
     rows = wide.select("id", "text_no", "text")
-    anchors = materialize(rows.mapInArrow(lambda b: _anchor_rows(b, length), ANCHORS), "suffix-anchors")
+    anchors = materialize(map_arrow(rows, lambda b: _anchor_rows(b, length), ANCHORS), "suffix-anchors")
     # written, so that the join with a hot anchor is one that adaptive execution splits
     again = materialize(anchors.groupBy("hash").agg(F.count("*").alias("n")).where("n > 1").select("hash"), "suffix-again")
     kept = materialize(anchors.join(again, "hash"), "suffix-kept")
     one = F.min(F.struct("id", "text_no", "first", "windows", "anchor")).alias("one")
     counted = materialize(kept.groupBy("hash", "bytes").agg(F.count("*").alias("copies"), one), "suffix-counted")
-    full = counted.where("copies > 1").select("hash", "bytes")
     # of the segments that differ, one each goes to the sort with its bytes
-    kinds = counted.groupBy("hash").agg(F.count("*").alias("kinds")).where("kinds > 1")
+    kinds = materialize(counted.groupBy("hash").agg(F.count("*").alias("kinds")).where("kinds > 1"), "suffix-kinds")
     cut = _cut_segments(rows, counted.join(kinds, "hash").select("one.*", "hash", "bytes", "kinds"), length)
     block = F.pmod(F.xxhash64("bytes"), F.ceil(F.col("kinds") / BLOCK_SEGMENTS))
     cut = cut.withColumn("block", block).withColumn("several", F.col("kinds") > BLOCK_SEGMENTS)
@@ -292,15 +291,19 @@ def _repeated_spans(wide: DataFrame, length: int) -> DataFrame:
     def sort(batches):
         yield from _sorted_partitions(batches, length)
 
-    found = materialize(dealt.sortWithinPartitions("hash", "block").mapInArrow(sort, FOUND), "suffix-found")
+    found = materialize(map_arrow(dealt.sortWithinPartitions("hash", "block"), sort, FOUND), "suffix-found")
     local = found.where("digest is null").select("hash", "bytes", "from_", "to_")
     across = found.where("digest is not null")
     twice = across.groupBy("hash", "digest").agg(F.count("*").alias("n")).where("n > 1").select("hash", "digest")
     wide = across.join(twice, ["hash", "digest"]).select("hash", "bytes", "from_", "to_")
-    partial = local.union(wide).join(full, ["hash", "bytes"], "left_anti")
-    spans = kept.join(full, ["hash", "bytes"], "left_semi").select("id", "text_no", "first", F.lit(0).alias("from_"), F.col("windows").alias("to_"))
-    spans = spans.union(kept.join(partial, ["hash", "bytes"]).select("id", "text_no", "first", "from_", "to_"))
-    return spans.select("id", "text_no", (F.col("first") + F.col("from_")).alias("first"), (F.col("to_") - F.col("from_") + length - 1).alias("size"))
+    # windows to remove, once for each kind of segment; one join takes them to all segments
+    some = local.union(wide).groupBy("hash", "bytes").agg(F.collect_list(F.struct("from_", "to_")).alias("runs"))
+    every = F.array(F.struct(F.lit(0).alias("from_"), F.col("one.windows").alias("to_")))
+    full = counted.where("copies > 1").select("hash", "bytes", every.alias("runs"))
+    marks = full.union(some.join(full.select("hash", "bytes"), ["hash", "bytes"], "left_anti"))
+    marked = kept.join(materialize(marks, "suffix-marks"), ["hash", "bytes"], "left")
+    run = F.transform("runs", lambda r: F.struct((F.col("first") + r["from_"]).alias("first"), (r["to_"] - r["from_"] + length - 1).alias("size")))
+    return marked.groupBy("id", "text_no").agg(F.flatten(F.collect_list(run)).alias("spans"))
 
 
 def _rows(docs: DataFrame, id_col: str, text_col: str, keep: list[str]) -> DataFrame:
@@ -357,15 +360,14 @@ def remove_repeats(docs: DataFrame, length: int = 200, id_col: str = "doc_id", t
     id like any other; an empty table gives an empty result.
     """
     wide = _rows(docs, id_col, text_col, keep or [id_col])
-    spans = _repeated_spans(wide, length)
-    lists = spans.groupBy("id", "text_no").agg(F.collect_list(F.struct("first", "size")).alias("spans"))
+    lists = _repeated_spans(wide, length)
     joined = wide.join(lists, ["id", "text_no"], "left").select("row", "text", "spans")
     schema = T.StructType([
         joined.schema["row"], T.StructField("n_bytes", T.LongType()),
         T.StructField("spans", T.ArrayType(T.StructType([T.StructField("first", T.LongType()), T.StructField("size", T.LongType())]))),
         T.StructField("kept", T.BinaryType()),
     ])
-    return joined.mapInArrow(_removed, schema)
+    return map_arrow(joined, _removed, schema)
 
 
 def _removed(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -373,7 +375,7 @@ def _removed(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         sizes, spans, kept = [], [], []
         for text, runs in zip(batch.column(1).cast(pa.binary()).to_pylist(), batch.column(2), strict=True):
             sizes.append(len(text))
-            if not runs.is_valid:
+            if not runs.is_valid or not len(runs):
                 spans.append([])
                 kept.append(text)
                 continue
@@ -401,6 +403,6 @@ def without_repeats(docs: DataFrame, length: int = 200, id_col: str = "doc_id",
             texts = [None if n else b.decode("utf-8", "ignore") for n, b in zip(batch.column(1).to_pylist(), batch.column(2).to_pylist(), strict=True)]
             yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(texts, pa.string())], names=["row", "text"])
 
-    out = out.mapInArrow(run, schema)
+    out = map_arrow(out, run, schema)
     new = {text_col: F.col("text"), "n_chars": F.when(F.col("text").isNotNull(), F.length("text")).cast(dict(docs.dtypes).get("n_chars", "long"))}
     return out.select(*[new.get(c, F.col(f"row.`{c}`")).alias(c) for c in docs.columns])

@@ -29,7 +29,7 @@ from pyspark.sql import types as T
 from tokenizers import Tokenizer
 
 from ..session import join_small, materialize
-from .common import prepare
+from .common import map_arrow, prepare
 from .prefix_bpe import PLAIN, _classes
 from .warc import file_system
 
@@ -38,7 +38,7 @@ BLOCK = 2048  # most ids in a block
 LEAST_BLOCK = 256  # a short run of ids is cut into more and smaller blocks, coded in step
 LANES = 2048  # blocks coded in step; bounds memory
 MAX_ID = 1 << 16  # ids are coded as four digits of four bits
-CACHE_PIECES = 600_000
+CACHE_PIECES = 200_000
 SLOTS = 1024  # of a block's tables of followers
 U32, U64 = np.uint32, np.uint64
 LOW32 = U64(0xFFFFFFFF)
@@ -252,7 +252,7 @@ def encode_blocks(ids: np.ndarray) -> list[bytes]:
         raise ValueError(f"ids must be below {MAX_ID}")
     out = []
     for first in range(0, len(ids), BLOCK * LANES):
-        out += _encode_group(ids[first : first + BLOCK * LANES].astype(np.int64))
+        out += _encode_group(ids[first : first + BLOCK * LANES])
     return out
 
 
@@ -261,18 +261,19 @@ def _encode_group(ids: np.ndarray) -> list[bytes]:
     lanes = -(-len(ids) // block)
     length = np.full(lanes, block)
     length[-1] = len(ids) - (lanes - 1) * block
-    grid = np.zeros(lanes * block, np.int64)
+    grid = np.zeros(lanes * block, np.uint16)
     grid[: len(ids)] = ids
     columns = np.ascontiguousarray(grid.reshape(lanes, block).T)
     hits, ctx, coder = Hits(lanes), Contexts(lanes), Encoder(lanes, 2 * block + 4)
     escaped = np.zeros((block, lanes), bool)
     for t in range(int(length[0])):
         n = lanes if t < length[-1] else lanes - 1
-        escaped[t, :n] = ctx.run(hits, coder, n, columns[t, :n])
+        escaped[t, :n] = ctx.run(hits, coder, n, columns[t, :n].astype(np.int64))
     coder.finish()
+    del hits, ctx
     count = escaped.sum(0)
     order = np.argsort(-count, kind="stable")
-    queue = np.zeros((max(int(count.max()), 1), lanes), np.int64)
+    queue = np.zeros((max(int(count.max()), 1), lanes), np.uint16)
     t_at, l_at = np.nonzero(escaped.T)  # lane, step
     queue[np.concatenate([np.arange(c) for c in count]), t_at] = columns[l_at, t_at]
     queue = np.ascontiguousarray(queue[:, order])
@@ -280,7 +281,7 @@ def _encode_group(ids: np.ndarray) -> list[bytes]:
     falling = count[order]
     for t in range(int(falling[0]) if lanes else 0):
         n = int(np.searchsorted(-falling, -t, side="left"))
-        digits.code(rest, n, queue[t, :n])
+        digits.code(rest, n, queue[t, :n].astype(np.int64))
     rest.finish()
     place = np.empty(lanes, np.int64)
     place[order] = np.arange(lanes)
@@ -317,16 +318,17 @@ def _decode_group(blocks: list[bytes]) -> list[np.ndarray]:
     order = np.argsort(-count, kind="stable")
     falling = count[order]
     digits, rest = Digits(lanes), Decoder(words(na, nb, order))
-    queue = np.zeros((max(int(falling[0]), 1), lanes), np.int64)
+    queue = np.zeros((max(int(falling[0]), 1), lanes), np.uint16)
     for t in range(int(falling[0])):
         n = int(np.searchsorted(-falling, -t, side="left"))
         queue[t, :n] = digits.code(rest, n)
     place = np.empty(lanes, np.int64)
     place[order] = np.arange(lanes)
     by_length = np.argsort(-length, kind="stable")
+    del digits, rest
     hits, ctx, coder = Hits(lanes), Contexts(lanes), Decoder(words(np.zeros(lanes, np.int64), na, by_length))
     column, taken = place[by_length], np.zeros(lanes, np.int64)
-    columns = np.zeros((max(int(length.max()), 1), lanes), np.int64)
+    columns = np.zeros((max(int(length.max()), 1), lanes), np.uint16)
 
     def escapes(k):
         got = queue[np.minimum(taken[k], len(queue) - 1), column[k]]
@@ -449,14 +451,15 @@ def write_tokens(docs: DataFrame, tokenizer: str, folder: str, end_id: int = 2,
     prepare(spark)
     rows = docs.select(F.col(id_col).cast("long").alias("doc_id"), F.col(text_col).alias("text"))
     n = int(spark.conf.get("spark.sql.shuffle.partitions"))
-    ranged = rows.repartitionByRange(n, "doc_id", "text").sortWithinPartitions("doc_id", "text")
+    # by id alone: the driver samples the keys of a range sort
+    ranged = rows.repartitionByRange(n, "doc_id").sortWithinPartitions("doc_id", "text")
     ranged = ranged.withColumn("part", F.spark_partition_id().cast("long"))
 
     def run(batches):
         for row in _write_file(batches, tokenizer, folder, end_id):
             yield pa.RecordBatch.from_arrays([pa.array([v]) for v in row], names=["part", "name", "n_docs", "n_tokens"])
 
-    files = materialize(ranged.mapInArrow(run, LIST_SCHEMA), "token-files")
+    files = materialize(map_arrow(ranged, run, LIST_SCHEMA), "token-files")
     # one row for each range partition
     before = F.sum("n_tokens").over(Window.orderBy("part").rowsBetween(Window.unboundedPreceding, 0)) - F.col("n_tokens")
     return files.withColumn("first", before)
@@ -514,7 +517,7 @@ def read_tokens(files: DataFrame, folder: str) -> DataFrame:
 
     # files are dealt out one by one: each is a task's worth of work
     tasks = files.select("name", "first").repartition(max(1, files.count()), "name")
-    return tasks.mapInArrow(run, schema)
+    return map_arrow(tasks, run, schema)
 
 
 def _documents(ids, null, sizes, blocks, first) -> Iterator[pa.RecordBatch]:
