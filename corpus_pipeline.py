@@ -29,8 +29,10 @@ def quality(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """One document of each group of near-duplicates: five words, similarity 0.8."""
-    return near_dups.distinct_documents(docs, percent=80, k=5)
+    """One row of each group of near-duplicates: five words, similarity 0.8.  Rows of one id
+    and rows without an id are compared like any other, for the next stage would remove
+    all copies of what stays twice."""
+    return near_dups.distinct_documents(docs, percent=80, k=5, link_null_ids=True)
 
 
 def repeated_passages(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

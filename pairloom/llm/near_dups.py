@@ -376,8 +376,33 @@ def near_duplicates(docs: DataFrame, percent: int = 80, k: int = 5, id_col: str
         F.coalesce(F.col("id") == component, F.lit(True)).alias("kept"))
 
 
-def distinct_documents(docs: DataFrame, id_col: str = "doc_id", **options) -> DataFrame:
-    """The rows of ``docs`` that near_duplicates keeps, all columns."""
-    groups = near_duplicates(docs, id_col=id_col, **options)
-    gone = materialize(groups.where("not kept").select(F.col(id_col).alias("_gone")).distinct(), "near-gone")
-    return docs.join(gone, F.col(id_col) == F.col("_gone"), "left_anti")
+def distinct_documents(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", link_null_ids: bool = False, **options) -> DataFrame:
+    """One row of ``docs`` of each group of near-duplicates, all columns.
+
+    Where ids repeat or are missing, rows are compared by a number of their own, so of rows
+    with one id and similar texts one stays, and rows with one id and other texts all stay.
+    Rows without an id meet each other only, or with ``link_null_ids`` all rows.  The row with
+    the smallest id stays (a null id is the largest), then that with the smallest hash of its
+    columns.  Texts without words are alike only within one id.
+    """
+    if docs.groupBy(id_col).agg(F.count("*").alias("n")).where(F.col(id_col).isNull() | (F.col("n") > 1)).isEmpty():
+        groups = near_duplicates(docs, id_col=id_col, text_col=text_col, **options)
+        gone = materialize(groups.where("not kept").select(F.col(id_col).alias("_gone")), "near-gone")
+        return docs.join(gone, F.col(id_col) == F.col("_gone"), "left_anti")
+    number = "_number"
+    while number in docs.columns:
+        number += "_"
+    numbered = materialize(docs.withColumn(number, F.monotonically_increasing_id()), "near-numbered")
+    missing = F.col(id_col).isNull()
+    groups = None
+    for part in [numbered] if link_null_ids else [numbered.where(~missing), numbered.where(missing)]:
+        found = near_duplicates(part, id_col=number, text_col=text_col, **options).select(F.col(number).alias("row"), "n_shingles", "component_id")
+        groups = found if groups is None else groups.union(found)
+    hashed = [F.col(f"`{c}`") for c, t in docs.dtypes if "map<" not in t]
+    rows = numbered.select(F.col(number).alias("row"), missing.alias("none"), F.col(id_col).alias("id"), F.xxhash64(*hashed).alias("hash")).join(groups, "row")
+    words = F.col("n_shingles") > 0
+    # rows of a group agree in all three; a wordless row without an id is a group of its own
+    key = [words.alias("words"), F.when(words, F.col("component_id")).when(F.col("none"), F.col("row")).alias("a"), F.when(~words, F.col("id")).alias("b")]
+    best = rows.groupBy(*key).agg(F.min(F.struct("none", "id", "hash", "row")).alias("m"))
+    stay = materialize(best.select(F.col("m.row").alias(number)), "near-stay")
+    return numbered.join(stay, number, "left_semi").select(*[F.col(f"`{c}`") for c in docs.columns])

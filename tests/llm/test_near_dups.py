@@ -77,6 +77,20 @@ def test_documents_kept(make_docs, prose):
     assert {r.doc_id for r in out.collect()} == want
 
 
+def test_one_row_of_repeated_rows(make_docs, prose):
+    a, b, c = prose(60, 1), prose(60, 2), prose(60, 3)
+    rows = [(1, a, "s"), (1, a, "s"), (1, a, "s"), (2, edited(a, 1, 5), "s"), (3, b, "s"), (3, c, "s"), (4, c, "s"),
+            (None, b, "s"), (None, b, "s"), (None, c + " end", "s"), (5, "", "s"), (5, "", "s"), (6, "", "s"), (None, "", "s"), (None, None, "s")]
+    docs = make_docs(rows)
+    out = [(r.doc_id, r.text) for r in near_dups.distinct_documents(docs).collect()]
+    want = [(1, a), (3, b), (3, c), (None, b), (None, c + " end"), (5, ""), (6, ""), (None, ""), (None, None)]
+    assert sorted(out, key=str) == sorted(want, key=str)
+    linked = near_dups.distinct_documents(docs, link_null_ids=True)
+    assert linked.columns == docs.columns
+    want = [(1, a), (3, b), (3, c), (5, ""), (6, ""), (None, ""), (None, None)]
+    assert sorted(((r.doc_id, r.text) for r in linked.collect()), key=str) == sorted(want, key=str)
+
+
 def test_no_documents(make_docs):
     assert near_dups.near_duplicates(make_docs([])).collect() == []
     assert near_dups.near_duplicates(make_docs([(1, None, None)])).collect()[0].kept

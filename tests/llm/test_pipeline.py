@@ -93,3 +93,17 @@ def test_run_is_the_stages_in_a_row(spark, sf_dir):
     again = corpus_pipeline.run(spark, sf_dir)
     rows = sorted((r.doc_id, r.n_tokens, bytes(r.ids)) for r in first.collect())
     assert rows and rows == sorted((r.doc_id, r.n_tokens, bytes(r.ids)) for r in again.collect())
+
+
+def test_repeated_rows_pass_the_stages_once(spark, prose):
+    a, b, c = (prose(80, i) for i in (1, 2, 3))
+    rows = [(1, a), (1, a), (2, b), (None, b), (None, c), (None, c), (3, prose(80, 4))]
+    docs = spark.createDataFrame([(i, t, "en", "s", len(t)) for i, t in rows], "doc_id long, text string, lang string, source string, n_chars long")
+    stages = dict(corpus_pipeline.STAGES)
+    unique = stages["near_duplicates"](spark, docs, "").cache()
+    fresh = stages["repeated_passages"](spark, unique, "").cache()
+    want = sorted([(1, a), (2, b), (None, c), (3, rows[-1][1])], key=str)
+    assert sorted(((r.doc_id, r.text) for r in unique.collect()), key=str) == want
+    assert sorted(((r.doc_id, r.text) for r in fresh.collect()), key=str) == want
+    mixed = stages["mix"](spark, fresh, "").collect()
+    assert {r.text for r in mixed} >= {a, b, c}
