@@ -105,20 +105,20 @@ def _parts(data: np.ndarray, offsets: np.ndarray, length: int) -> Iterator[tuple
             yield lo, data[at:end], np.array([0, end - at]), np.array([at - a])
 
 
-ANCHORS = "id long, text_no long, first int, windows int, anchor int, hash long, bytes long"
+ANCHORS = "id long, text_no long, times long, first int, windows int, anchor int, hash long, bytes long"
 
 
 def _anchor_rows(batches: Iterable[pa.RecordBatch], length: int) -> Iterator[pa.RecordBatch]:
     for batch in batches:
-        data, offsets = utf8(batch.column(2))
+        data, offsets = utf8(batch.column(3))
         for lo, part, offs, skipped in _parts(data, offsets, length):
             s = segments(part, offs, length)
             if len(s["row"]):
                 at = pa.array(s["row"] + lo)
                 yield pa.RecordBatch.from_arrays(
-                    [batch.column(0).take(at), batch.column(1).take(at), *(pa.array((s[k] + (skipped[s["row"]] if k == "first" else 0)).astype(np.int32)) for k in ("first", "windows", "anchor")),
+                    [*(batch.column(k).take(at) for k in range(3)), *(pa.array((s[k] + (skipped[s["row"]] if k == "first" else 0)).astype(np.int32)) for k in ("first", "windows", "anchor")),
                      pa.array(s["hash"]), pa.array(s["bytes"])],
-                    names=["id", "text_no", "first", "windows", "anchor", "hash", "bytes"],
+                    names=["id", "text_no", "times", "first", "windows", "anchor", "hash", "bytes"],
                 )
 
 
@@ -259,11 +259,12 @@ def _sort_block(table: pa.Table, length: int) -> pa.Table:
     })
 
 
-def _repeated_spans(wide: DataFrame, length: int) -> DataFrame:
+def _repeated_spans(rows: DataFrame, length: int) -> DataFrame:
     """(id, text_no, spans): runs of bytes that are covered by strings of ``length`` bytes
     that also start elsewhere, as (first, size) for each segment, not merged.
 
-    ``text_no`` tells apart rows that share an id.  Every anchor is counted; equal
+    ``rows`` holds (id, text_no, times, text), each (id, text_no) once: ``text_no`` tells
+    apart texts that share an id, and ``times`` counts the rows that are alike.  Every anchor is counted; equal
     segments of an anchor are combined, and of each only one goes to the sort.  An
     anchor with more than ``BLOCK_SEGMENTS`` different segments is sorted in blocks, and
     the windows left alone in a block are then compared across blocks by their digests,
@@ -271,21 +272,20 @@ def _repeated_spans(wide: DataFrame, length: int) -> DataFrame:
     """
     if length < GRAM + 8:
         raise ValueError(f"strings must be of {GRAM + 8} bytes at least")
-    prepare(wide.sparkSession)
-    rows = wide.select("id", "text_no", "text")
+    prepare(rows.sparkSession)
     anchors = materialize(map_arrow(rows, lambda b: _anchor_rows(b, length), ANCHORS), "suffix-anchors")
     # written, so that the join with a hot anchor is one that adaptive execution splits
-    again = materialize(anchors.groupBy("hash").agg(F.count("*").alias("n")).where("n > 1").select("hash"), "suffix-again")
+    again = materialize(anchors.groupBy("hash").agg(F.sum("times").alias("n")).where("n > 1").select("hash"), "suffix-again")
     kept = materialize(anchors.join(again, "hash"), "suffix-kept")
     one = F.min(F.struct("id", "text_no", "first", "windows", "anchor")).alias("one")
-    counted = materialize(kept.groupBy("hash", "bytes").agg(F.count("*").alias("copies"), one), "suffix-counted")
+    counted = materialize(kept.groupBy("hash", "bytes").agg(F.sum("times").alias("copies"), one), "suffix-counted")
     # of the segments that differ, one each goes to the sort with its bytes
     kinds = materialize(counted.groupBy("hash").agg(F.count("*").alias("kinds")).where("kinds > 1"), "suffix-kinds")
     cut = _cut_segments(rows, counted.join(kinds, "hash").select("one.*", "hash", "bytes", "kinds"), length)
     block = F.pmod(F.xxhash64("bytes"), F.ceil(F.col("kinds") / BLOCK_SEGMENTS))
     cut = cut.withColumn("block", block).withColumn("several", F.col("kinds") > BLOCK_SEGMENTS)
     # a task sorts many small anchors together, or one block of a large one
-    n = max(1, int(wide.sparkSession.conf.get("spark.sql.shuffle.partitions")))
+    n = max(1, int(rows.sparkSession.conf.get("spark.sql.shuffle.partitions")))
     dealt = cut.repartition(n, "hash", "block")
 
     def sort(batches):
@@ -295,9 +295,9 @@ def _repeated_spans(wide: DataFrame, length: int) -> DataFrame:
     local = found.where("digest is null").select("hash", "bytes", "from_", "to_")
     across = found.where("digest is not null")
     twice = across.groupBy("hash", "digest").agg(F.count("*").alias("n")).where("n > 1").select("hash", "digest")
-    wide = across.join(twice, ["hash", "digest"]).select("hash", "bytes", "from_", "to_")
+    apart = across.join(twice, ["hash", "digest"]).select("hash", "bytes", "from_", "to_")
     # windows to remove, once for each kind of segment; one join takes them to all segments
-    some = local.union(wide).groupBy("hash", "bytes").agg(F.collect_list(F.struct("from_", "to_")).alias("runs"))
+    some = local.union(apart).groupBy("hash", "bytes").agg(F.collect_list(F.struct("from_", "to_")).alias("runs"))
     every = F.array(F.struct(F.lit(0).alias("from_"), F.col("one.windows").alias("to_")))
     full = counted.where("copies > 1").select("hash", "bytes", every.alias("runs"))
     marks = full.union(some.join(full.select("hash", "bytes"), ["hash", "bytes"], "left_anti"))
@@ -306,13 +306,19 @@ def _repeated_spans(wide: DataFrame, length: int) -> DataFrame:
     return marked.groupBy("id", "text_no").agg(F.flatten(F.collect_list(run)).alias("spans"))
 
 
-def _rows(docs: DataFrame, id_col: str, text_col: str, keep: list[str]) -> DataFrame:
-    """(row, id, text_no, text); a null id counts as the smallest number, and text_no
-    tells texts apart where ids repeat."""
+def _rows(docs: DataFrame, id_col: str, text_col: str, keep: list[str]) -> tuple[DataFrame, bool]:
+    """(row, id, text_no, text), and whether no id repeats; a null id counts as the smallest
+    number, and text_no tells texts apart where ids repeat."""
     text = F.coalesce(F.col(text_col), F.lit(""))
     unique = docs.select(ids_of(id_col)).groupBy("id").agg(F.count("*").alias("n")).where("n > 1").isEmpty()
     number = F.lit(0).cast("long") if unique else F.xxhash64(text)
-    return docs.select(F.struct(*[F.col(c) for c in keep]).alias("row"), ids_of(id_col), number.alias("text_no"), text.alias("text"))
+    return docs.select(F.struct(*[F.col(c) for c in keep]).alias("row"), ids_of(id_col), number.alias("text_no"), text.alias("text")), unique
+
+
+def _once(wide: DataFrame) -> DataFrame:
+    """(id, text_no, times, text): rows with one id and text are one, and counted."""
+    one = wide.groupBy("id", "text_no").agg(F.count("*").alias("times"), F.first("text").alias("text"))
+    return materialize(one.select("id", "text_no", "times", "text"), "suffix-texts")
 
 
 def ids_of(id_col: str):
@@ -359,8 +365,12 @@ def remove_repeats(docs: DataFrame, length: int = 200, id_col: str = "doc_id", t
     ``length`` lose nothing; repeated rows lose all that they repeat, rows without an
     id like any other; an empty table gives an empty result.
     """
-    wide = _rows(docs, id_col, text_col, keep or [id_col])
-    lists = _repeated_spans(wide, length)
+    wide, unique = _rows(docs, id_col, text_col, keep or [id_col])
+    if unique:
+        lists = _repeated_spans(wide.select("id", "text_no", F.lit(1).cast("long").alias("times"), "text"), length)
+    else:
+        # written, so that the join with a text of very many rows can be split
+        lists = materialize(_repeated_spans(_once(wide), length), "suffix-spans")
     joined = wide.join(lists, ["id", "text_no"], "left").select("row", "text", "spans")
     schema = T.StructType([
         joined.schema["row"], T.StructField("n_bytes", T.LongType()),

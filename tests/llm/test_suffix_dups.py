@@ -61,6 +61,30 @@ def test_an_anchor_with_very_many_contexts(make_docs, prose, monkeypatch):
     assert run(make_docs(rows)) == brute(rows, 200)
 
 
+def test_identical_rows_are_one_text(make_docs, prose, monkeypatch):
+    passage = prose(60, 5)
+    text = prose(40, 1) + " " + passage + " " + prose(40, 2)
+    rows = [(1, text, "s")] * 30 + [(None, text + "x", "s")] * 30 + [(1, "other " + passage, "s"), (2, prose(40, 3) + passage, "s"), (3, prose(40, 4), "s"), (3, None, "s")]
+    runs, cut = [], []
+    plain_spans, plain_cut = suffix_dups._repeated_spans, suffix_dups._cut_segments
+
+    def spans(*args):
+        runs.append(plain_spans(*args))
+        return runs[-1]
+
+    def cuts(*args):
+        cut.append(plain_cut(*args))
+        return cut[-1]
+
+    monkeypatch.setattr(suffix_dups, "_repeated_spans", spans)
+    monkeypatch.setattr(suffix_dups, "_cut_segments", cuts)
+    assert run(make_docs(rows)) == brute(rows, 200)
+    # a text has as many runs, and gives as many segments to the sort, as if it were there once
+    assert all(len(r.spans) == len({(x.first, x.size) for x in r.spans}) for r in runs[0].collect() if r.spans)
+    pieces = [(r.hash, r.bytes) for r in cut[0].collect()]
+    assert pieces and len(pieces) == len(set(pieces))
+
+
 def test_unique_ids_and_no_documents(make_docs, prose):
     rows = [(i, prose(50, i % 7), "s") for i in range(20)]
     assert run(make_docs(rows)) == brute(rows, 200)
