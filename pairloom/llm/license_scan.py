@@ -1,7 +1,8 @@
 """License scans by sparse TF-IDF, with inheritance from directories (operator 1).
 
-Every line of every text is compared with license statements by the cosine of TF-IDF
-vectors.  A text whose licensed lines are a large share of it is a licence file of its
+Every line of every text, and every window of words as long as the statement, is compared
+with license statements by the cosine of TF-IDF vectors, weighted by the number of texts
+that hold each word.  A text whose licensed lines are a large share of it is a licence file of its
 directory; a text without a license of its own takes that of the nearest ancestor directory
 with a licence file.  DataFrame functions only.
 """
@@ -43,15 +44,26 @@ def _strings(values: list[str]) -> Column:
     return F.array(*[F.lit(v) for v in values])
 
 
-def term_weights(texts: DataFrame, text_col: str, vocabulary: list[str]) -> tuple[dict[str, int], int]:
-    """Weight of each word of the templates, and of any other word, from the number of
-    texts it is in, over all texts.  The vocabulary is that of the templates, so its counts
-    have a fixed bound."""
-    found = texts.select(F.array_intersect(words_of(F.coalesce(F.col(text_col), F.lit(""))), _strings(vocabulary)).alias("w"))
-    rows = found.select(F.explode(F.concat("w", F.array(F.lit("")))).alias("w")).groupBy("w").agg(F.count("*").alias("n")).collect()
-    df = {r["w"]: r["n"] for r in rows}
+def word_counts(texts: DataFrame, text_col: str) -> DataFrame:
+    """(word, n): the number of texts that each word is in, over all texts; the empty word
+    is in each."""
+    words = F.concat(F.array_distinct(words_of(F.coalesce(F.col(text_col), F.lit("")))), F.array(F.lit("")))
+    return materialize(texts.select(F.explode(words).alias("word")).groupBy("word").agg(F.count("*").alias("n")), "license-counts")
+
+
+def term_weights(counts: DataFrame, vocabulary: list[str]) -> tuple[dict[str, int], int]:
+    """Weight of each word of the templates, and the number of texts."""
+    df = {r["word"]: r["n"] for r in counts.where(F.col("word").isin(["", *vocabulary])).collect()}
     n = df.get("", 0)
-    return {w: round(math.log((1 + n) / (1 + df.get(w, 0))) * UNIT) + 1 for w in vocabulary}, round(math.log(1 + n) * UNIT) + 1
+    return {w: round(math.log((1 + n) / (1 + df.get(w, 0))) * UNIT) + 1 for w in vocabulary}, n
+
+
+def weighted(terms: DataFrame, counts: DataFrame, n: int) -> DataFrame:
+    """``terms`` with the weight of their column ``word``, from its count in all texts."""
+    wanted = counts.join(terms.select("word").distinct(), "word", "left_semi")
+    weight = (F.round(F.log((1.0 + n) / (1 + F.col("n"))) * UNIT) + 1).cast("long")
+    # written, so that the join with a word of very many rows can be split
+    return terms.join(materialize(wanted.select("word", weight.alias("weight")), "license-weights"), "word")
 
 
 def telling_words(weights: dict[str, int], vectors: dict[str, dict[str, int]], least: float) -> list[str]:
@@ -71,32 +83,105 @@ def telling_words(weights: dict[str, int], vectors: dict[str, dict[str, int]], l
     return sorted(set(weights) - left_out)
 
 
-def line_matches(texts: DataFrame, id_col: str, text_col: str, templates: dict[str, str], least: float) -> DataFrame:
-    """(id, line, bytes, license, score): the best template of each line that has one."""
-    split = {k: re.findall(WORD, v.lower()) for k, v in templates.items()}
-    vocabulary = sorted({w for ws in split.values() for w in ws})
-    weights, other = term_weights(texts, text_col, vocabulary)
-    vectors = {k: {w: ws.count(w) * weights[w] for w in ws} for k, ws in split.items()}
-    telling = telling_words(weights, vectors, least)
-    lines = texts.select(F.col(id_col).alias("id"), F.posexplode(F.split(F.coalesce(F.col(text_col), F.lit("")), "\n")).alias("line", "text"))
-    lines = lines.where(F.arrays_overlap(words_of(F.col("text")), _strings(telling)))
-    lines = materialize(lines.select("id", "line", F.octet_length("text").alias("bytes"), words_of(F.col("text")).alias("words")), "license-lines")
+def _tokens(text: Column) -> Column:
+    """Words of a text in order, each with its line, place in the line, the line's words and bytes."""
+    lines = F.transform(F.split(text, "\n"), lambda x: F.struct(words_of(x).alias("words"), F.octet_length(x).alias("bytes")))
+    return F.flatten(F.transform(lines, lambda x, i: F.transform(x["words"], lambda w, k: F.struct(
+        w.alias("word"), i.alias("line"), k.alias("place"), F.size(x["words"]).alias("of"), x["bytes"].alias("bytes")))))
+
+
+def _units() -> Column:
+    """Windows of the template's length and whole lines that hold a telling word, as
+    (start, size, whole), each once: that of its first telling word.
+
+    A line of more than twice the template's words is judged by its windows alone.
+    """
+    n, length = F.size("tokens"), F.col("length")
+
+    def unit(start, size, whole):
+        return F.struct(start.cast("int").alias("start"), size.cast("int").alias("size"), F.lit(whole).alias("whole"))
+
+    def of(z):
+        low = F.greatest(z["before"] + 1, z["at"] - length + 1, F.lit(0))
+        high = F.greatest(F.least(z["at"], n - length), F.lit(0))
+        windows = F.when(low <= high, F.transform(F.sequence(low, high), lambda s: unit(s, F.least(length, n), False))).otherwise(F.array().cast("array<struct<start:int,size:int,whole:boolean>>"))
+        token = F.get(F.col("tokens"), z["at"])
+        first = z["at"] - token["place"]
+        line = F.when((z["before"] < first) & (token["of"] <= 2 * length + 1), F.array(unit(first, token["of"], True)))
+        return F.concat(windows, F.coalesce(line, F.array().cast("array<struct<start:int,size:int,whole:boolean>>")))
+
+    before = F.concat(F.array(F.lit(-1)), F.col("places"))
+    pairs = F.transform("places", lambda p, k: F.struct(p.alias("at"), F.get(before, k).alias("before")))
+    return F.flatten(F.transform(pairs, of))
+
+
+def statement_matches(
+    texts: DataFrame, id_col: str, text_col: str, statements: list[tuple[str, str]], counts: DataFrame, least: float
+) -> tuple[DataFrame, DataFrame]:
+    """(id, license, score) of each statement found, and (id, covered): the bytes of what is found.
+
+    Statements are compared with windows of their own length, inside lines and across them,
+    and with whole lines.  A line that is found as a whole counts with all its bytes, a
+    window from its first to its last word of the statement, each line's bytes shared
+    evenly by its words; of windows that overlap the best counts.
+    """
     spark = texts.sparkSession
-    # both tables are as long as the templates
-    terms = spark.createDataFrame([(w, weights[w]) for w in vocabulary], "word string, weight long")
-    entries = spark.createDataFrame([(k, w, v) for k, x in vectors.items() for w, v in x.items()], "license string, word string, value long")
-    lengths = spark.createDataFrame([(k, sum(v * v for v in x.values())) for k, x in vectors.items()], "license string, template long")
-    key = ["id", "line"]
-    counted = lines.withColumn("word", F.explode("words")).groupBy(*key, "word").agg(F.count("*").alias("tf"), F.max("bytes").alias("bytes"))
-    counted = counted.join(F.broadcast(terms), "word", "left").withColumn("v", F.col("tf") * F.coalesce("weight", F.lit(other)))
-    counted = materialize(counted.select(*key, "word", "bytes", "v"), "license-terms")
-    norms = counted.groupBy(*key).agg(F.sum(F.col("v") * F.col("v")).alias("own"), F.max("bytes").alias("bytes"))
-    dots = counted.join(F.broadcast(entries), "word").groupBy(*key, "license").agg(F.sum(F.col("v") * F.col("value")).alias("dot"))
-    scored = dots.join(norms, key).join(F.broadcast(lengths), "license")
+    split = [(k, re.findall(WORD, v.lower())) for k, v in statements]
+    vocabulary = sorted({w for _, ws in split for w in ws})
+    weights, n = term_weights(counts, vocabulary)
+    vectors = [{w: ws.count(w) * weights[w] for w in ws} for _, ws in split]
+    telling = [telling_words({w: weights[w] for w in x}, {"": x}, least) for x in vectors]
+    any_ = sorted({w for ws in telling for w in ws})
+    text = F.coalesce(F.col(text_col), F.lit(""))
+    docs = texts.select(F.col(id_col).alias("id"), text.alias("text")).where(F.col("id").isNotNull() & F.arrays_overlap(words_of(F.col("text")), _strings(any_)))
+    docs = docs.select("id", F.xxhash64("text").alias("digest"), F.monotonically_increasing_id().alias("row"), _tokens(F.col("text")).alias("tokens"))
+    # written, for the numbers of rows and so that the words are taken once
+    docs = materialize(docs, "license-tokens")
+    at = F.transform("tokens", lambda t, i: F.struct(t["word"].alias("word"), i.alias("at")))
+    docs = docs.withColumn("told", F.filter(at, lambda t: t["word"].isin(any_)))
+    # as long as the statements
+    terms = spark.createDataFrame(
+        [(i, k, len(ws), t, {w: (v * weights[w], weights[w] ** 2) for w, v in x.items()}, sum(v * v for v in x.values()))
+         for i, ((k, ws), x, t) in enumerate(zip(split, vectors, telling, strict=True))],
+        "statement int, license string, length int, telling array<string>, terms map<string,struct<dot:long,own:long>>, template long",
+    )
+    found = docs.join(F.broadcast(terms), F.arrays_overlap(F.transform("told", lambda t: t["word"]), F.col("telling")))
+    places = F.transform(F.filter("told", lambda t: F.array_contains("telling", t["word"])), lambda t: t["at"])
+    found = found.withColumn("places", places).withColumn("units", F.array_distinct(_units()))
+
+    def summed(words, field):
+        return F.aggregate(words, F.lit(0).cast("long"), lambda s, t: s + F.coalesce(F.try_element_at("terms", t["word"])[field], F.lit(0).cast("long")))
+
+    taken = F.transform("units", lambda u: F.struct(u["start"].alias("start"), u["whole"].alias("whole"), F.slice("tokens", u["start"] + 1, u["size"]).alias("words")))
+    sums = F.transform(taken, lambda u: F.struct(u["start"].alias("start"), u["whole"].alias("whole"), u["words"].alias("words"), summed(u["words"], "dot").alias("dot"), summed(u["words"], "own").alias("known")))
+    # the statement's words alone give a bound on the cosine
+    able = F.filter(sums, lambda u: u["dot"] >= (least - 1e-6) * F.sqrt(u["known"].cast("double")) * F.sqrt(F.col("template").cast("double")))
+    found = found.select("id", "digest", "row", "statement", "license", "template", "terms", F.explode(able).alias("u"))
+    found = found.select(*[c for c in found.columns if c != "u"], "u.start", "u.whole", "u.dot", F.col("u.words").alias("part")).where("dot > 0")
+    size = F.size("part")
+    known = F.transform("part", lambda t: F.try_element_at("terms", t["word"]).isNotNull())
+    first = F.when(F.col("whole"), 0).otherwise(F.array_position(known, True) - 1).cast("int")
+    last = F.when(F.col("whole"), size - 1).otherwise(size - F.array_position(F.reverse(known), True)).cast("int")
+    cover = F.transform(F.slice("part", first + 1, last - first + 1), lambda t, i: F.struct(
+        (F.col("start") + first + i).alias("at"), t["line"].alias("line"), t["of"].alias("of"), t["bytes"].alias("bytes")))
+    key = ["row", "statement", "start", "whole"]
+    units = materialize(found.select("id", "digest", *key, "license", "template", "dot", F.transform("part", lambda t: t["word"]).alias("words"), cover.alias("cover")), "license-units")
+    words = materialize(units.select(*key, F.explode("words").alias("word")).groupBy(*key, "word").agg(F.count("*").alias("tf")), "license-terms")
+    v = F.col("tf") * F.col("weight")
+    norms = weighted(words, counts, n).groupBy(*key).agg(F.sum(v * v).alias("own"))
     score = F.col("dot").cast("double") / (F.sqrt(F.col("own").cast("double")) * F.sqrt(F.col("template").cast("double")))
-    scored = scored.withColumn("score", F.round(score, 6)).where(F.col("score") >= least)
-    best = scored.groupBy(*key, "bytes").agg(F.min(F.struct(-F.col("score"), F.col("license"))).alias("b"))
-    return best.select("id", "line", "bytes", F.col("b.license").alias("license"), (-F.col("b.col1")).alias("score"))
+    scored = units.join(norms, key).withColumn("score", F.round(score, 6)).where(F.col("score") >= least)
+    scored = materialize(scored.select("id", "digest", *key, "license", "score", "cover"), "license-scored")
+    spots = scored.select("id", "digest", *key, "score", F.size("cover").alias("long"), F.explode("cover").alias("c"))
+    rank = F.struct("score", "long", -F.col("start"), -F.col("statement"))
+    spots = spots.withColumn("top", F.when(F.col("whole"), True).otherwise(rank == F.max(rank).over(Window.partitionBy("row", "whole", "c.at"))))
+    counted = spots.groupBy("id", "digest", *key).agg(F.min("top").alias("top"), F.collect_list("c").alias("c")).where("top")
+    lines = counted.select("id", "digest", "row", F.explode("c").alias("c")).select("id", "digest", "row", "c.*").distinct()
+    lines = lines.groupBy("id", "digest", "row", "line").agg(F.count("*").alias("k"), F.max("of").alias("of"), F.max("bytes").alias("bytes"))
+    covered = lines.groupBy("id", "digest", "row").agg(F.sum(F.floor(F.col("bytes") * F.col("k") / F.col("of"))).alias("covered"))
+    # rows with one id and text share their lines
+    covered = covered.groupBy("id", "digest").agg(F.max("covered").alias("covered")).groupBy("id").agg(F.sum("covered").alias("covered"))
+    return scored.select("id", "license", "score"), covered
 
 
 def license_scan(
@@ -106,7 +191,7 @@ def license_scan(
     """License of every file.
 
     ``dir_col`` holds a directory as names joined by "/".  Returns, for each row, id, dir,
-    own (best license of the file's lines) with its score, is_file (whether it is a licence
+    own (best license of the file's lines and windows) with its score, is_file (whether it is a licence
     file: licensed lines make up at least ``share`` of its bytes), license, and origin
     ("own", the directory it comes from, or null).  Of several lines of a file, and of
     several licence files in a directory, the highest score counts, then the license's
@@ -117,9 +202,10 @@ def license_scan(
     """
     templates = TEMPLATES if templates is None else templates
     rows = files.select(F.col(id_col).alias("id"), F.coalesce(F.col(dir_col), F.lit("")).alias("dir"), F.coalesce(F.octet_length(text_col), F.lit(0)).alias("size"))
-    matches = line_matches(files, id_col, text_col, templates, least)
-    own = matches.groupBy("id").agg(F.min(F.struct(-F.col("score"), F.col("license"))).alias("b"), F.sum("bytes").alias("covered"))
-    own = own.select("id", "covered", F.col("b.license").alias("own"), (-F.col("b.col1")).alias("score"))
+    counts = word_counts(files, text_col)
+    matches, covered = statement_matches(files, id_col, text_col, list(templates.items()), counts, least)
+    own = matches.groupBy("id").agg(F.min(F.struct((-F.col("score")).alias("score"), F.col("license"))).alias("b")).join(covered, "id")
+    own = own.select("id", "covered", F.col("b.license").alias("own"), (-F.col("b.score")).alias("score"))
     rows = rows.join(own, "id", "left").withColumn("is_file", F.coalesce(F.col("covered") >= share * F.col("size"), F.lit(False)))
     rows = materialize(rows.drop("covered", "size"), "license-files")
     held = rows.where("is_file").groupBy("dir").agg(F.min(F.struct(-F.col("score"), F.col("own"))).alias("b")).select(F.col("dir").alias("above"), F.col("b.own").alias("license"))

@@ -31,6 +31,25 @@ def test_root_and_repeated_rows(spark):
     assert sorted((r.id, r.license, r.origin) for r in rows) == [(1, "MIT", "own"), (1, "MIT", "own"), (2, "MIT", "")]
 
 
+def test_embedded_wrapped_and_prefixed_headers(spark):
+    common = "it was as the copyright 2020 by jane see file for more"
+    rows = [(i, "p", f"{common} w{i} x{i % 7}") for i in range(400)]
+    cases = {
+        1000: ("It was released under the MIT License.", "MIT"),
+        1001: ("Released under the MIT License as it was.", "MIT"),
+        1002: ("It was all rights reserved.", "Reserved"),
+        1003: ("Copyright (c) 2020 by Jane Doe. All rights reserved. See file.", "Reserved"),
+        1004: ("# it was w1 w2\n# Licensed under the Apache\n# License, Version 2.0\n# see file", "Apache-2.0"),
+        1005: (" * This work is licensed under\n *\n * the GNU General Public License,\n * version 3, see file for more", "GPL-3.0"),
+        1006: ("w1 w2 w3 " * 300 + MIT + " w4 w5" * 300, "MIT"),
+        1007: ("it was licensed by the file", None),
+    }
+    got = scan(spark, rows + [(i, f"d{i}", t) for i, (t, _) in cases.items()])
+    assert {i: got[i].own for i in cases} == {i: k for i, (_, k) in cases.items()}
+    assert all(got[i].score >= 0.99 for i in range(1000, 1007))
+    assert got[1000].is_file and not got[1006].is_file  # one long line counts with the header's share
+
+
 def test_no_files(spark):
     assert scan(spark, []) == {}
 
