@@ -50,6 +50,22 @@ def test_embedded_wrapped_and_prefixed_headers(spark):
     assert got[1000].is_file and not got[1006].is_file  # one long line counts with the header's share
 
 
+def test_licence_texts_titles_and_tags(spark, prose):
+    texts = ls.license_texts()
+    rows = [(i, "p", prose(40, i) + " the software is of this and to in as copyright") for i in range(300)]
+    cases = [(f"Copyright (c) 2021 Jane Doe\n\n{texts[k]}\nsee also the web page", k) for k in texts]
+    rows += [(1000 + i, f"t{i}", t) for i, (t, _) in enumerate(cases)] + [(2000 + i, f"t{i}/src", prose(30, i)) for i in range(len(cases))]
+    lines = [("# SPDX-License-Identifier: MIT", "MIT"), ("/* SPDX-License-Identifier: GPL-3.0-or-later */", "GPL-3.0"), ("SPDX-License-Identifier: Zlib", None), ("MIT License", "MIT"),
+             ("                    GNU GENERAL PUBLIC LICENSE\n                       Version 2, June 1991", "GPL-2.0"), ("the mit and the license of the software", None),
+             ("Permission is hereby granted, free of charge, to any person obtaining a copy\nof this software and associated documentation files", "MIT")]
+    rows += [(3000 + i, f"u{i}", prose(60, 500 + i) + "\n" + t + "\n" + prose(60, 600 + i)) for i, (t, _) in enumerate(lines)]
+    got = scan(spark, rows)
+    assert [(got[1000 + i].own, got[1000 + i].is_file) for i in range(len(cases))] == [(k, True) for _, k in cases]
+    assert [got[2000 + i].license for i in range(len(cases))] == [k for _, k in cases]
+    assert [got[3000 + i].own for i in range(len(lines))] == [k for _, k in lines]
+    assert not any(got[i].is_file for i in [*range(300), *range(3000, 3000 + len(lines))])
+
+
 def test_no_files(spark):
     assert scan(spark, []) == {}
 
