@@ -46,9 +46,9 @@ def mix(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 def token_ids(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Token ids of every document, with the number of ids."""
-    out = prefix_bpe.encode(docs, public_tokenizers.path("word_bpe_49k.json"), decoded=False)
-    return out.select("doc_id", (F.octet_length("ids") / 4).cast("long").alias("n_tokens"), "ids")
+    """Token ids of every document, with the number of ids and the text they decode to."""
+    out = prefix_bpe.encode(docs, public_tokenizers.path("word_bpe_49k.json"))
+    return out.select("doc_id", (F.octet_length("ids") / 4).cast("long").alias("n_tokens"), "ids", "decoded")
 
 
 STAGES: list[tuple[str, Callable[[SparkSession, DataFrame, str], DataFrame]]] = [

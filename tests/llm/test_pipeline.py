@@ -107,3 +107,12 @@ def test_repeated_rows_pass_the_stages_once(spark, prose):
     assert sorted(((r.doc_id, r.text) for r in fresh.collect()), key=str) == want
     mixed = stages["mix"](spark, fresh, "").collect()
     assert {r.text for r in mixed} >= {a, b, c}
+
+
+def test_token_ids_are_decoded(spark, prose):
+    docs = spark.createDataFrame([(1, prose(20, 1)), (2, ""), (3, None)], "doc_id long, text string")
+    library = Tokenizer.from_file(public_tokenizers.path("word_bpe_49k.json"))
+    got = {r.doc_id: r for r in dict(corpus_pipeline.STAGES)["token_ids"](spark, docs, "").collect()}
+    for r in got.values():
+        assert r.decoded == library.decode(np.frombuffer(r.ids, "<u4").tolist(), skip_special_tokens=False)
+    assert got[1].decoded and got[2].decoded == got[3].decoded == ""
