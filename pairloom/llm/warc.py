@@ -289,11 +289,14 @@ class WarcReader(DataSourceReader):
 
 
 def _listing(system: pafs.FileSystem, path: str) -> list[tuple[str, int]]:
-    at = f"{path}/_files.json"
-    if system.get_file_info(at).type == pafs.FileType.NotFound:
-        return []
-    with system.open_input_stream(at) as f:
-        return [tuple(x) for x in json.loads(f.read())]
+    """Files of all commits; each writes a list of its own."""
+    out: list[tuple[str, int]] = []
+    for x in system.get_file_info(pafs.FileSelector(path)):
+        name = x.path.rsplit("/", 1)[-1]
+        if name.startswith("_files") and name.endswith(".json"):
+            with system.open_input_stream(x.path) as f:
+                out += [tuple(y) for y in json.loads(f.read())]
+    return out
 
 
 @dataclass
@@ -335,7 +338,7 @@ class WarcWriter(DataSourceArrowWriter):
         system, path = file_system(self.path)
         files = sorted(f for m in messages if m for f in m.files)
         system.create_dir(path, recursive=True)
-        with system.open_output_stream(f"{path}/_files.json", compression=None) as f:
+        with system.open_output_stream(f"{path}/_files-{uuid.uuid4().hex}.json", compression=None) as f:
             f.write(json.dumps(files).encode())
 
     def abort(self, messages):

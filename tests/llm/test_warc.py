@@ -71,6 +71,13 @@ def test_pushed_filters_skip_payloads(tmp_path):
     assert [r[-1] for r in rows] == [b"ok"]
 
 
+def test_a_second_archive_is_added(spark, tmp_path):
+    archive(spark, tmp_path, [(1, "http://a/1", "one"), (2, "http://a/2", "two")])
+    path = archive(spark, tmp_path, [(3, "http://a/3", "three")])
+    back = warc.read_archive(spark, path).where("record_type != 'warcinfo'")
+    assert sorted(bytes(r.payload) for r in back.collect()) == [b"one", b"three", b"two"]
+
+
 def test_other_writers_files(spark, tmp_path):
     record = warc.record_bytes({"record_id": "<urn:a>", "record_type": "response", "target_uri": "u", "refers_to": None, "payload": b"p" * 20_000}, "2024-01-01T00:00:00Z")
     folder = tmp_path / "w"
