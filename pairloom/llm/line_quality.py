@@ -9,6 +9,7 @@ turns that into a probability.
 
 from __future__ import annotations
 
+import zlib
 from collections.abc import Iterable, Iterator
 from dataclasses import dataclass
 
@@ -21,8 +22,9 @@ from pyspark.sql import types as T
 from ..session import materialize
 from .common import map_arrow, mix64, prefix_hash, prepare, slices, utf8
 
-#: Labelled documents that the model is fitted on, at most, and lines of one of them; a
-#: document of more lines is left out of the sample.  Both bound the driver's memory.
+#: Labelled documents that the model is fitted on, at most, and lines of one of them; of a
+#: document of more lines a run of so many, placed by a hash of its text, is in the sample.
+#: Both bound the driver's memory.
 SAMPLE_DOCS = 6_000
 SAMPLE_LINES = 400
 
@@ -234,11 +236,14 @@ def _sample_lines(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]
         data, offsets = utf8(batch.column(1))
         x, row, size = line_features(data, offsets)
         bounds = np.searchsorted(row, np.arange(batch.num_rows + 1))
-        keep = np.flatnonzero(np.diff(bounds) <= SAMPLE_LINES).tolist()
+        first, last = bounds[:-1].copy(), bounds[1:].copy()
+        for i in np.flatnonzero(last - first > SAMPLE_LINES).tolist():
+            first[i] += zlib.crc32(data[offsets[i] : offsets[i + 1]]) % (last[i] - first[i] - SAMPLE_LINES + 1)
+            last[i] = first[i] + SAMPLE_LINES
+        runs = list(zip(first.tolist(), last.tolist(), strict=True))
         yield pa.RecordBatch.from_arrays(
-            [batch.column(0).take(pa.array(keep, pa.int64())), pa.array([int(bounds[i + 1] - bounds[i]) for i in keep], pa.int32()),
-             pa.array([size[bounds[i] : bounds[i + 1]].astype("<f8").tobytes() for i in keep], pa.binary()),
-             pa.array([x[bounds[i] : bounds[i + 1]].astype("<f4").tobytes() for i in keep], pa.binary())],
+            [batch.column(0), pa.array([j - i for i, j in runs], pa.int32()), pa.array([size[i:j].astype("<f8").tobytes() for i, j in runs], pa.binary()),
+             pa.array([x[i:j].astype("<f4").tobytes() for i, j in runs], pa.binary())],
             names=["label", "lines", "sizes", "features"],
         )
 
@@ -259,9 +264,10 @@ def train(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col:
     chosen = one.where("label = _most").orderBy(F.xxhash64("_id"), "_id").limit(sample).select("_id", "label")
     chosen = materialize(chosen, "quality-sample")
     # the sample has a fixed bound, so it may be sent to all
-    rows = docs.join(F.broadcast(chosen), F.col(id_col) == F.col("_id")).select("label", F.col(text_col).alias("text"), F.xxhash64("_id").alias("_order"))
-    # rows that repeat an id count once; the sample stays bounded
-    got = map_arrow(rows.select("label", "text"), _sample_lines, LINES).limit(2 * sample).collect()
+    rows = docs.join(F.broadcast(chosen), F.col(id_col) == F.col("_id")).select("_id", "label", F.col(text_col).alias("_text"))
+    # rows that repeat an id count once, by the text with the smallest hash
+    rows = rows.groupBy("_id", "label").agg(F.min_by("_text", F.xxhash64("_text")).alias("_text"))
+    got = map_arrow(rows.select("label", "_text"), _sample_lines, LINES).collect()
     got.sort(key=lambda r: (bytes(r["features"]), r["label"]))
     label = np.array([r["label"] for r in got], np.int64)
     lines = np.array([r["lines"] for r in got], np.int64)

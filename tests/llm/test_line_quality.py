@@ -78,3 +78,18 @@ def test_features_see_neighbours():
     assert x[1, at("before: bar")] == x[0, at("bar")] > 0 and x[0, at("after: bar")] == 0
     assert x[:, at("first")].tolist() == [1, 0, 0] and x[:, at("last")].tolist() == [0, 0, 1]
     assert np.isclose(x[2, at("repeated words")], 1 / 3)
+
+
+def test_long_documents_and_repeated_ids_are_in_the_sample(spark, monkeypatch):
+    good, bad = "A plain line of words, as people write.", "$$$ BUY NOW!!! ||| ### !!!"
+    rows = [(i, "\n".join([good if i % 2 else bad] * 500)) for i in range(60)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string")
+    labels = spark.createDataFrame([(i, i % 2) for i in range(60)], "doc_id long, quality int")
+    model = lq.train(docs, labels)
+    got = {r.doc_id: r.score for r in lq.score(docs, model).collect()}
+    assert all((got[i] >= 0.5) == bool(i % 2) for i in range(60))
+    fitted = []
+    monkeypatch.setattr(lq, "fit", lambda x, row, size, label: fitted.append(label.tolist()))
+    lq.train(docs.union(spark.createDataFrame(rows[:6] * 40, docs.schema)), labels)
+    lq.train(docs, labels)
+    assert len(fitted[0]) == len(fitted[1]) and sorted(fitted[0]) == sorted(fitted[1])
