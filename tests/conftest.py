@@ -3,10 +3,9 @@ import sys
 
 import pytest
 
-sys.path.insert(0, os.path.dirname(os.path.dirname(os.path.abspath(__file__))))
 
-SF_SMALL = "/root/testdata/sf0.001"
-SF_ORACLE = "/root/testdata/sf0.01"
+HERE = os.path.dirname(os.path.abspath(__file__))
+sys.path[:0] = [os.path.dirname(HERE), HERE]
 
 
 @pytest.fixture(scope="session")
@@ -26,5 +25,6 @@ def spark():
 def prep_small(spark):
     from pairloom import Preparation
     from pairloom.sources.corpus import documents_corpus, table
+    from paths import SF_SMALL
 
     return Preparation(documents_corpus(table(spark, SF_SMALL, "documents")))

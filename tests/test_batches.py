@@ -51,7 +51,7 @@ def test_batches_and_resume(prep_small):
 
 
 def test_split_by_document_keeps_documents_whole(spark):
-    from conftest import SF_SMALL
+    from paths import SF_SMALL
     from pairloom import DEFAULT, Preparation
     from pairloom.sources.corpus import documents_corpus, table
 

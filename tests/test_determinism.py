@@ -3,7 +3,7 @@ bucket widths of the scans), and one huge document across many buckets."""
 
 from pyspark.sql import functions as F
 
-from conftest import SF_SMALL
+from paths import SF_SMALL
 from pairloom import Preparation
 from pairloom.operators.corpus import segment_documents
 from pairloom.operators.scan import Buckets

@@ -90,7 +90,7 @@ def test_streams_of_two_million_keys_do_not_meet(spark):
 def test_special_ids_come_from_the_vocabulary(spark):
     import pytest
 
-    from conftest import SF_SMALL
+    from paths import SF_SMALL
     from pairloom import DEFAULT, Preparation
     from pairloom.sources.corpus import documents_corpus, table
 

@@ -5,7 +5,7 @@ import pytest
 from pyspark.errors import PySparkException
 from pyspark.sql import functions as F
 
-from conftest import SF_SMALL
+from paths import SF_SMALL
 from pairloom.operators.metrics import batch_losses, epoch_averages, masked_cross_entropy, pair_loss
 from pairloom.sources.corpus import logits_fixture, scalar_fixture, table
 

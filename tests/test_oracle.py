@@ -9,7 +9,7 @@ import pytest
 
 sys.path.insert(0, os.path.join(os.path.dirname(os.path.dirname(os.path.abspath(__file__))), "scripts"))
 
-from conftest import SF_SMALL  # noqa: E402
+from paths import SF_SMALL  # noqa: E402
 from check_oracle import TABLES, digest_rows  # noqa: E402
 
 import __spark_entry__ as E  # noqa: E402

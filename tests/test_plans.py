@@ -34,7 +34,7 @@ def test_lookup_is_broadcast_and_regroup_shuffle_free(prep_small):
 
 
 def test_vocab_scan_prunes_columns(spark):
-    from conftest import SF_SMALL
+    from paths import SF_SMALL
     from pairloom.operators.corpus import clean_lines
     from pairloom.operators.vocab import token_counts
     from pairloom.sources.corpus import documents_corpus, table
@@ -54,7 +54,7 @@ def stage_names(p):
 
 
 def small_prep(spark, **cfg):
-    from conftest import SF_SMALL
+    from paths import SF_SMALL
     from pairloom import DEFAULT, Preparation
     from pairloom.sources.corpus import documents_corpus, table
 

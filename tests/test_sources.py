@@ -8,7 +8,7 @@ import pytest
 from pyspark.errors import PySparkException
 from pyspark.sql import functions as F
 
-from conftest import SF_SMALL
+from paths import SF_SMALL
 from pairloom.operators.corpus import clean_lines
 from pairloom.operators.metrics import epoch_averages
 from pairloom.sources.corpus import conversations_corpus, documents_corpus, read_corpus, scalar_fixture, table

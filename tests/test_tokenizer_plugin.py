@@ -5,7 +5,7 @@ import pandas as pd
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from conftest import SF_SMALL
+from paths import SF_SMALL
 from pairloom import Preparation
 from pairloom.sources.corpus import documents_corpus, table
 

@@ -3,7 +3,7 @@ through runs of equal counts."""
 
 from collections import Counter
 
-from conftest import SF_SMALL
+from paths import SF_SMALL
 from pairloom import DEFAULT
 from pairloom.operators.corpus import clean_lines
 from pairloom.operators.vocab import build_vocab, count_threshold, token_counts
