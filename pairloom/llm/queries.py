@@ -10,7 +10,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..session import ensure_checkpoint_dir
-from . import embedding_dups, hash_search, license_scan, line_quality, mixing, near_dups, prefix_bpe, suffix_dups, token_files, warc
+from . import embedding_dups, hash_search, license_scan, line_quality, mixing, near_dups, prefix_bpe, suffix_dups, token_files, warc, whitening
 from .common import table
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -140,6 +140,12 @@ def op10_hash_search(spark: SparkSession, sf_dir: str) -> DataFrame:
     return hash_search.nearest(table(spark, sf_dir, "embeddings"), F.col("vec_id") % 20 == 0, k=20)
 
 
+@query
+def op12_whitening(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Eight whitened coordinates of every vector, fitted to all vectors."""
+    return whitening.whiten(table(spark, sf_dir, "embeddings")).withColumn("deviation", F.col("deviation").cast("long"))
+
+
 @query
 def op2_line_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Quality of every document from its lines; labels of the held-out fold are not used."""
