@@ -10,7 +10,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..session import ensure_checkpoint_dir
-from . import embedding_dups, hash_search, license_scan, line_quality, mixing, near_dups, prefix_bpe, suffix_dups, token_files, warc, whitening
+from . import embedding_dups, fingerprints, hash_search, license_scan, line_quality, mixing, near_dups, prefix_bpe, suffix_dups, token_files, warc, whitening
 from .common import table
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -146,6 +146,17 @@ def op12_whitening(spark: SparkSession, sf_dir: str) -> DataFrame:
     return whitening.whiten(table(spark, sf_dir, "embeddings")).withColumn("deviation", F.col("deviation").cast("long"))
 
 
+@query
+def op13_fingerprints(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Order MinHash of every document and of its edited text."""
+    out = fingerprints.fingerprints(table(spark, sf_dir, "documents"))
+    return out.select(
+        "doc_id", "n_chars", F.sha2(F.col("edited").cast("binary"), 256).alias("edited_sha256"),
+        fingerprints.as_text(F.col("signature")).alias("fingerprint"), fingerprints.as_text(F.col("edited_signature")).alias("edited_fingerprint"),
+        "near_edited", "near_next",
+    )
+
+
 @query
 def op2_line_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Quality of every document from its lines; labels of the held-out fold are not used."""

@@ -69,7 +69,7 @@ def test_copies_weigh_as_often_as_they_occur(make_vectors, monkeypatch):
 
 def test_rows_without_finite_entries_are_dropped(make_vectors):
     rows = list(enumerate(vectors(30, 4, 3)))
-    bad = [(90, None), (91, [1.0, None, 0.0, 0.0]), (92, [float("nan"), 0, 0, 0]), (93, [0, float("-inf"), 0, 0])]
+    bad = [(90, None), (91, [1.0, None, 0.0, 0.0]), (92, [float("nan"), 0.0, 0.0, 0.0]), (93, [0.0, float("-inf"), 0.0, 0.0])]
     check(whitening.whiten(make_vectors(rows + bad), components=3), rows, 4, k=3)
 
 
