@@ -25,8 +25,8 @@ from ..session import Stages, join_small, materialize
 PIECE = r"[^\x20\x09-\x0D]{1,16}"
 K = 2
 TUPLE = 2
-ROUNDS = 4
-BINS = 16
+ROUNDS = 2
+BINS = 32
 #: Low bits of a packed long: the position of an item.
 AT_BITS = 28
 AT = (1 << AT_BITS) - 1
@@ -70,36 +70,38 @@ def _numbers(kmers: Column, starts: Column) -> Column:
 
 
 def _items(kmers: Column, numbers: Column, r: int) -> Column:
-    """Numbered k-mers under hash function r, over their positions, sorted."""
-    return F.sort_array(
-        F.zip_with(
-            kmers, numbers,
-            lambda x, o: F.shiftleft(F.xxhash64(F.shiftright(x, AT_BITS), o, F.lit(r)), AT_BITS).bitwiseOR(x.bitwiseAND(F.lit(AT))),
-        )
-    )
+    """Numbered k-mers under hash function r, over their positions.  Never null, which Spark
+    has to see, or it would sort boxed numbers."""
+
+    def item(x, o):
+        return F.shiftleft(F.xxhash64(F.shiftright(x, AT_BITS), o, F.lit(r)), AT_BITS).bitwiseOR(x.bitwiseAND(F.lit(AT)))
 
+    return F.zip_with(kmers, numbers, lambda x, o: F.coalesce(item(x, o), F.lit(0).cast("long")))
 
-def _bins(items: Column) -> Column:
-    return F.transform(items, lambda x: F.shiftright(x, 64 - int(math.log2(BINS))).cast("int"))
 
+def _with_ends(items: Column) -> Column:
+    """The lower ends of all bins but the first among the items; they have a place of their own."""
+    return F.concat(items, F.array(*[F.lit((b - BINS // 2 << 64 - int(math.log2(BINS))) - 1) for b in range(1, BINS)]))
 
-def _bin_starts(bins: Column) -> Column:
-    """Where the items of each bin begin, from 1; 0 for a bin without items."""
-    return F.array(*[F.array_position(bins, F.lit(b - BINS // 2)) for b in range(BINS)])
 
+def _starts(with_ends: Column) -> Column:
+    """How many items lie below the lower end of each bin: where its permutation begins."""
+    place = F.array_compact(F.transform(with_ends, lambda x, i: F.when(x.bitwiseAND(F.lit(AT)) == AT, i)))
+    return F.concat(F.array(F.lit(0)), F.zip_with(place, F.array(*[F.lit(b) for b in range(BINS - 1)]), lambda i, b: i - b))
 
-def _filled(starts: Column) -> Column:
-    """Bins without items begin where the next one does that has some, around the circle."""
-    at = [F.nullif(F.element_at(starts, b + 1), F.lit(0).cast("long")) for b in range(BINS)]
-    return F.array(*[F.coalesce(*at[b:], F.lit(1).cast("long")).cast("int") for b in range(BINS)])
 
+def _smallest(items: Column, starts: Column) -> Column:
+    """The TUPLE smallest items of each permutation, around the circle; fewer if there are
+    no more."""
+
+    def of(start):
+        left = F.size(items) - start
+        return F.concat(
+            F.slice(items, start + 1, F.lit(TUPLE)),
+            F.slice(items, F.lit(1), F.greatest(F.least(F.lit(TUPLE), F.size(items)) - left, F.lit(0))),
+        )
 
-def _smallest(items: Column, starts: Column) -> list[Column]:
-    """The TUPLE smallest items of each permutation; fewer if there are no more."""
-    wrap = F.lit(TUPLE - 1)
-    # the circle is closed by its first items
-    closed = F.when(F.size(items) > wrap, F.concat(items, F.slice(items, F.lit(1), wrap))).otherwise(items)
-    return [F.slice(closed, F.element_at(starts, b + 1), F.lit(TUPLE)) for b in range(BINS)]
+    return F.array(*[of(F.element_at(starts, b + 1)) for b in range(BINS)])
 
 
 def _coordinate(smallest: Column) -> Column:
@@ -129,15 +131,16 @@ def with_signatures(df: DataFrame, texts: dict[str, str]) -> DataFrame:
     kmers = {c: F.col(s) for c, (s, _, _) in names.items()}
     x = step(df, {s: _kmers(F.coalesce(F.col(c), F.lit(""))) for c, (s, _, _) in names.items()})
     x = step(x, {**{s: F.col(s) for s, _, _ in names.values()}, **{m: _first_of_equals(kmers[c]) for c, (_, _, m) in names.items()}})
-    numbers = {n: F.when(F.size(s) > 0, _numbers(F.col(s), F.col(m))).otherwise(F.array().cast("array<int>")) for s, n, m in names.values()}
+    numbers = {
+        n: F.when(F.size(s) > F.size(m), _numbers(F.col(s), F.col(m))).otherwise(F.array_repeat(F.lit(0), F.size(s)))
+        for s, n, m in names.values()
+    }
     x = step(x, {**{s: F.col(s) for s, _, _ in names.values()}, **numbers})
     rounds = [(s, n, f"_r{r}{s}", r) for s, n, _ in names.values() for r in range(ROUNDS)]
     x = step(x, {v: _items(F.col(s), F.col(n), r) for s, n, v, r in rounds})
-    items = {v: F.col(v) for _, _, v, _ in rounds}
-    x = step(x, {**items, **{f"{v}b": _bins(F.col(v)) for v in items}})
-    x = step(x, {**items, **{f"{v}b": _bin_starts(F.col(f"{v}b")) for v in items}})
-    x = step(x, {**items, **{f"{v}b": _filled(F.col(f"{v}b")) for v in items}})
-    x = step(x, {v: F.transform(F.array(*_smallest(F.col(v), F.col(f"{v}b"))), _coordinate) for v in items})
+    x = step(x, {k: F.sort_array(c) for _, _, v, _ in rounds for k, c in ((v, F.col(v)), (f"{v}b", _with_ends(F.col(v))))})
+    x = step(x, {k: c for _, _, v, _ in rounds for k, c in ((v, F.col(v)), (f"{v}b", _starts(F.col(f"{v}b"))))})
+    x = step(x, {v: F.transform(_smallest(F.col(v), F.col(f"{v}b")), _coordinate) for _, _, v, _ in rounds})
     made = [F.concat(*[f"_r{r}{names[c][0]}" for r in range(ROUNDS)]).alias(o) for c, o in texts.items()]
     return x.select(*keep, *made)
 

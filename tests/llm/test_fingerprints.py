@@ -36,7 +36,7 @@ def brute(text):
     for r in range(fp.ROUNDS):
         values = [(low(xx(42, h, (o,), (r,))), at) for h, o, at in items]
         for b in range(fp.BINS):
-            start = (b - fp.BINS // 2) << 32
+            start = (b - fp.BINS // 2) * (2**36 // fp.BINS)
             chosen = sorted(values, key=lambda v: ((v[0] - start) % 2**36, v[1]))[: fp.TUPLE]
             out.append(xx(42, *[v % 2**36 for v, _ in sorted(chosen, key=lambda v: v[1])]) >> 32)
     return out
