@@ -10,7 +10,21 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..session import ensure_checkpoint_dir
-from . import embedding_dups, fingerprints, hash_search, license_scan, line_quality, mixing, near_dups, prefix_bpe, suffix_dups, token_files, warc, whitening
+from . import (
+    conversation_repair,
+    embedding_dups,
+    fingerprints,
+    hash_search,
+    license_scan,
+    line_quality,
+    mixing,
+    near_dups,
+    prefix_bpe,
+    suffix_dups,
+    token_files,
+    warc,
+    whitening,
+)
 from .common import table
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -157,6 +171,14 @@ def op13_fingerprints(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+@query
+def op11_conversation_repair(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Faults of every damaged conversation, its cheapest repair and what that gives."""
+    conversations = table(spark, sf_dir, "conversations")
+    rows = conversation_repair.damaged(conversations)
+    return conversation_repair.with_digest(rows, conversation_repair.repair(rows, conversations))
+
+
 @query
 def op2_line_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Quality of every document from its lines; labels of the held-out fold are not used."""
