@@ -4,12 +4,13 @@ from __future__ import annotations
 
 import math
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..config import DEFAULT, PrepConfig, SpecialIds
-from ..functions.hashing import digest
-from ..functions.masking import mask_key, position_draw
+from ..functions.hashing import MASK32, MIX_MULTIPLIER, WEYL_STEP, digest
+from ..functions.masking import DRAWS_PER_POSITION, MLM_TAG
+from ..functions.permutation import keys, permuted
 from ..functions.schedule import checkpoint_tag, lr_multiplier, milestone_label, tag_position
 from ..session import join_small
 from .scan import hash_rank, hash_running_sum
@@ -68,35 +69,58 @@ def epoch_batches(
     """``(split, epoch, batch_id, slot, example_id)`` for epochs
     ``first_epoch..last_epoch`` (inclusive; default all ``num_epochs``).
 
-    Train examples get a new permutation every epoch (hash of seed, epoch and
-    example), validation keeps its split order.  ``slot`` is the position in
-    the epoch order and ``batch_id = slot div batch_size``.  Epochs are
-    produced with a generator, not a join.
+    Train examples get a new permutation every epoch: a keyed bijection takes an
+    example's dense number to its slot, so no epoch is sorted or shuffled.  Validation keeps
+    its split order.  ``slot`` is the position in the epoch order and
+    ``batch_id = slot div batch_size``.  Epochs are produced with a generator, not a join.
     """
     last_epoch = cfg.num_epochs - 1 if last_epoch is None else last_epoch
-    n_ep = last_epoch - first_epoch + 1
     n_train = split_sizes(n_examples, cfg)[0] if n_train is None else n_train
-    epochs = F.explode(F.sequence(F.lit(first_epoch), F.lit(last_epoch))).alias("epoch")
-    tr = split.filter(F.col("split") == "train").select("example_id", epochs)
-    tr = hash_rank(
-        tr,
-        digest(cfg.seed, "shuffle", F.col("epoch"), F.col("example_id")),
-        ["example_id"],
-        "slot",
-        n_rows=n_train * n_ep,
-        partition_cols=("epoch",),
-        n_partition_values=n_ep,
-        cfg=cfg,
-    ).select(F.lit("train").alias("split"), F.col("epoch").cast("bigint").alias("epoch"), "slot", "example_id")
+    tr = with_slots(train_numbers(split, n_examples - n_train, cfg), n_train, cfg, first_epoch, last_epoch)
+    tr = tr.select(F.lit("train").alias("split"), "epoch", "slot", "example_id")
+    epochs = F.explode(F.sequence(F.lit(first_epoch).cast("bigint"), F.lit(last_epoch).cast("bigint"))).alias("epoch")
     va = split.filter(F.col("split") == "val").select(
         F.lit("val").alias("split"), epochs, F.col("split_rank").alias("slot"), "example_id"
-    ).select("split", F.col("epoch").cast("bigint").alias("epoch"), "slot", "example_id")
+    )
     both = tr.unionByName(va)
     return both.select(
         "split", "epoch", F.expr(f"slot div {cfg.batch_size}").alias("batch_id"), "slot", "example_id"
     )
 
 
+def train_numbers(split: DataFrame, n_val: int, cfg: PrepConfig = DEFAULT) -> DataFrame:
+    """``(example_id, number)``: train examples by their dense number in split order."""
+    before = n_val if cfg.split_by == "example" else 0  # one order for both sides, or one for each
+    return split.filter(F.col("split") == "train").select("example_id", (F.col("split_rank") - before).alias("number"))
+
+
+def _epoch_keys(cfg: PrepConfig, first_epoch: int, last_epoch: int) -> Column:
+    structs = []
+    for epoch in range(first_epoch, last_epoch + 1):
+        a, b = keys(cfg.seed, "shuffle", epoch)
+        structs.append(F.struct(F.lit(epoch).cast("bigint").alias("epoch"), F.lit(a).cast("bigint").alias("a"), F.lit(b).cast("bigint").alias("b")))
+    return F.array(*structs)
+
+
+def with_slots(numbered: DataFrame, n_train: int, cfg: PrepConfig = DEFAULT, first_epoch: int = 0, last_epoch: int | None = None) -> DataFrame:
+    """Every row of ``numbered`` (with ``number``, 0..n_train-1) once an epoch, with
+    ``epoch`` and ``slot``."""
+    last_epoch = cfg.num_epochs - 1 if last_epoch is None else last_epoch
+    x = numbered.select("*", F.explode(_epoch_keys(cfg, first_epoch, last_epoch)).alias("_k"))
+    x = x.select(*numbered.columns, F.col("_k.epoch").alias("epoch"), F.col("_k.a").alias("_a"), F.col("_k.b").alias("_b"))
+    slot = permuted(F.col("number"), F.col("_a"), F.col("_b"), n_train)
+    return x.select(*numbered.columns, "epoch", slot.alias("slot"))
+
+
+def numbers_of_batches(spark: SparkSession, n_train: int, epoch: int, first_batch: int, last_batch: int, cfg: PrepConfig = DEFAULT) -> DataFrame:
+    """``(batch_id, slot, number)`` of some batches of an epoch, by arithmetic alone: the inverse
+    bijection, so a reader finds a batch's examples without the epoch's order."""
+    low, high = first_batch * cfg.batch_size, min((last_batch + 1) * cfg.batch_size, n_train)
+    a, b = keys(cfg.seed, "shuffle", epoch)
+    number = permuted(F.col("id"), F.lit(a), F.lit(b), n_train, inverse=True)
+    return spark.range(low, max(low, high)).select(F.expr(f"id div {cfg.batch_size}").alias("batch_id"), F.col("id").alias("slot"), number.alias("number"))
+
+
 def resume_filter(batches: DataFrame, epoch: int, step_in_epoch: int, validation: bool = False) -> DataFrame:
     """Train batches still to run after a checkpoint at (epoch, step).
 
@@ -120,10 +144,52 @@ def resume_from_tag(batches: DataFrame, tag: str, n_train: int, cfg: PrepConfig
     return resume_filter(batches, epoch, step, validation=True)
 
 
+def scored_by_epoch(examples: DataFrame, cfg: PrepConfig = DEFAULT, special: SpecialIds = SpecialIds()) -> DataFrame:
+    """``(example_id, real, scored)``: real positions, and the masked ones of every epoch, an
+    array.  The selection draws of ``functions.masking`` for all epochs in one pass over the
+    ids, as array arithmetic on Arrow batches; the rows stay where they are."""
+    seed, p, epochs = cfg.seed, cfg.mlm_probability, cfg.num_epochs
+    never = list(special.never_masked)
+    mask, weyl, multiplier, draws, tag = MASK32, WEYL_STEP, MIX_MULTIPLIER, DRAWS_PER_POSITION, MLM_TAG
+
+    def run(batches):
+        import hashlib
+
+        import numpy as np
+        import pyarrow as pa
+
+        def mixed(x):
+            return (((x >> 16) ^ x) * multiplier) & mask
+
+        for batch in batches:
+            ids = batch.column("ids").flatten().to_numpy(zero_copy_only=False)
+            real = batch.column("real").to_numpy(zero_copy_only=False).astype(np.int64)
+            rows = np.repeat(np.arange(len(real)), real)
+            at = np.arange(len(ids)) - np.repeat(np.cumsum(real) - real, real)
+            maskable = ~np.isin(ids, never)
+            rows, counter = rows[maskable], at[maskable] * draws * weyl
+            examples_ = batch.column("example_id").to_pylist()
+            scored = np.zeros((len(real), epochs), np.int64)
+            for e in range(epochs):
+                digests = [hashlib.md5(f"{seed}|{tag}|{e}|{x}".encode()).digest() for x in examples_]
+                halves = np.array([(int.from_bytes(d[:4]), int.from_bytes(d[4:8])) for d in digests], np.int64).reshape(-1, 2)
+                x = (halves[rows, 0] + counter) & mask
+                x = mixed(mixed(x) ^ halves[rows, 1])
+                x ^= x >> 16
+                scored[:, e] = np.bincount(rows[x / 4294967296.0 < p], minlength=len(real))
+            yield pa.RecordBatch.from_arrays(
+                [batch.column("example_id"), batch.column("real"), pa.array(list(scored), pa.list_(pa.int64()))], names=["example_id", "real", "scored"]
+            )
+
+    n = (F.col("n_a") + F.col("n_b") + 3).cast("bigint")
+    x = examples.select("example_id", n.alias("real"), F.slice("input_ids", F.lit(1), n.cast("int")).alias("ids"))
+    return x.mapInArrow(run, f"example_id {examples.schema['example_id'].dataType.simpleString()}, real bigint, scored array<bigint>")
+
+
 def batch_manifest(
-    batches: DataFrame,
+    split: DataFrame,
     examples: DataFrame,
-    vocab_size: int,
+    n_examples: int,
     n_train: int,
     cfg: PrepConfig = DEFAULT,
     special: SpecialIds = SpecialIds(),
@@ -134,21 +200,14 @@ def batch_manifest(
     per epoch), the 0-based ``global_step``, 1-based ``step_in_epoch``, the
     learning rate used by the update (``lr``) and the one logged after the
     scheduler step (``lr_logged``), the checkpoint milestone and its tag.
+
+    Examples meet their numbers once, before epochs; of an example and epoch only (epoch,
+    batch, two counts) go to the one exchange, which adds them up by batch.
     """
-    tr = batches.filter(F.col("split") == "train").select("epoch", "batch_id", "example_id")
-    real = F.col("n_a") + F.col("n_b") + 3
-    ex = examples.select("example_id", real.alias("real"), F.slice("input_ids", F.lit(1), real).alias("ids"))
-    # Real positions are exploded (code-generated) and counted to one row for each epoch
-    # and example where they are; the masked arrays themselves are not needed.
-    j = tr.join(ex, "example_id").select(
-        "epoch", "batch_id", "example_id", mask_key(cfg.seed, F.col("epoch"), F.col("example_id")).alias("key"), "real", "ids"
-    )
-    z = j.select("epoch", "batch_id", "example_id", "key", "real", F.posexplode("ids").alias("pos", "id"))
-    selected = ~F.col("id").isin(*special.never_masked) & (position_draw(F.col("key"), F.col("pos"), 0) < F.lit(cfg.mlm_probability))
-    each = z.groupBy("epoch", "batch_id", "example_id").agg(
-        F.max("real").alias("real"), F.count_if(selected).alias("scored")
-    )
-    g = each.groupBy("epoch", "batch_id").agg(
+    x = scored_by_epoch(examples, cfg, special).join(train_numbers(split, n_examples - n_train, cfg), "example_id")
+    x = with_slots(x.select("number", "real", "scored"), n_train, cfg)
+    x = x.select("epoch", F.expr(f"slot div {cfg.batch_size}").alias("batch_id"), "real", F.get("scored", F.col("epoch").cast("int")).alias("scored"))
+    g = x.groupBy("epoch", "batch_id").agg(
         F.count(F.lit(1)).cast("bigint").alias("rows"),
         F.sum("real").cast("bigint").alias("real_tokens"),
         F.sum("scored").cast("bigint").alias("scored_tokens"),

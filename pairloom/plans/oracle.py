@@ -19,6 +19,11 @@ EPOCHS = _C.num_epochs
 P_MLM = _C.mlm_probability
 SPECIALS = _C.special_tokens
 
+# The bijection of the epoch order, and walks enough for the tables' sizes.
+FEISTEL = 6
+SEARCH, WIDEST = 1 << 20, 4
+TWIN_WALKS = 6
+
 # Same classes as the Spark patterns in functions.text, spelled for RE2.
 STRIP_RE = r"^[\s\p{Z}\x0b\x1c-\x1f\x{85}]+|[\s\p{Z}\x0b\x1c-\x1f\x{85}]+$"
 WORD_RE = r"[\p{L}\p{M}\p{Nd}\p{Nl}\p{Pc}]+|[^\p{L}\p{M}\p{Nd}\p{Nl}\p{Pc}\s\p{Z}]+"
@@ -196,9 +201,7 @@ def _split() -> list[str]:
         """split AS (SELECT example_id, CASE WHEN split_rank < n_val THEN 'val' ELSE 'train' END AS split, split_rank
   FROM spl CROSS JOIN nval)""",
         f"spe AS (SELECT CAST(ceil((n - n_val) / {BS}.0) AS BIGINT) AS spe FROM nval)",
-        f"""bt AS (SELECT 'train' AS split, r.epoch::BIGINT AS epoch,
-  (row_number() OVER (PARTITION BY r.epoch ORDER BY {_md5('shuffle', 'r.epoch', 's.example_id')}, s.example_id) - 1)::BIGINT AS slot,
-  s.example_id FROM split s, range(0, {EPOCHS}) r(epoch) WHERE s.split = 'train')""",
+        *_train_slots(),
         f"""bv AS (SELECT 'val' AS split, r.epoch::BIGINT AS epoch, s.split_rank AS slot, s.example_id
   FROM split s, range(0, {EPOCHS}) r(epoch) WHERE s.split = 'val')""",
         f"""batches AS (SELECT split, epoch, (slot // {BS})::BIGINT AS batch_id, slot, example_id
@@ -206,6 +209,36 @@ def _split() -> list[str]:
     ]
 
 
+def _train_slots() -> list[str]:
+    """Slots by the keyed bijection: halves ``a`` and ``b`` of the domain, rounds that add a mix of
+    one half to the other, and walks for numbers that land beyond n."""
+    low = "CAST(ceil(sqrt(n)) AS BIGINT)"
+    parts = [
+        "fn AS (SELECT n - n_val AS n FROM nval)",
+        f"""fd AS (SELECT n, a, CAST(ceil(n / a::DOUBLE) AS BIGINT) AS b FROM (SELECT n, r.a FROM fn,
+  range({low}, least({WIDEST} * {low}, {low} + {SEARCH}, greatest({low}, (n + 1) // 2)) + 1) r(a)
+  ORDER BY (r.a - n % r.a) % r.a, r.a LIMIT 1))""",
+        f"""fk AS (SELECT r.epoch::BIGINT AS epoch, {_half(1, 'shuffle', 'r.epoch')} AS k, {_half(9, 'shuffle', 'r.epoch')} AS k2
+  FROM range(0, {EPOCHS}) r(epoch))""",
+        """fx0 AS (SELECT k.epoch, s.example_id, k.k, k.k2, fd.n, fd.a, fd.b, s.split_rank - v.n_val AS x, TRUE AS fresh
+  FROM split s, fk k, fd, nval v WHERE s.split = 'train')""",
+    ]
+    for w in range(TWIN_WALKS):
+        parts.append(f"fr{w}_0 AS (SELECT *, x // b AS l, x % b AS r FROM fx{w})")
+        for i in range(FEISTEL):
+            half, size, moved = ("r", "a", "l") if i % 2 == 0 else ("l", "b", "r")
+            key = f"((k + {(i + 1) * WEYL}) & {M32})"
+            mixed = _rnd(f"xor({_rnd(f'xor({half}, {key})')}, k2)")
+            step = f"(({moved} + xor(({mixed}) >> 16, ({mixed}))) % {size})"
+            parts.append(f"fr{w}_{i + 1} AS (SELECT * REPLACE ({step} AS {moved}) FROM fr{w}_{i})")
+        parts.append(
+            f"""fx{w + 1} AS (SELECT * EXCLUDE (l, r) REPLACE (CASE WHEN fresh OR x >= n THEN l * b + r ELSE x END AS x, FALSE AS fresh)
+  FROM fr{w}_{FEISTEL})"""
+        )
+    parts.append(f"bt AS (SELECT 'train' AS split, epoch, x::BIGINT AS slot, example_id FROM fx{TWIN_WALKS})")
+    return parts
+
+
 def _with(parts: list[str], select: str) -> str:
     return "WITH " + ",\n".join(p.strip() for p in parts) + "\n" + select
 

@@ -176,7 +176,7 @@ class Preparation:
         return resume_from_tag(self.batches(first_epoch=epoch), tag, self.sizes[0], self.cfg)
 
     def manifest(self) -> DataFrame:
-        return batch_manifest(self.batches(), self.examples, self.vocab_size, self.sizes[0], self.cfg, self.special)
+        return batch_manifest(self.split, self.examples, self.n_examples, self.sizes[0], self.cfg, self.special)
 
     @cached_property
     def sizes(self) -> tuple[int, int]:
