@@ -10,6 +10,7 @@ from pyspark.sql import types as T
 
 from ..config import DEFAULT, PrepConfig, SpecialIds
 from ..functions.text import split_words
+from ..functions.token_table import MAX_TOKENS, token_table
 from ..session import join_small
 
 ROLES = {"unk": "[UNK]", "pad": "[PAD]", "cls": "[CLS]", "sep": "[SEP]", "mask": "[MASK]"}
@@ -101,17 +102,28 @@ def lookup_ids(
 ) -> DataFrame:
     """Adds ``ids: array<bigint>`` (unknown tokens map to ``[UNK]``).
 
-    Tokens are exploded, looked up with a join against the vocabulary (broadcast if
-    its counted size allows it) and regrouped by ``key_cols``.
-    When ``rows`` is already hash-partitioned by a prefix of ``key_cols`` (the
+    A vocabulary whose counted size allows it becomes constant arrays of the plan and words are
+    looked up inside their row (``functions.token_table``): rows stay where they are.  Beyond
+    that size tokens are exploded, joined and regrouped by ``key_cols``, with the same
+    result; when ``rows`` is already hash-partitioned by a prefix of ``key_cols`` (the
     segmentation bucket), the regroup needs no shuffle.  ``max_tokens`` keeps
-    only the first tokens of each row before the explode.
+    only the first tokens of each row.
     """
     toks = split_fn(F.col("text"))
     if max_tokens is not None:
         toks = F.slice(toks, 1, int(max_tokens))
-    ex = rows.select(*key_cols, *carry_cols, F.posexplode_outer(toks).alias("pos", "token"))
     unk = (special_ids(vocab) if special is None else special).unk
+    table = token_table(vocab, min(MAX_TOKENS, cfg.broadcast_max_rows))
+    if table is not None:
+        words = rows.select(*key_cols, *carry_cols, toks.alias("_words"))
+        # a null text (an outer explode of nothing) has no ids
+        ids = table.ids_of(F.coalesce("_words", F.array().cast("array<string>")), unk)
+        return words.select(*key_cols, *carry_cols, ids.alias("ids"))
+    return _lookup_by_join(rows, toks, vocab, unk, key_cols, carry_cols, cfg)
+
+
+def _lookup_by_join(rows: DataFrame, toks: Column, vocab: DataFrame, unk: int, key_cols, carry_cols, cfg: PrepConfig) -> DataFrame:
+    ex = rows.select(*key_cols, *carry_cols, F.posexplode_outer(toks).alias("pos", "token"))
     j = lookup_join(ex, vocab, cfg)
     # (pos << 32) + id: one primitive per token, so sorting the collected
     # list restores token order without building a struct per token.
