@@ -31,6 +31,7 @@ from ..session import ensure_checkpoint_dir
 from ..sources.corpus import (
     conversations_corpus,
     documents_corpus,
+    documents_lines,
     logits_fixture,
     read_corpus,
     scalar_fixture,
@@ -53,7 +54,8 @@ WRITTEN_EPOCH = 1
 
 def _docs_prep(spark: SparkSession, sf_dir: str, cfg: PrepConfig = DEFAULT) -> Preparation:
     ensure_checkpoint_dir(spark)
-    return Preparation(documents_corpus(table(spark, sf_dir, "documents")), cfg)
+    docs = table(spark, sf_dir, "documents")
+    return Preparation(documents_corpus(docs), cfg, vocab_lines=documents_lines(docs))
 
 
 def _conv_prep(spark: SparkSession, sf_dir: str, cfg: PrepConfig = DEFAULT) -> Preparation:
@@ -82,7 +84,7 @@ def q_clean_lines(spark, sf_dir):
 
 
 def q_token_counts(spark, sf_dir):
-    return token_counts(clean_lines(documents_corpus(table(spark, sf_dir, "documents"))))
+    return token_counts(documents_lines(table(spark, sf_dir, "documents")))
 
 
 def q_vocab_build(spark, sf_dir):
@@ -103,7 +105,8 @@ def space_split(c):
 
 
 def q_custom_split_ids(spark, sf_dir):
-    p = Preparation(documents_corpus(table(spark, sf_dir, "documents")), split_fn=space_split)
+    docs = table(spark, sf_dir, "documents")
+    p = Preparation(documents_corpus(docs), vocab_lines=documents_lines(docs), split_fn=space_split)
     ids = lookup_ids(p.sentences, p.vocab, key_cols=["bucket", "row_id"], split_fn=space_split, cfg=p.cfg)
     return ids.select("row_id", F.size("ids").cast("bigint").alias("n_tokens"), _joined("ids").alias("ids"))
 
@@ -283,13 +286,13 @@ def q_batch_manifest(spark, sf_dir):
 
 
 def q_examples_written(spark, sf_dir):
-    """Validation examples of one epoch, read back from the example files."""
+    """Train and validation examples of one epoch, read back from the example files."""
     p = _docs_prep(spark, sf_dir)
     path = _fresh(spark, "examples")
     rows = epoch_examples(p.batches(WRITTEN_EPOCH, WRITTEN_EPOCH), p.examples, p.vocab_size, p.cfg, p.special)
     write_examples(rows, path)
-    t = read_epoch(spark, path, "val", WRITTEN_EPOCH)
-    return t.select("batch_id", "slot", "example_id", *[_joined(c).alias(c) for c in ("input_ids", "attention_mask", "token_type_ids", "labels")], "next_sentence_label")
+    t = read_epoch(spark, path, "train", WRITTEN_EPOCH).unionByName(read_epoch(spark, path, "val", WRITTEN_EPOCH))
+    return t.select("split", "batch_id", "slot", "example_id", *[_joined(c).alias(c) for c in ("input_ids", "attention_mask", "token_type_ids", "labels")], "next_sentence_label")
 
 
 # -- step 8: losses and logs ----------------------------------------------

@@ -369,14 +369,14 @@ FROM (SELECT unnest({_words('text')}) AS token FROM lines) t LEFT JOIN vocab v O
     )
     q["examples_written"] = _with(
         _corpus("docs") + later + _masked(1) + _split(),
-        """SELECT b.batch_id, b.slot, m.example_id,
+        """SELECT b.split, b.batch_id, b.slot, m.example_id,
   string_agg(CAST(input_id AS VARCHAR), ' ' ORDER BY pos) AS input_ids,
   string_agg(CAST(attn AS VARCHAR), ' ' ORDER BY pos) AS attention_mask,
   string_agg(CAST(seg AS VARCHAR), ' ' ORDER BY pos) AS token_type_ids,
   string_agg(CAST(label AS VARCHAR), ' ' ORDER BY pos) AS labels,
   is_next AS next_sentence_label
 FROM masked m JOIN batches b ON b.example_id = m.example_id
-WHERE b.split = 'val' AND b.epoch = 1 GROUP BY b.batch_id, b.slot, m.example_id, is_next""",
+WHERE b.epoch = 1 GROUP BY b.split, b.batch_id, b.slot, m.example_id, is_next""",
     )
     q["mlm_rates"] = _with(
         _docs_stack("masked"),

@@ -11,7 +11,7 @@ from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from ..config import DEFAULT, ROW_ID_STRIDE, PrepConfig
-from ..functions.text import required
+from ..functions.text import required, strip_text
 from ..operators.scan import choose_buckets, exclusive_prefix
 from ..session import join_small, materialize
 
@@ -86,6 +86,19 @@ def documents_corpus(documents: DataFrame, cfg: PrepConfig = DEFAULT) -> DataFra
     return x.select((F.col("_start") + F.col("pos")).cast("bigint").alias("row_id"), "text")
 
 
+def documents_lines(documents: DataFrame) -> DataFrame:
+    """The cleaned lines of ``documents_corpus`` without their order, a column ``text``: for
+    consumers that only count.  No bounds, offsets or windows are made.  A NULL or repeated
+    ``doc_id`` raises here (a count by id), a NULL ``source`` or ``text`` ends the job."""
+    twice = documents.groupBy("doc_id").agg(F.count(F.lit(1)).alias("n")).where("n > 1 OR doc_id IS NULL").limit(1).collect()
+    if twice:
+        raise ValueError("doc_id must be unique and not NULL")
+    heading = F.array(F.concat(F.lit(" = "), required("source", "source"), F.lit(" = ")))
+    lines = F.explode(F.concat(heading, F.split(required("text", "text"), "\n", -1)))
+    stripped = documents.select(lines.alias("text")).select(strip_text("text").alias("text"))
+    return stripped.filter(F.col("text") != F.lit(""))
+
+
 def conversations_corpus(conversations: DataFrame) -> DataFrame:
     """Corpus rows from ``conversations``: a document per conversation.
 

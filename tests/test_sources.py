@@ -156,3 +156,23 @@ def test_multi_file_corpus_segments_like_the_adapter(spark):
         return sorted(tuple(d[i] for i in range(len(d))) for d in by.values())
 
     assert docs(scanned) == docs(rows)
+
+
+def test_unordered_lines_are_the_lines_of_the_corpus(spark):
+    from pairloom.operators.corpus import clean_lines
+    from pairloom.sources.corpus import documents_corpus, documents_lines, table
+
+    docs = table(spark, SF_SMALL, "documents")
+    want = clean_lines(documents_corpus(docs)).select("text")
+    got = documents_lines(docs)
+    assert got.exceptAll(want).isEmpty() and want.exceptAll(got).isEmpty()
+
+
+@pytest.mark.parametrize("ids", [[1, 2, 1], [1, None]])
+def test_unordered_lines_check_ids(spark, ids):
+    from pairloom.operators.vocab import token_counts
+    from pairloom.sources.corpus import documents_lines
+
+    docs = spark.createDataFrame([(i, "a b", "s") for i in ids], "doc_id long, text string, source string")
+    with pytest.raises(ValueError):
+        token_counts(documents_lines(docs))
