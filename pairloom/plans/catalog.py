@@ -16,6 +16,7 @@ from ..config import DEFAULT, IGNORE_INDEX, PrepConfig
 from ..functions.masking import mask_key, position_draw
 from ..operators.batches import resume_filter, schedule_steps, with_schedule
 from ..operators.corpus import clean_lines, document_lengths
+from ..operators.encoders import encode_texts
 from ..operators.metrics import (
     batch_losses,
     epoch_averages,
@@ -111,6 +112,16 @@ def q_custom_split_ids(spark, sf_dir):
     return ids.select("row_id", F.size("ids").cast("bigint").alias("n_tokens"), _joined("ids").alias("ids"))
 
 
+def q_encoder_ids(spark, sf_dir):
+    """Ids of every sentence from an encoder object, a public sub-word tokenizer."""
+    import public_tokenizers
+    from tokenizers import Tokenizer
+
+    encoder = Tokenizer.from_file(public_tokenizers.path("word_bpe_49k.json"))
+    ids = encode_texts(_docs_prep(spark, sf_dir).sentences, encoder, ["row_id"])
+    return ids.select("row_id", F.size("ids").cast("bigint").alias("n_tokens"), _joined("ids").alias("ids"))
+
+
 # -- step 2: documents ----------------------------------------------------
 
 def q_documents_segmented(spark, sf_dir):
@@ -375,6 +386,7 @@ QUERIES: dict[str, Query] = {
     "vocab_build": q_vocab_build,
     "vocab_cached": q_vocab_cached,
     "custom_split_ids": q_custom_split_ids,
+    "encoder_ids": q_encoder_ids,
     "documents_segmented": q_documents_segmented,
     "sentence_index": q_sentence_index,
     "doc_lengths": q_doc_lengths,

@@ -19,6 +19,7 @@ from ..functions.schedule import tag_position
 from ..functions.text import split_words
 from ..operators.batches import batch_manifest, epoch_batches, resume_from_tag, split_examples, split_sizes, steps_per_epoch
 from ..operators.corpus import boundary_flags, clean_lines, number_documents, segment_documents
+from ..operators.encoders import encode_texts, encoder_special_ids, encoder_vocab
 from ..operators.examples import apply_mlm, assemble_examples, to_training_rows
 from ..operators.pairs import attach_tokens, document_table, nsp_pairs, resolve_partner
 from ..operators.scan import Buckets, choose_buckets
@@ -33,6 +34,9 @@ class Preparation:
     pluggable tokenizer; built-in regex split by default, any column
     function or ``pandas_udf`` works).
 
+    ``encoder`` replaces word split and vocabulary by an object with ``encode(text).ids``,
+    ``get_vocab()`` and ``get_vocab_size()``, whose vocabulary has the five special tokens.
+
     ``rows``: ``(row_id, text)`` raw corpus rows (plus ``boundary_col`` if
     documents are delimited by explicit marker rows).  ``vocab``: optional
     prebuilt ``(token, id, n)`` with the five special tokens at any ids; by default it is
@@ -44,10 +48,11 @@ class Preparation:
 
     def __init__(self, rows: DataFrame, cfg: PrepConfig = DEFAULT, vocab: DataFrame | None = None,
                  boundary_col: str | None = None, vocab_lines: DataFrame | None = None,
-                 split_fn: SplitFn = split_words):
+                 split_fn: SplitFn = split_words, encoder=None):
         self.rows = rows
         self.cfg = cfg
         self.split_fn = split_fn
+        self.encoder = encoder
         self._vocab = vocab
         self.boundary_col = boundary_col
         self._vocab_lines = vocab_lines
@@ -71,17 +76,19 @@ class Preparation:
     def vocab(self) -> DataFrame:
         if self._vocab is not None:
             return self._vocab
+        if self.encoder is not None:
+            return encoder_vocab(self.rows, self.encoder)
         src = self._vocab_lines if self._vocab_lines is not None else self.lines
         counts = self.stages.write(token_counts(src, self.split_fn), "token_counts")
         return self.stages.write(build_vocab(counts, self.cfg), "vocab")
 
     @cached_property
     def vocab_size(self) -> int:
-        return self.vocab.count()
+        return self.vocab.count() if self.encoder is None else int(self.encoder.get_vocab_size())
 
     @cached_property
     def special(self) -> SpecialIds:
-        return special_ids(self.vocab)
+        return special_ids(self.vocab) if self.encoder is None else encoder_special_ids(self.encoder)
 
     # -- documents ----------------------------------------------------------
     @cached_property
@@ -117,6 +124,8 @@ class Preparation:
     def sentence_tokens(self) -> DataFrame:
         """Token ids of kept sentences, cut to the pair budget before lookup
         (a side never keeps more than ``seq_len - 3`` tokens)."""
+        if self.encoder is not None:
+            return self.stages.write(encode_texts(self.sentences, self.encoder, ["row_id"], self.cfg.pair_budget), "sentence_tokens")
         st = lookup_ids(
             self.sentences,
             self.vocab,
