@@ -21,7 +21,16 @@ def test_segmentation_plan(prep_small):
     assert "BroadcastHashJoin" in txt
 
 
-def test_lookup_is_broadcast_and_regroup_shuffle_free(prep_small):
+def test_lookup_inside_rows_keeps_the_scan_partitioning(prep_small):
+    p = prep_small
+    txt = plan_text(lookup_ids(p.sentences, p.vocab, key_cols=["bucket", "row_id"], carry_cols=["doc_key"]))
+    assert txt.count("hashpartitioning") == plan_text(p.sentences).count("hashpartitioning")
+    assert txt.count("Join") == plan_text(p.sentences).count("Join") and "collect_list" not in txt
+
+
+def test_joined_lookup_is_broadcast_and_regroup_shuffle_free(prep_small, monkeypatch):
+    # a vocabulary too large for constants of the plan, yet below the broadcast limits
+    monkeypatch.setattr("pairloom.operators.vocab.token_table", lambda *a: None)
     p = prep_small
     st = lookup_ids(p.sentences, p.vocab, key_cols=["bucket", "row_id"], carry_cols=["doc_key"])
     txt = plan_text(st)
