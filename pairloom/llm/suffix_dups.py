@@ -3,15 +3,17 @@
 Equal strings of ``length`` bytes contain the same anchor: the position, within the
 string, of the smallest hash of ``GRAM`` consecutive bytes.  So windows are gathered by
 their anchor's hash, and only anchors that occur more than once matter.  A run of
-windows with the same anchor is a segment; segments that are equal byte for byte are
-combined before the shuffle, and what differs is ordered by deep-shallow sorting: a
-multikey quicksort on words of eight bytes to a shallow depth, then blind tries for
-the groups that share a longer prefix.
+windows with the same anchor is a segment; segments of equal hash are combined
+before the shuffle.  Segments that differ are cut in two: windows that reach far to the
+left of the anchor, and those that reach far to its right.  Each half is dealt by the bytes that all
+its windows share, and what meets is ordered by deep-shallow sorting: a multikey
+quicksort on words of eight bytes to a shallow depth, then blind tries for the groups
+that share a longer prefix.  Where very many pieces share these bytes, as at the edges of a
+passage with many contexts, they are cut again and dealt by more bytes.
 """
 
 from __future__ import annotations
 
-import hashlib
 from collections.abc import Iterable, Iterator
 
 import numpy as np
@@ -30,7 +32,7 @@ BASES = (0x9E3779B97F4A7C15, 0xC2B2AE3D27D4EB4F)
 #: Bytes hashed for an anchor; longer ones make more anchors, but fewer that repeat.
 GRAM = 48
 SHALLOW = 4  # words of eight bytes that the multikey quicksort compares
-BLOCK_SEGMENTS = 4096  # segments of one anchor that one block sorts
+BLOCK_SEGMENTS = 4096  # different pieces of one key that are sorted together
 
 
 # --- anchors -----------------------------------------------------------------------
@@ -204,59 +206,93 @@ def deep_shallow(data: np.ndarray, at: np.ndarray, group: np.ndarray, length: in
     return twice
 
 
-def _repeated(pdf_cols: dict[str, list], length: int) -> tuple[list, list, np.ndarray, np.ndarray, np.ndarray]:
-    """Windows of the segments of some anchors: (segment, window, repeats)."""
-    raw = pdf_cols["data"]
+FOUND = "key long, kind long, from_ int, to_ int"
+
+
+def _sort_block(table: pa.Table, length: int) -> pa.Table:
+    """Runs of windows, from_ <= window < to_, that equal a window of another piece of their
+    key or of their own; a piece that occurs more than once is removed whole anyway."""
+    raw = table.column("data").to_pylist()
     sizes = np.array([len(x) for x in raw])
     data = np.frombuffer(b"".join(raw) + bytes(8), np.uint8)
     start = np.cumsum(sizes) - sizes
-    windows = np.array(pdf_cols["windows"])
+    windows, anchor, copies = (table.column(c).to_numpy().astype(np.int64) for c in ("windows", "anchor", "copies"))
     seg = np.repeat(np.arange(len(raw)), windows)
     win = np.arange(len(seg)) - np.repeat(np.cumsum(windows) - windows, windows)
-    to_anchor = np.array(pdf_cols["anchor"])[seg] - win
-    _, anchor = np.unique(np.array(pdf_cols["hash"]), return_inverse=True)
-    twice = deep_shallow(data, start[seg] + win, anchor[seg] * length + to_anchor, length)
-    return data, start, seg, win, twice
+    _, key = np.unique(table.column("key").to_numpy(), return_inverse=True)
+    twice = deep_shallow(data, start[seg] + win, key[seg] * length + anchor[seg] - win, length)
+    twice &= copies[seg] == 1
+    run = np.ones(len(seg) + 1, bool)
+    run[1:-1] = (seg[1:] != seg[:-1]) | (twice[1:] != twice[:-1])
+    bounds = np.flatnonzero(run)
+    use = twice[bounds[:-1]]
+    first, last = bounds[:-1][use], bounds[1:][use] - 1
+    pick = pa.array(seg[first])
+    return pa.table({
+        **{c: table.column(c).take(pick) for c in ("key", "kind")},
+        "from_": pa.array(win[first].astype(np.int32)), "to_": pa.array((win[last] + 1).astype(np.int32)),
+    })
 
 
-FOUND = "id long, text_no long, bytes long, hash long, first int, from_ int, to_ int, digest binary, at int"
+def _pieces(segs: DataFrame, length: int, width: int) -> DataFrame:
+    """Segments cut into pieces whose windows hold their anchor at one of ``width`` places.
 
+    All windows of a piece share the anchor and the bytes next to it that each of them
+    reaches, ``length - width + 1`` bytes in all; ``key`` is their hash.  Equal windows hold
+    the anchor at one place, so they lie in pieces of one key.  ``kind`` is a hash of
+    all bytes of the piece, and ``skip`` its first window's number in the segment.
+    """
+    span = length - GRAM + 1
+    a, w = F.col("anchor"), F.col("windows")
+
+    def piece(q):
+        lo = q * width
+        hi = F.least(lo + F.lit(width), F.lit(span))
+        skip = F.greatest(a - hi + 1, F.lit(0))
+        n = F.least(a - lo + 1, w) - skip
+        data = F.substring(F.col("data"), skip + 1, n + F.lit(length - 1))
+        shared = F.substring(F.col("data"), a - lo + 1, F.lit(length + 1) - (hi - lo))
+        return F.struct(skip.alias("skip"), n.alias("windows"), (a - skip).alias("anchor"),
+                        F.xxhash64("hash", q, shared).alias("key"), F.xxhash64(F.lit(width), data).alias("kind"), data.alias("data"))
+
+    places = F.sequence(F.floor((a - w + 1) / width).cast("int"), F.floor(a / width).cast("int"))
+    return segs.select("hash", "bytes", "copies", F.explode(F.transform(places, piece)).alias("p")).select("hash", "bytes", "copies", "p.*")
+
+
+def _window_marks(segs: DataFrame, length: int, width: int) -> DataFrame:
+    """(hash, bytes, from_, to_): runs of windows that occur more than once.
+
+    ``segs`` holds (hash, bytes, copies, windows, anchor, data), each (hash, bytes) once.
+    Pieces of equal bytes are combined, pieces alone with their key leave, and the others are
+    sorted, a key a group.  A key of more than ``BLOCK_SEGMENTS`` different pieces goes
+    on with narrower pieces, whose keys take in more bytes, until its groups are small; at
+    a width of one the key is the whole window, and a group has one kind.
+    """
+    pieces = materialize(_pieces(segs, length, width), "suffix-pieces")
+    keys = pieces.groupBy("key").agg(F.sum("copies").alias("copies"), F.min("kind").alias("kind"), F.max("kind").alias("other"))
+    keys = materialize(keys.where("copies > 1"), "suffix-keys")
+    every = [F.lit(0).alias("from_"), F.lit(length).alias("to_")]
+    alike = keys.where("kind = other").select("key", "kind", *every)
+    # one piece of each kind goes on, with its bytes
+    one = F.first(F.struct("windows", "anchor", "data")).alias("one")
+    kinds = pieces.join(keys.where("kind < other").select("key"), "key").groupBy("key", "kind").agg(F.sum("copies").alias("copies"), one)
+    kinds = materialize(kinds.select("key", "kind", "copies", "one.*"), "suffix-kinds")
+    large = materialize(kinds.groupBy("key").agg(F.count("*").alias("n")).where(F.col("n") > BLOCK_SEGMENTS).select("key"), "suffix-large")
+    # a task sorts many small groups together
+    n = max(1, int(segs.sparkSession.conf.get("spark.sql.shuffle.partitions")))
+    dealt = kinds.join(large, "key", "left_anti").repartition(n, "key").sortWithinPartitions("key")
 
-def _sort_block(table: pa.Table, length: int) -> pa.Table:
-    """Repeated windows of the segments of one task's anchors in one block.
+    def sort(batches):
+        yield from _sorted_partitions(batches, length)
 
-    Runs of repeated windows come with from_ <= window < to_.  A window that is alone in
-    a block of an anchor with several blocks comes with a digest, for the comparison of
-    blocks; so does one of each that repeat.
-    """
-    cols = {c: table.column(c).to_pylist() for c in ("data", "windows", "anchor", "hash")}
-    data, start, seg, win, twice = _repeated(cols, length)
-    several = table.column("several").to_numpy(zero_copy_only=False).astype(bool)
-    out: list[tuple] = []
-    edge = np.diff(np.r_[0, twice.astype(np.int8), 0]) != 0
-    run = np.ones(len(seg) + 1, bool)
-    run[1:-1] = (seg[1:] != seg[:-1]) | edge[1:-1]
-    bounds = np.flatnonzero(run)
-    for a, b in zip(bounds[:-1].tolist(), bounds[1:].tolist(), strict=True):
-        if twice[a]:
-            out.append((int(seg[a]), int(win[a]), int(win[b - 1]) + 1, None, None))
-    if several.any():
-        seen = set()
-        for i in np.flatnonzero(several[seg]).tolist():
-            s, w = int(seg[i]), int(win[i])
-            a = int(start[s]) + w
-            digest = hashlib.blake2b(data[a : a + length].tobytes(), digest_size=16).digest()
-            if twice[i]:
-                if digest in seen:
-                    continue
-                seen.add(digest)
-            out.append((s, w, w + 1, digest, w))
-    pick = pa.array([x[0] for x in out], pa.int64())
-    return pa.table({
-        **{c: table.column(c).take(pick) for c in ("id", "text_no", "bytes", "hash", "first")},
-        "from_": pa.array([x[1] for x in out], pa.int32()), "to_": pa.array([x[2] for x in out], pa.int32()),
-        "digest": pa.array([x[3] for x in out], pa.binary()), "at": pa.array([x[4] for x in out], pa.int32()),
-    })
+    marks = alike.union(kinds.where("copies > 1").select("key", "kind", *every)).union(map_arrow(dealt, sort, FOUND))
+    if width > 1 and not large.isEmpty():
+        rest = kinds.join(large, "key", "left_semi").withColumnsRenamed({"key": "hash", "kind": "bytes"})
+        narrower = _window_marks(rest, length, -(-width // 4))
+        marks = marks.union(narrower.select("hash", "bytes", "from_", "to_"))
+    marks = materialize(marks, "suffix-found")
+    ends = (F.col("skip") + F.col("from_")).alias("from_"), (F.col("skip") + F.least("to_", "windows")).cast("int").alias("to_")
+    return pieces.select("hash", "bytes", "skip", "windows", "key", "kind").join(marks, ["key", "kind"]).select("hash", "bytes", *ends)
 
 
 def _repeated_spans(rows: DataFrame, length: int) -> DataFrame:
@@ -265,10 +301,8 @@ def _repeated_spans(rows: DataFrame, length: int) -> DataFrame:
 
     ``rows`` holds (id, text_no, times, text), each (id, text_no) once: ``text_no`` tells
     apart texts that share an id, and ``times`` counts the rows that are alike.  Every anchor is counted; equal
-    segments of an anchor are combined, and of each only one goes to the sort.  An
-    anchor with more than ``BLOCK_SEGMENTS`` different segments is sorted in blocks, and
-    the windows left alone in a block are then compared across blocks by their digests,
-    counted before the shuffle.
+    segments of an anchor are combined, and of those that differ one each is cut from its
+    text and goes on in pieces (``_window_marks``).
     """
     if length < GRAM + 8:
         raise ValueError(f"strings must be of {GRAM + 8} bytes at least")
@@ -279,25 +313,11 @@ def _repeated_spans(rows: DataFrame, length: int) -> DataFrame:
     kept = materialize(anchors.join(again, "hash"), "suffix-kept")
     one = F.min(F.struct("id", "text_no", "first", "windows", "anchor")).alias("one")
     counted = materialize(kept.groupBy("hash", "bytes").agg(F.sum("times").alias("copies"), one), "suffix-counted")
-    # of the segments that differ, one each goes to the sort with its bytes
-    kinds = materialize(counted.groupBy("hash").agg(F.count("*").alias("kinds")).where("kinds > 1"), "suffix-kinds")
-    cut = _cut_segments(rows, counted.join(kinds, "hash").select("one.*", "hash", "bytes", "kinds"), length)
-    block = F.pmod(F.xxhash64("bytes"), F.ceil(F.col("kinds") / BLOCK_SEGMENTS))
-    cut = cut.withColumn("block", block).withColumn("several", F.col("kinds") > BLOCK_SEGMENTS)
-    # a task sorts many small anchors together, or one block of a large one
-    n = max(1, int(rows.sparkSession.conf.get("spark.sql.shuffle.partitions")))
-    dealt = cut.repartition(n, "hash", "block")
-
-    def sort(batches):
-        yield from _sorted_partitions(batches, length)
-
-    found = materialize(map_arrow(dealt.sortWithinPartitions("hash", "block"), sort, FOUND), "suffix-found")
-    local = found.where("digest is null").select("hash", "bytes", "from_", "to_")
-    across = found.where("digest is not null")
-    twice = across.groupBy("hash", "digest").agg(F.count("*").alias("n")).where("n > 1").select("hash", "digest")
-    apart = across.join(twice, ["hash", "digest"]).select("hash", "bytes", "from_", "to_")
+    differ = materialize(counted.groupBy("hash").agg(F.count("*").alias("n")).where("n > 1").select("hash"), "suffix-differ")
+    cut = _cut_segments(rows, counted.join(differ, "hash").select("one.*", "hash", "bytes", "copies"), length)
+    runs = _window_marks(cut, length, -(-(length - GRAM + 1) // 2))
     # windows to remove, once for each kind of segment; one join takes them to all segments
-    some = local.union(apart).groupBy("hash", "bytes").agg(F.collect_list(F.struct("from_", "to_")).alias("runs"))
+    some = runs.groupBy("hash", "bytes").agg(F.collect_list(F.struct("from_", "to_")).alias("runs"))
     every = F.array(F.struct(F.lit(0).alias("from_"), F.col("one.windows").alias("to_")))
     full = counted.where("copies > 1").select("hash", "bytes", every.alias("runs"))
     marks = full.union(some.join(full.select("hash", "bytes"), ["hash", "bytes"], "left_anti"))
@@ -327,23 +347,23 @@ def ids_of(id_col: str):
 
 def _cut_segments(rows: DataFrame, wanted: DataFrame, length: int) -> DataFrame:
     """The bytes of segments, cut from their texts."""
-    lists = wanted.groupBy("id", "text_no").agg(F.collect_list(F.struct("first", "windows", "anchor", "hash", "bytes", "kinds")).alias("cuts"))
+    lists = wanted.groupBy("id", "text_no").agg(F.collect_list(F.struct("first", "windows", "anchor", "hash", "bytes", "copies")).alias("cuts"))
     joined = rows.join(lists, ["id", "text_no"]).select("id", "text_no", F.encode("text", "UTF-8").alias("text"), "cuts")
     piece = lambda c: F.substring(F.col("text"), c["first"] + 1, c["windows"] + F.lit(length - 1))
     cuts = F.transform("cuts", lambda c: F.struct(c["first"].alias("first"), c["windows"].alias("windows"), c["anchor"].alias("anchor"),
-        c["hash"].alias("hash"), c["bytes"].alias("bytes"), c["kinds"].alias("kinds"), piece(c).alias("data")))
+        c["hash"].alias("hash"), c["bytes"].alias("bytes"), c["copies"].alias("copies"), piece(c).alias("data")))
     return joined.select("id", "text_no", F.explode(cuts).alias("c")).select("id", "text_no", "c.*")
 
 
 def _sorted_partitions(batches: Iterable[pa.RecordBatch], length: int) -> Iterator[pa.RecordBatch]:
-    """Sorts runs of whole (anchor, block) groups of bounded size."""
+    """Sorts runs of whole groups of bounded size."""
     held: list[pa.RecordBatch] = []
     for batch in batches:
         held.append(batch)
         if sum(b.num_rows for b in held) >= 2 * BLOCK_SEGMENTS:
             table = pa.Table.from_batches(held).combine_chunks()
-            h, b = (table.column(c).to_numpy() for c in ("hash", "block"))
-            change = np.flatnonzero((h[1:] != h[:-1]) | (b[1:] != b[:-1]))
+            key = table.column("key").to_numpy()
+            change = np.flatnonzero(key[1:] != key[:-1])
             if len(change):
                 at = int(change[-1]) + 1
                 yield from _sort_block(table.slice(0, at), length).to_batches()

@@ -56,9 +56,36 @@ def test_equals_brute_force(make_docs, prose):
 
 def test_an_anchor_with_very_many_contexts(make_docs, prose, monkeypatch):
     monkeypatch.setattr(suffix_dups, "BLOCK_SEGMENTS", 8)
+    widths, marks = [], suffix_dups._window_marks
+
+    def spy(segs, length, width):
+        widths.append(width)
+        return marks(segs, length, width)
+
+    monkeypatch.setattr(suffix_dups, "_window_marks", spy)
     passage = prose(60, 5)
     rows = [(i, prose(20, i) + " " + passage + " " + prose(3 + i % 30, i // 3), "s") for i in range(80)]
     assert run(make_docs(rows)) == brute(rows, 200)
+    # groups too large go on with narrower pieces
+    assert widths[:2] == [77, 20]
+
+
+def test_pieces_hold_each_window_once_with_bytes_that_all_share(spark):
+    rng = random.Random(3)
+    rows = []
+    for k in range(40):
+        anchor = rng.randint(0, 152)
+        windows = rng.randint(1, anchor + 1)
+        rows.append((k, k, 1, windows, anchor, bytearray(rng.randbytes(windows + 199))))
+    segs = spark.createDataFrame(rows, "hash long, bytes long, copies long, windows int, anchor int, data binary")
+    for width in (77, 20, 1):
+        seen = {}
+        for r in suffix_dups._pieces(segs, 200, width).collect():
+            _, _, _, windows, anchor, data = rows[r.hash]
+            assert r.anchor == anchor - r["skip"] and 1 <= r.windows <= width
+            assert r.data == data[r["skip"] : r["skip"] + r.windows + 199]
+            seen.setdefault(r.hash, []).extend(range(r["skip"], r["skip"] + r.windows))
+        assert all(sorted(seen[k]) == list(range(w)) for k, _, _, w, _, _ in rows)
 
 
 def test_identical_rows_are_one_text(make_docs, prose, monkeypatch):
