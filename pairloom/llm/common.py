@@ -17,9 +17,10 @@ from pyspark.sql import functions as F
 
 from ..session import materialize
 
-#: Rows of an Arrow batch handed to a Python worker, and bytes of text a worker turns
-#: into numpy arrays at once; both bound a worker's memory and change no result.
+#: Rows and bytes of an Arrow batch handed to a Python worker, and bytes of text a worker
+#: turns into numpy arrays at once; they bound a worker's memory and change no result.
 ARROW_ROWS = 1024
+ARROW_BYTES = 4 << 20
 SLICE_BYTES = 1 << 19
 
 
@@ -31,6 +32,7 @@ def map_arrow(df: DataFrame, fn: Callable[[Iterable[pa.RecordBatch]], Iterator[p
         try:
             yield from fn(batches)
         finally:
+            _POWERS.clear()
             gc.collect()
             pa.default_memory_pool().release_unused()
             with contextlib.suppress(OSError, AttributeError):  # another C library has no such call
@@ -50,6 +52,7 @@ def prepare(spark: SparkSession) -> None:
     """Keep Arrow batches of long texts small, and make this package importable in the
     Python workers wherever the driver was started."""
     spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", str(ARROW_ROWS))
+    spark.conf.set("spark.sql.execution.arrow.maxBytesPerBatch", str(ARROW_BYTES))
     sc = spark.sparkContext
     if sc.applicationId in _SHIPPED:
         return

@@ -360,7 +360,7 @@ def _sorted_partitions(batches: Iterable[pa.RecordBatch], length: int) -> Iterat
     held: list[pa.RecordBatch] = []
     for batch in batches:
         held.append(batch)
-        if sum(b.num_rows for b in held) >= 2 * BLOCK_SEGMENTS:
+        if sum(b.num_rows for b in held) >= BLOCK_SEGMENTS:
             table = pa.Table.from_batches(held).combine_chunks()
             key = table.column("key").to_numpy()
             change = np.flatnonzero(key[1:] != key[:-1])
