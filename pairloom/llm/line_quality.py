@@ -234,18 +234,20 @@ LINES = "label int, lines int, sizes binary, features binary"
 def _sample_lines(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     for batch in batches:
         data, offsets = utf8(batch.column(1))
-        x, row, size = line_features(data, offsets)
-        bounds = np.searchsorted(row, np.arange(batch.num_rows + 1))
-        first, last = bounds[:-1].copy(), bounds[1:].copy()
-        for i in np.flatnonzero(last - first > SAMPLE_LINES).tolist():
-            first[i] += zlib.crc32(data[offsets[i] : offsets[i + 1]]) % (last[i] - first[i] - SAMPLE_LINES + 1)
-            last[i] = first[i] + SAMPLE_LINES
-        runs = list(zip(first.tolist(), last.tolist(), strict=True))
-        yield pa.RecordBatch.from_arrays(
-            [batch.column(0), pa.array([j - i for i, j in runs], pa.int32()), pa.array([size[i:j].astype("<f8").tobytes() for i, j in runs], pa.binary()),
-             pa.array([x[i:j].astype("<f4").tobytes() for i, j in runs], pa.binary())],
-            names=["label", "lines", "sizes", "features"],
-        )
+        for lo, hi in slices(offsets):
+            own = offsets[lo : hi + 1]
+            x, row, size = line_features(data[own[0] : own[-1]], own - own[0])
+            bounds = np.searchsorted(row, np.arange(hi - lo + 1))
+            first, last = bounds[:-1].copy(), bounds[1:].copy()
+            for i in np.flatnonzero(last - first > SAMPLE_LINES).tolist():
+                first[i] += zlib.crc32(data[own[i] : own[i + 1]]) % (last[i] - first[i] - SAMPLE_LINES + 1)
+                last[i] = first[i] + SAMPLE_LINES
+            runs = list(zip(first.tolist(), last.tolist(), strict=True))
+            yield pa.RecordBatch.from_arrays(
+                [batch.column(0).slice(lo, hi - lo), pa.array([j - i for i, j in runs], pa.int32()), pa.array([size[i:j].astype("<f8").tobytes() for i, j in runs], pa.binary()),
+                 pa.array([x[i:j].astype("<f4").tobytes() for i, j in runs], pa.binary())],
+                names=["label", "lines", "sizes", "features"],
+            )
 
 
 def held_out(id_col: Column, folds: int = 3, fold: int = 1) -> Column:
