@@ -42,6 +42,7 @@ def nsp_pairs(index: DataFrame, docs: DataFrame, n_docs: int, cfg: PrepConfig =
         eid.alias("example_id"),
         "doc_idx",
         "sent_idx",
+        "bucket",
         (uniform(s, "nsp", eid) < F.lit(cfg.nsp_positive_probability)).cast("bigint").alias("is_next"),
         (j + F.when(j >= F.col("doc_idx"), 1).otherwise(0)).cast("bigint").alias("t_idx"),
     )
@@ -52,6 +53,7 @@ def nsp_pairs(index: DataFrame, docs: DataFrame, n_docs: int, cfg: PrepConfig =
         "example_id",
         "doc_idx",
         "sent_idx",
+        "bucket",
         "is_next",
         F.when(pos, F.col("doc_idx")).otherwise(F.col("t_idx")).alias("b_doc_idx"),
         F.when(pos, F.col("sent_idx") + 1)
@@ -61,18 +63,26 @@ def nsp_pairs(index: DataFrame, docs: DataFrame, n_docs: int, cfg: PrepConfig =
 
 
 def resolve_partner(pairs: DataFrame, index: DataFrame) -> DataFrame:
-    """Adds ``b_id``, the partner's row.
+    """Adds ``b_id``, the partner's row, and ``b_bucket``, its bucket of the order.
 
     Equi-join of narrow rows on ``(doc_idx, sent_idx)``.  Partner keys are unique for
     positive pairs and uniform within the target document for negative ones;
     AQE splits a partition if one short document is drawn very often.
     """
-    b = index.select(F.col("doc_idx").alias("b_doc_idx"), F.col("sent_idx").alias("b_sent_idx"), F.col("row_id").alias("b_id"))
+    b = index.select(F.col("doc_idx").alias("b_doc_idx"), F.col("sent_idx").alias("b_sent_idx"), F.col("row_id").alias("b_id"), F.col("bucket").alias("b_bucket"))
     return pairs.join(b, ["b_doc_idx", "b_sent_idx"])
 
 
-def attach_tokens(pairs: DataFrame, tokens: DataFrame) -> DataFrame:
-    """Adds ``ids`` and ``ids_b``: the token arrays of both sentences, by row."""
-    a = tokens.select(F.col("row_id").alias("example_id"), "ids")
-    b = tokens.select(F.col("row_id").alias("b_id"), F.col("ids").alias("ids_b"))
-    return pairs.join(a, "example_id").join(b, "b_id")
+def attach_tokens(pairs: DataFrame, tokens: DataFrame, n: int) -> DataFrame:
+    """Adds ``ids`` and ``ids_b``: the token arrays of both sentences, by row.
+
+    ``tokens`` is stored in ``n`` hash buckets of ``bucket``, the range of the order in which a
+    row lies.  Narrow pairs travel to the stored rows of their partners, and with the
+    partners' arrays to those of their first sentences, so that arrays move once, and those of
+    first sentences never; the plan has to be made within ``session.stored_partitioning``.
+    A stored bucket holds ranges of the order of bounded rows, not documents.
+    """
+    b = tokens.select(F.col("bucket").alias("b_bucket"), F.col("row_id").alias("b_id"), F.col("ids").alias("ids_b"))
+    a = tokens.select("bucket", F.col("row_id").alias("example_id"), "ids")
+    far = pairs.repartition(n, "b_bucket").join(b, ["b_bucket", "b_id"]).drop("b_bucket", "b_id")
+    return far.repartition(n, "bucket").join(a, ["bucket", "example_id"])

@@ -17,14 +17,14 @@ from pyspark.sql import functions as F
 from ..config import DEFAULT, PrepConfig, SpecialIds
 from ..functions.schedule import tag_position
 from ..functions.text import split_words
-from ..operators.batches import batch_manifest, epoch_batches, resume_from_tag, split_examples, split_sizes, steps_per_epoch
+from ..operators.batches import batch_manifest, epoch_batches, label_examples, resume_from_tag, split_examples, split_sizes, steps_per_epoch
 from ..operators.corpus import boundary_flags, clean_lines, number_documents, segment_documents
 from ..operators.encoders import encode_texts, encoder_special_ids, encoder_vocab
 from ..operators.examples import apply_mlm, assemble_examples, to_training_rows
 from ..operators.pairs import attach_tokens, document_table, nsp_pairs, resolve_partner
 from ..operators.scan import Buckets, choose_buckets
 from ..operators.vocab import SplitFn, build_vocab, lookup_ids, special_ids, token_counts
-from ..session import Stages
+from ..session import Stages, default_parallelism, stored_partitioning
 
 
 class Preparation:
@@ -34,6 +34,9 @@ class Preparation:
     pluggable tokenizer; built-in regex split by default, any column
     function or ``pandas_udf`` works).
 
+    ``literal_specials``: a special token that stands in a sentence gets its own id
+    (``lookup_ids``); counting splits it like any text.
+
     ``encoder`` replaces word split and vocabulary by an object with ``encode(text).ids``,
     ``get_vocab()`` and ``get_vocab_size()``, whose vocabulary has the five special tokens.
 
@@ -48,11 +51,12 @@ class Preparation:
 
     def __init__(self, rows: DataFrame, cfg: PrepConfig = DEFAULT, vocab: DataFrame | None = None,
                  boundary_col: str | None = None, vocab_lines: DataFrame | None = None,
-                 split_fn: SplitFn = split_words, encoder=None):
+                 split_fn: SplitFn = split_words, encoder=None, literal_specials: bool = True):
         self.rows = rows
         self.cfg = cfg
         self.split_fn = split_fn
         self.encoder = encoder
+        self.literal_specials = literal_specials
         self._vocab = vocab
         self.boundary_col = boundary_col
         self._vocab_lines = vocab_lines
@@ -123,9 +127,10 @@ class Preparation:
     @cached_property
     def sentence_tokens(self) -> DataFrame:
         """Token ids of kept sentences, cut to the pair budget before lookup
-        (a side never keeps more than ``seq_len - 3`` tokens)."""
+        (a side never keeps more than ``seq_len - 3`` tokens), stored where the scan left them."""
         if self.encoder is not None:
-            return self.stages.write(encode_texts(self.sentences, self.encoder, ["row_id"], self.cfg.pair_budget), "sentence_tokens")
+            st = encode_texts(self.sentences, self.encoder, ["bucket", "row_id"], self.cfg.pair_budget)
+            return self.stages.write_buckets(st, "sentence_tokens", "bucket", self.n_buckets)
         st = lookup_ids(
             self.sentences,
             self.vocab,
@@ -134,13 +139,20 @@ class Preparation:
             split_fn=self.split_fn,
             cfg=self.cfg,
             special=self.special,
+            literal_specials=self.literal_specials,
         )
-        return self.stages.write(st.select("row_id", "ids"), "sentence_tokens")
+        return self.stages.write_buckets(st.select("bucket", "row_id", "ids"), "sentence_tokens", "bucket", self.n_buckets)
+
+    @property
+    def n_buckets(self) -> int:
+        """Hash buckets of stored token arrays: as many as the scan has partitions, so that
+        each task writes buckets of its own."""
+        return max(1, default_parallelism(self.rows.sparkSession))
 
     # -- pairs and examples -------------------------------------------------
     @cached_property
     def pairs(self) -> DataFrame:
-        """``(example_id, doc_idx, sent_idx, is_next, b_doc_idx, b_sent_idx, b_id)``."""
+        """``(example_id, doc_idx, sent_idx, bucket, is_next, b_doc_idx, b_sent_idx, b_id, b_bucket)``."""
         return resolve_partner(nsp_pairs(self.index, self.documents, self.n_documents, self.cfg), self.index)
 
     @cached_property
@@ -152,9 +164,10 @@ class Preparation:
     @cached_property
     def examples(self) -> DataFrame:
         """Unmasked examples (written: every epoch reads them)."""
-        pairs = self.pairs.select("example_id", "doc_idx", "is_next", "b_id")
-        x = attach_tokens(pairs, self.sentence_tokens)
-        return self.stages.write(assemble_examples(x, self.cfg, special=self.special), "examples")
+        pairs = self.pairs.select("example_id", "doc_idx", "is_next", "bucket", "b_id", "b_bucket")
+        x = attach_tokens(pairs, self.sentence_tokens, self.n_buckets)
+        with stored_partitioning(self.rows.sparkSession):
+            return self.stages.write(assemble_examples(x, self.cfg, special=self.special), "examples")
 
     @cached_property
     def n_examples(self) -> int:
@@ -176,6 +189,14 @@ class Preparation:
         s = split_examples(self.example_ids, self.n_examples, self.cfg, docs=docs, n_docs=n_docs)
         return self.stages.write(s, "split")
 
+    @cached_property
+    def split_labels(self) -> DataFrame:
+        """``(example_id, split)`` of the split by example, without ranks: a filter on the
+        narrow index, nothing is sorted or written."""
+        if self.cfg.split_by != "example":
+            raise ValueError("labels without ranks need split_by='example'")
+        return label_examples(self.example_ids, self.n_examples, self.cfg)
+
     def batches(self, first_epoch: int = 0, last_epoch: int | None = None) -> DataFrame:
         return epoch_batches(self.split, self.n_examples, self.cfg, first_epoch, last_epoch, n_train=self.sizes[0])
 

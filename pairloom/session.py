@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import contextlib
 import logging
 import os
 import tempfile
@@ -107,6 +108,7 @@ class Stages:
     def __init__(self, spark: SparkSession):
         self.spark = spark
         self._path: str | None = None
+        self._entries: list[str] = []
 
     @property
     def path(self) -> str:
@@ -119,7 +121,19 @@ class Stages:
         df.write.mode("errorifexists").parquet(path)
         return self.spark.read.parquet(path)
 
+    def write_buckets(self, df: DataFrame, name: str, column: str, n: int) -> DataFrame:
+        """As ``write``, in ``n`` hash buckets of ``column``: a join on it, and on more columns,
+        reads the stage in place.  The table's entry in the catalog goes with ``close()``."""
+        folder = f"{name}-{uuid.uuid4().hex}"
+        entry = folder.replace("-", "_")
+        out = df.write.mode("errorifexists").format("parquet").bucketBy(n, column)
+        out.option("path", f"{self.path}/{folder}").saveAsTable(entry)
+        self._entries.append(entry)
+        return self.spark.table(entry)
+
     def close(self) -> None:
+        while self._entries:
+            self.spark.sql(f"DROP TABLE IF EXISTS {self._entries.pop()}")
         if self._path is None:
             return
         sc = self.spark.sparkContext
@@ -134,6 +148,23 @@ class Stages:
         self.close()
 
 
+@contextlib.contextmanager
+def stored_partitioning(spark: SparkSession):
+    """Within it, a join on more columns than its inputs are partitioned by keeps their
+    partitioning, where both have the same; the setting is put back afterwards.  Plans are made
+    when a result is written, so that has to happen inside."""
+    key = "spark.sql.requireAllClusterKeysForCoPartition"
+    before = spark.conf.get(key, None)
+    spark.conf.set(key, "false")
+    try:
+        yield
+    finally:
+        if before is None:
+            spark.conf.unset(key)
+        else:
+            spark.conf.set(key, before)
+
+
 def join_small(
     big: DataFrame,
     small: DataFrame,

@@ -98,3 +98,29 @@ def test_a_large_vocabulary_is_not_broadcast(spark):
     big = spark.range(3_000_000).select(F.concat(F.lit("w"), F.col("id")).alias("token"), "id")
     assert "BroadcastHashJoin" not in plan_text(lookup_join(rows, big))
     assert lookup_join(rows, big).collect()[0].id is None
+
+
+def test_arrays_of_first_sentences_stay_where_they_are_stored(spark):
+    from pairloom.operators.pairs import attach_tokens
+    from pairloom.session import stored_partitioning
+
+    old = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        with small_prep(spark) as p:
+            pairs = p.stages.write(p.pairs, "pairs")
+            joined = attach_tokens(pairs, p.sentence_tokens, p.n_buckets)
+            with stored_partitioning(spark):
+                txt = plan_text(joined)
+            want = {r.row_id: r.ids for r in p.sentence_tokens.collect()}
+            ids = {r.example_id: r.b_id for r in pairs.collect()}
+            got = joined.collect()
+            assert len(got) == p.n_examples
+            assert all(r.ids == want[r.example_id] and r.ids_b == want[ids[r.example_id]] for r in got)
+            tables = spark.catalog.listTables()
+    finally:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", old)
+    # both sides of both joins: the pairs move by bucket, the stored arrays are read in place
+    assert txt.count("Bucketed: true") == 2 and "Bucketed: false (disabled" not in txt
+    assert sorted(re.findall(r"hashpartitioning\((\w+)#", txt)) == ["b_bucket", "bucket"]
+    assert len(spark.catalog.listTables()) < len(tables)
