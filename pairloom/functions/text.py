@@ -2,6 +2,9 @@
 
 from __future__ import annotations
 
+import string
+from collections.abc import Callable, Iterable
+
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
@@ -42,3 +45,17 @@ def is_boundary(stripped) -> Column:
 def split_words(c) -> Column:
     """Whitespace/punctuation word split into ``array<string>``."""
     return F.regexp_extract_all(_col(c), F.lit(WORD_PATTERN), 0)
+
+
+def split_keeping(literals: Iterable[str]) -> Callable[[Column], Column]:
+    """``split_words`` that keeps each of ``literals`` whole wherever it stands, also inside a
+    run of punctuation or between letters; of two that start at one place, the longer."""
+    literals = sorted(set(literals), key=lambda t: (-len(t), t))
+    if not literals or "" in literals:
+        raise ValueError("literals must not be empty")
+    whole = "|".join("".join(f"\\x{{{ord(ch):x}}}" for ch in t) for t in literals)
+    # a run of word characters meets no literal that starts with ASCII punctuation
+    plain = all(t[0] in string.punctuation and t[0] != "_" for t in literals)
+    words = r"\w+" if plain else rf"(?:(?!{whole})\w)+"
+    pattern = rf"(?U){whole}|{words}|(?:(?!{whole})[^\w\s])+"
+    return lambda c: F.regexp_extract_all(_col(c), F.lit(pattern), 0)

@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from ..config import DEFAULT, PrepConfig, SpecialIds
-from ..functions.text import split_words
+from ..functions.text import split_keeping, split_words
 from ..functions.token_table import MAX_TOKENS, token_table
 from ..session import join_small
 
@@ -99,9 +99,14 @@ def lookup_ids(
     split_fn: SplitFn = split_words,
     cfg: PrepConfig = DEFAULT,
     special: SpecialIds | None = None,
+    literal_specials: bool = True,
 ) -> DataFrame:
     """Adds ``ids: array<bigint>`` (unknown tokens map to ``[UNK]``).
 
+    With ``literal_specials`` a special token that stands in a text is a token of its own and
+    gets its id, as a tokenizer gives it; without, or with a ``split_fn`` of the caller's, it is split
+    like any text.  Token counts never keep them whole.
+
     A vocabulary whose counted size allows it becomes constant arrays of the plan and words are
     looked up inside their row (``functions.token_table``): rows stay where they are.  Beyond
     that size tokens are exploded, joined and regrouped by ``key_cols``, with the same
@@ -109,6 +114,8 @@ def lookup_ids(
     segmentation bucket), the regroup needs no shuffle.  ``max_tokens`` keeps
     only the first tokens of each row.
     """
+    if literal_specials and split_fn is split_words:
+        split_fn = split_keeping(cfg.special_tokens)
     toks = split_fn(F.col("text"))
     if max_tokens is not None:
         toks = F.slice(toks, 1, int(max_tokens))
