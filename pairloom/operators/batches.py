@@ -13,7 +13,7 @@ from ..functions.masking import DRAWS_PER_POSITION, MLM_TAG
 from ..functions.permutation import keys, permuted
 from ..functions.schedule import checkpoint_tag, lr_multiplier, milestone_label, tag_position
 from ..session import join_small
-from .scan import hash_rank, hash_running_sum
+from .scan import among_smallest, hash_rank, hash_running_sum
 
 
 def split_sizes(n_examples: int, cfg: PrepConfig = DEFAULT) -> tuple[int, int]:
@@ -58,6 +58,16 @@ def split_examples(examples: DataFrame, n_examples: int, cfg: PrepConfig = DEFAU
     return r.select("example_id", "split", "split_rank")
 
 
+def label_examples(examples: DataFrame, n_examples: int, cfg: PrepConfig = DEFAULT) -> DataFrame:
+    """``(example_id, split)``: the labels of ``split_examples`` for ``split_by="example"``,
+    without ranks.  The n_val-th smallest digest is found by counting, so no row is sorted."""
+    _, n_val = split_sizes(n_examples, cfg)
+    ids = examples.select("example_id")
+    order = digest(cfg.seed, "split", F.col("example_id"))
+    val = among_smallest(ids, order, "example_id", n_val, n_examples)
+    return ids.select("example_id", F.when(val, F.lit("val")).otherwise(F.lit("train")).alias("split"))
+
+
 def epoch_batches(
     split: DataFrame,
     n_examples: int,

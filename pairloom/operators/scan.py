@@ -25,6 +25,8 @@ from pyspark.sql import functions as F
 from ..config import DEFAULT, PrepConfig
 from ..session import default_parallelism, join_small
 
+DIGEST_DIGITS = 32  # of an md5 digest
+
 
 def _target_rows(df: DataFrame, n_rows: int, cfg: PrepConfig) -> int:
     """Rows per bucket: at most ``cfg.scan_bucket_rows``, and small enough to
@@ -186,3 +188,40 @@ def hash_running_sum(
     w = Window.partitionBy("_hb").orderBy("_h", *tie_cols).rowsBetween(Window.unboundedPreceding, Window.currentRow)
     run = F.col("_off") + F.sum(weight_col).over(w) - F.col(weight_col)
     return joined.withColumn(out, run.cast("bigint")).drop("_h", "_hb", "_off")
+
+
+#: Hex digits of a digest that one pass of ``among_smallest`` counts, and rows that it orders.
+SELECT_DIGITS, SELECT_ROWS = 3, 4096
+
+
+def among_smallest(df: DataFrame, order_hash: Column, tie_col: str, k: int, n_rows: int) -> Column:
+    """A condition that holds for exactly the ``k`` smallest rows in ``(order_hash, tie_col)``
+    order, found without a sort of the table.
+
+    ``order_hash`` must be a lowercase hex digest and ``tie_col`` tell rows of one digest apart.
+    Rows are counted by leading digits, at most 16**3 counts a pass; the cell in which the k-th row
+    lies is counted by its next digits, until it holds few rows, or all of them are
+    wanted.  Only those few are ordered, and one (digest, tie) comes to the driver.
+    """
+    if k <= 0:
+        return F.lit(False)
+    if k >= n_rows:
+        return F.lit(True)
+    known, left, cell = "", k, n_rows
+    while cell > SELECT_ROWS:
+        width = len(known) + SELECT_DIGITS
+        counts = df.where(order_hash.startswith(known)).groupBy(F.substring(order_hash, 1, width).alias("head"))
+        for row in sorted(counts.agg(F.count(F.lit(1)).alias("n")).collect()):
+            if row["n"] >= left:
+                known, cell = row["head"], row["n"]
+                break
+            left -= row["n"]
+        else:
+            raise ValueError("n_rows is larger than the table")
+        if cell == left:
+            return F.substring(order_hash, 1, len(known)) <= known
+        if len(known) >= DIGEST_DIGITS:
+            break
+    last = df.where(order_hash.startswith(known)).select(order_hash.alias("h"), F.col(tie_col).alias("t"))
+    last = last.orderBy("h", "t").limit(left).agg(F.max(F.struct("h", "t")).alias("m")).first()["m"]
+    return (order_hash < last["h"]) | ((order_hash == last["h"]) & (F.col(tie_col) <= last["t"]))
