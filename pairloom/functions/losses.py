@@ -10,6 +10,22 @@ def _c(x) -> Column:
     return F.col(x) if isinstance(x, str) else x
 
 
+def exp_sum(logits) -> Column:
+    """``(m, s)``: the maximum m of some logits and the sum s of ``exp(x - m)`` over them.  Such
+    pairs of parts of a row can be merged (``merged``) in any grouping, without overflow."""
+    lg = _c(logits)
+    m = F.array_max(lg).cast("double")
+    s = F.aggregate(lg, F.lit(0.0).cast("double"), lambda acc, x: acc + F.exp(x.cast("double") - m))
+    return F.struct(m.alias("m"), s.alias("s"))
+
+
+def merged(a: Column, b: Column) -> Column:
+    """The pair of two parts together; (-infinity, 0) is the pair of nothing."""
+    m = F.greatest(a["m"], b["m"])
+    part = lambda x: F.when(x["s"] == 0, F.lit(0.0)).otherwise(x["s"] * F.exp(x["m"] - m))
+    return F.struct(m.alias("m"), (part(a) + part(b)).alias("s"))
+
+
 def cross_entropy_term(logits, label) -> Column:
     """``logsumexp(logits) - logits[label]`` with the max subtracted first.
 

@@ -6,7 +6,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ..config import IGNORE_INDEX
-from ..functions.losses import cross_entropy_term
+from ..functions.losses import cross_entropy_term, exp_sum, merged
 
 
 def masked_cross_entropy(df: DataFrame, logits: str = "logits", label: str = "mlm_label", by: str = "batch_id") -> DataFrame:
@@ -20,6 +20,43 @@ def masked_cross_entropy(df: DataFrame, logits: str = "logits", label: str = "ml
     )
 
 
+def split_cross_entropy(parts: DataFrame, key: str, logits: str = "logits", first: str = "first", label: str = "mlm_label",
+                        by: str = "batch_id") -> DataFrame:
+    """``masked_cross_entropy`` for rows whose logits lie in several parts.
+
+    ``parts`` holds for each part of a row its ``key``, batch and label, the number ``first`` of the
+    part's first logit and the part's logits.  Each part becomes a maximum and a scaled
+    sum before the shuffle, so no row of logits is put together.  The parts of a row
+    must follow each other without gap or overlap and agree on the label, or the job ends
+    with an error, as it does for a label outside the logits.  Rows with the ignore index only count as rows."""
+    size, at = F.size(logits).cast("bigint"), F.col(first).cast("bigint")
+    lb = F.col(label).cast("bigint")
+    scored = lb != F.lit(IGNORE_INDEX)
+    own = (lb >= at) & (lb < at + size)
+    picked = F.when(own, F.try_element_at(F.col(logits), (lb - at + 1).cast("int")).cast("double"))
+    small = parts.select(by, key, lb.alias("_label"), F.struct(at.alias("at"), size.alias("size"), F.when(scored, exp_sum(logits)).alias("e"), picked.alias("picked")).alias("_part"))
+    rows = small.groupBy(by, key).agg(
+        F.sort_array(F.collect_list("_part")).alias("_parts"), F.min("_label").alias("_label"), F.max("_label").alias("_other"),
+        F.count_if(F.col("_label").isNull()).alias("_none"),
+    )
+    nothing = F.struct(F.lit(float("-inf")).alias("m"), F.lit(0.0).alias("s"))
+    start = F.struct(nothing.alias("e"), F.lit(0).cast("bigint").alias("next"), F.lit(True).alias("whole"), F.lit(None).cast("double").alias("picked"))
+
+    def add(a, x):
+        return F.struct(
+            F.when(x["e"].isNull(), a["e"]).otherwise(merged(a["e"], x["e"])).alias("e"), (a["next"] + x["size"]).alias("next"),
+            (a["whole"] & (x["at"] == a["next"])).alias("whole"), F.coalesce(a["picked"], x["picked"]).alias("picked"))
+
+    t = rows.select(by, "_label", "_other", "_none", F.aggregate("_parts", start, add).alias("t"))
+    good = F.col("t.whole") & (F.col("_label") == F.col("_other")) & (F.col("_none") == 0)
+    is_scored = F.col("_label") != F.lit(IGNORE_INDEX)
+    term = F.log(F.col("t.e.s")) + (F.col("t.e.m") - F.col("t.picked"))
+    wrong = F.raise_error(F.lit("parts of a row must tile its logits, with one label inside them")).cast("double")
+    fits = F.coalesce(good & (~is_scored | F.col("t.picked").isNotNull()), F.lit(False))
+    value = F.when(~fits, wrong).when(is_scored, term)
+    return t.groupBy(by).agg(F.avg(value).alias("mlm_loss"), F.count_if(is_scored).cast("bigint").alias("n_scored"))
+
+
 def pair_loss(df: DataFrame, logits: str = "nsp_logits", label: str = "nsp_label", by: str = "batch_id") -> DataFrame:
     """Mean two-class cross-entropy per batch (no ignored rows)."""
     return df.groupBy(by).agg(

@@ -26,11 +26,15 @@ from ..operators.metrics import (
     log_rows,
     lr_rows,
     scalar_rows,
+    split_cross_entropy,
 )
+from ..operators.split_scan import segment_splits
 from ..operators.vocab import lookup_ids, lookup_join, token_counts, tokens
-from ..session import ensure_checkpoint_dir
+from ..session import Stages, ensure_checkpoint_dir
 from ..sources.corpus import (
     conversations_corpus,
+    document_rows,
+    document_text_lines,
     documents_corpus,
     documents_lines,
     logits_fixture,
@@ -38,7 +42,8 @@ from ..sources.corpus import (
     scalar_fixture,
     table,
 )
-from ..sources.sinks import append_scalars, epoch_examples, read_epoch, read_scalars, write_examples
+from ..sources.sinks import append_scalars, compact_scalars, epoch_examples, next_run, read_epoch, read_scalars, write_examples
+from ..sources.vocab_counts import VocabCounts
 from ..sources.vocab_store import get_or_build_vocab
 from .pretraining import Preparation
 
@@ -50,6 +55,7 @@ RESUME_EPOCH = 3
 RESUME_FRACTION = 0.5
 RESUME_TAG = "3_50q"
 LATER_EPOCH = 3
+PART_LOGITS = 7
 WRITTEN_EPOCH = 1
 
 
@@ -100,6 +106,24 @@ def q_vocab_cached(spark, sf_dir):
     return get_or_build_vocab(lines, path)
 
 
+def q_vocab_incremental(spark, sf_dir):
+    """The vocabulary of files of which one has changed, one is new and one is gone since the
+    counts were first made."""
+    docs = table(spark, sf_dir, "documents")
+    part = F.pmod(F.col("doc_id"), F.lit(3))
+    base = _fresh(spark, "corpus")
+    put = lambda rows, name: rows.write.mode("overwrite").parquet(f"{base}/{name}")
+    put(docs.where(part == 0), "stays")
+    put(docs.where(part == 1).withColumn("text", F.upper("text")), "changes")
+    put(docs, "goes")
+    counts = VocabCounts(spark, _fresh(spark, "counts"), document_text_lines())
+    counts.update(base)
+    put(docs.where(part == 1), "changes")
+    put(docs.where(part == 2), "comes")
+    put(docs.limit(0), "goes")
+    return counts.vocab(base)
+
+
 def space_split(c):
     """A custom word split: runs of characters between spaces."""
     return F.filter(F.split(c, " "), lambda w: w != "")
@@ -132,6 +156,13 @@ def q_sentence_index(spark, sf_dir):
     return _docs_prep(spark, sf_dir).index.select("row_id", "doc_key", "sent_idx", "n_sents")
 
 
+def q_sentence_scan(spark, sf_dir):
+    """The sentence index from one pass over the splits of the files."""
+    stages = Stages(spark)
+    out = segment_splits(table(spark, sf_dir, "documents"), document_rows(), stages.write, text=False)
+    return out.select("row_id", "doc_key", "sent_idx", "n_sents")
+
+
 def q_doc_lengths(spark, sf_dir):
     d = document_lengths(_docs_prep(spark, sf_dir).index)
     return d.groupBy("n_sents").agg(F.count(F.lit(1)).cast("bigint").alias("n_documents"))
@@ -149,6 +180,15 @@ def q_token_ids(spark, sf_dir):
     return ids.select("row_id", F.size("ids").cast("bigint").alias("n_tokens"), _joined("ids").alias("ids"))
 
 
+def q_special_token_ids(spark, sf_dir):
+    """Ids of every sentence with special tokens written into it: apart, glued to words, inside
+    punctuation, and cut short."""
+    p = _docs_prep(spark, sf_dir)
+    text = F.concat(F.lit("[MASK] ([SEP]"), "text", F.lit("[CLS]x [MASK [PAD]."))
+    ids = lookup_ids(p.sentences.withColumn("text", text), p.vocab, key_cols=["bucket", "row_id"], cfg=p.cfg)
+    return ids.select("row_id", F.size("ids").cast("bigint").alias("n_tokens"), _joined("ids").alias("ids"))
+
+
 def q_unk_rate(spark, sf_dir):
     p = _docs_prep(spark, sf_dir)
     t = lookup_join(tokens(p.lines), p.vocab, p.cfg)
@@ -272,6 +312,11 @@ def q_split_exact(spark, sf_dir):
     return _docs_prep(spark, sf_dir).split
 
 
+def q_split_selected(spark, sf_dir):
+    """The split without ranks, by selection of the n_val-th smallest digest."""
+    return _docs_prep(spark, sf_dir).split_labels
+
+
 def q_split_by_document(spark, sf_dir):
     return _docs_prep(spark, sf_dir, DEFAULT.with_(split_by="document")).split
 
@@ -317,6 +362,14 @@ def q_masked_cross_entropy(spark, sf_dir):
     return g.select("batch_id", _r6("mlm_loss"), "n_scored")
 
 
+def q_split_cross_entropy(spark, sf_dir):
+    """The masked loss of logits that lie in several rows, seven to a row."""
+    lg = logits_fixture(table(spark, sf_dir, "embeddings"))
+    parts = lg.select("vec_id", "batch_id", "mlm_label", "logits", F.explode(F.sequence(F.lit(0), F.size("logits") - 1, F.lit(PART_LOGITS))).alias("first"))
+    parts = parts.withColumn("logits", F.slice("logits", F.col("first") + 1, F.lit(PART_LOGITS)))
+    return split_cross_entropy(parts, "vec_id").select("batch_id", _r6("mlm_loss"), "n_scored")
+
+
 def q_pair_loss(spark, sf_dir):
     g = pair_loss(logits_fixture(table(spark, sf_dir, "embeddings")))
     return g.select("batch_id", _r6("nsp_loss"), "n_rows")
@@ -347,6 +400,19 @@ def q_scalar_log_written(spark, sf_dir):
     return read_scalars(spark, path).select("split", "epoch", "tag", "step", _r6("value"))
 
 
+def q_scalar_log_resumed(spark, sf_dir):
+    """Averages of a log whose run stopped in every epoch and was resumed at half of it: steps from
+    there on were logged before, with other values."""
+    rows = scalar_fixture(table(spark, sf_dir, "events"))
+    path = _fresh(spark, "scalars")
+    place = F.col("step") % 100
+    before = F.when(place < 50, F.col("value")).otherwise(F.col("value") + 1000)
+    append_scalars(rows.where(place < 80).withColumn("value", before), path, 0)
+    append_scalars(rows.where(place >= 50), path, next_run(spark, path))
+    g = epoch_averages(compact_scalars(spark, path, _fresh(spark, "scalars-compact")))
+    return g.select("split", "epoch", "tag", _r6("mean_value"), "n_batches", "n_missing")
+
+
 def q_lr_log(spark, sf_dir):
     """``train/lr`` rows a run logs after each step (one per train batch)."""
     p = _docs_prep(spark, sf_dir)
@@ -385,13 +451,16 @@ QUERIES: dict[str, Query] = {
     "token_counts": q_token_counts,
     "vocab_build": q_vocab_build,
     "vocab_cached": q_vocab_cached,
+    "vocab_incremental": q_vocab_incremental,
     "custom_split_ids": q_custom_split_ids,
     "encoder_ids": q_encoder_ids,
     "documents_segmented": q_documents_segmented,
     "sentence_index": q_sentence_index,
+    "sentence_scan": q_sentence_scan,
     "doc_lengths": q_doc_lengths,
     "corpus_totals": q_corpus_totals,
     "token_ids": q_token_ids,
+    "special_token_ids": q_special_token_ids,
     "unk_rate": q_unk_rate,
     "nsp_pairs": q_nsp_pairs,
     "nsp_balance": q_nsp_balance,
@@ -403,6 +472,7 @@ QUERIES: dict[str, Query] = {
     "training_examples": q_training_examples,
     "example_summary": q_example_summary,
     "split_exact": q_split_exact,
+    "split_selected": q_split_selected,
     "split_by_document": q_split_by_document,
     "epoch_batches": q_epoch_batches,
     "resume_tail": q_resume_tail,
@@ -410,12 +480,14 @@ QUERIES: dict[str, Query] = {
     "batch_manifest": q_batch_manifest,
     "examples_written": q_examples_written,
     "masked_cross_entropy": q_masked_cross_entropy,
+    "split_cross_entropy": q_split_cross_entropy,
     "pair_loss": q_pair_loss,
     "total_loss": q_total_loss,
     "epoch_metrics": q_epoch_metrics,
     "epoch_metrics_full_denominator": q_epoch_metrics_full_denominator,
     "scalar_log": q_scalar_log,
     "scalar_log_written": q_scalar_log_written,
+    "scalar_log_resumed": q_scalar_log_resumed,
     "lr_log": q_lr_log,
     "epoch_log": q_epoch_log,
     "conv_sentence_index": q_conv_sentence_index,

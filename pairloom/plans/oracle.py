@@ -37,6 +37,18 @@ def _words(x: str) -> str:
     return f"regexp_extract_all({x}, '{WORD_RE}')"
 
 
+def _lookup_words(x: str) -> str:
+    """Words with special tokens kept whole: each is one character of private use while the
+    text is split (no text of the tables holds these)."""
+    low, high = 0xE000, 0xE000 + len(SPECIALS) - 1
+    for i, t in enumerate(SPECIALS):
+        x = f"replace({x}, '{t}', chr({low + i}))"
+    own = rf"\x{{{low:X}}}-\x{{{high:X}}}"
+    pattern = f"[{own}]|" + WORD_RE.replace("[^", f"[^{own}")
+    cases = " ".join(f"WHEN w = chr({low + i}) THEN '{t}'" for i, t in enumerate(SPECIALS))
+    return f"list_transform(regexp_extract_all({x}, '{pattern}'), lambda w: CASE {cases} ELSE w END)"
+
+
 def _md5(tag: str, *keys: str) -> str:
     ks = ", ".join(f"CAST({k} AS VARCHAR)" for k in keys)
     return f"md5(concat_ws('|', '{SEED}', '{tag}', {ks}))"
@@ -131,7 +143,7 @@ def _sentences() -> list[str]:
 def _sentence_tokens() -> list[str]:
     return [
         f"""st_ex AS (SELECT row_id, generate_subscripts(tk, 1) AS pos, unnest(tk) AS token
-  FROM (SELECT row_id, {_words('text')}[1:{B}] AS tk FROM sents))""",
+  FROM (SELECT row_id, {_lookup_words('text')}[1:{B}] AS tk FROM sents))""",
         """st_ids AS (SELECT e.row_id, list(coalesce(v.id, 0)::BIGINT ORDER BY e.pos) AS ids
   FROM st_ex e LEFT JOIN vocab v ON v.token = e.token GROUP BY e.row_id)""",
         """sent_tok AS (SELECT s.doc_key, s.sent_idx, s.n_sents, s.row_id, coalesce(i.ids, []::BIGINT[]) AS ids
@@ -337,7 +349,7 @@ FROM sents""",
         _docs_stack("sentences")
         + [
             f"""ti_ex AS (SELECT row_id, generate_subscripts(tk, 1) AS pos, unnest(tk) AS token
-  FROM (SELECT row_id, {_words('text')} AS tk FROM sents))""",
+  FROM (SELECT row_id, {_lookup_words('text')} AS tk FROM sents))""",
             """ti AS (SELECT e.row_id, count(*)::BIGINT AS n_tokens,
   string_agg(CAST(coalesce(v.id, 0) AS VARCHAR), ' ' ORDER BY e.pos) AS ids
   FROM ti_ex e LEFT JOIN vocab v ON v.token = e.token GROUP BY e.row_id)""",
@@ -345,9 +357,13 @@ FROM sents""",
         """SELECT s.row_id, coalesce(ti.n_tokens, 0)::BIGINT AS n_tokens, coalesce(ti.ids, '') AS ids
 FROM sents s LEFT JOIN ti ON ti.row_id = s.row_id""",
     )
-    q["vocab_cached"] = q["vocab_build"]
+    q["vocab_cached"] = q["vocab_incremental"] = q["vocab_build"]
+    q["sentence_scan"] = q["sentence_index"]
     spaced = "list_filter(string_split(text, ' '), lambda w: w <> '')"
-    q["custom_split_ids"] = q["token_ids"].replace(_words("text"), spaced)
+    q["custom_split_ids"] = q["token_ids"].replace(_lookup_words("text"), spaced).replace(_words("text"), spaced)
+    q["special_token_ids"] = q["token_ids"].replace(
+        "sents AS (SELECT * FROM sents_all",
+        "sents AS (SELECT * REPLACE ('[MASK] ([SEP]' || text || '[CLS]x [MASK [PAD].' AS text) FROM sents_all")
     q["unk_rate"] = _with(
         _docs_stack("vocab"),
         f"""SELECT count(*)::BIGINT AS n_tokens, count(*) FILTER (WHERE v.id IS NULL)::BIGINT AS n_unk,
@@ -396,6 +412,7 @@ FROM masked""",
 FROM masked GROUP BY is_next""",
     )
     q["split_exact"] = _with(_docs_stack("split"), "SELECT example_id, split, split_rank FROM split")
+    q["split_selected"] = _with(_docs_stack("split"), "SELECT example_id, split FROM split")
     q["split_by_document"] = _with(
         _docs_stack("split")
         + [
@@ -457,6 +474,7 @@ FROM bm2""",
         f"""SELECT batch_id, round(avg(CASE WHEN mlm_label <> -100 THEN {_ce('logits', 'mlm_label')} END), 6) AS mlm_loss,
   count(*) FILTER (WHERE mlm_label <> -100)::BIGINT AS n_scored FROM lg GROUP BY batch_id""",
     )
+    q["split_cross_entropy"] = q["masked_cross_entropy"]
     q["pair_loss"] = _with(
         [LOGITS],
         f"""SELECT batch_id, round(avg({_ce('nsp_logits', 'nsp_label')}), 6) AS nsp_loss, count(*)::BIGINT AS n_rows
@@ -476,6 +494,8 @@ FROM lg GROUP BY batch_id""",
 FROM sc GROUP BY split, epoch, tag""",
     )
     q["epoch_metrics_full_denominator"] = q["epoch_metrics"].replace("sum(value) / count(value)", "sum(value) / 100.0::DOUBLE")
+    # a step of the log is one event, and so are the rows that a resumed run keeps
+    q["scalar_log_resumed"] = q["epoch_metrics"]
     q["scalar_log"] = _with(
         [LOGITS, BATCH_LOSSES],
         """SELECT 'train/loss' AS tag, batch_id AS step, round(mlm_loss + nsp_loss, 6) AS value FROM bl

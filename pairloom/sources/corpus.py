@@ -7,7 +7,7 @@ every row has a text; a row that breaks this ends the job with an error.
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession, Window
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from ..config import DEFAULT, ROW_ID_STRIDE, PrepConfig
@@ -51,6 +51,18 @@ def read_corpus(
     return j.select((F.col("_off") + F.col("_r")).cast("bigint").alias("row_id"), "text")
 
 
+def document_rows() -> Column:
+    """The raw rows of a document: heading, an empty one, lines with an empty one after every fifth."""
+    lines = F.split(required("text", "text"), "\n", -1)
+    body = F.flatten(
+        F.transform(
+            lines,
+            lambda x, i: F.when(((i + 1) % 5) == 0, F.array(x, F.lit(""))).otherwise(F.array(x)),
+        )
+    )
+    return F.concat(F.array(F.concat(F.lit(" = "), required("source", "source"), F.lit(" = ")), F.lit("")), body)
+
+
 def documents_corpus(documents: DataFrame, cfg: PrepConfig = DEFAULT) -> DataFrame:
     """Corpus rows from the ``documents`` table (raw, not stripped).
 
@@ -60,14 +72,7 @@ def documents_corpus(documents: DataFrame, cfg: PrepConfig = DEFAULT) -> DataFra
     sum, so a document may have any number of lines.  A NULL or repeated ``doc_id``, and a
     NULL ``source`` or ``text``, end the job with an error.
     """
-    lines = F.split(required("text", "text"), "\n", -1)
-    body = F.flatten(
-        F.transform(
-            lines,
-            lambda x, i: F.when(((i + 1) % 5) == 0, F.array(x, F.lit(""))).otherwise(F.array(x)),
-        )
-    )
-    arr = F.concat(F.array(F.concat(F.lit(" = "), required("source", "source"), F.lit(" = ")), F.lit("")), body)
+    arr = document_rows()
     buckets = choose_buckets(documents, "doc_id", cfg)
     bucket = buckets.column("doc_id").alias("bucket")
     # an n-line text has n + n div 5 rows of its own, and two before
@@ -86,6 +91,12 @@ def documents_corpus(documents: DataFrame, cfg: PrepConfig = DEFAULT) -> DataFra
     return x.select((F.col("_start") + F.col("pos")).cast("bigint").alias("row_id"), "text")
 
 
+def document_text_lines() -> Column:
+    """Heading and lines of a document, without the empty rows between."""
+    heading = F.array(F.concat(F.lit(" = "), required("source", "source"), F.lit(" = ")))
+    return F.concat(heading, F.split(required("text", "text"), "\n", -1))
+
+
 def documents_lines(documents: DataFrame) -> DataFrame:
     """The cleaned lines of ``documents_corpus`` without their order, a column ``text``: for
     consumers that only count.  No bounds, offsets or windows are made.  A NULL or repeated
@@ -93,9 +104,7 @@ def documents_lines(documents: DataFrame) -> DataFrame:
     twice = documents.groupBy("doc_id").agg(F.count(F.lit(1)).alias("n")).where("n > 1 OR doc_id IS NULL").limit(1).collect()
     if twice:
         raise ValueError("doc_id must be unique and not NULL")
-    heading = F.array(F.concat(F.lit(" = "), required("source", "source"), F.lit(" = ")))
-    lines = F.explode(F.concat(heading, F.split(required("text", "text"), "\n", -1)))
-    stripped = documents.select(lines.alias("text")).select(strip_text("text").alias("text"))
+    stripped = documents.select(F.explode(document_text_lines()).alias("text")).select(strip_text("text").alias("text"))
     return stripped.filter(F.col("text") != F.lit(""))
 
 

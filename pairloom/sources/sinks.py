@@ -49,13 +49,43 @@ def read_epoch(spark: SparkSession, path: str, split: str, epoch: int) -> DataFr
     return spark.read.parquet(path).filter((F.col("split") == split) & (F.col("epoch") == epoch))
 
 
-def append_scalars(scalars: DataFrame, path: str) -> None:
+def append_scalars(scalars: DataFrame, path: str, run: int | None = None) -> None:
     """Append ``(split, epoch, tag, step, value)`` rows to the scalar log.  An append
-    becomes visible as a whole when its files are committed."""
+    becomes visible as a whole when its files are committed.  ``run`` numbers the run
+    that logs: 0 for the first, more for each that resumes it (``next_run``)."""
+    own = [] if run is None else [F.lit(int(run)).cast("bigint").alias("run")]
     scalars.select(
-        "split", F.col("epoch").cast("bigint"), "tag", F.col("step").cast("bigint"), F.col("value").cast("double")
+        "split", F.col("epoch").cast("bigint"), "tag", F.col("step").cast("bigint"), F.col("value").cast("double"), *own
     ).write.mode("append").parquet(path)
 
 
 def read_scalars(spark: SparkSession, path: str) -> DataFrame:
     return spark.read.schema(LOG_SCHEMA).parquet(path)
+
+
+def read_runs(spark: SparkSession, path: str) -> DataFrame:
+    """The scalar log with the ``run`` of each row; rows logged without one are run 0's."""
+    rows = spark.read.schema(f"{LOG_SCHEMA}, run bigint").parquet(path)
+    return rows.withColumn("run", F.coalesce("run", F.lit(0).cast("bigint")))
+
+
+def next_run(spark: SparkSession, path: str) -> int:
+    """The number for a run that goes on with the log."""
+    last = read_runs(spark, path).agg(F.max("run")).first()[0]
+    return 0 if last is None else int(last) + 1
+
+
+def last_written(rows: DataFrame) -> DataFrame:
+    """Each (split, epoch, tag, step) once, as the latest run logged it.
+
+    A run that resumes at a checkpoint logs again what the interrupted one logged after it;
+    the later row counts, also if its value is NULL.  Of rows that one run logged twice, the
+    greatest value counts.  One aggregate with partial results; the columns are those of the log."""
+    g = rows.groupBy("split", "epoch", "tag", "step").agg(F.max(F.struct("run", "value")).alias("last"))
+    return g.select("split", "epoch", "tag", "step", F.col("last.value").alias("value"))
+
+
+def compact_scalars(spark: SparkSession, path: str, target: str) -> DataFrame:
+    """Write the log without overwritten rows to ``target`` and read it back."""
+    append_scalars(last_written(read_runs(spark, path)), target)
+    return read_scalars(spark, target)
