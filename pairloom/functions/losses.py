@@ -16,7 +16,8 @@ def exp_sum(logits) -> Column:
     lg = _c(logits)
     m = F.array_max(lg).cast("double")
     s = F.aggregate(lg, F.lit(0.0).cast("double"), lambda acc, x: acc + F.exp(x.cast("double") - m))
-    return F.struct(m.alias("m"), s.alias("s"))
+    # logits that are all -infinity add nothing
+    return F.struct(m.alias("m"), F.when(m == float("-inf"), F.lit(0.0)).otherwise(s).alias("s"))
 
 
 def merged(a: Column, b: Column) -> Column:
