@@ -22,6 +22,7 @@ from ..session import materialize
 ARROW_ROWS = 1024
 ARROW_BYTES = 4 << 20
 SLICE_BYTES = 1 << 19
+M_MMAP_THRESHOLD = -3  # of the C library's mallopt
 
 
 def map_arrow(df: DataFrame, fn: Callable[[Iterable[pa.RecordBatch]], Iterator[pa.RecordBatch]], schema) -> DataFrame:
@@ -29,6 +30,10 @@ def map_arrow(df: DataFrame, fn: Callable[[Iterable[pa.RecordBatch]], Iterator[p
     workers live on, and would keep it beside what the next stage needs."""
 
     def run(batches):
+        with contextlib.suppress(OSError, AttributeError):
+            # arrays of 1 MB and more are blocks of their own, which freeing gives back at once; left
+            # alone the limit rises with their size, and the heap is kept in pieces
+            ctypes.CDLL(None).mallopt(M_MMAP_THRESHOLD, 1 << 20)
         try:
             yield from fn(batches)
         finally:

@@ -385,13 +385,7 @@ def remove_repeats(docs: DataFrame, length: int = 200, id_col: str = "doc_id", t
     ``length`` lose nothing; repeated rows lose all that they repeat, rows without an
     id like any other; an empty table gives an empty result.
     """
-    wide, unique = _rows(docs, id_col, text_col, keep or [id_col])
-    if unique:
-        lists = _repeated_spans(wide.select("id", "text_no", F.lit(1).cast("long").alias("times"), "text"), length)
-    else:
-        # written, so that the join with a text of very many rows can be split
-        lists = materialize(_repeated_spans(_once(wide), length), "suffix-spans")
-    joined = wide.join(lists, ["id", "text_no"], "left").select("row", "text", "spans")
+    joined = _with_spans(docs, length, id_col, text_col, keep or [id_col])
     schema = T.StructType([
         joined.schema["row"], T.StructField("n_bytes", T.LongType()),
         T.StructField("spans", T.ArrayType(T.StructType([T.StructField("first", T.LongType()), T.StructField("size", T.LongType())]))),
@@ -400,6 +394,17 @@ def remove_repeats(docs: DataFrame, length: int = 200, id_col: str = "doc_id", t
     return map_arrow(joined, _removed, schema)
 
 
+def _with_spans(docs: DataFrame, length: int, id_col: str, text_col: str, keep: list[str]) -> DataFrame:
+    """(row, text, spans): every row with the runs to be removed from its text."""
+    wide, unique = _rows(docs, id_col, text_col, keep)
+    if unique:
+        lists = _repeated_spans(wide.select("id", "text_no", F.lit(1).cast("long").alias("times"), "text"), length)
+    else:
+        # written, so that the join with a text of very many rows can be split
+        lists = materialize(_repeated_spans(_once(wide), length), "suffix-spans")
+    return wide.join(lists, ["id", "text_no"], "left").select("row", "text", "spans")
+
+
 def _removed(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     for batch in batches:
         sizes, spans, kept = [], [], []
@@ -425,14 +430,17 @@ def _removed(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 def without_repeats(docs: DataFrame, length: int = 200, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """``docs`` with what remove_repeats leaves as text; a character of which a byte goes
     is dropped whole, and n_chars, where there is one, follows the new text."""
-    out = remove_repeats(docs, length, id_col, text_col, docs.columns).select("row", F.col(f"row.{text_col}").isNull().alias("null"), "kept")
-    schema = T.StructType([out.schema["row"], T.StructField("text", T.StringType())])
+    joined = _with_spans(docs, length, id_col, text_col, docs.columns)
+    place = docs.columns.index(text_col)
+    schema = T.StructType([joined.schema["row"], T.StructField("text", T.StringType())])
 
     def run(batches):
-        for batch in batches:
-            texts = [None if n else b.decode("utf-8", "ignore") for n, b in zip(batch.column(1).to_pylist(), batch.column(2).to_pylist(), strict=True)]
+        # one pass, and so one Python process a task
+        for batch, left in ((b, c) for b in batches for c in _removed([b])):
+            null = batch.column(0).field(place).is_null().to_pylist()
+            texts = [None if n else b.decode("utf-8", "ignore") for n, b in zip(null, left.column(3).to_pylist(), strict=True)]
             yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(texts, pa.string())], names=["row", "text"])
 
-    out = map_arrow(out, run, schema)
+    out = map_arrow(joined, run, schema)
     new = {text_col: F.col("text"), "n_chars": F.when(F.col("text").isNotNull(), F.length("text")).cast(dict(docs.dtypes).get("n_chars", "long"))}
     return out.select(*[new.get(c, F.col(f"row.`{c}`")).alias(c) for c in docs.columns])
