@@ -195,39 +195,3 @@ def op1_license_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
     folder = F.concat_ws("/", F.coalesce("source", F.lit("-")), F.coalesce("lang", F.lit("-")), F.floor(F.col("doc_id") / 100).cast("string"))
     out = license_scan.license_scan(docs.select("doc_id", "text", folder.alias("dir")), "doc_id", "dir")
     return out.withColumnRenamed("id", "doc_id")
-
-
-def _license_sql() -> str:
-    values = ", ".join("('{}', '{}')".format(k, v.lower()) for k, v in license_scan.TEMPLATES.items())
-    return f"""
-WITH words AS (SELECT doc_id, regexp_extract_all(translate(coalesce(text, ''), '{license_scan.UPPER}', '{license_scan.LOWER}'), '{license_scan.WORD}') AS w FROM documents),
-n AS (SELECT count(*) AS n FROM documents),
-tpl AS (SELECT license, unnest(regexp_extract_all(t, '{license_scan.WORD}')) AS word FROM (VALUES {values}) AS v(license, t)),
-vocab AS (SELECT DISTINCT word FROM tpl),
-df AS (SELECT word, count(*) AS df FROM (SELECT DISTINCT doc_id, unnest(w) AS word FROM words) JOIN vocab USING (word) GROUP BY word),
-weight AS (SELECT word, CAST(round(ln((1 + n) / (1 + coalesce(df, 0))::DOUBLE) * 1000) AS BIGINT) + 1 AS weight FROM vocab CROSS JOIN n LEFT JOIN df USING (word)),
-other AS (SELECT CAST(round(ln(1 + n) * 1000) AS BIGINT) + 1 AS other FROM n),
-vec AS (SELECT license, word, count(*) * any_value(weight) AS value FROM tpl JOIN weight USING (word) GROUP BY license, word),
-tlen AS (SELECT license, sum(value * value) AS template FROM vec GROUP BY license),
-raw AS (SELECT doc_id, string_split(coalesce(text, ''), chr(10)) AS l FROM documents),
-lines AS (SELECT doc_id, unnest(range(len(l))) AS line, unnest(l) AS t FROM raw),
-toks AS (SELECT doc_id, line, strlen(t) AS bytes, unnest(regexp_extract_all(translate(t, '{license_scan.UPPER}', '{license_scan.LOWER}'), '{license_scan.WORD}')) AS word FROM lines),
-tf AS (SELECT doc_id, line, any_value(bytes) AS bytes, word, count(*) AS tf FROM toks GROUP BY doc_id, line, word),
-v AS (SELECT doc_id, line, bytes, word, tf * coalesce(weight, other) AS v FROM tf CROSS JOIN other LEFT JOIN weight USING (word)),
-own AS (SELECT doc_id, line, sum(v * v) AS own, any_value(bytes) AS bytes FROM v GROUP BY doc_id, line),
-dot AS (SELECT doc_id, line, license, sum(v * value) AS dot FROM v JOIN vec USING (word) GROUP BY doc_id, line, license),
-sc AS (SELECT doc_id, line, bytes, license, round(dot::DOUBLE / (sqrt(own::DOUBLE) * sqrt(template::DOUBLE)), 6) AS score FROM dot JOIN own USING (doc_id, line) JOIN tlen USING (license)),
-hit AS (SELECT *, row_number() OVER (PARTITION BY doc_id, line ORDER BY score DESC, license) AS k FROM sc WHERE score >= {license_scan.LEAST_COSINE}),
-best AS (SELECT doc_id, license, score, sum(bytes) OVER (PARTITION BY doc_id) AS covered, row_number() OVER (PARTITION BY doc_id ORDER BY score DESC, license) AS k FROM hit WHERE k = 1),
-f AS (SELECT d.doc_id, concat_ws('/', coalesce(source, '-'), coalesce(lang, '-'), CAST(CAST(floor(d.doc_id / 100.0) AS BIGINT) AS VARCHAR)) AS dir,
-  b.license AS own, b.score, coalesce(b.covered >= {license_scan.FILE_SHARE} * strlen(coalesce(text, '')), false) AS is_file
-  FROM documents d LEFT JOIN best b ON d.doc_id = b.doc_id AND b.k = 1),
-held AS (SELECT dir AS above, own AS license FROM (SELECT *, row_number() OVER (PARTITION BY dir ORDER BY score DESC, own) AS k FROM f WHERE is_file) WHERE k = 1),
-up AS (SELECT DISTINCT dir, d AS depth, array_to_string(list_slice(string_split(dir, '/'), 1, d), '/') AS above FROM (SELECT dir, unnest(range(len(string_split(dir, '/')) + 1)) AS d FROM f)),
-near AS (SELECT dir, license, above, row_number() OVER (PARTITION BY dir ORDER BY depth DESC) AS k FROM up JOIN held USING (above))
-SELECT f.doc_id, f.dir, f.own, f.score, f.is_file, coalesce(f.own, near.license) AS license, CASE WHEN f.own IS NOT NULL THEN 'own' ELSE near.above END AS origin
-FROM f LEFT JOIN near ON f.dir = near.dir AND near.k = 1
-"""
-
-
-ORACLES["op1_license_scan"] = _license_sql()

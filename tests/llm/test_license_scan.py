@@ -1,3 +1,7 @@
+import math
+import random
+import re
+
 from pyspark.sql import functions as F
 
 from pairloom.llm import license_scan as ls
@@ -77,7 +81,77 @@ def test_left_out_words_cannot_reach_the_least_cosine():
     assert "license" in telling and "mit" in telling and "the" not in telling
 
 
-def test_plan_is_native(spark, make_docs, prose):
+def test_every_written_stage_is_native(spark, make_docs, prose, monkeypatch):
+    plans, write = [], ls.materialize
+
+    def recorded(df, name):
+        plans.append(df._jdf.queryExecution().executedPlan().toString())
+        return write(df, name)
+
+    monkeypatch.setattr(ls, "materialize", recorded)
     files = make_docs([(i, prose(5, i) + "\n" + MIT, "s") for i in range(5)]).withColumn("dir", F.lit("a/b"))
-    plan = ls.license_scan(files, "doc_id", "dir")._jdf.queryExecution().executedPlan().toString()
-    assert not any(k in plan for k in ("Python", "Pandas", "Arrow"))
+    plans.append(ls.license_scan(files, "doc_id", "dir")._jdf.queryExecution().executedPlan().toString())
+    assert len(plans) > 8
+    assert not any(k in plan for k in ("Python", "Pandas", "Arrow") for plan in plans)
+
+
+def brute(rows):
+    """(own, score) of each row, with every window and line compared with every statement."""
+    words = {i: [re.findall(ls.WORD, x.lower()) for x in (t or "").split("\n")] for i, _, t in rows}
+    flat = {i: [w for x in lines for w in x] for i, lines in words.items()}
+    df = {}
+    for ws in flat.values():
+        for w in set(ws):
+            df[w] = df.get(w, 0) + 1
+
+    def vector(ws):
+        return {w: ws.count(w) * (round(math.log((1 + len(rows)) / (1 + df.get(w, 0))) * ls.UNIT) + 1) for w in set(ws)}
+
+    def cosine(x, y):
+        if not x:
+            return 0.0
+        dot = sum(v * y.get(w, 0) for w, v in x.items())
+        return round(dot / math.sqrt(sum(v * v for v in x.values()) * sum(v * v for v in y.values())), 6)
+
+    statements = [*((k, v, ls.LEAST_COSINE) for k, v in [*ls.TEMPLATES.items(), *ls.HEADERS]), *((k, v, ls.EXACT_COSINE) for k, v in ls.TITLES)]
+    statements = [(k, re.findall(ls.WORD, v.lower()), c) for k, v, c in statements]
+    vectors = [vector(ws) for _, ws, _ in statements]
+    texts = {k: vector(re.findall(ls.WORD, v.lower())) for k, v in ls.license_texts().items()}
+    out = {}
+    for i, ws in flat.items():
+        best = []
+        for (k, own, least), y in zip(statements, vectors, strict=True):
+            size = len(own)
+            units = [ws[s : s + size] for s in range(max(1, len(ws) - size + 1))] + [x for x in words[i] if len(x) <= 2 * size + 1]
+            best += [(-c, k) for c in (cosine(vector(u), y) for u in units) if c >= least]
+        whole = [(-c, k) for c, k in ((cosine(vector(ws), y), k) for k, y in texts.items()) if c >= ls.LEAST_COSINE]
+        found = min(whole or best, default=None)
+        out[i] = (found[1], -found[0]) if found else (None, None)
+    return out
+
+
+def test_own_licenses_equal_brute_force(spark, prose):
+    rng = random.Random(6)
+    statements = [*ls.TEMPLATES.values(), *(v for _, v in ls.HEADERS), *(v for _, v in ls.TITLES)]
+    rows = [(0, "a", None), (1, "a", ""), (2, "a", "\n \n")]
+    for i in range(3, 60):
+        ws = rng.choice(statements).split()
+        kind = i % 6
+        if kind == 0:  # some words lost or replaced
+            ws = [w if rng.random() < 0.85 else rng.choice(["", "the", "software"]) for w in ws]
+        elif kind == 1:  # words between
+            ws = [x for w in ws for x in ([w, rng.choice(["of", "license", "x9"])] if rng.random() < 0.15 else [w])]
+        elif kind == 2:  # wrapped
+            ws = [w + rng.choice(["", "", "\n"]) for w in ws]
+        elif kind == 3:  # out of order
+            ws = rng.sample(ws, len(ws))
+        elif kind == 4:  # a second one
+            ws = [*ws, *rng.choice(statements).split()[:6]]
+        rows.append((i, "a", f"{prose(rng.choice([0, 3, 25]), i)} {' '.join(ws)}{rng.choice([' ', chr(10)])}{prose(rng.choice([0, 9]), 900 + i)}"))
+    for j, text in enumerate(ls.license_texts().values()):
+        lines = text.split("\n")
+        rows += [(100 + 2 * j, "t", text[: len(text) // 2]), (101 + 2 * j, "t", "\n".join(x for x in lines if rng.random() < 0.6))]
+    want = brute([(i, d, (t or None) and t[:6000]) for i, d, t in rows])
+    got = scan(spark, [(i, d, (t or None) and t[:6000]) for i, d, t in rows])
+    assert {i: got[i].own for i in want} == {i: k for i, (k, _) in want.items()}
+    assert all(s is None or abs(got[i].score - s) < 2e-6 for i, (_, s) in want.items())
