@@ -32,7 +32,8 @@ NAMES = sorted(E.oracle_sql())
 def test_every_query_has_an_oracle():
     from pairloom.plans.catalog import QUERIES
 
-    assert set(QUERIES) <= set(NAMES) <= set(E.queries())
+    # SQL has no sub-word tokenizer; tests/test_encoders.py compares with direct calls
+    assert set(QUERIES) - {"encoder_ids"} <= set(NAMES) <= set(E.queries())
 
 
 @pytest.mark.parametrize("name", NAMES)
