@@ -30,14 +30,26 @@ def epoch_examples(batches: DataFrame, examples: DataFrame, vocab_size: int, cfg
 def write_examples(rows: DataFrame, path: str, mode: str = "errorifexists") -> None:
     """Parquet partitioned by ``split`` and ``epoch``, with whole batches in files.
 
-    Rows are dealt out in ranges of (split, epoch, batch_id, slot) and sorted, so a batch
-    lies in one file, or in two next to each other where a range ends; an epoch is
-    spread over as many tasks as its size asks for, and the files' statistics of
-    ``batch_id`` let a reader skip what it does not want."""
+    Rows are dealt out in ranges of batch numbers inside each (split, epoch) and sorted, so a
+    batch lies in one file; an epoch is spread over as many tasks as its size asks for, and the
+    files' statistics of ``batch_id`` let a reader skip what it does not want.  Ranges come from a
+    count by split and epoch, which reads no tensor: a range partitioner's sample would make
+    every example twice."""
     order = ["split", "epoch", "batch_id", "slot"]
     n = int(rows.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    held = rows.groupBy("split", "epoch").agg(F.count(F.lit(1)).alias("n"), F.min("batch_id").alias("lo"), F.max("batch_id").alias("hi"))
+    held = held.sort("split", "epoch").collect()
+    total, first, place = sum(r["n"] for r in held), 0, F.lit(None).cast("int")
+    for r in held:
+        lo, hi = (0, 0) if r["lo"] is None else (int(r["lo"]), int(r["hi"]))
+        parts = min(max(1, round(n * r["n"] / total)), hi - lo + 1)
+        width = -(-(hi - lo + 1) // parts)
+        own = F.col("split").eqNullSafe(F.lit(r["split"])) & F.col("epoch").eqNullSafe(F.lit(r["epoch"]))
+        inside = F.call_function("div", F.coalesce("batch_id", F.lit(lo)) - F.lit(lo).cast("bigint"), F.lit(width).cast("bigint"))
+        place = F.when(own, (F.lit(first) + inside).cast("int")).otherwise(place)
+        first += parts
     (
-        rows.repartitionByRange(n, *order).sortWithinPartitions(*order)
+        rows.repartitionById(max(1, first), place).sortWithinPartitions(*order)
         .write.mode(mode)
         .partitionBy("split", "epoch")
         .parquet(path)

@@ -2,8 +2,12 @@
 
 from pyspark.sql import functions as F
 
+from pairloom.config import DEFAULT, IGNORE_INDEX, SpecialIds
 from pairloom.functions import permutation as pm
+from pairloom.functions.masking import mask_key, position_draw
 from pairloom.operators.batches import epoch_batches
+from pairloom.operators.examples import apply_mlm
+from pairloom.sources.sinks import write_examples
 
 
 def plan_text(df):
@@ -24,3 +28,48 @@ def test_numbers_that_are_null_or_beyond_the_domain(spark):
     place = [r[0] for r in x.select(pm.permuted(F.col("number"), F.lit(9), F.lit(17), n)).collect()]
     same = spark.range(0, n).select(pm.permuted(F.col("id"), F.lit(9), F.lit(17), n)).collect()
     assert place[0] is None and place[1] == same[3][0] and sorted(r[0] for r in same) == list(range(n))
+
+
+def test_masks_equal_the_draws_of_single_positions(spark):
+    cfg, special, size = DEFAULT.with_(mlm_probability=0.5), SpecialIds(), 1000
+    ids = [[special.cls, *range(10, 10 + n), special.sep, special.pad] for n in range(60)] + [[], None, [11, None, 12]]
+    x = spark.createDataFrame(list(enumerate(ids)), "example_id long, input_ids array<long>")
+    x = x.union(x.select(F.col("example_id") + 10_000, "input_ids").where("example_id < 60")).coalesce(1)
+    masked = apply_mlm(x, size, 2, cfg, special)
+    plan = plan_text(masked)
+    assert "ArrowEvalPython" in plan and "transform(" not in plan and "zip_with(" not in plan
+    got = {r["example_id"]: r for r in masked.collect()}
+    assert got[61]["input_ids"] is None and got[61]["labels"] is None and got[60]["input_ids"] == []
+    assert got[62]["input_ids"][1] is None and got[62]["labels"][1] == IGNORE_INDEX
+    key = mask_key(cfg.seed, F.lit(2), F.col("example_id"))
+    one = x.select("example_id", key.alias("key"), "input_ids")
+    one = one.select("example_id", "key", F.posexplode("input_ids").alias("pos", "id")).where("id is not null")
+    one = one.select("example_id", "pos", "id", *[position_draw(F.col("key"), F.col("pos"), j).alias(f"d{j}") for j in range(3)])
+    scored = 0
+    for r in one.collect():
+        chosen = r["id"] not in special.never_masked and r["d0"] < cfg.mlm_probability
+        new = special.mask if r["d1"] < cfg.mask_share else int(r["d2"] * size) if r["d1"] < cfg.mask_share + cfg.random_share else r["id"]
+        assert got[r["example_id"]]["input_ids"][r["pos"]] == (new if chosen else r["id"])
+        assert got[r["example_id"]]["labels"][r["pos"]] == (r["id"] if chosen else IGNORE_INDEX)
+        scored += chosen
+    assert scored > 1000
+
+
+def test_examples_are_made_once_to_be_written(spark, tmp_path):
+    made = spark.sparkContext.accumulator(0)
+
+    def one(x: int) -> int:
+        made.add(1)
+        return x
+
+    n = 500
+    rows = spark.range(0, n).select(
+        F.when(F.col("id") < 100, "val").otherwise("train").alias("split"), F.lit(1).cast("bigint").alias("epoch"),
+        F.expr("id div 8").alias("batch_id"), F.col("id").alias("slot"), F.udf(one, "long")("id").alias("example_id"))
+    write_examples(rows, str(tmp_path / "out"))
+    assert made.value == n
+    read = spark.read.parquet(str(tmp_path / "out")).withColumn("f", F.input_file_name())
+    assert sorted(r[0] for r in read.select("example_id").collect()) == list(range(n))
+    files = read.groupBy("split", "batch_id").agg(F.countDistinct("f").alias("n")).collect()
+    assert all(r["n"] == 1 for r in files) and read.select("f").distinct().count() > 1
+    write_examples(rows.limit(0), str(tmp_path / "none"))
