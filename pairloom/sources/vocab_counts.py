@@ -18,6 +18,7 @@ from pyspark.sql import functions as F
 
 from ..config import DEFAULT, PrepConfig
 from ..functions.text import split_words, strip_text
+from ..functions.word_split import counted_words
 from ..operators.vocab import SplitFn, build_vocab
 from .vocab_store import StaleVocabularyError, _exists, _params
 
@@ -53,8 +54,11 @@ class VocabCounts:
         return self.spark.read.parquet(f"{self.base}/{generation}/{name}")
 
     def _count(self, files: list[str]) -> DataFrame:
-        x = self.spark.read.parquet(*files).select(_file_key(F.col("_metadata.file_path"), True).alias("file"), F.explode(self.lines).alias("text"))
-        x = x.select("file", strip_text("text").alias("text")).where("text <> ''")
+        x = self.spark.read.parquet(*files).select(_file_key(F.col("_metadata.file_path"), True).alias("file"), self.lines.alias("_lines"))
+        # the key is made before lines are: once a row
+        x = x.select("file", F.explode("_lines").alias("text")).select("file", strip_text("text").alias("text")).where("text <> ''")
+        if self.split_fn is split_words:
+            return counted_words(x, "file").groupBy("file", "token").agg(F.sum("n").alias("n"))
         return x.select("file", F.explode(self.split_fn(F.col("text"))).alias("token")).groupBy("file", "token").agg(F.count(F.lit(1)).alias("n"))
 
     def update(self, corpus: str) -> DataFrame:

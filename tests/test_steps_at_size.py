@@ -1,12 +1,19 @@
 """Steps that touch every word or position run on whole batches, with unchanged results."""
 
+import random
+
+import pyarrow as pa
 from pyspark.sql import functions as F
 
-from pairloom.config import DEFAULT, IGNORE_INDEX, SpecialIds
+from pairloom.config import DEFAULT, IGNORE_INDEX, SPECIAL_TOKENS, SpecialIds
 from pairloom.functions import permutation as pm
+from pairloom.functions import word_split
 from pairloom.functions.masking import mask_key, position_draw
+from pairloom.functions.text import split_keeping, split_words
+from pairloom.functions.word_split import code_point_classes, splitter
 from pairloom.operators.batches import epoch_batches
 from pairloom.operators.examples import apply_mlm
+from pairloom.operators.vocab import lookup_ids, summed_token_counts, token_counts
 from pairloom.sources.sinks import write_examples
 
 
@@ -73,3 +80,41 @@ def test_examples_are_made_once_to_be_written(spark, tmp_path):
     files = read.groupBy("split", "batch_id").agg(F.countDistinct("f").alias("n")).collect()
     assert all(r["n"] == 1 for r in files) and read.select("f").distinct().count() > 1
     write_examples(rows.limit(0), str(tmp_path / "none"))
+
+
+def odd_texts():
+    rng = random.Random(7)
+    parts = [*SPECIAL_TOKENS, "[MASK", "a", "né", "日本", "x1_", "½", "́", "‍", "𝒳y", "🙂", "...", " ", "\t", "\x1c", "\x85", "\xa0", " "]
+    out = ["".join(rng.choice(parts) for _ in range(rng.randint(0, 40))) for _ in range(500)]
+    every = [chr(x) for x in range(0x110000) if not 0xD800 <= x < 0xE000]
+    return [*out, "", None, "[SEP][SEP]x", *("a" + "".join(every[k : k + 10_000]) for k in range(0, len(every), 10_000))]
+
+
+def test_words_of_batches_are_those_of_the_pattern(spark):
+    texts = odd_texts()
+    x = spark.createDataFrame(list(enumerate(texts)), "i int, t string").coalesce(1)
+    for literals in ((), SPECIAL_TOKENS, ("eos", " x ", "<s>", "<s>>", "né日")):
+        split = split_keeping(literals) if literals else split_words
+        want = [r[0] or [] for r in x.sort("i").select(split(F.col("t"))).collect()]
+        words, counts = splitter(code_point_classes(spark), literals)(pa.array(texts))
+        assert words.to_pylist() == sum(want, []) and counts.tolist() == [len(w) for w in want]
+        some, _ = splitter(code_point_classes(spark), literals)(pa.array(texts).slice(3, 90))
+        assert some.to_pylist() == sum(want[3:93], [])
+
+
+def test_counts_and_ids_of_batches(spark, monkeypatch):
+    texts = odd_texts()
+    rows = spark.createDataFrame([(i, i // 40 % 3 or None, t) for i, t in enumerate(texts)], "i long, file int, text string").coalesce(2)
+    vocab = spark.createDataFrame([(t, i, 1) for i, t in enumerate([*SPECIAL_TOKENS, "a", "né", "日本", "..."])], "token string, id long, n long")
+    joined = lookup_ids(rows, vocab, ["i"], max_tokens=5, cfg=DEFAULT.with_(broadcast_max_rows=1)).collect()
+    counts = token_counts(rows).collect()
+    by_file = rows.select("file", F.explode(split_words("text")).alias("token")).groupBy("file", "token").count().collect()
+    for limit in (1 << 20, 50):
+        monkeypatch.setattr(word_split, "BYTES_AT_ONCE", limit)
+        monkeypatch.setattr(word_split, "BYTES_COUNTED", 10 * limit)
+        here = lookup_ids(rows, vocab, ["i"], max_tokens=5)
+        assert "MapInArrow" in plan_text(here) and sorted(here.collect()) == sorted(joined)
+        assert sorted(summed_token_counts(rows).collect()) == sorted(counts)
+        kept = word_split.counted_words(rows, "file").groupBy("file", "token").agg(F.sum("n")).collect()
+        assert len(kept) == len(by_file) and {tuple(r) for r in kept} == {tuple(r) for r in by_file}
+    assert summed_token_counts(rows.limit(0)).count() == 0 == lookup_ids(rows.limit(0), vocab, ["i"]).count()
