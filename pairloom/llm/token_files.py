@@ -1,15 +1,15 @@
 """Token files: ids coded by an adaptive context-mixing range coder (operator 3).
 
-A file holds blocks of ``BLOCK`` ids.  Every block starts from a fresh model, carries a
-checksum, and can be decoded alone.  Within a block, the id that last followed the two ids
-before (order 2) and the one that last followed the id before (order 1) are predicted;
-whether a prediction holds is coded with a probability mixed from the confidences of
-both orders and from how often the predicted id has been seen (order 0).  An id
-that neither predicts is coded by an adaptive order-0 model of its four-bit digits.  All
-model arithmetic is in integers, so any machine decodes what another wrote.
-
-Blocks do not depend on each other, so a worker codes many of them in step, one numpy
-operation for all.
+A file holds blocks of up to ``BLOCK`` ids.  Every block starts from a fresh model, carries
+checksums, and can be decoded alone.  A block is cut into lanes, runs of ids that are
+coded in step, one numpy operation for all; its lanes share one model and have a range coder each.
+The id that last followed the two ids before (order 2) and the one that last followed the id
+before (order 1) are predicted; whether a prediction holds is coded with a
+probability mixed from the confidences of both orders and from how often the predicted
+id has been seen (order 0).  An id that neither predicts is coded by its adaptive order-0
+frequency, one not met before in the block by itself.  Followers are learnt at every step;
+frequencies, mixed probabilities and weights in growing strides of up to ``STRIDE`` steps.
+All model arithmetic is in integers, so any machine decodes what another wrote.
 """
 
 from __future__ import annotations
@@ -20,6 +20,7 @@ import struct
 import uuid
 import zlib
 from collections.abc import Iterable, Iterator
+from itertools import repeat
 
 import numpy as np
 import pyarrow as pa
@@ -29,17 +30,21 @@ from pyspark.sql import types as T
 from tokenizers import Tokenizer
 
 from ..session import join_small, materialize
-from .common import map_arrow, prepare
+from .common import map_arrow, prepare, utf8
 from .prefix_bpe import PLAIN, _classes
 from .warc import file_system
 
-MAGIC = b"PLTOK1\0\0"
-BLOCK = 2048  # most ids in a block
-LEAST_BLOCK = 256  # a short run of ids is cut into more and smaller blocks, coded in step
-LANES = 2048  # blocks coded in step; bounds memory
-MAX_ID = 1 << 16  # ids are coded as four digits of four bits
-CACHE_PIECES = 200_000
-SLOTS = 1024  # of a block's tables of followers
+MAGIC = b"PLTOK2\0\0"
+BLOCK = 1 << 21  # ids of a block; bounds memory
+LEAST_BLOCK = 4096  # a shorter run of ids is cut into four blocks, none below this
+LANES, LEAST_LANE = 8192, 128  # of a block, and ids of a lane where there are fewer
+STRIDE = 32  # most steps between two refreshings of the shared tables
+GROUP = 1 << 22  # ids that wait to be coded
+MAX_ID = 1 << 16
+CACHE_PIECES = 400_000  # pieces that a worker remembers; then it keeps the half met most
+JOINED = 200  # pieces of a call's text
+FOLLOWERS = 1 << 17  # slots of a block's table of followers of two ids
+FREQ_BITS, HIT_BITS = 18, 12  # of the order-0 frequencies, and of the mixed probabilities
 U32, U64 = np.uint32, np.uint64
 LOW32 = U64(0xFFFFFFFF)
 
@@ -50,311 +55,302 @@ _p = (np.arange(4096) + 0.5) / 4096
 STRETCH = np.clip(np.round(256 * np.log(_p / (1 - _p))), -2047, 2047).astype(np.int32)
 
 
-class Encoder:
-    """A carry-less range coder for every lane: 64-bit low and range, 32-bit output."""
+class Coder:
+    """The lanes' carry-less range coders: 64-bit low and range, 32-bit output."""
 
-    def __init__(self, lanes: int, room: int):
+    def __init__(self, lanes: int):
         self.low = np.zeros(lanes, U64)
         self.range = np.full(lanes, ~U64(0))
-        self.out = np.zeros((lanes, room), U32)
         self.n = np.zeros(lanes, np.int64)
 
-    def code(self, at, shift: int, lo, size) -> None:
-        """Narrow the lanes ``at`` to [lo, lo + size) of 2**shift."""
-        r = self.range[at] >> U64(shift)
-        low = self.low[at] + r * lo.astype(U64)
-        rng = r * size.astype(U64)
-        self._renew(at, low, rng)
+    def narrow(self, n: int, shift: int, interval) -> None:
+        """Narrow the first n lanes to [lo, lo + size) of 2**shift, given as lo << 20 | size."""
+        r, interval = self.range[:n] >> U64(shift), interval.view(U64)
+        self.low[:n] += r * (interval >> U64(20))
+        np.multiply(r, interval & U64(0xFFFFF), out=self.range[:n])
 
-    def _renew(self, at, low, rng):
-        k = np.flatnonzero(rng < U64(1 << 32))
+    def renew(self, n: int) -> None:
+        """Pass on the words that are settled; leaves every range at 2**32 or more."""
+        k = np.flatnonzero(self.range[:n] < U64(1 << 32))
         if len(k):
-            l, g = low[k], rng[k]
-            across = ((l ^ (l + g - U64(1))) >> U64(32)) != 0
-            g = np.where(across, U64(1 << 32) - (l & LOW32), g)
-            lane = k if isinstance(at, slice) else at[k]
-            self.out[lane, self.n[lane]] = (l >> U64(32)).astype(U32)
-            self.n[lane] += 1
-            low[k], rng[k] = l << U64(32), g << U64(32)
-        self.low[at], self.range[at] = low, rng
+            low, rng = self.low.take(k), self.range.take(k)
+            across = ((low ^ (low + rng - U64(1))) >> U64(32)) != 0
+            if across.any():
+                rng = np.where(across, U64(1 << 32) - (low & LOW32), rng)
+            self.word(k, low)
+            self.n[k] += 1
+            self.low[k], self.range[k] = low << U64(32), rng << U64(32)
+
+
+class Encoder(Coder):
+    def __init__(self, lanes: int, room: int):
+        super().__init__(lanes)
+        self.out = np.zeros((lanes, room), U32)
+
+    def word(self, k, low) -> None:
+        self.out[k, self.n.take(k)] = (low >> U64(32)).astype(U32)
 
     def finish(self) -> None:
-        lanes = np.arange(len(self.n))
-        for s in (32, 0):
-            self.out[lanes, self.n] = ((self.low >> U64(s)) & LOW32).astype(U32)
-            self.n += 1
+        """One word more: the least one that, followed by zeros, lies in the range."""
+        self.word(np.arange(len(self.n)), self.low + LOW32)
+        self.n += 1
 
 
-class Decoder:
-    """The same with the words of a coded stream."""
+class Decoder(Coder):
+    """The same with the words of a coded stream, two or more zeros at their ends."""
 
     def __init__(self, words: np.ndarray):
+        super().__init__(len(words))
         self.words = words
-        self.low = np.zeros(len(words), U64)
-        self.range = np.full(len(words), ~U64(0))
         self.value = (words[:, 0].astype(U64) << U64(32)) | words[:, 1].astype(U64)
-        self.n = np.full(len(words), 2, np.int64)
+        self.n += 2
 
-    def target(self, at, shift: int):
-        r = self.range[at] >> U64(shift)
-        return np.minimum((self.value[at] - self.low[at]) // r, U64((1 << shift) - 1)).astype(np.int64)
+    def word(self, k, low) -> None:
+        at = np.minimum(self.n.take(k), self.words.shape[1] - 1)  # zeros from there on
+        self.value[k] = (self.value.take(k) << U64(32)) | self.words[k, at].astype(U64)
 
-    def code(self, at, shift: int, lo, size) -> None:
-        r = self.range[at] >> U64(shift)
-        low = self.low[at] + r * lo.astype(U64)
-        rng = r * size.astype(U64)
-        k = np.flatnonzero(rng < U64(1 << 32))
-        if len(k):
-            l, g = low[k], rng[k]
-            across = ((l ^ (l + g - U64(1))) >> U64(32)) != 0
-            g = np.where(across, U64(1 << 32) - (l & LOW32), g)
-            lane = k if isinstance(at, slice) else at[k]
-            self.value[lane] = (self.value[lane] << U64(32)) | self.words[lane, self.n[lane]].astype(U64)
-            self.n[lane] += 1
-            low[k], rng[k] = l << U64(32), g << U64(32)
-        self.low[at], self.range[at] = low, rng
+    def which(self, n: int, shift: int, a, b):
+        """Whether the value lies in [0, a) of 2**shift, and whether in [a, b)."""
+        r, t = self.range[:n] >> U64(shift), self.value[:n] - self.low[:n]
+        first = t < r * a.view(U64)
+        return first, (t < r * b.view(U64)) > first
 
+    def target(self, n: int, shift: int):
+        r = self.range[:n] >> U64(shift)
+        return np.minimum((self.value[:n] - self.low[:n]) // r, U64((1 << shift) - 1)).view(np.int64)
 
-class Digits:
-    """Order-0 model: adaptive distributions of an id's four digits, for every lane."""
 
-    SHIFT, RATE, NODES = 14, 4, 1 + 16 + 256 + 256
+class Mix:
+    """Probabilities that a prediction holds, for each context: mixed from three counts."""
 
-    def __init__(self, lanes: int):
-        total = 1 << self.SHIFT
-        even = np.append(np.arange(16) * (total // 16), total).astype(np.int16)
-        self.cum = np.tile(even, (lanes * self.NODES, 1))
-        sym, i = np.arange(16)[:, None], np.arange(17)
-        self.goal = np.where(i <= sym, i, total - 16 + i).astype(np.int16)
-        self.base = np.arange(lanes) * self.NODES
-        self.row = np.arange(lanes) * 17
-
-    def code(self, coder, n: int, ids=None):
-        """Code one id on each of the first n lanes; gives the ids."""
-        base, first, at = self.base[:n], self.row[:n], slice(0, n)
-        value, node = np.zeros(n, np.int64), base
-        for step in range(4):
-            row = self.cum.take(node, axis=0)
-            if ids is None:
-                t = coder.target(at, self.SHIFT).astype(np.int16)
-                sym = np.count_nonzero(row[:, 1:16] <= t[:, None], axis=1)
-            else:
-                sym = (ids >> (12 - 4 * step)) & 15
-            k = first + sym
-            flat = row.ravel()
-            lo = flat.take(k)
-            coder.code(at, self.SHIFT, lo, flat.take(k + 1) - lo)
-            move = self.goal.take(sym, axis=0)
-            move -= row
-            move >>= self.RATE
-            row += move
-            self.cum[node] = row
-            value = (value << 4) | sym
-            node = base + ((1, 17, 273, 0)[step] + (value & 255))
-        return value
-
-
-class Hits:
-    """Mixed probability that a predicted id is right, for every lane."""
+    SHAPE = (8, 16, 16)  # confidence of order 2; agreement and confidence of order 1; order 0
 
-    def __init__(self, lanes: int):
-        # 12-bit probabilities with four more bits, by order, agreement and confidences
-        self.table = np.full(lanes * 160, 1 << 15, np.int32)
-        self.weight = np.full((3, 2 * lanes), 1 << 15, np.int32)
-
-    def code(self, coder, at: np.ndarray, order: int, own, other, zero, hit=None):
-        """Code on the lanes ``at`` whether the prediction holds; gives the answers."""
-        base = at * 160
-        slots = (base + own, base + (64 + other), base + (128 + zero))
-        probs = [self.table.take(k) for k in slots]
-        mixed = [STRETCH.take(p >> 4) for p in probs]
-        lane = 2 * at + order
-        weights = [w.take(lane) for w in self.weight]
-        dot = (weights[0] * mixed[0] + weights[1] * mixed[1] + weights[2] * mixed[2]) >> 16
-        p = SQUASH.take(np.minimum(np.maximum(dot, -2047), 2047) + 2047)
-        if hit is None:
-            hit = coder.target(at, 12) < p
-        coder.code(at, 12, np.where(hit, 0, p), np.where(hit, p, 4096 - p))
-        err = (np.where(hit, 4095, 0).astype(np.int32) - p) * np.int32(6)
+    def __init__(self):
+        self.hits = [np.zeros(k, np.int64) for k in self.SHAPE]
+        self.met = [np.zeros(k, np.int64) for k in self.SHAPE]
+        self.weight = [1 << 15] * 3
+        self._mix()
+
+    def _mix(self) -> None:
+        self.stretched = []
         for k in range(3):
-            new = weights[k] + ((mixed[k] * err + 512) >> 10)
-            self.weight[k][lane] = np.minimum(np.maximum(new, -(1 << 18)), 1 << 18)
-        goal = np.where(hit, 65535, 0).astype(np.int32)
-        for k, q in zip(slots, probs, strict=True):
-            self.table[k] = q + ((goal - q) >> 4)
-        return hit
+            p = np.clip((2 * self.hits[k] + 1) * 4096 // (2 * self.met[k] + 2), 1, 4095)
+            shape = [1, 1, 1]
+            shape[k] = -1
+            self.stretched.append(STRETCH[p].astype(np.int64).reshape(shape))
+        dot = sum(w * s for w, s in zip(self.weight, self.stretched, strict=True)) >> 16
+        self.p = SQUASH[np.clip(dot, -2047, 2047) + 2047].astype(np.int64)
+
+    def learn(self, hits: np.ndarray, met: np.ndarray) -> None:
+        n = int(met.sum())
+        if not n:
+            return
+        err = hits * 4096 - met * self.p
+        for k in range(3):
+            step = int((err * self.stretched[k]).sum()) // n * 6 * min(n, 16) >> 10
+            self.weight[k] = min(max(self.weight[k] + step, -(1 << 18)), 1 << 18)
+            rest = tuple(x for x in range(3) if x != k)
+            self.hits[k] += hits.sum(rest)
+            self.met[k] += met.sum(rest)
+        self._mix()
 
 
-class Contexts:
-    """Last followers, and how often ids were seen.
+class Model:
+    """What the lanes of a block share: followers, mixed probabilities and frequencies.
 
-    A follower is an id with its confidence (0: none) in the bits above it.
+    A follower is an id, or NONE, with its confidence (0: none) in the bits above it.
     """
 
-    def __init__(self, lanes: int):
-        self.follower = [np.zeros(lanes * SLOTS, np.uint32) for _ in range(2)]
-        self.seen = np.zeros(lanes * SLOTS, np.uint8)
-        self.base = np.arange(lanes, dtype=np.int64) * SLOTS
-        self.p1 = np.zeros(lanes, np.int64)
-        self.p2 = np.zeros(lanes, np.int64)
-
-    def _zero(self, lanes, guess):
-        return np.minimum(self.seen.take(self.base[lanes] + _slot(guess)), 15)
-
-    def run(self, hits: Hits, coder, n: int, ids=None, escapes=None):
-        """One id on each of the first n lanes.  Encoding, gives which ids escape;
-        decoding, takes escaped ids from ``escapes(lanes)`` and gives the ids."""
-        base, p1 = self.base[:n], self.p1[:n]
-        h1 = p1 * 0x9E3779B1
-        slot = (base + ((h1 >> 7) & (SLOTS - 1)), base + (((h1 + self.p2[:n] * 0x85EBCA6B) >> 9) & (SLOTS - 1)))
-        f1, f2 = self.follower[0].take(slot[0]), self.follower[1].take(slot[1])
-        g1, c1 = (f1 & 0xFFFF).astype(np.int64), (f1 >> 16).astype(np.int64)
-        g2, c2 = (f2 & 0xFFFF).astype(np.int64), (f2 >> 16).astype(np.int64)
-        agree = g1 == g2
-        found = np.zeros(n, bool)
-        value = np.zeros(n, np.int64) if ids is None else ids
-        for order, guess, test in ((0, g2, c2 > 0), (1, g1, None)):
-            k = np.flatnonzero(test if order == 0 else (c1 > 0) & ~found & ~(agree & (c2 > 0)))
-            if not len(k):
-                continue
-            g = guess.take(k)
-            if order == 0:
-                own, other = c2.take(k), agree.take(k) * 8 + c1.take(k)
-            else:
-                own, other = 32 + c1.take(k), 32 + c2.take(k)
-            y = hits.code(coder, k, order, own, other, order * 16 + self._zero(k, g), None if ids is None else ids.take(k) == g)
-            found[k] = y
-            if ids is None:
-                value[k] = g * y
-        if ids is None:
-            k = np.flatnonzero(~found)
-            value[k] = escapes(k)
-        for follower, at, g, c in ((self.follower[0], slot[0], g1, c1), (self.follower[1], slot[1], g2, c2)):
-            right = (g == value) & (c > 0)
-            keep = right | (c > 2)
-            sure = np.where(right, np.minimum(c + 1, 7), np.where(keep, c >> 1, 1))
-            follower[at] = (np.where(keep, g, value) | (sure << 16)).astype(np.uint32)
-        at = base + _slot(value)
-        old = self.seen.take(at)
-        self.seen[at] = old + (old < 255)
-        self.p2[:n] = p1
+    NONE = NEW = MAX_ID  # no id; the symbol of one not met before
+    CERTAIN = 1 << FREQ_BITS  # the interval of what needs no frequency
+    # next confidence, by confidence and whether the follower was right
+    SURE = np.array([[1, 1], [1, 2], [1, 3], [1, 4], [2, 5], [2, 6], [3, 7], [3, 7]], np.int64).ravel() << 20
+
+    def __init__(self, lanes: int, decode: bool):
+        self.lanes, self.decode = lanes, decode
+        self.one, self.two = np.full(MAX_ID, self.NONE, np.int32), np.full(FOLLOWERS, self.NONE, np.int32)
+        self.p1, self.p2 = np.zeros(lanes, np.int64), np.zeros(lanes, np.int64)
+        self.count = np.zeros(MAX_ID + 1, np.int64)
+        self.mixes = Mix(), Mix()
+        c2, other = np.arange(8)[:, None, None], np.arange(16)[None, :, None]
+        self.some = np.broadcast_to((c2 > 0) | (other & 7 > 0), Mix.SHAPE)
+        self.both = np.broadcast_to((c2 > 0) & (other > 0) & (other < 8), Mix.SHAPE)
+        self.recent: list = []
+        self.waiting = self.done = 0
+        self._frequencies(1, 0)
+        self._intervals()
+
+    def predict(self, n: int):
+        """First and second guess on each of the first n lanes; sets their context."""
+        p1 = self.p1[:n]
+        self.at = ((p1 * 0x9E3779B1 + self.p2[:n] * 0x85EBCA6B) >> 9) & (FOLLOWERS - 1)
+        f1, f2 = self.one.take(p1).astype(np.int64), self.two.take(self.at).astype(np.int64)
+        g1, g2 = f1 & 0xFFFFF, f2 & 0xFFFFF
+        guess = np.where(f2 > 0xFFFFF, g2, g1)
+        self.followers = f1, g1, f2, g2
+        self.context = (f2 >> 12 & 0x700) | (f1 >> 16 & 0x70) | self.level.take(guess)
+        self.context |= (g1 == g2).view(np.uint8).astype(np.int64) << 7
+        return guess, g1
+
+    def learn(self, n: int, value, outcome) -> None:
+        """Take in the ids of the first n lanes; ``outcome`` is four times the context, and
+        2 if the first guess held, 1 if the second did."""
+        f1, g1, f2, g2 = self.followers
+        for table, at, f, g in ((self.one, self.p1[:n], f1, g1), (self.two, self.at, f2, g2)):
+            sure = self.SURE.take((f >> 19 & 14) + (g == value))
+            table[at] = np.where(f >= 3 << 20, g, value) | sure
+        self.p2[:n] = self.p1[:n]
         self.p1[:n] = value
-        return ~found if ids is not None else value
-
-
-def _slot(ids):
-    return (ids * 0x9E3779B1 >> 7) & (SLOTS - 1)
+        self.recent.append((outcome, value))
+        self.waiting += n
+        if self.waiting >= max(self.lanes, min(self.done // 4, STRIDE * self.lanes)):
+            self._refresh()
+
+    def _refresh(self) -> None:
+        outcome, value = (np.concatenate(x) for x in zip(*self.recent, strict=True))
+        n = np.bincount(outcome, minlength=4 << 11).reshape(*Mix.SHAPE, 4)
+        self.mixes[0].learn(n[..., 2] * self.some, n.sum(-1) * self.some)
+        self.mixes[1].learn(n[..., 1] * self.both, (n[..., 0] + n[..., 1]) * self.both)
+        coded = np.bincount(value[outcome & 3 == 0], minlength=MAX_ID + 1)
+        new = int(coded[self.count == 0].sum())
+        self.count += coded
+        self._frequencies(max(int(coded.sum()), 1), new)
+        self._intervals()
+        self.done += self.waiting
+        self.recent, self.waiting = [], 0
+
+    def _frequencies(self, coded: int, new: int) -> None:
+        """Parts of 2**FREQ_BITS: one and its share for every id met; the rest for a new id."""
+        met, total = self.count > 0, int(self.count.sum())
+        room = (1 << FREQ_BITS) - 1 - int(np.count_nonzero(met))
+        share = met + self.count * room // (total + total * new // coded + 1)
+        ends = np.cumsum(share)
+        top = int(ends[-1])
+        self.new = top << 20 | ((1 << FREQ_BITS) - top)
+        self.coded = np.where(met, (ends - share) << 20 | share, self.new)
+        self.level = np.minimum(np.frexp(self.count.astype(np.float64))[1], 15).astype(np.uint8)
+        if self.decode:
+            self.owner = np.full(1 << FREQ_BITS, self.NEW, np.int32)
+            self.owner[:top] = np.repeat(np.arange(MAX_ID + 1, dtype=np.int32), share)
+
+    def _intervals(self) -> None:
+        """Of 2**HIT_BITS, by context: a for the first guess, b - a for the second, the rest for neither."""
+        a = np.clip(self.mixes[0].p, 1, 4090) * self.some
+        b = a + np.clip((4096 - a) * self.mixes[1].p >> HIT_BITS, 1, 4095 - a) * self.both
+        self.a, self.b = a.ravel(), b.ravel()
+        self.hits = np.stack([b << 20 | (4096 - b), a << 20 | (b - a), a, a], -1).ravel()
 
 
 def encode_blocks(ids: np.ndarray) -> list[bytes]:
     """Coded blocks of a run of ids."""
     if len(ids) and int(ids.max()) >= MAX_ID:
         raise ValueError(f"ids must be below {MAX_ID}")
-    out = []
-    for first in range(0, len(ids), BLOCK * LANES):
-        out += _encode_group(ids[first : first + BLOCK * LANES])
-    return out
-
-
-def _encode_group(ids: np.ndarray) -> list[bytes]:
-    block = min(BLOCK, max(LEAST_BLOCK, -(-len(ids) // LANES)))
-    lanes = -(-len(ids) // block)
-    length = np.full(lanes, block)
-    length[-1] = len(ids) - (lanes - 1) * block
-    grid = np.zeros(lanes * block, np.uint16)
+    block = BLOCK if len(ids) >= BLOCK else max(LEAST_BLOCK, -(-len(ids) // 4))
+    return [_encode_block(ids[k : k + block]) for k in range(0, len(ids), block)]
+
+
+HEAD = struct.Struct("<IIIII")  # ids, their checksum, lanes, ids met first, checksum of what follows
+
+
+def _lanes(n: int) -> tuple[int, int]:
+    """Ids of a lane and number of lanes of a block of n ids; the last lane may be shorter."""
+    steps = -(-n // min(LANES, max(1, n // LEAST_LANE)))
+    return steps, -(-n // steps)
+
+
+def _encode_block(ids: np.ndarray) -> bytes:
+    steps, lanes = _lanes(len(ids))
+    last = len(ids) - (lanes - 1) * steps
+    grid = np.zeros(lanes * steps, np.int64)
     grid[: len(ids)] = ids
-    columns = np.ascontiguousarray(grid.reshape(lanes, block).T)
-    hits, ctx, coder = Hits(lanes), Contexts(lanes), Encoder(lanes, 2 * block + 4)
-    escaped = np.zeros((block, lanes), bool)
-    for t in range(int(length[0])):
-        n = lanes if t < length[-1] else lanes - 1
-        escaped[t, :n] = ctx.run(hits, coder, n, columns[t, :n].astype(np.int64))
+    columns = np.ascontiguousarray(grid.reshape(lanes, steps).T)
+    model, coder, news = Model(lanes, decode=False), Encoder(lanes, steps + 2), []
+    for t in range(steps):
+        n = lanes if t < last else lanes - 1
+        value = columns[t, :n]
+        guess, other = model.predict(n)
+        first = value == guess
+        second = (value == other) > first
+        outcome = 4 * model.context + (2 * first.view(np.int8) + second.view(np.int8))
+        coder.narrow(n, HIT_BITS, model.hits.take(outcome))
+        coded = np.where(first | second, Model.CERTAIN, model.coded.take(value))
+        coder.narrow(n, FREQ_BITS, coded)
+        coder.renew(n)
+        news.append(value[coded == model.new].astype("<u2"))
+        model.learn(n, value, outcome)
     coder.finish()
-    del hits, ctx
-    count = escaped.sum(0)
-    order = np.argsort(-count, kind="stable")
-    queue = np.zeros((max(int(count.max()), 1), lanes), np.uint16)
-    t_at, l_at = np.nonzero(escaped.T)  # lane, step
-    queue[np.concatenate([np.arange(c) for c in count]), t_at] = columns[l_at, t_at]
-    queue = np.ascontiguousarray(queue[:, order])
-    digits, rest = Digits(lanes), Encoder(lanes, 4 * int(count.max()) + 4)
-    falling = count[order]
-    for t in range(int(falling[0]) if lanes else 0):
-        n = int(np.searchsorted(-falling, -t, side="left"))
-        digits.code(rest, n, queue[t, :n].astype(np.int64))
-    rest.finish()
-    place = np.empty(lanes, np.int64)
-    place[order] = np.arange(lanes)
-    out = []
-    for i in range(lanes):
-        raw = ids[i * block : (i + 1) * block].astype("<u4").tobytes()
-        a = coder.out[i, : coder.n[i]].astype("<u4").tobytes()
-        j = place[i]
-        b = rest.out[j, : rest.n[j]].astype("<u4").tobytes()
-        out.append(struct.pack("<IIIII", int(length[i]), zlib.crc32(raw), len(a), len(b), int(count[i])) + a + b)
-    return out
-
-
-HEAD = struct.Struct("<IIIII")
-
-
-def decode_blocks(blocks: list[bytes]) -> Iterator[np.ndarray]:
+    met = np.concatenate(news)
+    words = coder.out[np.arange(coder.out.shape[1]) < coder.n[:, None]]
+    body = coder.n.astype("<u2").tobytes() + met.tobytes() + words.astype("<u4").tobytes()
+    return HEAD.pack(len(ids), zlib.crc32(ids.astype("<u4").tobytes()), lanes, len(met), zlib.crc32(body)) + body
+
+
+def decode_blocks(blocks: Iterable[bytes]) -> Iterator[np.ndarray]:
     """Ids of coded blocks, in their order; a checksum that fails raises."""
-    for first in range(0, len(blocks), LANES):
-        yield from _decode_group(blocks[first : first + LANES])
-
-
-def _decode_group(blocks: list[bytes]) -> list[np.ndarray]:
-    lanes = len(blocks)
-    heads = np.array([HEAD.unpack_from(b) for b in blocks], np.int64)
-    length, crc, na, nb, count = heads.T
-
-    def words(start, size, order):
-        grid = np.zeros((lanes, int(size.max()) // 4 + 2), U32)
-        for j, i in enumerate(order):
-            grid[j, : size[i] // 4] = np.frombuffer(blocks[i], "<u4", size[i] // 4, HEAD.size + int(start[i]))
-        return grid
-
-    order = np.argsort(-count, kind="stable")
-    falling = count[order]
-    digits, rest = Digits(lanes), Decoder(words(na, nb, order))
-    queue = np.zeros((max(int(falling[0]), 1), lanes), np.uint16)
-    for t in range(int(falling[0])):
-        n = int(np.searchsorted(-falling, -t, side="left"))
-        queue[t, :n] = digits.code(rest, n)
-    place = np.empty(lanes, np.int64)
-    place[order] = np.arange(lanes)
-    by_length = np.argsort(-length, kind="stable")
-    del digits, rest
-    hits, ctx, coder = Hits(lanes), Contexts(lanes), Decoder(words(np.zeros(lanes, np.int64), na, by_length))
-    column, taken = place[by_length], np.zeros(lanes, np.int64)
-    columns = np.zeros((max(int(length.max()), 1), lanes), np.uint16)
-
-    def escapes(k):
-        got = queue[np.minimum(taken[k], len(queue) - 1), column[k]]
-        taken[k] += 1
-        return got
-
-    long_first = length[by_length]
-    for t in range(int(long_first[0])):
-        n = int(np.searchsorted(-long_first, -t, side="left"))
-        columns[t, :n] = ctx.run(hits, coder, n, escapes=escapes)
-    out: list = [None] * lanes
-    rows = np.ascontiguousarray(columns.T)
-    for j, i in enumerate(by_length):
-        ids = rows[j, : length[i]].astype("<u4")
-        if zlib.crc32(ids.tobytes()) != crc[i]:
-            raise ValueError("a block does not match its checksum")
-        out[i] = ids
-    return out
+    return map(_decode_block, blocks)
+
+
+def _decode_block(block: bytes) -> np.ndarray:
+    size, crc, lanes, n_met, body = HEAD.unpack_from(block)
+    if zlib.crc32(memoryview(block)[HEAD.size :]) != body or not size or _lanes(size)[1] != lanes:
+        raise ValueError("a block does not match its checksum")
+    steps = _lanes(size)[0]
+    last = size - (lanes - 1) * steps
+    length = np.frombuffer(block, "<u2", lanes, HEAD.size).astype(np.int64)
+    met = np.frombuffer(block, "<u2", n_met, HEAD.size + 2 * lanes).astype(np.int64)
+    words = np.zeros((lanes, int(length.max()) + 2), U32)
+    words[np.arange(words.shape[1]) < length[:, None]] = np.frombuffer(block, "<u4", -1, HEAD.size + 2 * lanes + 2 * n_met)
+    model, coder, taken = Model(lanes, decode=True), Decoder(words), 0
+    columns = np.zeros((steps, lanes), np.uint16)
+    for t in range(steps):
+        n = lanes if t < last else lanes - 1
+        guess, other = model.predict(n)
+        first, second = coder.which(n, HIT_BITS, model.a.take(model.context), model.b.take(model.context))
+        hit = first | second
+        outcome = 4 * model.context + (2 * first.view(np.int8) + second.view(np.int8))
+        coder.narrow(n, HIT_BITS, model.hits.take(outcome))
+        value = model.owner.take(coder.target(n, FREQ_BITS)).astype(np.int64)
+        coder.narrow(n, FREQ_BITS, np.where(hit, Model.CERTAIN, model.coded.take(value)))
+        coder.renew(n)
+        value = np.where(hit, np.where(first, guess, other), value)
+        new = np.flatnonzero(value == Model.NEW)
+        if len(new):
+            value[new] = met[taken : taken + len(new)]
+            taken += len(new)
+        columns[t, :n] = value
+        model.learn(n, value, outcome)
+    ids = columns.T.ravel()[:size].astype("<u4")
+    if zlib.crc32(ids.tobytes()) != crc:
+        raise ValueError("a block does not match its checksum")
+    return ids
+
+
+SPACE, LETTER, NUMBER, OTHER, ODD = range(5)
+
+
+def _kinds() -> np.ndarray:
+    """The class of every code point in the pre-tokenizer's pattern; ODD for those not in PLAIN."""
+    letters, numbers = _classes()
+    points = np.array([x for x in range(0x250) if re.match(f"[{PLAIN}]", chr(x))])
+    kinds = np.full(0x110000, ODD, np.uint8)
+    for x in points:
+        c = chr(x)
+        kinds[x] = SPACE if c.isspace() else LETTER if re.match(f"[{letters}]", c) else NUMBER if re.match(f"[{numbers}]", c) else OTHER
+    return kinds
+
+
+def _runs(values: np.ndarray, first: np.ndarray, size: np.ndarray) -> np.ndarray:
+    """The runs of values from each of ``first`` on, one after another."""
+    ends = np.cumsum(size)
+    return values.take(np.repeat(first - (ends - size), size) + np.arange(int(size.sum())))
 
 
 class Pieces:
     """The tokenizers library with a memory of the pieces that its pre-tokenizer cuts.
 
-    Texts of code points on which all Unicode versions agree are cut by the
-    pre-tokenizer's pattern here, and only pieces not seen before go to the library;
-    other texts, and those with a special token's string, go to it whole.
+    Texts of code points on which all Unicode versions agree are cut here, a whole batch in
+    step, as the pre-tokenizer's pattern cuts them, and only pieces not seen before go to
+    the library; other texts, and those with a special token's string, go to it whole.
     """
 
     def __init__(self, path: str):
@@ -362,26 +358,144 @@ class Pieces:
         self.tok = Tokenizer.from_file(path)
         self.tok.no_truncation()
         self.tok.no_padding()
-        letters, numbers = _classes()
-        self.plain = re.compile(f"[{PLAIN}]*")
-        self.find = re.compile(
-            rf"'s|'t|'re|'ve|'m|'ll|'d| ?[{letters}]+| ?[{numbers}]+| ?[^\s{letters}{numbers}]+|\s+(?!\S)|\s+"
-        ).findall
-        self.known: dict[str, bytes] = {}
-
-    def encode(self, texts: list) -> list[bytes]:
-        cut = [self.find(t) if t and "<|" not in t and self.plain.fullmatch(t) else None for t in texts]
-        known = self.known
-        if len(known) > CACHE_PIECES:
-            known.clear()
-        new = list({p for c in cut if c for p in c if p not in known})
-        known.update(zip(new, (np.array(e.ids, "<u4").tobytes() for e in self.tok.encode_batch_fast(new, add_special_tokens=False)), strict=True))
-        whole = [t for t, c in zip(texts, cut, strict=True) if t and c is None]
-        rest = iter(self.tok.encode_batch_fast(whole, add_special_tokens=False))
-        return [
-            b"".join([known[p] for p in c]) if c is not None else np.array(next(rest).ids, "<u4").tobytes() if t else b""
-            for t, c in zip(texts, cut, strict=True)
-        ]
+        self.kinds = _kinds()
+        line = self.tok.encode("\n", add_special_tokens=False).ids
+        self.line = line[0] if len(line) == 1 else None
+        self.known: dict[str, int] = {}
+        self.ids, self.ends = np.zeros(0, "<u4"), np.zeros(1, np.int64)
+        self.met = np.zeros(0, np.int64)  # batches that had a piece, of late
+
+    def _cut(self, data: np.ndarray, offsets: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """Where the pieces of all texts start, and which texts must go to the library whole."""
+        if data.max() < 0x80:
+            kind = self.kinds[:0x80].take(data)
+        else:
+            points = np.frombuffer(data.tobytes().decode().encode("utf-32-le"), np.uint32)
+            width = 1 + (points >= 0x80).astype(np.int8) + (points >= 0x800) + (points >= 0x10000)
+            kind = np.repeat(self.kinds.take(points), width)
+        begins = offsets[:-1][np.diff(offsets) > 0]
+        starts = np.empty(len(data), bool)
+        starts[0] = True
+        np.not_equal(kind[1:], kind[:-1], out=starts[1:])
+        starts[begins] = True
+        # of white space before something else the last one stands alone, or a blank is the first of what follows
+        space = kind == SPACE
+        ends = space[:-1] & ~space[1:]
+        ends[begins[begins > 0] - 1] = False
+        ends = np.flatnonzero(ends)
+        starts[ends] = True
+        starts[ends[data[ends] == 32] + 1] = False
+        self._contractions(data, offsets, starts)
+        whole = np.zeros(len(offsets) - 1, bool)
+        odd = kind == ODD
+        odd[:-1] |= (data[:-1] == ord("<")) & (data[1:] == ord("|"))
+        if odd.any():
+            whole[np.searchsorted(offsets, np.flatnonzero(odd), "right") - 1] = True
+        return starts, whole
+
+    @staticmethod
+    def _contractions(data: np.ndarray, offsets: np.ndarray, starts: np.ndarray) -> None:
+        """Cut 's 't 're 've 'm 'll 'd off what follows, where a piece starts with them."""
+        at = np.flatnonzero((data == ord("'")) & starts)
+        if not len(at):
+            return
+        left = offsets[np.searchsorted(offsets, at, "right")] - at  # bytes to the end of the text
+        one, two = (np.where(left > k, data[np.minimum(at + k, len(data) - 1)], 0) for k in (1, 2))
+        size = np.where(np.isin(one, list(b"stmd")), 2, 0)
+        for x, y in (b"re", b"ve", b"ll"):
+            size[(one == x) & (two == y)] = 3
+        at, size, left = at[size > 0], size[size > 0], left[size > 0]
+        starts[at + 1] = False
+        starts[(at + size)[size < left]] = True
+
+    def _forget(self) -> None:
+        keep = np.sort(np.argsort(-self.met, kind="stable")[: CACHE_PIECES // 2])
+        words, sizes = list(self.known), np.diff(self.ends)[keep]
+        self.known = {words[k]: i for i, k in enumerate(keep.tolist())}
+        self.ids = _runs(self.ids, self.ends[keep], sizes)
+        self.ends, self.met = np.append(0, np.cumsum(sizes)), self.met[keep] >> 1
+
+    def _library(self, words: list[str]) -> tuple[np.ndarray, np.ndarray]:
+        """Ids of all pieces one after another, and their numbers.
+
+        Pieces go to the library joined by line breaks, which cuts and joins none that has no line
+        break itself, and one result is made for many; those that have one go alone.
+        """
+        alone = np.array(["\n" in w for w in words])
+        texts, n_joined = [], 0
+        if self.line is not None:
+            plain = [w for w in words if "\n" not in w]
+            texts, n_joined = ["\n".join([*plain[k : k + JOINED], ""]) for k in range(0, len(plain), JOINED)], len(plain)
+        found = self.tok.encode_batch_fast(texts, add_special_tokens=False)
+        found = np.concatenate([np.zeros(0, "<u4"), *(np.array(e.ids, "<u4") for e in found)])
+        line = found == self.line
+        sizes = np.diff(np.flatnonzero(line), prepend=-1) - 1
+        if len(sizes) != n_joined or n_joined + alone.sum() != len(words):  # another kind of tokenizer
+            each = [np.array(e.ids, "<u4") for e in self.tok.encode_batch_fast(words, add_special_tokens=False)]
+            return np.concatenate(each), np.array([len(x) for x in each])
+        rest = [np.array(e.ids, "<u4") for e in self.tok.encode_batch_fast([w for w in words if "\n" in w], add_special_tokens=False)]
+        out = np.zeros(len(words), np.int64)
+        out[~alone], out[alone] = sizes, [len(x) for x in rest]
+        first = np.zeros(len(words), np.int64)
+        first[~alone] = np.cumsum(sizes) - sizes
+        first[alone] = np.count_nonzero(~line) + np.cumsum(out[alone]) - out[alone]
+        return _runs(np.concatenate([found[~line], *rest]), first, out), out
+
+    def _places(self, pieces: pa.Array) -> np.ndarray:
+        """The place of each piece among those remembered."""
+        distinct = pieces.dictionary_encode()
+        words = distinct.dictionary.to_numpy(zero_copy_only=False).tolist()
+        if len(self.known) > CACHE_PIECES:
+            self._forget()
+        place = np.fromiter(map(self.known.get, words, repeat(-1)), np.int64, len(words))
+        unmet = np.flatnonzero(place < 0)
+        if len(unmet):
+            new = [words[k] for k in unmet.tolist()]
+            place[unmet] = np.arange(len(self.known), len(self.known) + len(new))
+            self.known.update(zip(new, place[unmet].tolist(), strict=True))
+            ids, sizes = self._library(new)
+            self.ids, self.ends = np.append(self.ids, ids), np.append(self.ends, self.ends[-1] + np.cumsum(sizes))
+            self.met = np.append(self.met, np.zeros(len(new), np.int64))
+        self.met[place] += 1
+        return place.take(distinct.indices.to_numpy())
+
+    def encode(self, texts: pa.Array, end_id: int) -> tuple[np.ndarray, np.ndarray]:
+        """Ids of all texts, each followed by end_id, and their numbers by text; null is empty."""
+        data, offsets = utf8(texts)
+        n = len(offsets) - 1
+        if not len(data):
+            return np.full(n, end_id, "<u4"), np.ones(n, np.int64)
+        starts, whole = self._cut(data, offsets)
+        at = np.flatnonzero(starts)
+        # pieces, whole texts and end ids are runs of one store, in the order of the texts
+        runs = np.searchsorted(at, offsets)
+        extra, special = [np.array([end_id], "<u4")], np.flatnonzero(whole)
+        if len(special):
+            keep = np.repeat(~whole, np.diff(runs))
+            found = self.tok.encode_batch_fast([data[offsets[i] : offsets[i + 1]].tobytes().decode() for i in special], add_special_tokens=False)
+            extra += [np.array(e.ids, "<u4") for e in found]
+            edges = np.append(at, len(data))
+            low, high = edges[:-1][keep], edges[1:][keep]
+            pieces = pa.array([data[x:y].tobytes().decode() for x, y in zip(low, high, strict=True)], pa.large_string())
+            runs = np.append(0, np.cumsum(np.where(whole, 0, np.diff(runs))))
+        else:
+            edges = np.append(at, len(data))
+            pieces = pa.LargeStringArray.from_buffers(len(at), pa.py_buffer(edges), pa.py_buffer(data))
+        place = self._places(pieces)
+        first, size = self.ends.take(place), self.ends.take(place + 1) - self.ends.take(place)
+        base = len(self.ids)
+        lengths = np.array([len(x) for x in extra])
+        beyond = base + np.cumsum(lengths) - lengths
+        # before a text's end id stands, for a whole text, its run of the store
+        where = np.append(runs[1:][special], runs[1:])
+        order = np.argsort(np.append(2 * special, 2 * np.arange(n) + 1), kind="stable")
+        put = np.append(np.arange(1, len(extra)), np.zeros(n, np.int64))[order]
+        first = np.insert(first, where[order], beyond[put])
+        size = np.insert(size, where[order], lengths[put])
+        ids, ends = _runs(np.concatenate([self.ids, *extra]), first, size), np.cumsum(size)
+        # the end id is the last run of each text
+        last = runs[1:] + np.arange(n) + np.cumsum(whole)
+        return ids, np.diff(ends[last], prepend=0)
 
 
 _LOADED: dict[str, Pieces] = {}
@@ -397,8 +511,6 @@ def _write_file(batches: Iterable[pa.RecordBatch], tokenizer: str, folder: str,
     """Write the documents of a partition to one file; gives its row of the list."""
     system, path = file_system(folder)
     out, waiting, held, docs, sizes, total = None, [], 0, [], [], 0
-    end = np.array([end_id], "<u4").tobytes()
-    group = BLOCK * LANES
 
     def write(blocks):
         for b in blocks:
@@ -413,19 +525,20 @@ def _write_file(batches: Iterable[pa.RecordBatch], tokenizer: str, folder: str,
             out = system.open_output_stream(name, compression=None)
             out.write(MAGIC)
         part = batch.column("part")[0].as_py()
-        coded = [x + end for x in pieces(tokenizer).encode(batch.column("text").to_pylist())]
+        ids, counts = pieces(tokenizer).encode(batch.column("text"), end_id)
         docs += batch.column("doc_id").to_pylist()
-        sizes += [len(x) // 4 for x in coded]
-        waiting.append(b"".join(coded))
-        held += len(waiting[-1]) // 4
-        if held >= group:
-            ids = np.frombuffer(b"".join(waiting), "<u4")
-            whole = held // group * group
-            write(encode_blocks(ids[:whole]))
-            waiting, held, total = [ids[whole:].tobytes()], held - whole, total + whole
+        sizes += counts.tolist()
+        waiting.append(ids)
+        held += len(ids)
+        if held >= GROUP:
+            ids = np.concatenate(waiting)
+            whole = held // GROUP * GROUP
+            for first in range(0, whole, GROUP):
+                write(encode_blocks(ids[first : first + GROUP]))
+            waiting, held, total = [ids[whole:].copy()], held - whole, total + whole
     if out is None:
         return
-    write(encode_blocks(np.frombuffer(b"".join(waiting), "<u4")))
+    write(encode_blocks(np.concatenate(waiting)))
     none = np.array([d is None for d in docs])
     index = np.array([d or 0 for d in docs], "<i8").tobytes() + none.astype("u1").tobytes() + np.array(sizes, "<u4").tobytes()
     packed = zlib.compress(index, 1)
@@ -484,16 +597,8 @@ def read_file(system, path: str) -> Iterator[tuple[np.ndarray, np.ndarray, np.nd
 
         def stream():
             f.seek(len(MAGIC))
-            group = []
-            while True:
-                (k,) = struct.unpack("<I", f.read(4))
-                if k:
-                    group.append(f.read(k))
-                if group and (not k or len(group) == LANES):
-                    yield np.concatenate(_decode_group(group))
-                    group = []
-                if not k:
-                    return
+            while k := struct.unpack("<I", f.read(4))[0]:
+                yield _decode_block(f.read(k))
 
         yield ids, null, sizes, stream()
 

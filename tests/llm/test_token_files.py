@@ -2,6 +2,7 @@ import zlib
 
 import numpy as np
 import public_tokenizers
+import pyarrow as pa
 import pytest
 from tokenizers import Tokenizer
 
@@ -69,3 +70,64 @@ def test_files(make_docs, prose, tmp_path):
 def test_no_documents(make_docs, tmp_path):
     files = token_files.write_tokens(make_docs([]), PATH, str(tmp_path / "t"))
     assert token_files.read_tokens(files, str(tmp_path / "t")).collect() == []
+
+
+def test_pieces_are_cut_as_the_library_cuts():
+    rng = np.random.default_rng(3)
+    parts = [" ", "  ", "\n", "\t", "'", "'s", "'ll", "'re", "'t", "'x", "a", "bc", "The", "é", "ß", "½", "7", "42", "!", "..", "<|", "<", "|",
+             "<|endoftext|>", "日本", " ", "\r", "İ", "of", " of"]
+    texts = ["".join(parts[k] for k in rng.integers(0, len(parts) - 8 * int(rng.integers(2)), rng.integers(0, 12))) for _ in range(6000)]
+    texts += ["<", "|endoftext|>", "a ", "'s", " ", "'", "s", None, "", "x'", "ll b", "\n", " a\n"]
+    library = Tokenizer.from_file(PATH)
+    want = [[*library.encode(t or "", add_special_tokens=False).ids, 2] for t in texts]
+    made = token_files.Pieces(PATH)
+    for k in (1, 700, len(texts)):
+        for low in range(0, 700 if k == 1 else len(texts), k):
+            ids, sizes = made.encode(pa.array(texts, pa.string()).slice(low, k), 2)
+            assert np.split(ids, np.cumsum(sizes)[:-1])[0].tolist() == want[low]
+            assert ids.tolist() == [x for w in want[low : low + k] for x in w]
+            assert sizes.tolist() == [len(w) for w in want[low : low + k]]
+
+
+def test_pieces_that_are_forgotten_are_asked_again(monkeypatch):
+    monkeypatch.setattr(token_files, "CACHE_PIECES", 6)
+    library, made = Tokenizer.from_file(PATH), token_files.Pieces(PATH)
+    for k in range(30):
+        text = f"often zebra{'abcdefghijklmno'[k % 15]} quux{k} \n\n end"
+        assert made.encode(pa.array([text]), 2)[0].tolist() == [*library.encode(text, add_special_tokens=False).ids, 2]
+    assert len(made.known) < 6 + 8
+
+
+def test_the_library_is_asked_once_for_a_piece():
+    class Counted:
+        def __init__(self, tok):
+            self.tok, self.texts = tok, []
+
+        def encode_batch_fast(self, texts, **kw):
+            self.texts += texts
+            return self.tok.encode_batch_fast(texts, **kw)
+
+    made = token_files.Pieces(PATH)
+    made.tok = Counted(made.tok)
+    for _ in range(3):
+        made.encode(pa.array(["one two\n\nthree " * 50] * 40), 2)
+    assert sum(map(len, made.tok.texts)) < 100
+
+
+def test_many_ids_take_few_steps(monkeypatch):
+    steps = []
+    learn = token_files.Model.learn
+    monkeypatch.setattr(token_files.Model, "learn", lambda self, n, *a: (steps.append(n), learn(self, n, *a))[1])
+    rng = np.random.default_rng(4)
+    ids = rng.zipf(1.3, 1_200_000).clip(0, 65_535).astype("<u4")
+    blocks = token_files.encode_blocks(ids)
+    assert sum(steps) == len(ids) and len(steps) <= 600  # the coder of before took 2 steps an id of a block, 1,172 at least
+    assert np.concatenate(list(token_files.decode_blocks(blocks))).tolist() == ids.tolist()
+
+
+def test_coded_size_is_near_the_entropy():
+    rng = np.random.default_rng(5)
+    ids = rng.zipf(1.5, 600_000).clip(0, 4_000).astype("<u4")
+    share = np.bincount(ids)[np.bincount(ids) > 0] / len(ids)
+    entropy = -(share * np.log2(share)).sum() / 8 * len(ids)
+    assert sum(map(len, token_files.encode_blocks(ids))) < 1.12 * entropy
