@@ -14,6 +14,7 @@ All model arithmetic is in integers, so any machine decodes what another wrote.
 
 from __future__ import annotations
 
+import json
 import os
 import re
 import struct
@@ -27,11 +28,11 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
-from tokenizers import Tokenizer
+from tokenizers import Tokenizer, pre_tokenizers
 
 from ..session import join_small, materialize
 from .common import map_arrow, prepare, utf8
-from .prefix_bpe import PLAIN, _classes
+from .prefix_bpe import PLAIN, PrefixBpe, _classes
 from .warc import file_system
 
 MAGIC = b"PLTOK2\0\0"
@@ -43,6 +44,7 @@ GROUP = 1 << 22  # ids that wait to be coded
 MAX_ID = 1 << 16
 CACHE_PIECES = 400_000  # pieces that a worker remembers; then it keeps the half met most
 JOINED = 200  # pieces of a call's text
+TEXT_BYTES = 8 << 20  # of texts that are cut in step
 FOLLOWERS = 1 << 17  # slots of a block's table of followers of two ids
 FREQ_BITS, HIT_BITS = 18, 12  # of the order-0 frequencies, and of the mixed probabilities
 U32, U64 = np.uint32, np.uint64
@@ -359,8 +361,20 @@ class Pieces:
         self.tok.no_truncation()
         self.tok.no_padding()
         self.kinds = _kinds()
-        line = self.tok.encode("\n", add_special_tokens=False).ids
-        self.line = line[0] if len(line) == 1 else None
+        with open(path, encoding="utf-8") as f:
+            spec = json.load(f)
+        cut = spec["pre_tokenizer"] or {}
+        #: whether the pattern below is the file's; if not, every text goes to the library whole
+        self.cuts = (
+            spec["normalizer"] is None and cut.get("type") == "ByteLevel" and cut.get("use_regex", True) and not cut["add_prefix_space"]
+            and all(t["content"].startswith("<|") for t in spec["added_tokens"])
+        )
+        self.model = Tokenizer(self.tok.model)
+        self.model.pre_tokenizer = pre_tokenizers.Split("\n", "removed")
+        self.chars = np.array([ord(c) for c in PrefixBpe._byte_chars()], "<u4")
+        vocab = self.tok.get_vocab(with_added_tokens=False)
+        self.lengths = np.zeros(max(vocab.values()) + 1, np.int64)
+        self.lengths[list(vocab.values())] = [len(t) for t in vocab]
         self.known: dict[str, int] = {}
         self.ids, self.ends = np.zeros(0, "<u4"), np.zeros(1, np.int64)
         self.met = np.zeros(0, np.int64)  # batches that had a piece, of late
@@ -386,7 +400,7 @@ class Pieces:
         starts[ends] = True
         starts[ends[data[ends] == 32] + 1] = False
         self._contractions(data, offsets, starts)
-        whole = np.zeros(len(offsets) - 1, bool)
+        whole = np.full(len(offsets) - 1, not self.cuts)
         odd = kind == ODD
         odd[:-1] |= (data[:-1] == ord("<")) & (data[1:] == ord("|"))
         if odd.any():
@@ -415,31 +429,23 @@ class Pieces:
         self.ids = _runs(self.ids, self.ends[keep], sizes)
         self.ends, self.met = np.append(0, np.cumsum(sizes)), self.met[keep] >> 1
 
-    def _library(self, words: list[str]) -> tuple[np.ndarray, np.ndarray]:
+    def _library(self, pieces: pa.Array) -> tuple[np.ndarray, np.ndarray]:
         """Ids of all pieces one after another, and their numbers.
 
-        Pieces go to the library joined by line breaks, which cuts and joins none that has no line
-        break itself, and one result is made for many; those that have one go alone.
+        The file's model gets the pieces as the pre-tokenizer hands them on, a character for each byte, many to a
+        text.  Its tokens cover them character by character, so their lengths tell which belong to a piece.
         """
-        alone = np.array(["\n" in w for w in words])
-        texts, n_joined = [], 0
-        if self.line is not None:
-            plain = [w for w in words if "\n" not in w]
-            texts, n_joined = ["\n".join([*plain[k : k + JOINED], ""]) for k in range(0, len(plain), JOINED)], len(plain)
-        found = self.tok.encode_batch_fast(texts, add_special_tokens=False)
-        found = np.concatenate([np.zeros(0, "<u4"), *(np.array(e.ids, "<u4") for e in found)])
-        line = found == self.line
-        sizes = np.diff(np.flatnonzero(line), prepend=-1) - 1
-        if len(sizes) != n_joined or n_joined + alone.sum() != len(words):  # another kind of tokenizer
-            each = [np.array(e.ids, "<u4") for e in self.tok.encode_batch_fast(words, add_special_tokens=False)]
-            return np.concatenate(each), np.array([len(x) for x in each])
-        rest = [np.array(e.ids, "<u4") for e in self.tok.encode_batch_fast([w for w in words if "\n" in w], add_special_tokens=False)]
-        out = np.zeros(len(words), np.int64)
-        out[~alone], out[alone] = sizes, [len(x) for x in rest]
-        first = np.zeros(len(words), np.int64)
-        first[~alone] = np.cumsum(sizes) - sizes
-        first[alone] = np.count_nonzero(~line) + np.cumsum(out[alone]) - out[alone]
-        return _runs(np.concatenate([found[~line], *rest]), first, out), out
+        data, offsets = utf8(pieces)
+        chars = np.insert(self.chars.take(data), offsets[1:], 10)
+        edges = offsets + np.arange(len(offsets))
+        edges = edges[np.append(np.arange(0, len(pieces), JOINED), len(pieces))].tolist()
+        texts = [chars[x : y - 1].tobytes().decode("utf-32-le") for x, y in zip(edges, edges[1:], strict=False)]
+        ids = np.concatenate([np.array(e.ids, "<u4") for e in self.model.encode_batch_fast(texts, add_special_tokens=False)])
+        covered = np.append(0, np.cumsum(self.lengths.take(ids)))
+        ends = np.searchsorted(covered, offsets)
+        if ends[-1] != len(ids) or (covered[ends] != offsets).any():
+            raise ValueError("the tokenizer's ids do not cover its pieces")
+        return ids, np.diff(ends)
 
     def _places(self, pieces: pa.Array) -> np.ndarray:
         """The place of each piece among those remembered."""
@@ -453,7 +459,7 @@ class Pieces:
             new = [words[k] for k in unmet.tolist()]
             place[unmet] = np.arange(len(self.known), len(self.known) + len(new))
             self.known.update(zip(new, place[unmet].tolist(), strict=True))
-            ids, sizes = self._library(new)
+            ids, sizes = self._library(distinct.dictionary.take(pa.array(unmet)))
             self.ids, self.ends = np.append(self.ids, ids), np.append(self.ends, self.ends[-1] + np.cumsum(sizes))
             self.met = np.append(self.met, np.zeros(len(new), np.int64))
         self.met[place] += 1
@@ -510,7 +516,14 @@ def pieces(path: str) -> Pieces:
 def _write_file(batches: Iterable[pa.RecordBatch], tokenizer: str, folder: str, end_id: int) -> Iterator[tuple]:
     """Write the documents of a partition to one file; gives its row of the list."""
     system, path = file_system(folder)
-    out, waiting, held, docs, sizes, total = None, [], 0, [], [], 0
+    out, texts, size, waiting, docs, sizes, total = None, [], 0, [], [], [], 0
+
+    def encode():
+        nonlocal texts, size
+        ids, counts = pieces(tokenizer).encode(pa.concat_arrays([x.cast(pa.large_string()) for x in texts]), end_id)
+        sizes.extend(counts.tolist())
+        waiting.append(ids)
+        texts, size = [], 0
 
     def write(blocks):
         for b in blocks:
@@ -525,26 +538,31 @@ def _write_file(batches: Iterable[pa.RecordBatch], tokenizer: str, folder: str,
             out = system.open_output_stream(name, compression=None)
             out.write(MAGIC)
         part = batch.column("part")[0].as_py()
-        ids, counts = pieces(tokenizer).encode(batch.column("text"), end_id)
         docs += batch.column("doc_id").to_pylist()
-        sizes += counts.tolist()
-        waiting.append(ids)
-        held += len(ids)
+        texts.append(batch.column("text"))
+        size += texts[-1].nbytes
+        if size < TEXT_BYTES:
+            continue
+        encode()
+        held = sum(map(len, waiting))
         if held >= GROUP:
             ids = np.concatenate(waiting)
             whole = held // GROUP * GROUP
             for first in range(0, whole, GROUP):
                 write(encode_blocks(ids[first : first + GROUP]))
-            waiting, held, total = [ids[whole:].copy()], held - whole, total + whole
+            waiting, total = [ids[whole:].copy()], total + whole
     if out is None:
         return
-    write(encode_blocks(np.concatenate(waiting)))
+    if texts:
+        encode()
+    ids = np.concatenate(waiting)
+    write(encode_blocks(ids))
     none = np.array([d is None for d in docs])
     index = np.array([d or 0 for d in docs], "<i8").tobytes() + none.astype("u1").tobytes() + np.array(sizes, "<u4").tobytes()
     packed = zlib.compress(index, 1)
     out.write(struct.pack("<I", 0) + packed + struct.pack("<QQI", len(docs), len(packed), zlib.crc32(packed)) + MAGIC)
     out.close()
-    yield part, name.rsplit("/", 1)[1], len(docs), total + held
+    yield part, name.rsplit("/", 1)[1], len(docs), total + len(ids)
 
 
 LIST_SCHEMA = "part long, name string, n_docs long, n_tokens long"
