@@ -7,10 +7,12 @@ import pytest
 from pyspark.sql import functions as F
 
 from pairloom import DEFAULT, Preparation
+from pairloom.functions.text import STRIP_CHARS
 from pairloom.functions.word_split import code_point_classes, splitter
-from pairloom.operators.corpus import sentence_lines
+from pairloom.operators.corpus import _flagged, sentence_lines
 from pairloom.operators.examples import EXAMPLE_COLUMNS, assemble_examples
 from pairloom.operators.pairs import attach_tokens, nsp_pairs
+from pairloom.operators.scan import Buckets
 from pairloom.operators.vocab import lookup_ids
 
 
@@ -74,3 +76,19 @@ def test_literals_and_wide_characters_at_the_edges_of_texts(spark):
     words, counts = splitter(code_point_classes(spark), ("[MASK]", "[SEP]", "[CLS]"))(pa.array(texts))
     assert words.to_pylist() == ["[", "MA", "SK", "]", "a", "[", "MASK", "]", "é", "日", "[MASK]", "本", "é", "🙂", "[MASK]", "[SEP]"]
     assert counts.tolist() == [2, 2, 3, 2, 3, 0, 1, 2, 1]
+
+
+@pytest.mark.parametrize("marked", [None, "is_start"])
+def test_boundaries_are_told_without_stripping_the_end(spark, marked):
+    edges = [c for c in STRIP_CHARS] + ["", "\u200b", "=", "a", "é"]
+    texts = [a + m + b for a in edges for m in ("", "=", "x", " = x") for b in ("", " ", "\x1c\u3000", "=")]
+    rows = spark.createDataFrame([(i, t, i % 3 == 0) for i, t in enumerate(texts)], "row_id long, text string, is_start boolean")
+    flags = _flagged(rows, marked, text=False)
+    assert "btrim" not in flags._jdf.queryExecution().optimizedPlan().toString()
+    want = {i: (t.strip(STRIP_CHARS) == "" or (t.strip(STRIP_CHARS).startswith("=") if marked is None else i % 3 == 0)) for i, t in enumerate(texts)}
+    assert {r["row_id"]: r["_b"] == 1 for r in flags.collect()} == want
+    lines = sentence_lines(rows, Buckets(4, (), 99), marked)
+    assert {r["row_id"]: r["text"] for r in lines.collect()} == {i: t.strip(STRIP_CHARS) for i, t in enumerate(texts) if not want[i]}
+    for k in (0, 1):
+        with pytest.raises(Exception, match="text must not be NULL"):
+            sentence_lines(rows.select("row_id", F.when(F.col("row_id") != k, F.col("text")).alias("text"), "is_start"), Buckets(4, (), 99), marked).collect()
